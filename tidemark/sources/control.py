@@ -43,6 +43,14 @@ def schema_of(table: str) -> StructType:
     return columns(SCHEMAS[table])
 
 
+def conform(table: str, rows: DataFrame) -> DataFrame:
+    """The table's columns in order, typed; a column the caller left out is NULL."""
+    have = set(rows.columns)
+    return rows.select(*[
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema_of(table).fields])
+
+
 class ControlTables:
     """The control tables under one root folder; one writer at a time."""
 
@@ -65,7 +73,7 @@ class ControlTables:
     def append(self, table: str, rows: DataFrame) -> None:
         if table in KEYED:
             raise ValueError(f"{table} is keyed: use replace")
-        self._conform(table, rows).coalesce(1).write.mode("append").parquet(self._path(table))
+        conform(table, rows).coalesce(1).write.mode("append").parquet(self._path(table))
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Write a new version; a reader sees the old one until the write commits."""
@@ -74,7 +82,7 @@ class ControlTables:
         versions = read_if_present(self.spark, self._path(table),
                                    schema_of(table).add("version", "integer"))
         newest = versions.agg(F.max("version").alias("version")).first().version or 0
-        (self._conform(table, rows).coalesce(1)
+        (conform(table, rows).coalesce(1)
          .write.mode("overwrite").parquet(f"{self._path(table)}/version={newest + 1}"))
 
     def append_rows(self, table: str, rows: list[dict]) -> None:
@@ -84,10 +92,3 @@ class ControlTables:
         schema = schema_of(table)
         return self.spark.createDataFrame(
             [tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
-
-    def _conform(self, table: str, rows: DataFrame) -> DataFrame:
-        """The table's columns in order, typed; a column the caller left out is NULL."""
-        have = set(rows.columns)
-        return rows.select(*[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema_of(table).fields])

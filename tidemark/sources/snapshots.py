@@ -188,3 +188,9 @@ def _nullable(schema: StructType) -> StructType:
     """Parquet reads every column back as nullable."""
     text = schema.json().replace('"nullable":false', '"nullable":true')
     return StructType.fromJson(json.loads(text))
+
+
+def buckets_for(n_rows: int, per_bucket: int = 1_000_000, least: int = 8,
+                most: int = 16_384) -> int:
+    """A bucket count for a table of this size; a larger bucket is split into several files."""
+    return max(least, min(most, -(-n_rows // per_bucket)))
