@@ -122,9 +122,8 @@ def refresh_silver(store: SnapshotStore, target: str, rows: DataFrame, keys: Seq
     ended = datetime.now(timezone.utc)
     if snapshot is None:
         return RefreshResult(target, "NO_DATA", head.snapshot_id, 0, started, ended)
-    written = store.manifest(snapshot).filter(F.col("holder") == snapshot.snapshot_id).count()
     return RefreshResult(target, snapshot.action, snapshot.snapshot_id,
-                         max(written, len(touched or ())), started, ended)
+                         store.buckets if touched is None else len(touched), started, ended)
 
 
 def _same_columns(held, fresh) -> bool:

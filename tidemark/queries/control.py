@@ -250,14 +250,16 @@ def refresh_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {LATEST_SQL},
 w AS (SELECT count(*) AS n, max(stamp) AS wm FROM std),
 s AS (SELECT count(*) AS n FROM latest),
-u AS (SELECT count(DISTINCT user_id) AS n FROM events)
+k AS (SELECT user_id, max(load_type) AS load_type FROM std GROUP BY 1),
+u AS (SELECT count(*) AS n, CASE WHEN bool_and(load_type = 'initial') THEN 'SNAPSHOT_ONLY'
+                                 ELSE 'MERGING' END AS reload FROM k)
 SELECT 'EVENTS' AS object_name, 'NO_CHANGE' AS last_run_status, 'USABLE' AS metadata_verdict,
        'MERGING' AS reload_verdict, 'MATCH' AS key_verdict, w.n AS source_rows,
        s.n AS silver_rows, w.n - s.n AS row_difference,
        CASE WHEN w.n = s.n THEN 'MATCH' ELSE 'DIFFERENCE' END AS reconcile_verdict
 FROM w, s
 UNION ALL
-SELECT 'USERS', 'NO_CHANGE', 'USABLE', 'MERGING', 'NO_DECLARED_KEY', n, n, 0, 'MATCH' FROM u
+SELECT 'USERS', 'NO_CHANGE', 'USABLE', reload, 'NO_DECLARED_KEY', n, n, 0, 'MATCH' FROM u
 """)
 def capture_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Health after assurance. The key catalogue names the configured key of EVENTS only."""

@@ -39,23 +39,19 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, sf_dir).read("EVENTS")
 
 
-@query(f"""
-WITH {LATEST_SQL}
-SELECT user_id, event_type, event_id, 'I' AS last_change FROM latest
-""")
+@query(f"WITH {LATEST_SQL} SELECT user_id, event_type, event_id FROM latest")
 def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each key's newest logged image. Newest events land first, so keys are inserted once."""
+    """The newest logged image of each key is its latest event, whatever landed first."""
     store = new_store(spark, "stream-log", table(spark, sf_dir, "events"))
     control = control_beside(store)
     started = ops.stream_change_log(_landed(spark, sf_dir), store, control, "EVENTS", KEYS, _WM,
                                     work_dir(spark, "offsets"), at(AS_OF), exclude=(_WM,))
     started.awaitTermination()
-    log = changes.change_log(control)
-    field = {k: F.get_json_object("after_image", f"$.{k}") for k in (*KEYS, "event_id")}
-    return log.select(field["user_id"].cast("bigint").alias("user_id"),
-                      field["event_type"].alias("event_type"),
-                      field["event_id"].cast("bigint").alias("event_id"),
-                      F.col("change_type").alias("last_change"))
+    newest = changes.change_log(control).groupBy("key_values").agg(
+        F.max_by("after_image", "cdc_timestamp_text").alias("image"))
+    kinds = {"user_id": "bigint", "event_type": "string", "event_id": "bigint"}
+    return newest.select(*[F.get_json_object("image", f"$.{k}").cast(t).alias(k)
+                           for k, t in kinds.items()])
 
 
 @query(f"WITH {LATEST_SQL} SELECT user_id, event_type, event_id FROM latest")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.sources.readers import read_if_present
-from tidemark.sources.schemas import columns
+from tidemark.sources.schemas import columns, local_frame
 
 SCHEMAS: dict[str, str] = {
     "registry": """object_name string, source string, track string, watermark_column string,
@@ -89,6 +89,4 @@ class ControlTables:
         self.append(table, self.rows(table, rows))
 
     def rows(self, table: str, rows: list[dict]) -> DataFrame:
-        schema = schema_of(table)
-        return self.spark.createDataFrame(
-            [tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
+        return local_frame(self.spark, rows, schema_of(table))

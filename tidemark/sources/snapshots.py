@@ -1,10 +1,10 @@
 """Versioned keyed tables as plain Parquet folders.
 
 A table is a set of key buckets. A snapshot writes only the buckets that
-changed; its manifest names, for every bucket, the snapshot that holds it,
-with the row count and two 64-bit XOR hashes of the rows. A snapshot becomes
-visible with its one-row commit, so a failed write leaves nothing behind that a
-reader sees, and the retry overwrites it.
+changed. Its commit is one row in one file: it names, for every bucket, the
+snapshot that holds it, with the row count and two 64-bit XOR hashes of the
+rows. A snapshot becomes visible with that file, so a failed write leaves
+nothing behind that a reader sees, and the retry overwrites it.
 
 Sizes on the driver: one row per bucket and one per retained snapshot.
 """
@@ -15,17 +15,17 @@ import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from tidemark.functions import bucket_of, fingerprint
 from tidemark.sources.readers import read_if_present
-from tidemark.sources.schemas import columns
+from tidemark.sources.schemas import columns, local_frame
 
-_MANIFEST = columns(
-    "bucket int, holder string, n_rows bigint, hash_a bigint, hash_b bigint")
-_COMMIT = columns(
+_ENTRY = columns("bucket int, holder string, n_rows bigint, hash_a bigint, hash_b bigint")
+_HEAD = columns(
     "seq bigint, snapshot_id string, parent_id string, action string, token string, "
     "schema_json string, buckets int, keys array<string>")
+_COMMIT = StructType([*_HEAD.fields]).add("entries", ArrayType(_ENTRY))
 
 
 @dataclass(frozen=True)
@@ -52,7 +52,7 @@ class SnapshotStore:
 
     def history(self, obj: str) -> list[Snapshot]:
         """Committed snapshots, oldest first."""
-        rows = read_if_present(self.spark, f"{self.root}/commits/{obj}", _COMMIT).collect()
+        rows = read_if_present(self.spark, self._commits(obj), _HEAD).collect()
         for r in rows:
             if r.buckets != self.buckets:
                 raise ValueError(f"{obj} was written with {r.buckets} buckets")
@@ -73,8 +73,10 @@ class SnapshotStore:
         raise KeyError(f"{obj} has no committed snapshot {snapshot_id}")
 
     def manifest(self, snapshot: Snapshot) -> DataFrame:
-        path = f"{self.root}/manifest/{snapshot.object_name}/{snapshot.snapshot_id}"
-        return self.spark.read.schema(_MANIFEST).parquet(path)
+        """bucket, holder, n_rows, hash_a, hash_b."""
+        commit = self.spark.read.schema(_COMMIT).parquet(
+            f"{self._commits(snapshot.object_name)}/commit={snapshot.seq}")
+        return commit.select(F.inline("entries"))
 
     def read(self, obj: str, snapshot: Snapshot | None = None,
              buckets: set[int] | None = None) -> DataFrame:
@@ -152,28 +154,30 @@ class SnapshotStore:
                                   .add("bucket", "integer"))
         fresh = self.marks_of(self.hashed(written.drop("bucket"), keys))
         entries = {r.bucket: (snapshot_id, r.n_rows, r.hash_a, r.hash_b) for r in fresh.collect()}
+        schema = _nullable(rows.schema)
         if touched is not None:
             held = {r.bucket: (r.holder, r.n_rows, r.hash_a, r.hash_b)
                     for r in self.manifest(head).collect()}
             same = all(held.get(b, ())[1:] == entries.get(b, ())[1:] for b in touched)
-            if same and head.schema == _nullable(rows.schema):
+            if same and head.schema == schema:
                 return None
             entries |= {b: e for b, e in held.items() if b not in touched}
-        manifest = self.spark.createDataFrame(
-            [(b, *e) for b, e in sorted(entries.items())], _MANIFEST)
-        (manifest.coalesce(1).write.mode("overwrite")
-         .parquet(f"{self.root}/manifest/{obj}/{snapshot_id}"))
         snapshot = Snapshot(obj, seq, snapshot_id, head.snapshot_id if head else None,
-                            "FULL" if touched is None else "INCREMENTAL", token,
-                            _nullable(rows.schema), tuple(keys))
-        self._commit(snapshot)
+                            "FULL" if touched is None else "INCREMENTAL", token, schema,
+                            tuple(keys))
+        self._commit(snapshot, entries)
         return snapshot
 
-    def _commit(self, s: Snapshot) -> None:
-        row = (s.seq, s.snapshot_id, s.parent_id, s.action, s.token, s.schema.json(),
-               self.buckets, list(s.keys))
-        (self.spark.createDataFrame([row], _COMMIT).coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.root}/commits/{s.object_name}/commit={s.seq}"))
+    def _commits(self, obj: str) -> str:
+        return f"{self.root}/commits/{obj}"
+
+    def _commit(self, s: Snapshot, entries: dict[int, tuple]) -> None:
+        held = [dict(zip(_ENTRY.names, (bucket, *entry))) for bucket, entry in sorted(entries.items())]
+        row = {"seq": s.seq, "snapshot_id": s.snapshot_id, "parent_id": s.parent_id,
+               "action": s.action, "token": s.token, "schema_json": s.schema.json(),
+               "buckets": self.buckets, "keys": list(s.keys), "entries": held}
+        (local_frame(self.spark, [row], _COMMIT).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self._commits(s.object_name)}/commit={s.seq}"))
 
     def unreferenced(self, obj: str, keep: int) -> list[str]:
         """Data folders that none of the newest `keep` snapshots refers to."""

@@ -69,9 +69,11 @@ def _start(stream: DataFrame, merge, checkpoint: str) -> StreamingQuery:
 def drop_redelivery(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str,
                     exclude: Iterable[str] = LINEAGE) -> DataFrame:
     """Drop rows whose key and business image were delivered before, within `delay`."""
-    marked = stream.withColumn("__image", row_hash(row_image(stream, {*exclude, event_time})))
-    return (marked.withWatermark(event_time, delay)
-            .dropDuplicatesWithinWatermark([*keys, "__image"]).drop("__image"))
+    marked = stream.withColumns({
+        "__image": row_hash(row_image(stream, {*exclude, event_time})),
+        "__time": F.col(event_time).cast("timestamp")})
+    return (marked.withWatermark("__time", delay)
+            .dropDuplicatesWithinWatermark([*keys, "__image"]).drop("__image", "__time"))
 
 
 def latest_state(stream: DataFrame, keys: Sequence[str], wm: str) -> DataFrame:
