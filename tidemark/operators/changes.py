@@ -32,13 +32,9 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     return match
 
 
-def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
-                  exclude: Iterable[str] = LINEAGE) -> DataFrame:
-    """The feed from one image to the next; both are unique on `keys`.
-
-    Rows are compared, not files: a rewritten or re-delivered copy gives no row.
-    Columns that only one image has are NULL in the other.
-    """
+def _moved(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
+           exclude: Iterable[str]) -> tuple[DataFrame, list[str]]:
+    """Rows before and after, as two structs, of every key whose image differs."""
     columns = [*cur.columns, *[c for c in prev.columns if c not in cur.columns]]
     compared = [c for c in columns if c not in {*exclude, *keys}]
 
@@ -53,8 +49,19 @@ def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
     for k in keys:
         match = match & before[f"before_{k}"].eqNullSafe(after[f"after_{k}"])
     both = F.col("before").isNotNull() & F.col("after").isNotNull()
-    moved = before.join(after, match, "full_outer") \
-                  .filter(~(both & same_image("before", "after", compared)))
+    joined = before.join(after, match, "full_outer")
+    return (joined.filter(~(both & same_image("before", "after", compared)))
+            .select("before", "after"), columns)
+
+
+def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
+                  exclude: Iterable[str] = LINEAGE) -> DataFrame:
+    """The feed from one image to the next; both are unique on `keys`.
+
+    Rows are compared, not files: a rewritten or re-delivered copy gives no row.
+    Columns that only one image has are NULL in the other.
+    """
+    moved, columns = _moved(prev, cur, keys, exclude)
 
     def record(action: str, name: str) -> Column:
         fields = [F.col(name)[c].alias(c) for c in columns]
@@ -64,6 +71,24 @@ def snapshot_diff(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
         record("DELETE", "before"), record("INSERT", "after")))))
 
 
+def image_changes(prev: DataFrame | None, cur: DataFrame, keys: Sequence[str],
+                  exclude: Iterable[str] = LINEAGE) -> DataFrame:
+    """keys, change_type (I, U, D), before, after between two images unique on `keys`.
+
+    One join; the result equals pairing the feed of `snapshot_diff`. Without an
+    earlier image every row is an insert and nothing is shuffled.
+    """
+    if prev is None:
+        row = F.struct(*cur.columns)
+        return cur.select(*keys, F.lit("I").alias("change_type"),
+                          F.when(F.lit(False), row).alias("before"), row.alias("after"))
+    moved, _ = _moved(prev, cur, keys, exclude)
+    change = (F.when(F.col("before").isNull(), "I").when(F.col("after").isNull(), "D")
+              .otherwise("U"))
+    return moved.select(*[F.coalesce(F.col("after"), F.col("before"))[k].alias(k) for k in keys],
+                        change.alias("change_type"), "before", "after")
+
+
 def insert_only(feed: DataFrame) -> DataFrame:
     return feed.filter(F.col("action") == "INSERT")
 
@@ -108,12 +133,6 @@ def pair_changes(feed: DataFrame, keys: Sequence[str], exclude: Iterable[str] =
             .select(*keys, "change_type", "before", "after"))
 
 
-def image_changes(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
-                  exclude: Iterable[str] = LINEAGE) -> DataFrame:
-    """The I, U and D rows between two images; only changed rows reach the pairing."""
-    return pair_changes(snapshot_diff(prev, cur, keys, exclude), keys, exclude)
-
-
 def as_events(changes: DataFrame, keys: Sequence[str], logged_at: Column,
               exclude: Iterable[str] = LINEAGE, wm: str = "CDC_TIMESTAMP_TEXT") -> DataFrame:
     """Change rows in the form of the log: JSON key and images, SHA-256 of the images."""
@@ -195,14 +214,13 @@ def delete_divergence(source: DataFrame, target: DataFrame) -> DataFrame:
 
 # -- stored snapshots and the change log -------------------------------------------------
 
-def stored_feed(store: SnapshotStore, obj: str, from_id: str | None, to_id: str,
-                exclude: Iterable[str] = LINEAGE) -> tuple[DataFrame, tuple[str, ...]]:
-    """The feed between two stored snapshots and its keys; equal buckets are not read."""
+def stored_images(store: SnapshotStore, obj: str, from_id: str | None,
+                  to_id: str) -> tuple[DataFrame | None, DataFrame, tuple[str, ...]]:
+    """Two stored images, less the buckets that are equal in both, and the keys."""
     before, after = store.find(obj, from_id), store.find(obj, to_id)
     buckets = store.changed_buckets(before, after)
-    cur = store.read(obj, after, buckets)
-    prev = store.read(obj, before, buckets) if before else cur.limit(0)
-    return snapshot_diff(prev, cur, after.keys, exclude), after.keys
+    prev = store.read(obj, before, buckets) if before else None
+    return prev, store.read(obj, after, buckets), after.keys
 
 
 def drain_changes(store: SnapshotStore, control: ControlTables, obj: str, to_id: str,
@@ -222,9 +240,9 @@ def drain_changes(store: SnapshotStore, control: ControlTables, obj: str, to_id:
     if from_id == to_id:
         events = 0
     else:
-        feed, keys = stored_feed(store, obj, from_id, to_id, exclude)
+        prev, cur, keys = stored_images(store, obj, from_id, to_id)
         path = f"{control.root}/change_log/object_name={obj}/drain_id={drain_id}"
-        as_events(pair_changes(feed, keys, exclude), keys, as_of, exclude, wm) \
+        as_events(image_changes(prev, cur, keys, exclude), keys, as_of, exclude, wm) \
             .write.mode("overwrite").parquet(path)
         events = store.spark.read.schema(CHANGE_LOG).parquet(path).count()
     record = control.rows("drains", [{"drain_id": drain_id, "object_name": obj,

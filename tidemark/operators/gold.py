@@ -9,7 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import latest_of, minutes_between
-from tidemark.operators.changes import merge_snapshot, null_safe, stored_feed
+from tidemark.operators.changes import (
+    merge_snapshot, null_safe, snapshot_diff, stored_images,
+)
 from tidemark.operators.profile import union_all
 from tidemark.sources.snapshots import SnapshotStore
 
@@ -170,7 +172,8 @@ def touched_keys(store: SnapshotStore, gold: GoldDef, since: dict[str, str],
     for name, columns in gold.inputs.items():
         if since.get(name) == heads[name]:
             continue
-        feed, _ = stored_feed(store, name, since.get(name), heads[name], exclude=())
+        prev, cur, keys = stored_images(store, name, since.get(name), heads[name])
+        feed = cur if prev is None else snapshot_diff(prev, cur, keys, exclude=())
         frames.append(feed.select(*[F.col(c).alias(k)
                                     for c, k in zip(columns, gold.keys, strict=True)]))
     return union_all(frames).distinct()

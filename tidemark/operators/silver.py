@@ -18,8 +18,8 @@ from tidemark.sources.snapshots import SnapshotStore
 
 _VOLATILE = re.compile(
     r"\b(current_timestamp|current_date|current_time|localtimestamp|now|rand|randn|random|randstr|"
-    r"uuid|shuffle|monotonically_increasing_id|spark_partition_id|input_file_name)\b"
-    r"(\(|#|\s)", re.IGNORECASE)
+    r"uuid|shuffle|monotonically_increasing_id|spark_partition_id|input_file_name)\(",
+    re.IGNORECASE)
 
 
 class SchemaDrift(RuntimeError):

@@ -81,7 +81,7 @@ def object_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT count(*) AS objects, count(DISTINCT flow_hash) AS flow_hashes,
-       count(*) FILTER (WHERE inferred_key IS NULL OR true) AS undeclared_keys,
+       count(*) AS undeclared_keys,
        count(*) FILTER (WHERE track = 'NONE') AS without_signal
 FROM ({PROFILE_SQL})
 """)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.fixed import OPERATION, TIMESTAMP
 from tidemark.operators import bronze, findings, signals as ops
-from tidemark.operators.profile import union_all
+from tidemark.operators.profile import profile_object, union_all
 from tidemark.plans.readiness import assess, assess_frames
 from tidemark.queries.data import (
     EVENTS_SQL, FLOW, LOAD_TYPE, SORTABLE_SQL, at, events_bronze, events_custom, events_standard,
@@ -201,7 +201,7 @@ def file_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pruned.select("files_total", "files_touched")
 
 
-@query("SELECT 1 AS files_total, 1 AS files_touched, 1.0 AS ratio, 'FAIL' AS status")
+@query("SELECT 1 AS files_total, 1 AS files_touched, CAST(1 AS DOUBLE) AS ratio, 'FAIL' AS status")
 def file_pruning_unclustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     pruned = ops.pruning_ratio(events_custom(spark, sf_dir), "ZZLASTCHGDATE")
     return pruned.select("files_total", "files_touched", "ratio", "status")
@@ -237,7 +237,6 @@ SELECT 'signal.watermark' AS "check", 'WARN' AS status,
 UNION ALL SELECT 'signal.standard', 'PASS', '1 standard object(s), 1 with a flow hash'
 """)
 def signal_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.profile import profile_object
     frames = {"EVENTS": events_standard(spark, sf_dir), "CHANGES": events_custom(spark, sf_dir),
               "ORDERS": table(spark, sf_dir, "orders")}
     profile = union_all([profile_object(n, df, infer=False) for n, df in frames.items()])

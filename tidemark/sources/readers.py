@@ -29,8 +29,14 @@ def source_path(ref: str) -> str | None:
 
 
 def file_listing(spark: SparkSession, path: str) -> DataFrame:
-    """path, length, modified for every file; only the listing is read, no content."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    """path, length, modified for every file; only the listing is read, no content.
+
+    Spark plans tasks by file size. No file is opened here, so the frame lives
+    in a session where size does not count and the tasks are one per core.
+    """
+    lister = spark.newSession()
+    lister.conf.set("spark.sql.files.maxPartitionBytes", str(2**60))
+    return (lister.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
             .select("path", "length", F.col("modificationTime").alias("modified")))
 
 

@@ -68,12 +68,19 @@ def _start(stream: DataFrame, merge, checkpoint: str) -> StreamingQuery:
 
 def drop_redelivery(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str,
                     exclude: Iterable[str] = LINEAGE) -> DataFrame:
-    """Drop rows whose key and business image were delivered before, within `delay`."""
+    """Drop rows whose key and business image were delivered before, within `delay`.
+
+    One image may be most of the stream, and its copies must meet in one task to
+    be dropped. They are therefore dropped per input partition first, so that
+    only one row per partition and image reaches that task.
+    """
     marked = stream.withColumns({
         "__image": row_hash(row_image(stream, {*exclude, event_time})),
-        "__time": F.col(event_time).cast("timestamp")})
+        "__time": F.col(event_time).cast("timestamp"), "__part": F.spark_partition_id()})
     return (marked.withWatermark("__time", delay)
-            .dropDuplicatesWithinWatermark([*keys, "__image"]).drop("__image", "__time"))
+            .dropDuplicatesWithinWatermark([*keys, "__image", "__part"])
+            .dropDuplicatesWithinWatermark([*keys, "__image"])
+            .drop("__image", "__time", "__part"))
 
 
 def latest_state(stream: DataFrame, keys: Sequence[str], wm: str) -> DataFrame:
