@@ -172,7 +172,8 @@ def apply_changes(target: DataFrame, feed: DataFrame, keys: Sequence[str],
 
     A key with a DELETE and an INSERT converges on the INSERT. AQE broadcasts
     the folded feed when its measured size is small, so that the target is not
-    shuffled for a small change.
+    shuffled for a small change. The feed is read twice; write it to a table
+    first when it is costly to derive.
     """
     folded = fold_feed(feed.select("action", *([seq] if seq else []), *target.columns),
                        keys, wm, seq)

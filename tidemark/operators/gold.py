@@ -8,10 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions import latest_of, minutes_between
-from tidemark.operators.changes import (
-    merge_snapshot, null_safe, snapshot_diff, stored_images,
-)
+from tidemark.functions import bucket_of, latest_of, minutes_between
+from tidemark.operators.changes import null_safe, snapshot_diff, stored_images
 from tidemark.operators.profile import union_all
 from tidemark.sources.snapshots import SnapshotStore
 
@@ -197,18 +195,24 @@ def refresh_gold(store: SnapshotStore, gold: GoldDef) -> str:
         return "FULL"
     if held.token == token:
         return "NO_DATA"
-    keys = touched_keys(store, gold, json.loads(held.token), heads)
-    moved = {name: _holding(df, gold.inputs[name], keys, gold.keys)
-             for name, df in inputs.items()}
-    rebuilt = gold.build(moved).withColumn("action", F.lit("INSERT"))
-    image = store.read(gold.name, held)
-    gone = _holding(image, gold.keys, keys, gold.keys).withColumn("action", F.lit("DELETE"))
-    snapshot = merge_snapshot(store, gold.name, gone.unionByName(rebuilt), token)
+    # Written, not cached: the keys drive three joins, and a table survives a lost executor.
+    path = f"{store.root}/touched/{gold.name}"
+    moved = touched_keys(store, gold, json.loads(held.token), heads)
+    moved.withColumn("bucket", bucket_of(moved, gold.keys, store.buckets)) \
+         .write.mode("overwrite").parquet(path)
+    keys = store.spark.read.parquet(path)
+    buckets = {r.bucket for r in keys.select("bucket").distinct().collect()}
+    if not buckets:
+        return "NO_DATA"
+    rebuilt = gold.build({name: _holding(df, gold.inputs[name], keys, gold.keys)
+                          for name, df in inputs.items()})
+    kept = _holding(store.read(gold.name, held, buckets), gold.keys, keys, gold.keys, "left_anti")
+    snapshot = store.write(gold.name, kept.unionByName(rebuilt), gold.keys, buckets, token)
     return "NO_DATA" if snapshot is None else snapshot.action
 
 
-def _holding(df: DataFrame, columns: Sequence[str], keys: DataFrame,
-             names: Sequence[str]) -> DataFrame:
-    """Rows that hold one of the keys."""
+def _holding(df: DataFrame, columns: Sequence[str], keys: DataFrame, names: Sequence[str],
+             how: str = "left_semi") -> DataFrame:
+    """Rows that hold one of the keys, or with left_anti none of them."""
     wanted = keys.select(*[F.col(k).alias(f"__{c}") for c, k in zip(columns, names, strict=True)])
-    return df.join(wanted, null_safe(df, wanted, columns, "__"), "left_semi")
+    return df.join(wanted, null_safe(df, wanted, columns, "__"), how)

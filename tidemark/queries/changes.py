@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import json_of, row_hash, row_image
 from tidemark.operators import changes as ops
-from tidemark.operators.silver import row_differences
+from tidemark.operators.silver import latest_per_key, refresh_silver, row_differences
 from tidemark.queries.data import (
     CHANGES_SQL, EVENTS_SQL, KEYS, LATEST_SQL, MIDWAY, ORDERS_SQL, AS_OF, at, control_beside,
-    events_rows, events_silver, orders_after, orders_before, stored_orders, table,
+    events_rows, events_silver, new_store, orders_after, orders_before, stored_orders, table,
 )
-from tidemark.operators.silver import latest_per_key
 from tidemark.queries.registry import query
 
 _KEY = ["o_orderkey"]
@@ -203,6 +202,17 @@ def watermark_merge_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(spark, sf_dir, ("D",)).select(*KEYS, "event_id")
 
 
+@query(f"WITH {LATEST_SQL} SELECT user_id, event_type, event_id FROM latest")
+def stored_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a stored table: only the buckets of the newer keys are rewritten."""
+    rows = events_rows(spark, sf_dir)
+    store = new_store(spark, "merge", rows)
+    last = f"{MIDWAY}T00:00:00,0000000Z"
+    refresh_silver(store, "EVENTS", rows.filter(F.col(_WM) <= F.lit(last)), KEYS, _WM)
+    ops.merge_snapshot(store, "EVENTS", ops.watermark_feed(rows, KEYS, _WM, last))
+    return store.read("EVENTS").select(*KEYS, "event_id")
+
+
 @query(f"""
 WITH {ORDERS_SQL}
 SELECT s.n AS source_rows, t.n AS target_rows, greatest(t.n - s.n, 0) AS divergence
