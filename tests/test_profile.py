@@ -1,7 +1,8 @@
+import pytest
 from pyspark.sql.types import StructType
 
 from tidemark.operators import profile as ops
-from tidemark.sources import file_listing, listing_mark
+from tidemark.sources import file_listing, listing_mark, read_source, write_sink
 
 HASH = "0123456789abcdef0123456789abcdef"
 STANDARD = f"__OPERATION_TYPE string, __TIMESTAMP string, load_type_{HASH} string, run_id_{HASH} string"
@@ -77,3 +78,21 @@ def test_listing_mark_moves_with_the_files(spark, tmp_path):
     spark.range(1).write.mode("append").parquet(path)
     assert listing_mark(spark, path) != first
     assert file_listing(spark, path).count() > files
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "csv", "json"])
+def test_sources_and_sinks_share_their_names(spark, tmp_path, fmt):
+    df = spark.range(5).selectExpr("id", "id % 2 AS half")
+    ref = f"{fmt}:{tmp_path / fmt}"
+    write_sink(df, ref)
+    write_sink(df, ref)
+    got = read_source(spark, ref, StructType.fromDDL("id bigint, half bigint"))
+    assert sorted(r.id for r in got.collect()) == sorted([*range(5)] * 2)
+
+
+def test_catalogue_tables(spark):
+    write_sink(spark.range(3), "table:tidemark_sink", "overwrite")
+    try:
+        assert read_source(spark, "table:tidemark_sink").count() == 3
+    finally:
+        spark.sql("DROP TABLE tidemark_sink")
