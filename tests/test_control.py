@@ -111,5 +111,6 @@ def test_full_after_the_first_run_is_unexpected(rows):
         [("A", "FULL", 1), ("A", "INCREMENTAL", 2), ("A", "FULL", 3), ("B", "FULL", 1)],
         "target string, refresh_action string, n int").withColumn(
             "refresh_start", F.timestamp_seconds("n")))
-    assert [(r.target, r.run) for r in ops.unexpected_full(audit).collect()] == [("A", 3)]
+    found = ops.unexpected_full(audit).select("target", F.unix_timestamp("refresh_start").alias("n"))
+    assert [tuple(r) for r in found.collect()] == [("A", 3)]
     assert ops.refresh_history(audit).first().target == "A"

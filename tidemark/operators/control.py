@@ -226,9 +226,9 @@ def refresh_history(audit: DataFrame) -> DataFrame:
 
 def unexpected_full(audit: DataFrame) -> DataFrame:
     """FULL refreshes after the first run of a target: the incremental path was lost."""
-    nth = F.row_number().over(Window.partitionBy("target").orderBy("refresh_start"))
-    return (audit.withColumn("run", nth)
-            .filter((F.col("refresh_action") == "FULL") & (F.col("run") > 1)))
+    first = audit.groupBy("target").agg(F.min("refresh_start").alias("first_start"))
+    return (audit.filter(F.col("refresh_action") == "FULL").join(first, "target")
+            .filter(F.col("refresh_start") > F.col("first_start")))
 
 
 def capture_health(fresh: DataFrame, validation: DataFrame, reload: DataFrame, drift: DataFrame,

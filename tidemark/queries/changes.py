@@ -226,7 +226,7 @@ def delete_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rewrite_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A copy in other files and another order is no change."""
     orders = orders_after(spark, sf_dir)
-    rewritten = orders.repartition(5, "o_custkey")
+    rewritten = orders.repartition("o_orderkey")
     return ops.snapshot_diff(orders, rewritten, _KEY).agg(F.count("*").alias("events"))
 
 

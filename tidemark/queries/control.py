@@ -393,7 +393,7 @@ WITH loads AS (
          CASE WHEN count(*) > 70 THEN 'FULL' ELSE 'INCREMENTAL' END AS refresh_action
   FROM events GROUP BY 1, 2),
 runs AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY day) AS run FROM loads)
-SELECT target, CAST(day AS VARCHAR) AS day, CAST(run AS BIGINT) AS run FROM runs
+SELECT target, CAST(day AS VARCHAR) AS day FROM runs
 WHERE refresh_action = 'FULL' AND run > 1
 """)
 def unexpected_full(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -404,8 +404,7 @@ def unexpected_full(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(F.when(F.count("*") > 70, "FULL").otherwise("INCREMENTAL")
                   .alias("refresh_action"))
              .withColumn("refresh_start", F.col("day").cast("timestamp")))
-    return ops.unexpected_full(audit).select(
-        "target", F.col("day").cast("string").alias("day"), F.col("run").cast("bigint").alias("run"))
+    return ops.unexpected_full(audit).select("target", F.col("day").cast("string").alias("day"))
 
 
 @query("""

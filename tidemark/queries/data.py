@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import sortable_text
@@ -151,6 +153,17 @@ flagged AS (
   FROM customer)"""
 
 
+# -- landed files -------------------------------------------------------------------------
+
+def land_clustered(spark: SparkSession, df: DataFrame, by: Sequence[Column | str],
+                   purpose: str) -> tuple[str, int]:
+    """Write as a source clustered by range; the path, and a third of its file count."""
+    files = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = work_dir(spark, purpose)
+    df.repartitionByRange(files, *by).write.parquet(path)
+    return path, -(-files // 3)
+
+
 # -- stores ------------------------------------------------------------------------------
 
 def new_store(spark: SparkSession, purpose: str, rows: DataFrame) -> SnapshotStore:

@@ -2,13 +2,13 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.fixed import OPERATION, TIMESTAMP
+from tidemark.fixed import OPERATION, PRUNE_PARTIAL, TIMESTAMP
 from tidemark.operators import bronze, findings, signals as ops
 from tidemark.operators.profile import profile_object, union_all
 from tidemark.plans.readiness import assess, assess_frames
 from tidemark.queries.data import (
     EVENTS_SQL, FLOW, LOAD_TYPE, SORTABLE_SQL, at, events_bronze, events_custom, events_standard,
-    table, AS_OF,
+    land_clustered, table, AS_OF,
 )
 from tidemark.queries.registry import query
 from tidemark.sources import ControlTables, work_dir
@@ -185,20 +185,17 @@ def load_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phased.groupBy("load_phase", "event_type").agg(F.count("*").alias("n_rows"))
 
 
-def _landed_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written as a source clustered by write time: one file per day."""
-    path = work_dir(spark, "by-day")
-    (events_custom(spark, sf_dir).withColumn("day", F.to_date("ZZLASTCHGDATE"))
-     .repartition("day").write.partitionBy("day").parquet(path))
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a source whose files are clustered by write time."""
+    path, _ = land_clustered(spark, events_custom(spark, sf_dir), ["ZZLASTCHGDATE", "event_id"],
+                             "clustered")
     return spark.read.parquet(path)
 
 
-@query("""
-SELECT count(DISTINCT CAST(ts AS DATE)) AS files_total, 1 AS files_touched FROM events
-""")
+@query("SELECT 1 AS files_touched, true AS prunes FROM events HAVING count(*) > 0")
 def file_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pruned = ops.pruning_ratio(_landed_by_day(spark, sf_dir), "ZZLASTCHGDATE")
-    return pruned.select("files_total", "files_touched")
+    pruned = ops.pruning_ratio(_clustered(spark, sf_dir), "ZZLASTCHGDATE")
+    return pruned.select("files_touched", (F.col("ratio") < PRUNE_PARTIAL).alias("prunes"))
 
 
 @query("SELECT 1 AS files_total, 1 AS files_touched, CAST(1 AS DOUBLE) AS ratio, 'FAIL' AS status")
@@ -207,13 +204,11 @@ def file_pruning_unclustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pruned.select("files_total", "files_touched", "ratio", "status")
 
 
-@query("""
-SELECT 1 AS files, count(DISTINCT CAST(ts AS DATE)) AS baseline_files, true AS dropped FROM events
-""")
+@query("SELECT 1 AS files, true AS dropped FROM events HAVING count(*) > 0")
 def file_count_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clustered copy is the baseline; the given table is the compacted one."""
-    baseline = len(_landed_by_day(spark, sf_dir).inputFiles())
-    return ops.file_count_drop(events_custom(spark, sf_dir), baseline)
+    baseline = len(_clustered(spark, sf_dir).inputFiles())
+    return ops.file_count_drop(events_custom(spark, sf_dir), baseline).drop("baseline_files")
 
 
 @query(f"""
@@ -243,11 +238,22 @@ def signal_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings.signal_findings(profile)
 
 
-@query("""
-SELECT * FROM (VALUES
-  ('signal.watermark', 'WARN'), ('signal.standard', 'PASS'), ('semantics.trustworthy', 'PASS'),
-  ('semantics.load_type', 'PASS'), ('cost.poll', 'PASS'), ('signal.merge_or_reload', 'WARN'),
-  ('cost.pruning', 'FAIL')) AS t("check", status)
+@query(f"""
+WITH {EVENTS_SQL},
+days AS (SELECT count(*) AS n FROM std GROUP BY CAST(ts AS DATE))
+SELECT 'signal.watermark' AS "check", 'WARN' AS status
+UNION ALL SELECT 'signal.standard', 'PASS'
+UNION ALL SELECT 'semantics.trustworthy',
+  CASE WHEN count(DISTINCT op) <= 12 AND max(length(op)) <= 2 AND count(*) FILTER (WHERE op = stamp) = 0
+       THEN 'PASS' ELSE 'FAIL' END FROM std
+UNION ALL SELECT 'semantics.load_type',
+  CASE WHEN bool_and(load_type = 'initial') THEN 'WARN' ELSE 'PASS' END FROM std
+UNION ALL SELECT 'cost.poll',
+  CASE WHEN max(stamp) = strftime(max(ts), '%Y-%m-%dT%H:%M:%S,%f') || '0Z'
+       THEN 'PASS' ELSE 'FAIL' END FROM std
+UNION ALL SELECT 'signal.merge_or_reload',
+  CASE WHEN count(*) > 1 AND max(n) / sum(n) > 0.98 THEN 'PASS' ELSE 'WARN' END FROM days
+UNION ALL SELECT 'cost.pruning', 'FAIL'
 """)
 def readiness_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = {"EVENTS": events_standard(spark, sf_dir), "CHANGES": events_custom(spark, sf_dir),
@@ -263,7 +269,7 @@ def readiness_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tracks over landed files, and one source that cannot be read."""
     root = work_dir(spark, "share")
     events_standard(spark, sf_dir).write.parquet(f"{root}/events")
-    _landed_by_day(spark, sf_dir).write.parquet(f"{root}/changes")
-    found = assess(spark, {"EVENTS": f"{root}/events", "CHANGES": f"{root}/changes",
+    changes, _ = land_clustered(spark, events_custom(spark, sf_dir), ["ZZLASTCHGDATE"], "changes")
+    found = assess(spark, {"EVENTS": f"{root}/events", "CHANGES": changes,
                            "ABSENT": f"{root}/absent"})
     return findings.readiness_verdict(found)

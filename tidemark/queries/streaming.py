@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import changes
 from tidemark.queries.data import (
-    AS_OF, EVENTS_SQL, KEYS, LATEST_SQL, at, control_beside, events_rows, new_store, table,
+    AS_OF, EVENTS_SQL, KEYS, LATEST_SQL, at, control_beside, events_rows, land_clustered,
+    new_store, table,
 )
 from tidemark.queries.registry import query
 from tidemark.sources import SnapshotStore, work_dir
@@ -17,12 +18,11 @@ _COLUMNS = [*KEYS, "event_id", "value", _WM]
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of three files, newest events in the first."""
-    path = work_dir(spark, "landed")
+    """The events as files clustered by time, newest first, read in three batches."""
     rows = events_rows(spark, sf_dir).select(*_COLUMNS)
-    rows.repartitionByRange(3, F.desc(_WM)).sortWithinPartitions(_WM).write.parquet(path)
+    path, third = land_clustered(spark, rows, [F.desc(_WM), "event_id"], "landed")
     return (spark.readStream.schema(spark.read.parquet(path).schema)
-            .option("maxFilesPerTrigger", 1).parquet(path))
+            .option("maxFilesPerTrigger", third).parquet(path))
 
 
 def _upserted(spark: SparkSession, sf_dir: str) -> SnapshotStore:
@@ -72,11 +72,10 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, user_id, event_type FROM events")
 def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is delivered twice, the second time with a later stamp."""
-    path = work_dir(spark, "twice")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     again = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
-    events.unionByName(again).repartitionByRange(2, "ts").write.parquet(path)
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    path, third = land_clustered(spark, events.unionByName(again), ["ts", "event_id"], "twice")
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", third)
               .parquet(path))
     out = work_dir(spark, "once")
     once = ops.drop_redelivery(stream, ["event_id"], "ts", "60 days")
