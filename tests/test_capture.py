@@ -4,7 +4,7 @@ import pytest
 from compare import rows_of, connect
 from pyspark.sql import functions as F
 
-from tidemark.operators import control as ops, gold as golds
+from tidemark.operators import control as ops, gold as golds, silver
 from tidemark.plans.capture import Capture
 from tidemark.queries import ORACLES
 from tidemark.queries.control import _captured
@@ -90,6 +90,25 @@ def test_a_pure_delete_waits_for_the_backstop(custom):
     assert capture.drain("d", "2024-02-01 01:00:00") == {"T": 15}
 
 
+def test_added_files_alone_are_read_and_give_the_full_result(spark, custom, monkeypatch):
+    capture, _ = custom
+    obj = capture.spec.objects[0]
+    capture.cycle("2024-02-01 00:00:00")
+    late = spark.range(10, 30).select(
+        F.col("id").alias("k"), F.when(F.col("id") < 15, F.lit("2023-12-31"))
+        .otherwise(F.lit("2024-01-02")).cast("timestamp_ntz").alias("ZZLASTCHGDATE"))
+    late.write.mode("append").parquet(obj.source)
+    read = []
+    append = silver.append_silver
+    monkeypatch.setattr(silver, "append_silver", lambda store, target, rows, *a, **k: (
+        read.append(rows.count()), append(store, target, rows, *a, **k))[1])
+    assert capture.cycle("2024-02-01 00:15:00").actions == {"T": "INCREMENTAL"}
+    assert read == [20]
+    full = silver.incremental_equals_full(capture.store, "T", capture.silver_rows(obj), ["k"],
+                                          "ZZLASTCHGDATE").first()
+    assert full.equal and capture.store.read("T").count() == 30
+
+
 def test_an_unchanged_listing_is_not_scanned(custom, monkeypatch):
     capture, _ = custom
     capture.cycle("2024-02-01 00:00:00")
@@ -115,7 +134,7 @@ def test_a_failed_refresh_is_recorded_and_does_not_stop_others(spark, sf_dir, tm
     capture.register("2024-02-01 00:00:00")
     refresh = Capture.refresh
     monkeypatch.setattr(Capture, "refresh",
-                        lambda self, o: 1 / 0 if o.name == "A" else refresh(self, o))
+                        lambda self, o, *m: 1 / 0 if o.name == "A" else refresh(self, o, *m))
     result = capture.cycle("2024-02-01 00:00:00")
     assert result.statuses == {"A": "ERROR", "B": "REFRESHED"}
     states = {r.target: r.state for r in capture.control.read("refresh_audit").collect()}

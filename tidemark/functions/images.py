@@ -61,3 +61,11 @@ def same_image(before: str, after: str, columns: Sequence[str]) -> Column:
     for c in columns:
         same = same & F.col(before)[c].eqNullSafe(F.col(after)[c])
     return same
+
+
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "") -> Column:
+    """Equality of the keys of two frames, NULL equal to NULL."""
+    match = F.lit(True)
+    for k in keys:
+        match = match & left[k].eqNullSafe(right[prefix + k])
+    return match

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.fixed import LINEAGE
-from tidemark.functions import bucket_of, key_json, row_hash, same_image
+from tidemark.functions import bucket_of, key_json, null_safe, row_hash, same_image
 from tidemark.operators.silver import latest_per_key
 from tidemark.sources.control import ControlTables
 from tidemark.sources.readers import read_if_present
@@ -25,13 +25,6 @@ CHANGE_LOG = columns(
     "row_hash_after string, before_image string, after_image string, cdc_timestamp_text string")
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "") -> Column:
-    match = F.lit(True)
-    for k in keys:
-        match = match & left[k].eqNullSafe(right[prefix + k])
-    return match
-
-
 def _moved(prev: DataFrame, cur: DataFrame, keys: Sequence[str],
            exclude: Iterable[str]) -> tuple[DataFrame, list[str]]:
     """Rows before and after, as two structs, of every key whose image differs."""

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions import bucket_of, latest_of, minutes_between
-from tidemark.operators.changes import null_safe, snapshot_diff, stored_images
+from tidemark.functions import bucket_of, latest_of, minutes_between, null_safe
+from tidemark.operators.changes import snapshot_diff, stored_images
 from tidemark.operators.profile import union_all
 from tidemark.sources.snapshots import SnapshotStore
 

@@ -12,9 +12,9 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidemark.fixed import OPERATION, TIMESTAMP
-from tidemark.functions import bucket_of, fingerprint
+from tidemark.functions import bucket_of, fingerprint, null_safe
 from tidemark.functions.rules import Rule
-from tidemark.sources.snapshots import SnapshotStore
+from tidemark.sources.snapshots import Snapshot, SnapshotStore
 
 _VOLATILE = re.compile(
     r"\b(current_timestamp|current_date|current_time|localtimestamp|now|rand|randn|random|randstr|"
@@ -126,6 +126,49 @@ def refresh_silver(store: SnapshotStore, target: str, rows: DataFrame, keys: Seq
                          store.buckets if touched is None else len(touched), started, ended)
 
 
+def merge_rows(store: SnapshotStore, target: str, rows: DataFrame, keys: Sequence[str], wm: str,
+               nulls: str = "last", tiebreak: Sequence[str] = (),
+               token: str | None = None) -> Snapshot | None:
+    """Bring added rows into a Silver table; None when they change nothing. Runs jobs.
+
+    The result is what a refresh over all rows would give, as long as rows were
+    only added: the latest row of a key wins whatever the order of arrival. Only
+    keys that arrived are ranked; AQE broadcasts them when they measure small,
+    and then the held rows are not shuffled to be compared.
+    """
+    order = [F.col(c).desc_nulls_last() for c in tiebreak]
+    head = store.head(target)
+    if head is None:
+        return store.write(target, latest_per_key(rows, keys, wm, nulls, order), keys, None, token)
+    fresh = latest_per_key(rows, keys, wm, nulls, order).persist()
+    try:
+        bucket = bucket_of(fresh, keys, store.buckets).alias("bucket")
+        touched = {r.bucket for r in fresh.select(bucket).distinct().collect()}
+        if not touched:
+            return None
+        held = store.read(target, head, touched)
+        arrived = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys])
+        match = null_safe(held, arrived, keys, "__")
+        rivals = held.join(arrived, match, "left_semi")
+        won = latest_per_key(rivals.unionByName(fresh), keys, wm, nulls, order)
+        kept = held.join(arrived, match, "left_anti")
+        return store.write(target, kept.unionByName(won), keys, touched, token)
+    finally:
+        fresh.unpersist()
+
+
+def append_silver(store: SnapshotStore, target: str, rows: DataFrame, keys: Sequence[str],
+                  wm: str, nulls: str = "last", tiebreak: Sequence[str] = ()) -> RefreshResult:
+    """`merge_rows` as a refresh: for a source that only gained the given rows."""
+    started = datetime.now(timezone.utc)
+    held = store.head(target)
+    snapshot = merge_rows(store, target, rows, keys, wm, nulls, tiebreak)
+    written = 0 if snapshot is None else len(store.changed_buckets(held, snapshot))
+    return RefreshResult(target, "NO_DATA" if snapshot is None else snapshot.action,
+                         (snapshot or held).snapshot_id, written, started,
+                         datetime.now(timezone.utc))
+
+
 def _same_columns(held, fresh) -> bool:
     """True when equal; an added column asks for a full write; a lost one raises."""
     now = {f.name: f.dataType for f in fresh.fields}

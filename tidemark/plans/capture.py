@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -13,7 +14,9 @@ from tidemark.functions import ntz, parse_stamp
 from tidemark.operators import bronze, changes, control as ops, gold as golds, grain, signals, silver
 from tidemark.operators.profile import standard_signal, union_all
 from tidemark.sources.control import ControlTables
-from tidemark.sources.readers import listing_mark, newest_in, read_source, source_path
+from tidemark.sources.readers import (
+    added_files, listing_mark, newest_in, read_files, read_source, record_listing, source_path,
+)
 from tidemark.sources.snapshots import SnapshotStore
 from tidemark.spec import CaptureSpec, ObjectSpec, cdc_objects, silver_objects
 
@@ -47,15 +50,15 @@ class Capture:
     def source(self, obj: ObjectSpec) -> DataFrame:
         return read_source(self.spark, obj.source)
 
-    def bronze(self, obj: ObjectSpec) -> DataFrame:
-        df = self.source(obj)
+    def bronze(self, obj: ObjectSpec, source: DataFrame | None = None) -> DataFrame:
+        df = self.source(obj) if source is None else source
         if self.spec.track == "CUSTOM":
             return bronze.bronze_custom(df, self.spec.watermark)
         return bronze.bronze_standard(df, standard_signal(df.schema))
 
-    def silver_rows(self, obj: ObjectSpec) -> DataFrame:
+    def silver_rows(self, obj: ObjectSpec, source: DataFrame | None = None) -> DataFrame:
         """Bronze with lineage and flags, still before de-duplication."""
-        rows = silver.add_flags(silver.lineage(self.bronze(obj)), obj.flags)
+        rows = silver.add_flags(silver.lineage(self.bronze(obj, source)), obj.flags)
         silver.assert_deterministic(rows)
         return rows
 
@@ -94,10 +97,33 @@ class Capture:
             text = found if newest is None or (found and found > text) else text
         return ops.decide_poll(seen["last_watermark_text"], text), text, mark
 
-    def refresh(self, obj: ObjectSpec) -> silver.RefreshResult:
-        return silver.refresh_silver(
-            self.store, obj.name, self.silver_rows(obj), obj.keys, self._silver_watermark(),
-            tiebreak=obj.tiebreak)
+    def refresh(self, obj: ObjectSpec, last_mark: str | None = None,
+                mark: str | None = None) -> silver.RefreshResult:
+        """Bring Silver up to date. Where files were only added since `last_mark`, only they are read.
+
+        The listing is recorded before the source is opened: a file that lands in
+        between may be read twice, which changes nothing, but is never skipped.
+        """
+        added = self._added(obj, last_mark, mark) if mark is not None else None
+        if added == []:
+            return self._untouched(obj)
+        source, head = self.source(obj), self.store.head(obj.name)
+        rows, run = self.silver_rows(obj, source), silver.refresh_silver
+        if added and head and head.schema.names == rows.columns:
+            files = read_files(self.spark, obj.source, added, source.schema)
+            rows, run = self.silver_rows(obj, files), silver.append_silver
+        return run(self.store, obj.name, rows, obj.keys, self._silver_watermark(),
+                   tiebreak=obj.tiebreak)
+
+    def _added(self, obj: ObjectSpec, last_mark: str | None, mark: str) -> list[str] | None:
+        """Files added since the last refresh; None where that is unknown or files left."""
+        listing = record_listing(self.spark, source_path(obj.source), self._listing(obj, mark))
+        if last_mark is None or last_mark == mark:
+            return None
+        return added_files(self.spark.read.parquet(self._listing(obj, last_mark)), listing)
+
+    def _listing(self, obj: ObjectSpec, mark: str) -> str:
+        return f"{self.control.root}/listings/{obj.name}/{hashlib.sha256(mark.encode()).hexdigest()}"
 
     def _untouched(self, obj: ObjectSpec) -> silver.RefreshResult:
         now = datetime.now(timezone.utc)
@@ -136,7 +162,8 @@ class Capture:
                 try:
                     # The mark was taken by the last refresh: the same files hold the same rows.
                     same_files = due and mark is not None and mark == row["listing_mark"]
-                    done = self._untouched(obj) if same_files else self.refresh(obj)
+                    done = self._untouched(obj) if same_files else self.refresh(
+                        obj, row["listing_mark"], mark)
                     audit.append(done.audit_row(now))
                     result.actions[obj.name] = done.action
                     if due and done.action != "NO_DATA":

@@ -20,6 +20,13 @@ def read_source(spark: SparkSession, ref: str, schema: StructType | None = None,
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def read_files(spark: SparkSession, ref: str, files: list[str], schema: StructType) -> DataFrame:
+    """Some files of a source, with the columns of the whole."""
+    kind = ref.partition(":")[0]
+    return (spark.read.format(kind if kind in FORMATS else "parquet").schema(schema)
+            .option("basePath", source_path(ref)).load(files))
+
+
 def source_path(ref: str) -> str | None:
     """The path behind a source, or None for a catalogue table."""
     kind, _, rest = ref.partition(":")
@@ -51,6 +58,23 @@ def listing_mark(spark: SparkSession, path: str) -> str:
     return f"{row.files}|{row.bytes}|{row.newest}|{row.mark}"
 
 
+def record_listing(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """Write the listing to `out` and read it back, so that it can be compared later."""
+    file_listing(spark, path).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
+def added_files(before: DataFrame, after: DataFrame) -> list[str] | None:
+    """Files that one listing has more than another; None when any file left or changed.
+
+    The driver holds the names of files that landed in between, and no more.
+    """
+    file = ["path", "length", "modified"]
+    if before.join(after, file, "left_anti").limit(1).count():
+        return None
+    return [r.path for r in after.join(before, file, "left_anti").select("path").collect()]
+
+
 def newest_in(mark: str | None) -> str | None:
     """The newest modification time a listing mark was made from."""
     return mark.split("|")[2] if mark else None

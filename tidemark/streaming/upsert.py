@@ -11,44 +11,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.fixed import LINEAGE, STALE_DRAIN_DAYS
-from tidemark.functions import bucket_of, row_hash, row_image
-from tidemark.operators.changes import drain_changes, null_safe
-from tidemark.operators.silver import latest_per_key
+from tidemark.functions import row_hash, row_image
+from tidemark.operators.changes import drain_changes
+from tidemark.operators.silver import merge_rows
 from tidemark.sources.control import ControlTables
 from tidemark.sources.snapshots import Snapshot, SnapshotStore
 
 
 def merge_batch(store: SnapshotStore, obj: str, batch: DataFrame, keys: Sequence[str], wm: str,
                 token: str) -> Snapshot | None:
-    """Apply one micro-batch; the newest watermark wins whatever the arrival order. Runs jobs.
-
-    A row that is not newer than the held one changes nothing. A batch whose
-    token is committed already is skipped, so a replay has no effect. Only keys
-    that arrived are ranked; AQE broadcasts them when they measure small, and
-    then the held rows are not shuffled to be compared.
-    """
-    history = store.history(obj)
-    done = next((s for s in history if s.token == token), None)
-    if done is not None:
-        return done
-    if not history:
-        return store.write(obj, latest_per_key(batch, keys, wm), keys, None, token)
-    fresh = latest_per_key(batch, keys, wm).persist()
-    try:
-        bucket = bucket_of(fresh, keys, store.buckets).alias("bucket")
-        touched = {r.bucket for r in fresh.select(bucket).distinct().collect()}
-        if not touched:
-            return None
-        held = store.read(obj, history[-1], touched)
-        arrived = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys])
-        match = null_safe(held, arrived, keys, "__")
-        rivals = held.join(arrived, match, "left_semi").withColumn("__held", F.lit(True))
-        won = latest_per_key(rivals.unionByName(fresh.withColumn("__held", F.lit(False))), keys,
-                             wm, tiebreak=[F.desc("__held")]).drop("__held")
-        kept = held.join(arrived, match, "left_anti")
-        return store.write(obj, kept.unionByName(won), keys, touched, token)
-    finally:
-        fresh.unpersist()
+    """Apply one micro-batch once: a batch whose token is committed already is skipped."""
+    done = next((s for s in store.history(obj) if s.token == token), None)
+    return done or merge_rows(store, obj, batch, keys, wm, token=token)
 
 
 def stream_upsert(stream: DataFrame, store: SnapshotStore, obj: str, keys: Sequence[str], wm: str,
