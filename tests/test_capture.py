@@ -47,8 +47,8 @@ def test_assurance_health_and_drain(spark, run):
                        referential=held.spec.referential)
     capture = Capture(spark, spec, held.control.root, held.store.buckets)
     messages = capture.daily_assurance("2024-02-01 06:00:00")
-    assert messages == {"validate": "all 2 object(s) validated",
-                        "reconcile": "DIFFERENCE on 1 object(s)"}
+    assert messages == {"validate": "metadata of 2 object(s) usable",
+                        "reconcile": "row counts differ on 1 object(s)"}
     health = {r.object_name: r for r in capture.health("2024-02-01 07:00:00").collect()}
     assert health["EVENTS"].metadata_verdict == "USABLE"
     assert health["EVENTS"].reload_verdict == "MERGING"

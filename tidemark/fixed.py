@@ -25,6 +25,10 @@ MASKS = ("********", "***MASKED***")
 # Limits for trusting change metadata and for the readiness checks.
 MAX_OPERATIONS = 12
 MAX_OPERATION_LENGTH = 2
+FAULT_OPERATION = "operation column is not a change code"
+FAULT_TIMESTAMP = "timestamp column does not parse"
+FAULT_SAME_VALUE = "metadata columns hold the same value"
+FAULT_NO_HASH = "load type carries no flow hash"
 MERGE_SHARE = 0.98
 PRUNE_NEAR_COMPLETE = 0.02
 PRUNE_PARTIAL = 0.35

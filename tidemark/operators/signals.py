@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidemark.fixed import (
-    FILE_COUNT_RATIO, MAX_OPERATION_LENGTH, MAX_OPERATIONS, MERGE_SHARE, PRUNE_NEAR_COMPLETE,
+    FAULT_NO_HASH, FAULT_OPERATION, FAULT_SAME_VALUE, FAULT_TIMESTAMP, FILE_COUNT_RATIO, MAX_OPERATION_LENGTH, MAX_OPERATIONS, MERGE_SHARE, PRUNE_NEAR_COMPLETE,
     PRUNE_PARTIAL,
 )
 from tidemark.functions import parse_stamp
@@ -22,8 +22,8 @@ def validate_standard(df: DataFrame, op: str, ts: str, load_type: str | None = N
                       hash_suffixed: bool = True, require_hash: bool = False) -> DataFrame:
     """One row: is the operation column a change code and do the stamps parse?
 
-    EMPTY is its own verdict, so that UNUSABLE always means corrupt. With
-    `require_hash` a missing flow hash is a fault as well.
+    A table without rows is EMPTY, never UNUSABLE. With `require_hash` a missing
+    flow hash is a fault as well.
     """
     same = F.col(op) == F.col(ts)
     if load_type is not None:
@@ -37,10 +37,10 @@ def validate_standard(df: DataFrame, op: str, ts: str, load_type: str | None = N
     n = F.col("total_rows")
     faults = _faults(
         ((F.col("operation_card") > max_card) | (F.col("operation_max_len") > max_len),
-         "operation column is not a change code"),
-        ((n > 0) & (F.col("timestamps_parsed") == 0), "timestamp column does not parse"),
-        (F.col("degenerate_rows") > 0, "metadata columns hold the same value"),
-        (F.lit(require_hash and not hash_suffixed), "load type carries no flow hash"))
+         FAULT_OPERATION),
+        ((n > 0) & (F.col("timestamps_parsed") == 0), FAULT_TIMESTAMP),
+        (F.col("degenerate_rows") > 0, FAULT_SAME_VALUE),
+        (F.lit(require_hash and not hash_suffixed), FAULT_NO_HASH))
     return measured.select(
         "*", F.lit(hash_suffixed).alias("hash_suffix_seen"),
         F.round(F.try_divide("timestamps_parsed", n), 6).alias("parse_rate"),
@@ -114,7 +114,7 @@ def write_days(df: DataFrame, wm: str) -> DataFrame:
 
 
 def merge_or_reload(df: DataFrame, wm: str, threshold: float = MERGE_SHARE) -> DataFrame:
-    """One row: a source that merges keeps old stamps, one that reloads restamps every row."""
+    """One row: old write days with few rows since speak for merging, a single day for nothing."""
     days = write_days(df, wm)
     share = F.round(F.try_divide(F.max("n_rows"), F.sum("n_rows")), 6)
     return (days.agg(F.count("*").alias("write_days"), F.sum("n_rows").alias("n_rows"),

@@ -279,8 +279,8 @@ def capture_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 'reconcile' AS step, 'DIFFERENCE on 1 object(s)' AS message
-UNION ALL SELECT 'validate', 'all 2 object(s) validated'
+SELECT 'reconcile' AS step, 'row counts differ on 1 object(s)' AS message
+UNION ALL SELECT 'validate', 'metadata of 2 object(s) usable'
 """)
 def daily_assurance(spark: SparkSession, sf_dir: str) -> DataFrame:
     capture, _ = _captured(spark, sf_dir)
