@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+import threading
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
@@ -22,6 +23,9 @@ _VOLATILE = re.compile(
     re.IGNORECASE)
 
 
+_STDOUT = threading.Lock()  # objects are captured side by side, and there is one stdout
+
+
 class SchemaDrift(RuntimeError):
     """A stored column disappeared or changed its type."""
 
@@ -70,7 +74,7 @@ def add_flags(df: DataFrame, rules: dict[str, Rule]) -> DataFrame:
 def assert_deterministic(df: DataFrame) -> None:
     """Reject a definition that reads the clock or a random source."""
     shown = io.StringIO()
-    with contextlib.redirect_stdout(shown):
+    with _STDOUT, contextlib.redirect_stdout(shown):
         df.explain("extended")
     analysed = shown.getvalue().split("== Optimized Logical Plan ==")[0]
     found = _VOLATILE.search(analysed)

@@ -34,16 +34,27 @@ class CycleResult:
         return sum(s == "REFRESHED" for s in self.statuses.values())
 
 
+@dataclass(frozen=True)
+class _Outcome:
+    """What one object's turn in a cycle came to."""
+
+    status: str
+    action: str | None = None
+    state: dict = field(default_factory=dict)
+    audit: dict | None = None
+    error: str | None = None
+
+
 class Capture:
     """A spec bound to a folder that holds its control tables and snapshots."""
 
     def __init__(self, spark: SparkSession, spec: CaptureSpec, root: str, buckets: int = 256,
-                 polls_at_once: int = 8) -> None:
+                 at_once: int = 8) -> None:
         self.spark = spark
         self.spec = spec
         self.control = ControlTables(spark, root)
         self.store = SnapshotStore(spark, root, buckets)
-        self.polls_at_once = polls_at_once
+        self.at_once = at_once
 
     # -- frames ----------------------------------------------------------------
 
@@ -130,55 +141,53 @@ class Capture:
         return silver.RefreshResult(obj.name, "NO_DATA", self.store.head(obj.name).snapshot_id, 0,
                                     now, now)
 
+    def _capture_one(self, obj: ObjectSpec, seen: dict, now: datetime) -> _Outcome:
+        """Poll one object and refresh it if it moved or fell due; never raises."""
+        started = datetime.now(timezone.utc)
+        try:
+            status, text, mark = self.poll(obj, seen)
+        except Exception as error:
+            return _Outcome("ERROR", error=str(error))
+        due = status == "NO_CHANGE" and silver.refresh_due(
+            seen["last_run_started"], obj.lag_hours, now)
+        if status != "REFRESHED" and not due:
+            return _Outcome(status)
+        # The held mark was taken by the last refresh: the same files hold the same rows.
+        same_files = due and mark is not None and mark == seen["listing_mark"]
+        try:
+            done = self._untouched(obj) if same_files else self.refresh(
+                obj, seen["listing_mark"], mark)
+        except Exception as error:
+            failed = {"captured_at": now, "target": obj.name, "state": "FAILED",
+                      "state_message": str(error)[:500], "refresh_start": started,
+                      "refresh_end": datetime.now(timezone.utc)}
+            return _Outcome("ERROR", audit=failed, error=str(error))
+        if due and done.action != "NO_DATA":
+            status = "REFRESHED"
+        state = {"last_watermark_text": text, "last_run_started": now, "listing_mark": mark}
+        return _Outcome(status, done.action, state, done.audit_row(now))
+
     def cycle(self, as_of: str) -> CycleResult:
         """Poll every captured object, refresh what moved or fell due, then Gold, then the audit.
 
-        An object that fails is recorded as ERROR and does not stop the others.
+        Objects run side by side, so that small ones fill the gaps of large
+        ones. One that fails is recorded as ERROR and does not stop the others.
         """
-        result = CycleResult()
+        now = datetime.fromisoformat(as_of)
         state = {r.object_name: r.asDict() for r in self.control.read("registry").collect()}
         objects = [o for o in silver_objects(self.spec) if o.name in state]
-        now = datetime.fromisoformat(as_of)
-        audit: list[dict] = []
-
-        def try_poll(obj: ObjectSpec):
-            try:
-                return self.poll(obj, state[obj.name])
-            except Exception as error:
-                return "ERROR", str(error), None
-
-        with ThreadPoolExecutor(self.polls_at_once) as pool:
-            polls = dict(zip([o.name for o in objects], pool.map(try_poll, objects)))
-
-        for obj in objects:
-            status, text, mark = polls[obj.name]
-            row = state[obj.name]
-            if status == "ERROR":
-                result.errors[obj.name] = text
-            moved = status == "REFRESHED"
-            due = status == "NO_CHANGE" and silver.refresh_due(
-                row["last_run_started"], obj.lag_hours, now)
-            if moved or due:
-                try:
-                    # The mark was taken by the last refresh: the same files hold the same rows.
-                    same_files = due and mark is not None and mark == row["listing_mark"]
-                    done = self._untouched(obj) if same_files else self.refresh(
-                        obj, row["listing_mark"], mark)
-                    audit.append(done.audit_row(now))
-                    result.actions[obj.name] = done.action
-                    if due and done.action != "NO_DATA":
-                        status = "REFRESHED"
-                    row |= {"last_watermark_text": text, "last_run_started": now,
-                            "listing_mark": mark}
-                except Exception as error:
-                    status = "ERROR"
-                    result.errors[obj.name] = str(error)
-                    failed = datetime.now(timezone.utc)
-                    audit.append({"captured_at": now, "target": obj.name, "state": "FAILED",
-                                  "state_message": str(error)[:500], "refresh_start": failed,
-                                  "refresh_end": failed})
-            row |= {"last_run_status": status, "updated_at": now}
-            result.statuses[obj.name] = status
+        with ThreadPoolExecutor(self.at_once) as pool:
+            outcomes = list(pool.map(lambda o: self._capture_one(o, state[o.name], now), objects))
+
+        result = CycleResult()
+        for obj, outcome in zip(objects, outcomes):
+            state[obj.name] |= {**outcome.state, "last_run_status": outcome.status,
+                                "updated_at": now}
+            result.statuses[obj.name] = outcome.status
+            if outcome.action:
+                result.actions[obj.name] = outcome.action
+            if outcome.error:
+                result.errors[obj.name] = outcome.error
 
         for g in self.spec.gold:
             if all(self.store.head(name) for name in g.inputs):
@@ -186,6 +195,7 @@ class Capture:
         registry = self.control.rows("registry", list(state.values())) \
             .withColumn("last_watermark", parse_stamp("last_watermark_text"))
         self.control.replace("registry", registry)
+        audit = [o.audit for o in outcomes if o.audit]
         if audit:
             self.control.append("refresh_audit", ops.unrecorded(
                 self.control.read("refresh_audit"), self.control.rows("refresh_audit", audit)))
