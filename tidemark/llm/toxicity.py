@@ -48,7 +48,7 @@ SPAN = 8
 #: Ratios above which a word counts as a mark of toxicity, for the features.
 MARKS = (0.5, 1.0, 2.0, 3.0)
 MAX_LABELLED = 200_000
-MAX_RUNS = 3_000_000
+MAX_RUNS = 250_000
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
 
@@ -119,15 +119,16 @@ def _shared_runs(batches):
 
 
 def _bounded(runs: DataFrame, limit: int) -> DataFrame:
-    """At most `limit` runs, those of the largest `n`."""
-    sizes = runs.groupBy(F.least("n", F.lit(1000)).alias("n")).count().orderBy(F.desc("n")).collect()
-    least, total = 1, 0
+    """The runs that occur often enough, over all classes, for at most `limit` distinct ones to be left."""
+    totals = runs.groupBy("run").agg(F.sum("n").alias("total"))
+    sizes = totals.groupBy(F.least("total", F.lit(10_000)).alias("total")).count().orderBy(F.desc("total")).collect()
+    least, kept = 1, 0
     for row in sizes:
-        total += row["count"]
-        if total > limit:
-            least = row["n"] + 1
+        kept += row["count"]
+        if kept > limit:
+            least = row["total"] + 1
             break
-    return runs.where(F.col("n") >= least)
+    return runs if least == 1 else runs.join(totals.where(F.col("total") >= least).select("run"), "run")
 
 
 def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -322,8 +323,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
         _features(spark.sparkContext.broadcast(model)), "x array<double>").collect()
     width = FEATURES + 1
     features = np.concatenate([np.zeros((0, width)), *(np.array(r["x"]).reshape(-1, width) for r in found)])
-    whole = counts.groupby(["class", "run"], as_index=False)["n"].sum()
-    final = Model.fit(whole, lower, base)
+    del model
+    final = Model.fit(counts, lower, base)
     if len(features):
         final.weights = logistic(features[:, :-1], features[:, -1])
     return final
