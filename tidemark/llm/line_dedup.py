@@ -9,13 +9,17 @@ are compared for equality only, and blank lines always stay.
 A line's variants are the line with one character deleted. Two lines that differ
 by a changed character have a variant in common with the same place deleted; of
 two that differ by one character more, the shorter is a variant of the longer.
-Both are hashed keys, joined by equality, and each key needs no more than its
-earliest line: groups are never expanded into pairs. The pair of a line and the
-earliest of its key is verified by edit distance on the texts.
-
-Only lines that can have a partner make variants: an edit leaves either the
-first or the second half of a line as it is, so a line none of whose halves (cut
-for its own length and for one less) occurs in another line has none.
+Variants and lines are hashed keys. A first join finds the keys that different
+lines share; a second one tells for these whether the places agree, and each key
+needs no more than its earliest line: groups are never expanded into pairs. The
+pair of a line and the earliest of its key is verified by edit distance on the
+texts.
+
+Only lines that can have a partner make variants, and only in the half that can
+have the edit: an edit leaves either the first or the second half of a line as it
+is, so a line none of whose halves (cut for its own length and for one less)
+occurs in another line has no partner, and one whose first half does has its edit
+in the second.
 
 Nulls: a null text has no lines and stays null; null ids come last. Rows equal in
 id and text are one document and keep the same lines. `dedup` keeps other columns
@@ -99,7 +103,7 @@ def _line_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         "check": pa.array(W.range_hash(_values(lines.points, 2), starts, ends).view(np.int64)),
         "doc_id": batch.column("doc_id").take(pa.array(rows)),
         "row": batch.column("row").take(pa.array(rows)),
-        "number": pa.array(lines.numbers[at].astype(np.int32)),
+        "number": pa.array(lines.numbers[at].astype(np.int32)), "odd": pa.array(odd),
         "halves": W.list_column(keys[near].ravel(), first)})
 
 
@@ -115,34 +119,34 @@ def _picked(batch: pa.RecordBatch) -> pa.RecordBatch:
                                        "text": pa.array(out["text"], pa.string())})
 
 
-#: What a key says of its line: it has the variant with this place deleted, has the variant, is the variant.
-CHANGED, LONGER, WHOLE = 0, 1, 2
+#: What a key says of its line: it has the variant, or is the variant.
+LONGER, WHOLE = 0, 1
 
 
 def _variants(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Keys of a line and of its variants."""
+    """Keys of a line and of its variants, with the place that is deleted."""
     texts = pc.fill_null(batch.column("text"), "")
     raw, _ = W.column_bytes(texts)
     points = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
     n = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
     starts = np.r_[0, np.cumsum(n)]
     values = _values(points)
-    power, inverse = W._power_tables(len(values) + 1)
-    total = np.r_[_U(0), np.cumsum(values * power[:len(values)])]
-    owner = np.repeat(np.arange(len(n)), n)
-    at = np.arange(len(values))
-    a, e = starts[owner], starts[owner + 1]
-    before = (total[at] - total[a]) * inverse[a]
-    after = (total[e] - total[at + 1]) * inverse[at + 1]
-    bare = W.mix(before + after * power[at - a] + (n[owner] - 1).astype(np.uint64))
-    changed = W.mix(bare + W.mix((at - a).astype(np.uint64) + _U(9)))
+    front = batch.column("front").to_numpy(zero_copy_only=False)
+    back = batch.column("back").to_numpy(zero_copy_only=False)
+    # The edit lies before the shared second half, or from the shared first half on.
+    low, high = np.where(front, 0, (n - 1) // 2), np.where(back, n, n - n // 2)
+    size = np.maximum(high - low, 0)
+    owner = np.repeat(np.arange(len(n)), size)
+    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + low[owner]
+    at = starts[owner] + place
+    bare = W.range_hash_without(values, starts[owner], starts[owner + 1], at)
     whole = W.range_hash(values, starts[:-1], starts[1:])
     lines = batch.column("line").to_numpy()
     return pa.RecordBatch.from_pydict({
-        "key": pa.array(np.r_[changed, bare, whole].view(np.int64)),
-        "role": pa.array(np.r_[np.full(len(at), CHANGED, np.int8), np.full(len(at), LONGER, np.int8),
-                               np.full(len(n), WHOLE, np.int8)]),
-        "line": pa.array(np.r_[lines[owner], lines[owner], lines])})
+        "key": pa.array(np.r_[bare, whole].view(np.int64)),
+        "role": pa.array(np.r_[np.full(len(at), LONGER, np.int8), np.full(len(n), WHOLE, np.int8)]),
+        "place": pa.array(np.r_[place, np.full(len(n), -1)].astype(np.int32)),
+        "line": pa.array(np.r_[lines[owner], lines])})
 
 
 def within_one_edit(a: str, b: str) -> bool:
@@ -164,10 +168,13 @@ def _verified(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def _near_lines(steps: Steps, docs: DataFrame, unique: DataFrame) -> DataFrame:
     """Hashes of the lines that are near an earlier one."""
-    halves = unique.select("line", "check", F.explode("halves").alias("half"))
+    halves = unique.select("line", "odd", F.posexplode("halves").alias("which", "half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    found = halves.join(shared, "half", "left_semi").select("line", "check").distinct()
-    survivors = steps.keep(unique.drop("halves").join(found, ["line", "check"], "left_semi"))
+    # Halves are a first half, a second half, and a first one again if its hash is not inverted.
+    second = (F.col("which") == 1) | (F.col("which") == 2) & F.col("odd")
+    found = (halves.withColumn("second", second).select("line", "half", "second").join(shared, "half", "left_semi")
+             .groupBy("line").agg(F.max("second").alias("front"), F.max(~F.col("second")).alias("back")))
+    survivors = steps.keep(unique.drop("halves", "odd").join(found, "line"))
     wanted = steps.keep(survivors.groupBy("place.doc_id", "place.row").agg(
         F.collect_list(F.struct("line", "place.number")).alias("wanted")))
     wanted = wanted.select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"), "wanted")
@@ -175,20 +182,24 @@ def _near_lines(steps: Steps, docs: DataFrame, unique: DataFrame) -> DataFrame:
         sent_if_small(wanted, SENDABLE_ROWS), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row")))
     texts = steps.keep(texts.select("text", "wanted").mapInArrow(
         W.per_slice("text", _picked), "line long, text string").dropDuplicates(["line"])
-        .join(survivors.select("line", "place"), "line"))
-    # A line's order is its place; the earliest of a key is the least of the lines' places.
-    variants = (texts.select("line", "text").mapInArrow(W.per_slice("text", _variants, 200_000),
-                                                        "key long, role byte, line long")
-                .join(sent_if_small(survivors.select("line", "place"), SENDABLE_ROWS), "line"))
-    first = lambda role: F.min(F.when(F.col("role") == role, F.struct("place", "line")))
-    keys = steps.keep(variants.groupBy("key").agg(
-        first(CHANGED).alias("changed"), first(LONGER).alias("longer"), first(WHOLE).alias("whole"),
-        F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").drop("low", "high"))
-    met = variants.join(sent_if_small(keys, SENDABLE_ROWS), "key")
-    partner = (F.when(F.col("role") == CHANGED, F.col("changed"))
-               .when(F.col("role") == LONGER, F.col("whole")).otherwise(F.col("longer")))
-    pairs = steps.keep(met.select(F.col("line").alias("later"), "place", partner.alias("first"))
-                       .where(F.col("first.place") < F.col("place"))
+        .join(survivors.select("line", "front", "back", F.col("place").alias("order")), "line"))
+    variants = texts.select("line", "text", "front", "back").mapInArrow(
+        W.per_slice("text", _variants, 200_000), "key long, role byte, place int, line long")
+    met = steps.keep(variants.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high"))
+                     .where("low <> high").select("key"))
+    # The order of a line is its place among all; the earliest of a group is the least.
+    order = texts.select("line", "order")
+    shown = steps.keep(variants.join(sent_if_small(met, SENDABLE_ROWS), "key").join(order, "line"))
+    least = F.min(F.struct("order", "line")).alias("first")
+    changed = shown.where(F.col("role") == LONGER).groupBy("key", "place").agg(least)
+    changed = shown.where(F.col("role") == LONGER).join(changed, ["key", "place"])
+    longer = shown.where(F.col("role") == WHOLE).join(
+        shown.where(F.col("role") == LONGER).groupBy("key").agg(least), "key")
+    whole = shown.where(F.col("role") == LONGER).join(
+        shown.where(F.col("role") == WHOLE).groupBy("key").agg(least), "key")
+    columns = (F.col("line").alias("later"), "order", "first")
+    pairs = steps.keep(changed.select(*columns).unionByName(longer.select(*columns)).unionByName(whole.select(*columns))
+                       .where(F.col("first.order") < F.col("order"))
                        .select("later", F.col("first.line").alias("earlier")).distinct())
     text = texts.select("line", "text")
     both = (pairs.join(text.select(F.col("line").alias("later"), F.col("text").alias("x")), "later")
@@ -226,9 +237,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     keyed = plain.select("doc_id", "text").withColumn("row", F.xxhash64("text"))
     place = F.struct(F.isnull("doc_id").alias("without"), "doc_id", "row", "number")
     unique = steps.keep(
-        keyed.mapInArrow(W.per_slice("text", _line_rows),
-                         f"line long, check long, doc_id {kind}, row long, number int, halves array<long>")
-        .groupBy("line", "check").agg(F.min(place).alias("place"), F.first("halves").alias("halves")))
+        keyed.mapInArrow(W.per_slice("text", _line_rows, 1_000_000),
+                         f"line long, check long, doc_id {kind}, row long, number int, odd boolean, halves array<long>")
+        .groupBy("line", "check").agg(F.min(place).alias("place"), F.first("halves").alias("halves"),
+             F.first("odd").alias("odd")))
     near = steps.keep(_near_lines(steps, keyed, unique))
     kept = (unique.join(near, "line", "left_anti").groupBy("place.doc_id", "place.row")
             .agg(F.collect_list("place.number").alias("kept")))

@@ -65,6 +65,15 @@ def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def range_hash_without(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, left_out: np.ndarray) -> np.ndarray:
+    """The hash that values[start:end] would have without the element at `left_out`."""
+    power, inverse = _power_tables(len(values) + 1)
+    total = np.r_[_U(0), np.cumsum(values * power[:len(values)])]
+    before = (total[left_out] - total[starts]) * inverse[starts]
+    after = (total[ends] - total[left_out + 1]) * inverse[left_out + 1]
+    return mix(before + after * power[left_out - starts] + (ends - starts - 1).astype(np.uint64))
+
+
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the place where each row starts; null is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
