@@ -14,11 +14,12 @@ Documents with the same elements are one class from the start and take part
 once. The kept darts are joined in bands of `ROWS`; of documents at a similarity
 of 0.8, one pair in 10**4 shares no band, of those at 0.9 one in 10**13. A bucket
 of documents that share a band gives no pairs of all with all: each is compared
-with a leader, by its exact elements. Documents of one bucket that are then
-still in different components are compared with further leaders, until the
-pairs left over are fewer than the rows of their buckets, and those are compared
-one by one. So no candidate is dropped, and a group of near copies costs
-about its size.
+with a leader, by its exact elements. What the links with leaders leave in
+several components is compared in blocks of a bucket, as a product of matrices
+of the exact elements, which gives no more than the links that connect
+components. So no candidate is dropped, and what is written for a group of near
+copies is about its size. A bucket of n documents meets in tasks of at most two
+blocks of `BLOCK` documents.
 
 A class is a component of the links of at least `SIMILAR`; its id is the least
 doc_id in it. A text without words is like texts of the same characters only.
@@ -32,10 +33,11 @@ Each step is a table in the shared folder, so a lost executor costs its own part
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
@@ -46,6 +48,8 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS = 32
 ROWS = 6
+#: Documents of a bucket in a block.
+BLOCK = 1000
 
 #: Height of the lowest slab of rank, and of the highest; they double in between.
 LOWEST, HIGHEST = 1 / 64, 32.0
@@ -153,29 +157,94 @@ def _set_hash(values: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
     return W.range_hash(W.mix(values + _U(salt)), first[:-1], first[1:])
 
 
-def _linked(steps: Steps, pairs: DataFrame, docs: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
-    """The pairs (a, b) of nodes that are similar by their exact elements."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(
-        pairs.select(F.col("b").alias("node"))).distinct()
+def _element_sets(steps: Steps, docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, elements) of the nodes that are wanted."""
     chosen = steps.keep(nodes.join(wanted, "node", "left_semi").select(
         "node", F.col("doc_id").alias("of")))
     texts = docs.select("doc_id", "text").join(
         sent_if_small(chosen), F.col("doc_id").eqNullSafe(F.col("of"))).select("node", "text")
     # An id may have several texts; the node's is the one with its elements.
-    sets = steps.keep(texts.mapInArrow(W.per_slice("text", _sets), "node long, hash long, elements array<long>")
+    return steps.keep(texts.mapInArrow(W.per_slice("text", _sets), "node long, hash long, elements array<long>")
                       .where("hash = node").dropDuplicates(["node"]).drop("hash"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) of nodes that are similar by their exact elements."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
     shared = both.select("a", "b", (common / (F.size("x") + F.size("y") - common)).alias("j"))
-    return steps.keep(shared.where(F.col("j") >= similar).select("a", "b"))
-
-
-def _pairs(members: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Distinct pairs of a member and a leader of its bucket that lie in different components."""
-    other = leaders.select("key", F.col("node").alias("leader"), F.col("component").alias("theirs"))
-    return (members.join(other, "key").where("node <> leader and component <> theirs")
-            .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct())
+    return shared.where(F.col("j") >= similar).select("a", "b")
+
+
+def connecting(nodes: np.ndarray, component: np.ndarray, sets: list[np.ndarray], similar: float,
+               columns: int = 2048) -> list[tuple[int, int]]:
+    """Links of similar sets that connect all components which any such links connect."""
+    sizes = np.array([len(x) for x in sets])
+    values, where = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = np.bincount(where, minlength=len(values)) > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[where]
+    row, column = row[keep], number[where[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(shared.sum()), columns):
+        a, b = np.searchsorted(column, (start, start + columns))
+        part = np.zeros((len(sets), columns), np.float32)
+        part[row[a:b], column[a:b] - start] = 1
+        common += part @ part.T
+    total = sizes[:, None] + sizes[None, :] - common
+    near = np.triu(common >= similar * total - 1e-6, 1) & (component[:, None] != component[None, :])
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    out = []
+    for i, j in np.argwhere(near).tolist():
+        a, b = root(int(component[i])), root(int(component[j]))
+        exact = int(round(float(common[i, j])))
+        if a != b and exact / (int(sizes[i]) + int(sizes[j]) - exact) >= similar:
+            parent[a] = b
+            out.append((int(nodes[i]), int(nodes[j])))
+    return out
+
+
+def _blocks(similar: float):
+    """Links within each block group of sorted rows."""
+    def links(held: list[pa.RecordBatch]) -> list[tuple[int, int]]:
+        table = pa.Table.from_batches(held)
+        elements = [np.array(x, np.int64) for x in table.column("elements").to_pylist()]
+        return connecting(table.column("node").to_numpy(), table.column("component").to_numpy(), elements, similar)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        name = None
+        for batch in batches:
+            names = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], 1)
+            cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+            out = []
+            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(names)]):
+                if b <= a:
+                    continue
+                if name is not None and tuple(names[a]) != name:
+                    out += links(held)
+                    held = []
+                name = tuple(names[a])
+                held.append(batch.slice(a, b - a))
+            yield _pairs_batch(out)
+        if held:
+            yield _pairs_batch(links(held))
+    return run
+
+
+def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in pairs], pa.int64()),
+                                       "b": pa.array([b for _, b in pairs], pa.int64())})
 
 
 def classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -187,38 +256,28 @@ def classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows:
         _signed(bands, rows), f"doc_id {kind}, node long, bands array<long>"))
     nodes = steps.keep(signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
     banded = nodes.select("node", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = steps.keep(banded.join(shared, "key").withColumn("component", F.col("node")))
-    links, turn = None, 0
-    while True:
-        # Rows of buckets that still have several components, less those compared with all.
-        rest = members.agg(F.count("*").alias("n")).first()["n"]
-        if not rest:
-            break
-        inside = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-        left = inside.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        total = left.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs")).first()["pairs"]
-        every = total <= 2 * rest  # few enough to compare one by one
-        drawn = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
-        ranked = members.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(drawn, "node")))
-        leaders = members if every else steps.keep(ranked.where(F.col("rank") <= (1 << turn)).drop("rank"))
-        pairs = steps.keep(_pairs(members, leaders))
-        found = _linked(steps, pairs, docs, nodes, similar)
-        links = found if links is None else links.unionByName(found)
-        named = components(steps, links)
-        if every:
-            break
-        compared = leaders.select("key", "node")
-        renamed = (members.drop("component").join(compared, ["key", "node"], "left_anti")
-                   .join(named, "node", "left")
-                   .withColumn("component", F.coalesce("component", "node")))
-        several = renamed.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-        members = steps.keep(renamed.join(several, "key").select("node", "key", "component"))
-        turn += 1
-    if links is None:
-        return signed.groupBy("node").agg(F.min("doc_id").alias("class_id")).join(
-            signed.select("doc_id", "node"), "node").select("doc_id", "class_id")
+    shared = steps.keep(banded.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
+                        .where("n > 1").drop("n"))
+    members = steps.keep(banded.join(shared, "key").where("node <> leader"))
+    pairs = steps.keep(members.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _element_sets(steps, docs, nodes, wanted)
+    links = steps.keep(_linked(pairs, sets, similar))
+    named = components(steps, links)
+    # Members of a bucket in several components have not been compared with each other.
+    apart = members.join(named, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"))
+    several = apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                       F.count("*").alias("n")).where("low < high").select("key", "n")
+    cut = F.ceil(F.col("n") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (apart.join(several.withColumn("blocks", cut), "key").withColumn("mine", mine)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                     "node", "component"))
+    more = (dealt.join(sets, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(_blocks(similar), "a long, b long"))
+    named = components(steps, links.unionByName(steps.keep(more.distinct())))
     ids = (nodes.select("node", "doc_id").join(named, "node")
            .groupBy("component").agg(F.min("doc_id").alias("class_id")))
     named = steps.keep(named.join(ids, "component").select("node", F.col("class_id").alias("found")))
