@@ -29,6 +29,7 @@ are the share of toxic labels, or 0. Repeated documents are scored row by row.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -314,22 +315,39 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     (docs.select("text").mapInArrow(_shared_runs, "run long").distinct()
      .groupBy(F.col("run").bitwiseAND(_mask(SHARED)).alias("run")).agg(F.count("*").alias("n"))
      .write.parquet(f"{path}/shared"))
-    counts = _bounded(spark.read.parquet(f"{path}/class"), max_runs).toPandas()
-    lower = _bounded(spark.read.parquet(f"{path}/shared"), max_runs).toPandas()
-    model = Model.fit(counts[counts["kept_back"] == 0], lower, base)
+    counts = _bounded(spark.read.parquet(f"{path}/class"), max_runs)
+    lower = _bounded(spark.read.parquet(f"{path}/shared"), max_runs)
+    both = counts.select(F.lit(False).alias("shared"), "class", "kept_back", "run", "n").unionByName(
+        lower.select(F.lit(True).alias("shared"), F.lit(0).alias("class"), F.lit(0).alias("kept_back"), "run", "n"))
+    # Bounded by max_runs, so one task can hold them; the driver gets the two models.
+    fitted = both.repartition(1).mapInArrow(_fitting(base), "first binary, final binary").first()
+    model, final = pickle.loads(fitted["first"]), pickle.loads(fitted["final"])
     if len(shares) < 2:
         return model
     found = texts.where("kept_back = 1").select("text", "toxic").mapInArrow(
         _features(spark.sparkContext.broadcast(model)), "x array<double>").collect()
     width = FEATURES + 1
     features = np.concatenate([np.zeros((0, width)), *(np.array(r["x"]).reshape(-1, width) for r in found)])
-    del model
-    final = Model.fit(counts, lower, base)
     if len(features):
         final.weights = logistic(features[:, :-1], features[:, -1])
     return final
 
 
+def _fitting(base: float):
+    """Both models from all runs: without those of the documents kept back, and with them."""
+    def run(batches):
+        runs = pa.Table.from_batches(list(batches) or [_NO_RUNS]).to_pandas()
+        counts, lower = runs[~runs["shared"]], runs[runs["shared"]]
+        models = [pickle.dumps(Model.fit(x, lower, base)) for x in (counts[counts["kept_back"] == 0], counts)]
+        yield pa.RecordBatch.from_pydict({"first": pa.array(models[:1]), "final": pa.array(models[1:])})
+    return run
+
+
+_NO_RUNS = pa.RecordBatch.from_pydict(
+    {"shared": pa.array([], pa.bool_()), "class": pa.array([], pa.int32()), "kept_back": pa.array([], pa.int32()),
+     "run": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+
+
 def _features(model):
     """All features and labels of a slice in one array."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
