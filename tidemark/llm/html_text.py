@@ -181,20 +181,29 @@ def _anchors(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def kept(cut: list[tuple[str, bool]], repeated: list[int] | None) -> list[str]:
-    """The blocks that the repeated heads of the page do not cover."""
+    """The blocks that the repeated heads of the page do not cover.
+
+    A repeat reaches from its anchor over the head, on to the next anchor if that
+    is repeated too, and to an edge of the block if no other anchor lies between.
+    """
     texts = [t for t, _ in cut]
     if not repeated:
         return texts
     places, heads, first = _heads(texts)
-    covered = np.zeros(first[-1] + HEAD + 1, np.int64)
-    hit = np.sort(places[np.isin(heads.view(np.int64), repeated)])
-    # Between two repeated anchors no farther apart than anchors can be, all is repeated.
-    close = np.flatnonzero(np.diff(hit) <= SPACING)
-    ends = hit + HEAD
-    ends[close] = np.maximum(ends[close], hit[close + 1])
-    np.add.at(covered, hit, 1)
-    np.add.at(covered, ends, -1)
-    inside = np.r_[0, np.cumsum(np.cumsum(covered) > 0)]
+    hit = np.isin(heads.view(np.int64), repeated)
+    block = np.searchsorted(first, places, "right") - 1
+    changes = np.zeros(first[-1] + HEAD + 1, np.int64)
+    for i in np.flatnonzero(hit).tolist():
+        start, end = places[i], places[i] + HEAD
+        if i + 1 < len(places) and hit[i + 1]:
+            end = max(end, places[i + 1])
+        elif i + 1 == len(places) or block[i + 1] != block[i]:
+            end = max(end, min(first[block[i] + 1], end + SPACING))
+        if i == 0 or block[i - 1] != block[i]:
+            start = max(first[block[i]], start - SPACING)
+        changes[start] += 1
+        changes[end] -= 1
+    inside = np.r_[0, np.cumsum(np.cumsum(changes) > 0)]
     size = np.diff(first)
     share = (inside[first[1:]] - inside[first[:-1]]) / np.maximum(size, 1)
     return [t for t, s, n in zip(texts, share, size) if not n or s < COVERED]
