@@ -96,3 +96,8 @@ def test_catalogue_tables(spark):
         assert read_source(spark, "table:tidemark_sink").count() == 3
     finally:
         spark.sql("DROP TABLE tidemark_sink")
+
+
+def test_key_behind_the_sixth_column(rows):
+    df = rows([(1, 1, 1, 1, 1, 1, i) for i in range(9)], ", ".join(f"c{i} int" for i in range(7)))
+    assert ops.infer_key(df).first().key_parts == 7

@@ -45,11 +45,16 @@ def test_operation_mix_ranks_per_object(rows):
     mix = ops.operation_mix({"T": df, "U": df.filter("op <> 'D'")}, "op", top=2)
     assert {(r.object_name, r.operation, r.rank) for r in mix.collect()} == {
         ("T", "A", 1), ("T", "L", 2), ("U", "A", 1), ("U", "L", 2)}
-    assert not ops.operation_summary(mix).first().delete_code_seen
     whole = ops.operation_mix({"T": df}, "op")
     assert ops.operation_summary(whole).first().delete_code_seen
 
 
+def test_rare_delete_code_counts(rows):
+    df = rows([(f"X{i}",) for i in range(40) for _ in range(2)] + [("D",)], "op string")
+    found = ops.operation_summary(ops.operation_mix({"T": df}, "op")).first()
+    assert (found.operations, found.n_rows, found.delete_code_seen) == (41, 81, True)
+
+
 def test_load_types(rows):
     df = rows([("initial",), (None,)], "lt string")
     assert ops.load_type_verdict(ops.load_type_mix({"T": df}, "lt")).first().status == "WARN"

@@ -118,14 +118,14 @@ def key_drift(registry: DataFrame, baseline: DataFrame, snapshots: DataFrame) ->
             .withColumn("verdict", verdict).drop("__checked", "__recorded"))
 
 
-def poll_watermark(df: DataFrame, wm: str, newer_than: str | None = None) -> DataFrame:
+def poll_watermark(df: DataFrame, wm: str, newer_than: int | None = None) -> DataFrame:
     """One row: the greatest watermark. Reads one column and never parses it.
 
-    With `newer_than` only files modified since then are opened.
+    With `newer_than`, in microseconds since 1970, only files modified since then are opened.
     """
     if newer_than is not None:
         df = df.filter(F.col("_metadata.file_modification_time")
-                       >= F.lit(newer_than).cast("timestamp"))
+                       >= F.timestamp_micros(F.lit(newer_than)))
     return df.agg(F.max(wm).alias("watermark"))
 
 

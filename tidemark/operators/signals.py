@@ -60,15 +60,17 @@ def validate_custom(df: DataFrame, wm: str) -> DataFrame:
                     F.when(ok < n, missing).alias("faults")))
 
 
-def operation_mix(dfs: dict[str, DataFrame], op: str, top: int = 25) -> DataFrame:
-    """object_name, operation, n_rows: each object's `top` most frequent codes.
+def operation_mix(dfs: dict[str, DataFrame], op: str, top: int | None = None) -> DataFrame:
+    """object_name, operation, n_rows: each object's codes, or for display its `top` most frequent.
 
-    A corrupt column can hold as many codes as rows; only `top` of them per
-    task reach the ranking of an object.
+    A corrupt column can hold as many codes as rows; with `top`, only so many of
+    them per task reach the ranking of an object.
     """
     counted = union_all([
         df.groupBy(F.col(op).alias("operation")).agg(F.count("*").alias("n_rows"))
         .withColumn("object_name", F.lit(name)) for name, df in dfs.items()])
+    if top is None:
+        return counted.select("object_name", "operation", "n_rows")
     ranked = Window.partitionBy("object_name").orderBy(F.desc("n_rows"), F.asc("operation"))
     return (counted.withColumn("rank", F.row_number().over(ranked))
             .filter(F.col("rank") <= top)
@@ -76,7 +78,7 @@ def operation_mix(dfs: dict[str, DataFrame], op: str, top: int = 25) -> DataFram
 
 
 def operation_summary(mix: DataFrame) -> DataFrame:
-    """One row over all objects: whether any delete code was ever seen."""
+    """One row over all objects, from all their codes: whether any delete code was ever seen."""
     return mix.agg(
         F.count_distinct("object_name").alias("objects"),
         F.count_distinct("operation").alias("operations"),

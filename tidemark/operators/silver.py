@@ -73,9 +73,14 @@ def add_flags(df: DataFrame, rules: dict[str, Rule]) -> DataFrame:
 
 def assert_deterministic(df: DataFrame) -> None:
     """Reject a definition that reads the clock or a random source."""
-    shown = io.StringIO()
+    shown, limit = io.StringIO(), "spark.sql.debug.maxToStringFields"
     with _STDOUT, contextlib.redirect_stdout(shown):
-        df.explain("extended")
+        before = df.sparkSession.conf.get(limit)
+        df.sparkSession.conf.set(limit, str(2**31 - 1))  # else wide tables hide columns
+        try:
+            df.explain("extended")
+        finally:
+            df.sparkSession.conf.set(limit, before)
     analysed = shown.getvalue().split("== Optimized Logical Plan ==")[0]
     found = _VOLATILE.search(analysed)
     if found:

@@ -159,7 +159,7 @@ class Capture:
                 obj, seen["listing_mark"], mark)
         except Exception as error:
             failed = {"captured_at": now, "target": obj.name, "state": "FAILED",
-                      "state_message": str(error)[:500], "refresh_start": started,
+                      "state_message": str(error), "refresh_start": started,
                       "refresh_end": datetime.now(timezone.utc)}
             return _Outcome("ERROR", audit=failed, error=str(error))
         if due and done.action != "NO_DATA":
@@ -189,9 +189,6 @@ class Capture:
             if outcome.error:
                 result.errors[obj.name] = outcome.error
 
-        for g in self.spec.gold:
-            if all(self.store.head(name) for name in g.inputs):
-                result.actions[g.name] = golds.refresh_gold(self.store, g)
         registry = self.control.rows("registry", list(state.values())) \
             .withColumn("last_watermark", parse_stamp("last_watermark_text"))
         self.control.replace("registry", registry)
@@ -199,6 +196,13 @@ class Capture:
         if audit:
             self.control.append("refresh_audit", ops.unrecorded(
                 self.control.read("refresh_audit"), self.control.rows("refresh_audit", audit)))
+        for g in self.spec.gold:
+            if all(self.store.head(name) for name in g.inputs):
+                try:
+                    result.actions[g.name] = golds.refresh_gold(self.store, g)
+                except Exception as error:
+                    result.statuses[g.name] = "ERROR"
+                    result.errors[g.name] = str(error)
         return result
 
     def drain(self, drain_id: str, as_of: str) -> dict[str, int]:

@@ -110,21 +110,21 @@ ranked AS (
 """
 
 
-def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _mix(spark: SparkSession, sf_dir: str, top: int | None = None) -> DataFrame:
     frames = {"EVENTS": events_standard(spark, sf_dir), "CORRUPT": _corrupt(spark, sf_dir)}
-    return ops.operation_mix(frames, OPERATION, top=25)
+    return ops.operation_mix(frames, OPERATION, top)
 
 
 @query(_MIX_SQL + "SELECT object_name, operation, n_rows, rank FROM ranked WHERE rank <= 25")
 def operation_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mix(spark, sf_dir)
+    return _mix(spark, sf_dir, top=25)
 
 
 @query(_MIX_SQL + """
 SELECT count(DISTINCT object_name) AS objects, count(DISTINCT operation) AS operations,
        CAST(sum(n_rows) AS BIGINT) AS n_rows,
        bool_or(upper(operation) LIKE 'D%') AS delete_code_seen
-FROM ranked WHERE rank <= 25
+FROM ranked
 """)
 def operation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.operation_summary(_mix(spark, sf_dir))

@@ -51,8 +51,8 @@ def listing_mark(spark: SparkSession, path: str) -> str:
     """One text that changes whenever a file is added, removed or rewritten."""
     row = (file_listing(spark, path)
            .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"),
-                F.max("modified").cast("string").alias("newest"),
-                F.bit_xor(F.xxhash64("path", "length", F.col("modified").cast("string")))
+                F.max(F.unix_micros("modified")).alias("newest"),
+                F.bit_xor(F.xxhash64("path", "length", F.unix_micros("modified")))
                 .alias("mark"))
            .first())
     return f"{row.files}|{row.bytes}|{row.newest}|{row.mark}"
@@ -75,9 +75,10 @@ def added_files(before: DataFrame, after: DataFrame) -> list[str] | None:
     return [r.path for r in after.join(before, file, "left_anti").select("path").collect()]
 
 
-def newest_in(mark: str | None) -> str | None:
-    """The newest modification time a listing mark was made from."""
-    return mark.split("|")[2] if mark else None
+def newest_in(mark: str | None) -> int | None:
+    """The newest modification time a listing mark was made from, in microseconds: the same in every zone."""
+    newest = mark.split("|")[2] if mark else ""
+    return int(newest) if newest.isdigit() else None
 
 
 def read_if_present(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
