@@ -91,6 +91,32 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(0 <= r["score"] <= 1 for r in found.values())
 
 
+def test_toxicity_shared_counts_are_whole(spark):
+    rng = random.Random(5)
+    texts = [prose(rng, 30) for _ in range(20)]
+    ends = collections.defaultdict(set)  # runs of an order: the runs of one letter more that end in them
+    for word in {w for t in texts for w in words_of(t)}:
+        letters = bytes(toxicity.SHARED + 1) + word.encode() + b"\0"
+        for end in range(toxicity.SHARED + 1, len(letters)):
+            run = letters[end - toxicity.SHARED:end + 1]
+            for order in range(1, toxicity.SHARED + 1):
+                ends[order, run[-order:]].add(run[-order - 1:])
+    kinds = collections.defaultdict(list)
+    for (order, run), longer in ends.items():
+        kinds[order, run[:-1]].append(len(longer))
+    want = {(o, False, int.from_bytes(r, "big")): (len(x), 0) for (o, r), x in ends.items()}
+    want |= {(o, True, int.from_bytes(r, "big")): (sum(x), len(x)) for (o, r), x in kinds.items()}
+    shared = (spark.createDataFrame([(t,) for t in texts], "text string").mapInArrow(toxicity._shared_runs, "run long")
+              .distinct().groupBy(F.col("run").bitwiseAND(toxicity._mask(toxicity.SHARED)).alias("run"))
+              .agg(F.count("*").alias("n")))
+    lower = toxicity._lower_counts(shared)
+    assert {(r["order"], r["context"], r["run"]): (r["n"], r["kinds"]) for r in lower.collect()} == want
+    counts = shared.limit(3).selectExpr("run", "0 as class", "0 as kept_back", "n")
+    near = toxicity._wanted_counts(lower, counts).collect()
+    runs = {(o, r["run"] & toxicity._mask(o)) for r in counts.collect() for o in range(1, toxicity.SHARED + 1)}
+    assert {(r["order"], r["run"]) for r in near if not r["context"]} == runs
+
+
 def test_toxicity_without_labels_or_rows(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in toxicity.scores(docs, toxicity.fit(docs, none)).collect()} == {0.0}
@@ -99,7 +125,7 @@ def test_toxicity_without_labels_or_rows(spark, docs, empty):
 
 def test_kneser_ney_sums_to_one():
     counts = W.mix(np.arange(1, 50, dtype=np.uint64)) & np.uint64(0xFFFF)
-    level = toxicity._Level(counts, np.full(49, 3.0))
+    level = toxicity._Level.of(counts, np.full(49, 3.0))
     context = level.contexts[:1]
     runs = (context << np.uint64(8)) + np.arange(256, dtype=np.uint64)
     own, weight = level.share(runs)

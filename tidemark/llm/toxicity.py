@@ -15,11 +15,13 @@ word, and the means of what the words' ratios exceed each of `MARKS` by. A
 logistic regression turns these into the chance of the label; it is fitted on
 labelled documents held back from the counts, then the counts of these are added.
 
-What is bounded: labelled documents, at most `MAX_LABELLED` by hash order, for
-the class counts and the regression; and runs of letters in a model, at most
-`MAX_RUNS`, beyond which those of the least count are left to the backoff. The
-shared counts cover all documents. Models travel to the executors as arrays of
-that bounded size.
+What is bounded is the classifier: labelled documents, at most `MAX_LABELLED` by
+hash order, for the class counts and the regression; and the runs of letters of a
+class, at most `MAX_RUNS`, beyond which those of the least count are left to the
+backoff. The shared counts are tables over the words of all documents and grow
+with them; no count is left out. A ratio needs only the shared counts of the
+lower runs of its own letters, so these are joined to the runs of the classes,
+and models travel to the executors as arrays of that bounded size.
 
 Nulls: a null or empty text has no words and the score of a document without
 evidence. A null id has no label and is not held out. Labels that repeat count
@@ -49,7 +51,7 @@ SPAN = 8
 #: Ratios above which a word counts as a mark of toxicity, for the features.
 MARKS = (0.5, 1.0, 2.0, 3.0)
 MAX_LABELLED = 200_000
-MAX_RUNS = 250_000
+MAX_RUNS = 1_000_000
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
 
@@ -147,12 +149,27 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
+def _keys(rows: pd.DataFrame) -> np.ndarray:
+    return rows["run"].to_numpy(np.int64).view(np.uint64)
+
+
+@dataclass
 class _Level:
-    """Discounted counts of runs of one order: P(last letter | letters before) without the backoff."""
+    """Discounted counts of runs of one order: P(last letter | letters before) without the backoff.
+
+    `n` counts a run, `totals` and `kinds` the runs of a context, all or distinct; keys are sorted.
+    """
+
+    runs: np.ndarray
+    n: np.ndarray
+    contexts: np.ndarray
+    totals: np.ndarray
+    kinds: np.ndarray
 
-    def __init__(self, runs: np.ndarray, n: np.ndarray):
-        self.runs, self.n, _ = _sums(runs, n)
-        self.contexts, self.totals, self.kinds = _sums(self.runs >> _U(8), self.n)
+    @classmethod
+    def of(cls, runs: np.ndarray, n: np.ndarray) -> _Level:
+        runs, n, _ = _sums(runs, n)
+        return cls(runs, n, *_sums(runs >> _U(8), n))
 
     def share(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Own part of the probability of each run, and the weight of the backoff."""
@@ -184,14 +201,17 @@ class Model:
 
     @classmethod
     def fit(cls, counts: pd.DataFrame, shared: pd.DataFrame, base: float) -> Model:
-        lower = [_Level(shared["run"].to_numpy().view(np.uint64), shared["n"].to_numpy(float))]
-        for order in range(SHARED - 1, 0, -1):
-            runs = lower[-1].runs & _U(_mask(order))
-            lower.append(_Level(runs, np.ones(len(runs))))
+        def lower(order: int) -> _Level:
+            part = shared[shared["order"] == order].sort_values("run")
+            runs, contexts = part[~part["context"]], part[part["context"]]
+            return _Level(_keys(runs), runs["n"].to_numpy(float), _keys(contexts), contexts["n"].to_numpy(float),
+                          contexts["kinds"].to_numpy(float))
+
+        levels = {order: lower(order) for order in range(1, SHARED + 1)}
 
         def backoff(runs: np.ndarray) -> np.ndarray:
             p = np.full(len(runs), 1 / 256)
-            for order, level in zip(range(1, SHARED + 1), reversed(lower)):
+            for order, level in levels.items():
                 own, weight = level.share(runs & _U(_mask(order)))
                 p = own + weight * p
             return p
@@ -199,10 +219,9 @@ class Model:
         tops, lows = [], []
         for label in (1, 0):
             own = counts[counts["class"] == label]
-            runs = own["run"].to_numpy().view(np.uint64)
-            tops.append(_Level(runs, own["n"].to_numpy(float)))
+            tops.append(_Level.of(_keys(own), own["n"].to_numpy(float)))
             low = tops[-1].runs & _U(_mask(ORDER - 1))
-            lows.append(_Level(low, np.ones(len(low))))
+            lows.append(_Level.of(low, np.ones(len(low))))
 
         def low_chances(runs: np.ndarray) -> list[np.ndarray]:
             rest = backoff(runs & _U(_mask(SHARED)))
@@ -315,10 +334,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     (docs.select("text").mapInArrow(_shared_runs, "run long").distinct()
      .groupBy(F.col("run").bitwiseAND(_mask(SHARED)).alias("run")).agg(F.count("*").alias("n"))
      .write.parquet(f"{path}/shared"))
-    counts = _bounded(spark.read.parquet(f"{path}/class"), max_runs)
-    lower = _bounded(spark.read.parquet(f"{path}/shared"), max_runs)
-    both = counts.select(F.lit(False).alias("shared"), "class", "kept_back", "run", "n").unionByName(
-        lower.select(F.lit(True).alias("shared"), F.lit(0).alias("class"), F.lit(0).alias("kept_back"), "run", "n"))
+    _bounded(spark.read.parquet(f"{path}/class"), max_runs).write.parquet(f"{path}/counts")
+    counts = spark.read.parquet(f"{path}/counts")
+    _lower_counts(spark.read.parquet(f"{path}/shared")).write.parquet(f"{path}/lower")
+    lower = _wanted_counts(spark.read.parquet(f"{path}/lower"), counts)
+    both = counts.select(F.lit(0).alias("order"), F.lit(False).alias("context"), "class", "kept_back", "run", "n",
+                         F.lit(0).cast("long").alias("kinds")).unionByName(
+        lower.select("order", "context", F.lit(0).alias("class"), F.lit(0).alias("kept_back"), "run", "n", "kinds"))
     # Bounded by max_runs, so one task can hold them; the driver gets the two models.
     fitted = both.repartition(1).mapInArrow(_fitting(base), "first binary, final binary").first()
     model, final = pickle.loads(fitted["first"]), pickle.loads(fitted["final"])
@@ -333,19 +355,51 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     return final
 
 
+def _suffixes(longer: int) -> F.Column:
+    """(order, run) of the last letters of `run` for each shared order, `longer` letters more than it."""
+    top = SHARED - longer
+    return F.inline(F.array(*(F.struct(F.lit(order).alias("order"),
+                                       F.col("run").bitwiseAND(_mask(order + longer)).alias("run"))
+                              for order in range(1, top + 1))))
+
+
+def _lower_counts(shared: DataFrame) -> DataFrame:
+    """Counts of every shared order, and of its contexts, from those of the highest.
+
+    A run of a lower order counts the distinct runs of one letter more that end in it.
+    """
+    mask = F.expr("shiftleft(1L, 8 * order) - 1")
+    below = (shared.select(_suffixes(1)).distinct()
+             .groupBy("order", F.col("run").bitwiseAND(mask).alias("run")).agg(F.count("*").alias("n")))
+    runs = shared.select(F.lit(SHARED).alias("order"), "run", "n").unionByName(below)
+    contexts = (runs.groupBy("order", F.shiftright("run", 8).alias("run"))
+                .agg(F.sum("n").alias("n"), F.count("*").alias("kinds")))
+    return runs.select("order", F.lit(False).alias("context"), "run", "n", F.lit(0).cast("long").alias("kinds")
+                       ).unionByName(contexts.select("order", F.lit(True).alias("context"), "run", "n", "kinds"))
+
+
+def _wanted_counts(lower: DataFrame, counts: DataFrame) -> DataFrame:
+    """The shared counts that the runs of the classes back off to."""
+    runs = counts.select(_suffixes(0)).distinct()
+    contexts = runs.select("order", F.lit(True).alias("context"), F.shiftright("run", 8).alias("run")).distinct()
+    wanted = runs.select("order", F.lit(False).alias("context"), "run").unionByName(contexts)
+    return lower.join(wanted, ["order", "context", "run"], "left_semi")
+
+
 def _fitting(base: float):
     """Both models from all runs: without those of the documents kept back, and with them."""
     def run(batches):
         runs = pa.Table.from_batches(list(batches) or [_NO_RUNS]).to_pandas()
-        counts, lower = runs[~runs["shared"]], runs[runs["shared"]]
+        counts, lower = runs[runs["order"] == 0], runs[runs["order"] > 0]
         models = [pickle.dumps(Model.fit(x, lower, base)) for x in (counts[counts["kept_back"] == 0], counts)]
         yield pa.RecordBatch.from_pydict({"first": pa.array(models[:1]), "final": pa.array(models[1:])})
     return run
 
 
 _NO_RUNS = pa.RecordBatch.from_pydict(
-    {"shared": pa.array([], pa.bool_()), "class": pa.array([], pa.int32()), "kept_back": pa.array([], pa.int32()),
-     "run": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+    {"order": pa.array([], pa.int32()), "context": pa.array([], pa.bool_()), "class": pa.array([], pa.int32()),
+     "kept_back": pa.array([], pa.int32()), "run": pa.array([], pa.int64()), "n": pa.array([], pa.int64()),
+     "kinds": pa.array([], pa.int64())})
 
 
 def _features(model):
