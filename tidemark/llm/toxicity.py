@@ -51,7 +51,9 @@ SPAN = 8
 #: Ratios above which a word counts as a mark of toxicity, for the features.
 MARKS = (0.5, 1.0, 2.0, 3.0)
 MAX_LABELLED = 200_000
-MAX_RUNS = 1_000_000
+MAX_RUNS = 500_000
+#: Bytes of a model in a row of its table.
+PART = 4 << 20
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
 
@@ -341,18 +343,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     both = counts.select(F.lit(0).alias("order"), F.lit(False).alias("context"), "class", "kept_back", "run", "n",
                          F.lit(0).cast("long").alias("kinds")).unionByName(
         lower.select("order", "context", F.lit(0).alias("class"), F.lit(0).alias("kept_back"), "run", "n", "kinds"))
-    # Bounded by max_runs, so one task can hold them; the driver gets the two models.
-    fitted = both.repartition(1).mapInArrow(_fitting(base), "first binary, final binary").first()
-    model, final = pickle.loads(fitted["first"]), pickle.loads(fitted["final"])
-    if len(shares) < 2:
-        return model
-    found = texts.where("kept_back = 1").select("text", "toxic").mapInArrow(
-        _features(spark.sparkContext.broadcast(model)), "x array<double>").collect()
+    # Bounded by max_runs, so one task can hold them; the driver reads one model at a time, part by part.
+    both.repartition(1).mapInArrow(_fitting(base), "final boolean, part int, model binary").write.parquet(
+        f"{path}/models")
+    models = spark.read.parquet(f"{path}/models")
     width = FEATURES + 1
-    features = np.concatenate([np.zeros((0, width)), *(np.array(r["x"]).reshape(-1, width) for r in found)])
+    features = np.zeros((0, width))
+    if len(shares) == 2:
+        shared = spark.sparkContext.broadcast(_read(models.where("not final")))
+        found = texts.where("kept_back = 1").select("text", "toxic").mapInArrow(
+            _features(shared), "x binary").collect()
+        features = np.concatenate([features, *(np.frombuffer(r["x"]).reshape(-1, width) for r in found)])
+        shared.destroy()
+    model = _read(models.where("final"))
     if len(features):
-        final.weights = logistic(features[:, :-1], features[:, -1])
-    return final
+        model.weights = logistic(features[:, :-1], features[:, -1])
+    return model
+
+
+def _read(parts: DataFrame) -> Model:
+    return pickle.loads(b"".join(r["model"] for r in parts.select("part", "model").orderBy("part").toLocalIterator()))
 
 
 def _suffixes(longer: int) -> F.Column:
@@ -387,12 +397,15 @@ def _wanted_counts(lower: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def _fitting(base: float):
-    """Both models from all runs: without those of the documents kept back, and with them."""
+    """Parts of both models from all runs: without those of the documents kept back, and with them."""
     def run(batches):
         runs = pa.Table.from_batches(list(batches) or [_NO_RUNS]).to_pandas()
         counts, lower = runs[runs["order"] == 0], runs[runs["order"] > 0]
-        models = [pickle.dumps(Model.fit(x, lower, base)) for x in (counts[counts["kept_back"] == 0], counts)]
-        yield pa.RecordBatch.from_pydict({"first": pa.array(models[:1]), "final": pa.array(models[1:])})
+        for final in (False, True):
+            model = pickle.dumps(Model.fit(counts if final else counts[counts["kept_back"] == 0], lower, base))
+            for part, at in enumerate(range(0, len(model), PART)):
+                yield pa.RecordBatch.from_pydict({"final": pa.array([final]), "part": pa.array([part], pa.int32()),
+                                                  "model": pa.array([model[at:at + PART]], pa.binary())})
     return run
 
 
@@ -407,7 +420,7 @@ def _features(model):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = model.value.features(batch.column("text"))
         x = np.c_[x, batch.column("toxic").to_numpy(zero_copy_only=False)]
-        return pa.RecordBatch.from_pydict({"x": pa.array([x.ravel()], pa.list_(pa.float64()))})
+        return pa.RecordBatch.from_pydict({"x": pa.array([x.astype(np.float64).tobytes()], pa.binary())})
     return W.per_slice("text", work)
 
 
