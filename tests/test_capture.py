@@ -147,3 +147,27 @@ def test_gold_definitions_must_name_their_keys(run):
     gold = golds.GoldDef("G", ("a", "b"), {"EVENTS": ("user_id",)}, lambda i: i["EVENTS"])
     with pytest.raises(ValueError):
         golds.touched_keys(run[0].store, gold, {}, {"EVENTS": run[0].store.head("EVENTS").snapshot_id})
+
+
+def test_a_gold_table_that_fails_is_recorded_and_stops_no_other(spark, sf_dir, tmp_path):
+    from tidemark.queries.data import events_standard
+    events_standard(spark, sf_dir).write.parquet(str(tmp_path / "e"))
+    key = KEYS[0]
+
+    def gold(name, build):
+        return golds.GoldDef(name, (key,), {"T": (key,)}, lambda i: build(i["T"].groupBy(key)))
+
+    spec = CaptureSpec("STANDARD", (ObjectSpec("T", str(tmp_path / "e"), tuple(KEYS), "TRANSACTION"),),
+                       flow_hash=FLOW, gold=(
+        gold("BROKEN", lambda g: g.agg(F.raise_error(F.lit("broken")).alias("x"))),
+        gold("CLOCK", lambda g: g.agg(F.count("*").alias("n")).withColumn("at", F.current_timestamp())),
+        gold("GOOD", lambda g: g.agg(F.count("*").alias("n")))))
+    capture = Capture(spark, spec, str(tmp_path / "r"), 4)
+    capture.register("2024-02-01 00:00:00")
+    result = capture.cycle("2024-02-01 00:00:00")
+    assert result.actions == {"T": "FULL", "GOOD": "FULL"}
+    assert "not deterministic" in result.errors["CLOCK"]
+    states = {r.target: r.state for r in capture.control.read("refresh_audit").collect()}
+    assert states == {"T": "SUCCEEDED", "BROKEN": "FAILED", "CLOCK": "FAILED", "GOOD": "SUCCEEDED"}
+    assert capture.control.read("registry").first().last_run_status == "REFRESHED"
+    assert "GOOD" not in capture.cycle("2024-02-01 00:15:00").errors

@@ -257,6 +257,10 @@ def merge_snapshot(store: SnapshotStore, obj: str, feed: DataFrame, token: str |
                    wm: str | None = None, seq: str | None = None) -> Snapshot | None:
     """Apply a feed to a stored table, rewriting only the buckets its keys fall in. Runs jobs."""
     head = store.head(obj)
+    # Written first, so that the buckets and the rows come of one state of a source that moves.
+    path = f"{store.root}/feeds/{obj}"
+    feed.write.mode("overwrite").parquet(path)
+    feed = store.spark.read.schema(feed.schema).parquet(path)
     bucket = bucket_of(feed, head.keys, store.buckets)
     touched = {r.bucket for r in feed.select(bucket.alias("bucket")).distinct().collect()}
     if not touched:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions import bucket_of, latest_of, minutes_between, null_safe
 from tidemark.operators.changes import snapshot_diff, stored_images
 from tidemark.operators.profile import union_all
+from tidemark.operators.silver import assert_deterministic
 from tidemark.sources.snapshots import SnapshotStore
 
 
@@ -184,14 +185,16 @@ def refresh_gold(store: SnapshotStore, gold: GoldDef) -> str:
     an affected key is rebuilt from all of its rows and every other key is left.
     The Gold snapshot records which input snapshots it was built from, so a run
     that was cut short is caught up by the next. Returns FULL, INCREMENTAL or
-    NO_DATA.
+    NO_DATA. A definition that reads the clock or a random source is rejected.
     """
     heads = {name: store.head(name).snapshot_id for name in gold.inputs}
     inputs = {name: store.read(name, store.find(name, heads[name])) for name in gold.inputs}
     token = json.dumps(heads, sort_keys=True)
     held = store.head(gold.name)
     if held is None:
-        store.write(gold.name, gold.build(inputs), gold.keys, None, token)
+        built = gold.build(inputs)
+        assert_deterministic(built)
+        store.write(gold.name, built, gold.keys, None, token)
         return "FULL"
     if held.token == token:
         return "NO_DATA"
@@ -206,6 +209,7 @@ def refresh_gold(store: SnapshotStore, gold: GoldDef) -> str:
         return "NO_DATA"
     rebuilt = gold.build({name: _holding(df, gold.inputs[name], keys, gold.keys)
                           for name, df in inputs.items()})
+    assert_deterministic(rebuilt)
     kept = _holding(store.read(gold.name, held, buckets), gold.keys, keys, gold.keys, "left_anti")
     snapshot = store.write(gold.name, kept.unionByName(rebuilt), gold.keys, buckets, token)
     return "NO_DATA" if snapshot is None else snapshot.action

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -192,18 +192,33 @@ class Capture:
         registry = self.control.rows("registry", list(state.values())) \
             .withColumn("last_watermark", parse_stamp("last_watermark_text"))
         self.control.replace("registry", registry)
-        audit = [o.audit for o in outcomes if o.audit]
+        self._record([o.audit for o in outcomes if o.audit])
+        self._record([row for g in self.spec.gold if (row := self._gold_one(g, now, result))])
+        return result
+
+    def _gold_one(self, gold: golds.GoldDef, now: datetime, result: CycleResult) -> dict | None:
+        """Refresh one Gold table, never raising; its audit row unless its inputs had not moved."""
+        if not all(self.store.head(name) for name in gold.inputs):
+            return None
+        row = {"captured_at": now, "target": gold.name, "refresh_start": datetime.now(timezone.utc)}
+        try:
+            action = golds.refresh_gold(self.store, gold)
+        except Exception as error:
+            result.statuses[gold.name] = "ERROR"
+            result.errors[gold.name] = str(error)
+            return row | {"state": "FAILED", "state_message": str(error),
+                          "refresh_end": datetime.now(timezone.utc)}
+        result.actions[gold.name] = action
+        if action == "NO_DATA":
+            return None
+        end = datetime.now(timezone.utc)
+        return row | {"refresh_action": action, "state": "SUCCEEDED", "refresh_end": end,
+                      "duration_ms": int((end - row["refresh_start"]) / timedelta(milliseconds=1))}
+
+    def _record(self, audit: list[dict]) -> None:
         if audit:
             self.control.append("refresh_audit", ops.unrecorded(
                 self.control.read("refresh_audit"), self.control.rows("refresh_audit", audit)))
-        for g in self.spec.gold:
-            if all(self.store.head(name) for name in g.inputs):
-                try:
-                    result.actions[g.name] = golds.refresh_gold(self.store, g)
-                except Exception as error:
-                    result.statuses[g.name] = "ERROR"
-                    result.errors[g.name] = str(error)
-        return result
 
     def drain(self, drain_id: str, as_of: str) -> dict[str, int]:
         """Log the changes of every object with a change log since its last drain."""

@@ -238,6 +238,8 @@ def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT 'EVENTS' AS target, 'FULL' AS refresh_action, 'SUCCEEDED' AS state, 1 AS n
 UNION ALL SELECT 'EVENTS', 'INCREMENTAL', 'SUCCEEDED', 1
+UNION ALL SELECT 'ACTIVITY', 'FULL', 'SUCCEEDED', 1
+UNION ALL SELECT 'ACTIVITY', 'INCREMENTAL', 'SUCCEEDED', 1
 UNION ALL SELECT 'USERS', 'FULL', 'SUCCEEDED', 1
 """)
 def refresh_history(spark: SparkSession, sf_dir: str) -> DataFrame:
