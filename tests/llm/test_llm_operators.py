@@ -132,6 +132,54 @@ def test_kneser_ney_sums_to_one():
     assert own.sum() + weight[0] == pytest.approx(1)
 
 
+def test_toxicity_counts_are_whole(spark):
+    """Every run of the classes keeps its count: word ratios equal those of arrays over all runs."""
+    rows, labels = toxic_documents(80)
+    rows.append((82, "onceonlyvile", "en", "s", 0))  # one toxic run among more frequent ones
+    frame = spark.createDataFrame(rows, DOCS)
+    marked = spark.createDataFrame(labels + [(82, 1, 1)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(frame, marked)
+    used = {r["doc_id"] for r in marked.where(toxicity.remainder() != 2).select("doc_id").collect()}
+    toxic = {doc: t for doc, _, t in labels + [(82, 1, 1)]}
+    assert 82 in used
+    mask, u = toxicity._mask, np.uint64
+
+    def runs_of(word):
+        letters = bytes(toxicity.ORDER) + word.encode() + b"\0"
+        return np.array([int.from_bytes(letters[i - 7:i + 1], "big") for i in range(toxicity.ORDER, len(letters))], u)
+    tops, lows = [], []
+    for c in (0, 1):
+        runs = np.concatenate([runs_of(w) for r in rows if r[0] in used and toxic[r[0]] == c for w in words_of(r[1])])
+        tops.append(toxicity._Level.of(runs, np.ones(len(runs))))
+        low = tops[-1].runs & u(mask(toxicity.ORDER - 1))
+        lows.append(toxicity._Level.of(low, np.ones(len(low))))
+    shared = np.unique(np.concatenate([runs_of(w) for r in rows for w in words_of(r[1])]) & u(mask(7)))
+
+    def back(runs):
+        p = np.full(len(runs), 1 / 256)
+        for order in range(1, toxicity.SHARED + 1):
+            longer = np.unique(shared & u(mask(order + 1)))
+            own, weight = toxicity._Level.of(longer & u(mask(order)), np.ones(len(longer))).share(runs & u(mask(order)))
+            p = own + weight * p
+        return p
+
+    def ratio(word):
+        runs, chances = runs_of(word), []
+        for top, low in zip(tops, lows):
+            own, weight = low.share(runs & u(mask(7)))
+            p = own + weight * back(runs & u(mask(6)))
+            own, weight = top.share(runs)
+            chances.append(own + weight * p)
+        return float(np.log(chances[1] / chances[0]).sum())
+    words = sorted({w for r in rows for w in words_of(r[1])})
+    hashes = W.Words(pa.array(words)).hashes().view(np.int64).tolist()
+    got = {r["word"]: r["ratio"] for r in model.counts.word_ratios(Steps(spark, "test"), frame).collect()}
+    for word, h in zip(words, hashes):
+        assert got.get(h, 0.0) == pytest.approx(ratio(word), abs=1e-4), word
+    sent = {r["doc_id"]: r["score"] for r in toxicity.scores(frame, model).collect()}
+    assert {r["doc_id"]: r["score"] for r in toxicity.scores(frame, model, sent=0).collect()} == pytest.approx(sent)
+
+
 def brute_hits(text, items, window):
     found, hit, ids = words_of(text), set(), set()
     for item, item_text in items:

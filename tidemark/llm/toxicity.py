@@ -15,13 +15,12 @@ word, and the means of what the words' ratios exceed each of `MARKS` by. A
 logistic regression turns these into the chance of the label; it is fitted on
 labelled documents held back from the counts, then the counts of these are added.
 
-What is bounded is the classifier: labelled documents, at most `MAX_LABELLED` by
-hash order, for the class counts and the regression; and the runs of letters of a
-class, at most `MAX_RUNS`, beyond which those of the least count are left to the
-backoff. The shared counts are tables over the words of all documents and grow
-with them; no count is left out. A ratio needs only the shared counts of the
-lower runs of its own letters, so these are joined to the runs of the classes,
-and models travel to the executors as arrays of that bounded size.
+All counts, of classes and shared, are tables and grow with the input; none is left
+out. The distinct words of the documents are spelled, their runs joined with the
+counts, and the ratios of the runs summed by word. Word ratios that are not zero go to
+the executors as two arrays up to `SENT_WORDS`; beyond that each text gets those of its
+words by a join. Only the regression is bounded: it is fitted on at most `MAX_LABELLED`
+of the documents held back, by hash order.
 
 Nulls: a null or empty text has no words and the score of a document without
 evidence. A null id has no label and is not held out. Labels that repeat count
@@ -31,17 +30,16 @@ are the share of toxic labels, or 0. Repeated documents are scored row by row.
 
 from __future__ import annotations
 
-import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.sources import work_dir
+from tidemark.llm.graph import Steps, sent_if_small
 
 ORDER = 8
 #: Order up to which counts are shared by the classes.
@@ -51,9 +49,10 @@ SPAN = 8
 #: Ratios above which a word counts as a mark of toxicity, for the features.
 MARKS = (0.5, 1.0, 2.0, 3.0)
 MAX_LABELLED = 200_000
-MAX_RUNS = 500_000
-#: Bytes of a model in a row of its table.
-PART = 4 << 20
+#: Words with a ratio (12 bytes each) that are sent to every executor; more are joined to the texts.
+SENT_WORDS = 10_000_000
+#: Ratios are summed as whole numbers of this part, so that the order of rows changes nothing.
+UNIT = 2.0**-32
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
 
@@ -123,17 +122,26 @@ def _shared_runs(batches):
     yield pa.RecordBatch.from_pydict({"run": pa.array(seen.view(np.int64))})
 
 
-def _bounded(runs: DataFrame, limit: int) -> DataFrame:
-    """The runs that occur often enough, over all classes, for at most `limit` distinct ones to be left."""
-    totals = runs.groupBy("run").agg(F.sum("n").alias("total"))
-    sizes = totals.groupBy(F.least("total", F.lit(10_000)).alias("total")).count().orderBy(F.desc("total")).collect()
-    least, kept = 1, 0
-    for row in sizes:
-        kept += row["count"]
-        if kept > limit:
-            least = row["total"] + 1
-            break
-    return runs if least == 1 else runs.join(totals.where(F.col("total") >= least).select("run"), "run")
+def _distinct_words(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The distinct words of a slice, lower-cased."""
+    found = W.Words(batch.column("text"))
+    _, at = np.unique(found.hashes(), return_index=True)
+    starts, sizes = found.starts[at], found.ends[at] - found.starts[at]
+    ends = np.cumsum(sizes)
+    raw = W.LOWER[found.raw[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]]
+    offsets = pa.py_buffer(np.r_[0, ends].astype(np.int32).tobytes())
+    return pa.RecordBatch.from_pydict({
+        "text": pa.StringArray.from_buffers(len(sizes), offsets, pa.py_buffer(raw.tobytes()))})
+
+
+def _spellings(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """(word, run) for each letter of each distinct word, the word as its hash."""
+    found = W.Words(batch.column("text"))
+    spelled = Spelled(found)
+    words = np.zeros(len(spelled.times), np.uint64)
+    words[spelled.word] = found.hashes()
+    return pa.RecordBatch.from_pydict({"word": pa.array(words[spelled.owner].view(np.int64)),
+                                       "run": pa.array(spelled.runs.view(np.int64))})
 
 
 def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,10 +159,6 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-def _keys(rows: pd.DataFrame) -> np.ndarray:
-    return rows["run"].to_numpy(np.int64).view(np.uint64)
-
-
 @dataclass
 class _Level:
     """Discounted counts of runs of one order: P(last letter | letters before) without the backoff.
@@ -186,112 +190,119 @@ class _Level:
         return own, weight
 
 
+def _up(column: str) -> Column:
+    """The letters before the last of a run."""
+    return F.shiftrightunsigned(column, 8)
+
+
+def _contexts(runs: DataFrame) -> DataFrame:
+    """Sum and number of the runs of each context, by class."""
+    return runs.groupBy(_up("run").alias("run")).agg(*(x for c in (0, 1) for x in (
+        F.sum(f"n{c}").alias(f"total{c}"), F.count(F.when(F.col(f"n{c}") > 0, 1)).alias(f"kinds{c}"))))
+
+
 @dataclass
-class Model:
-    """Log-likelihood ratios of runs that some class has seen, and of the backoff of their contexts.
+class Counts:
+    """Tables of counts by class of runs (`n0`, `n1`) and of their contexts (`total0`, `kinds0`, ...), for whole
+    runs and for the order below, and `back`: the shared chance of the letters further below."""
+
+    top: DataFrame
+    top_contexts: DataFrame
+    low: DataFrame
+    low_contexts: DataFrame
+    back: DataFrame
+
+    @classmethod
+    def of(cls, steps: Steps, runs: DataFrame, back: DataFrame) -> Counts:
+        top = steps.keep(runs.groupBy("run").agg(*(
+            F.sum(F.when(F.col("class") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1))))
+        low = steps.keep(top.groupBy(F.col("run").bitwiseAND(_mask(ORDER - 1)).alias("run")).agg(*(
+            F.count(F.when(F.col(f"n{c}") > 0, 1)).alias(f"n{c}") for c in (0, 1))))
+        return cls(top, steps.keep(_contexts(top)), low, steps.keep(_contexts(low)), back)
+
+    def run_ratios(self, runs: DataFrame) -> DataFrame:
+        """(run, ratio) of distinct runs, in `UNIT`; runs without a ratio are left out.
+
+        Where no class has seen the order below, the shared chance cancels; where
+        none has seen its context either, nothing is left of the ratio.
+        """
+        def named(table: DataFrame, key: str, prefix: str) -> DataFrame:
+            return table.select(F.col("run").alias(key), *(F.col(x).alias(prefix + x) for x in table.columns[1:]))
+
+        def mixed(prefix: str, c: int, rest: Column) -> Column:
+            n, total, kinds = (F.coalesce(F.col(f"{prefix}{x}{c}"), F.lit(0)) for x in ("n", "total", "kinds"))
+            return F.when(total > 0, (F.greatest(n - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * rest) / total).otherwise(
+                rest)
+
+        found = (runs.select("run", _up("run").alias("context"),
+                             F.col("run").bitwiseAND(_mask(ORDER - 1)).alias("below"),
+                             F.col("run").bitwiseAND(_mask(SHARED)).alias("rest"))
+                 .withColumn("below_context", _up("below"))
+                 .join(named(self.low_contexts, "below_context", "low_"), "below_context")
+                 .join(named(self.low, "below", "low_"), "below", "left")
+                 .join(named(self.top_contexts, "context", "top_"), "context", "left")
+                 .join(named(self.top, "run", "top_"), "run", "left")
+                 .join(named(self.back, "rest", ""), "rest", "left"))
+        rest = F.coalesce("back", F.lit(1.0))
+        chances = [mixed("top_", c, mixed("low_", c, rest)) for c in (0, 1)]
+        ratio = F.round((F.log(chances[1]) - F.log(chances[0])) / UNIT).cast("long")
+        return found.select("run", ratio.alias("ratio")).where("ratio <> 0")
+
+    def word_ratios(self, steps: Steps, docs: DataFrame) -> DataFrame:
+        """(word, ratio) of the distinct words of texts, the word as its hash; words without a ratio are left out."""
+        spelled = steps.keep(_words(docs).mapInArrow(W.per_slice("text", _spellings, 500_000), "word long, run long"))
+        ratios = self.run_ratios(spelled.select("run").distinct())
+        return steps.keep(spelled.join(ratios, "run").groupBy("word").agg(
+            (F.sum("ratio") * UNIT).cast("float").alias("ratio")).where("ratio <> 0"))
+
+
+def _words(docs: DataFrame) -> DataFrame:
+    return docs.select("text").mapInArrow(W.per_slice("text", _distinct_words), "text string").distinct()
 
-    `top` has the ratio of whole runs, `low` that of the order below; `top_back`
-    and `low_back` the ratio of the weights with which the classes back off.
-    """
 
-    top: tuple[np.ndarray, np.ndarray]
-    top_back: tuple[np.ndarray, np.ndarray]
-    low: tuple[np.ndarray, np.ndarray]
-    low_back: tuple[np.ndarray, np.ndarray]
+@dataclass
+class Model:
+    """Counts, if there are labels of both kinds, and the weights of the features."""
+
+    counts: Counts | None
     weights: np.ndarray
     base: float
 
-    @classmethod
-    def fit(cls, counts: pd.DataFrame, shared: pd.DataFrame, base: float) -> Model:
-        def lower(order: int) -> _Level:
-            part = shared[shared["order"] == order].sort_values("run")
-            runs, contexts = part[~part["context"]], part[part["context"]]
-            return _Level(_keys(runs), runs["n"].to_numpy(float), _keys(contexts), contexts["n"].to_numpy(float),
-                          contexts["kinds"].to_numpy(float))
-
-        levels = {order: lower(order) for order in range(1, SHARED + 1)}
-
-        def backoff(runs: np.ndarray) -> np.ndarray:
-            p = np.full(len(runs), 1 / 256)
-            for order, level in levels.items():
-                own, weight = level.share(runs & _U(_mask(order)))
-                p = own + weight * p
-            return p
-
-        tops, lows = [], []
-        for label in (1, 0):
-            own = counts[counts["class"] == label]
-            tops.append(_Level.of(_keys(own), own["n"].to_numpy(float)))
-            low = tops[-1].runs & _U(_mask(ORDER - 1))
-            lows.append(_Level.of(low, np.ones(len(low))))
-
-        def low_chances(runs: np.ndarray) -> list[np.ndarray]:
-            rest = backoff(runs & _U(_mask(SHARED)))
-            return [own + weight * rest for own, weight in (x.share(runs) for x in lows)]
-
-        def ratio(chances: list[np.ndarray]) -> np.ndarray:
-            return (np.log(chances[0]) - np.log(chances[1])).astype(np.float32)
-
-        def weights_of(levels: list[_Level]) -> tuple[np.ndarray, np.ndarray]:
-            contexts = np.union1d(levels[0].contexts, levels[1].contexts)
-            return contexts, ratio([x.share(contexts << _U(8))[1] for x in levels])
-
-        runs = np.union1d(tops[0].runs, tops[1].runs)
-        rest = low_chances(runs & _U(_mask(ORDER - 1)))
-        top = runs, ratio([own + weight * p for (own, weight), p in zip((x.share(runs) for x in tops), rest)])
-        runs = np.union1d(lows[0].runs, lows[1].runs)
-        low = runs, ratio(low_chances(runs))
-        return cls(top, weights_of(tops), low, weights_of(lows), np.zeros(FEATURES), base)
-
-    def word_ratios(self, spelled: Spelled) -> np.ndarray:
-        """Log-likelihood ratio of each distinct word."""
-        runs, where = np.unique(spelled.runs, return_inverse=True)
-        at, seen = _find(self.top[0], runs)
-        out = np.zeros(len(runs))
-        out[seen] = self.top[1][at[seen]]
-        rest = np.flatnonzero(~seen)
-        part = runs[rest]
-        for table, keys in ((self.top_back, part >> _U(8)), (self.low, part & _U(_mask(ORDER - 1)))):
-            at, seen = _find(table[0], keys)
-            out[rest[seen]] += table[1][at[seen]]
-        rest, part = rest[~seen], part[~seen]
-        at, seen = _find(self.low_back[0], (part & _U(_mask(ORDER - 1))) >> _U(8))
-        out[rest[seen]] += self.low_back[1][at[seen]]
-        return np.bincount(spelled.owner, weights=out[where], minlength=len(spelled.times))
-
-    def features(self, column: pa.Array) -> np.ndarray:
-        """A one, the mean ratio, the best mean of SPAN words, the best word, the logarithm of the
-        length, and for each mark the excess by length and by its square root."""
-        found = W.Words(column)
-        out = np.zeros((len(column), FEATURES))
-        out[:, 0] = 1
-        if not len(found):
-            return out
-        spelled = Spelled(found)
-        ratios = self.word_ratios(spelled)[spelled.word]
-        sums = np.r_[0.0, np.cumsum(ratios)]
-        first, counts = found.first, found.counts
-        some = np.flatnonzero(counts)
-        out[some, 1] = (sums[first[some + 1]] - sums[first[some]]) / counts[some]
-        # A span is cut at the end of its document.
-        stop = np.minimum(np.arange(len(found)) + SPAN, np.repeat(first[1:], counts))
-        size = np.minimum(SPAN, np.repeat(counts, counts))
-        spans = np.where(stop - np.arange(len(found)) == size, (sums[stop] - sums[:-1]) / size, -np.inf)
-        out[some, 2] = np.maximum.reduceat(spans, first[some])
-        out[some, 3] = np.maximum.reduceat(ratios, first[some])
-        out[some, 4] = np.log(counts[some])
-        for j, mark in enumerate(MARKS):
-            over = np.add.reduceat(np.maximum(ratios - mark, 0), first[some])
-            out[some, 5 + 2 * j] = over / counts[some]
-            out[some, 6 + 2 * j] = over / np.sqrt(counts[some])
-        return out
-
     def score(self, features: np.ndarray) -> np.ndarray:
-        if not self.weights.any():
-            return np.full(len(features), self.base)
         return 1 / (1 + np.exp(-np.clip(features @ self.weights, -30, 30)))
 
 
+def features(column: pa.Array, words: np.ndarray, word_ratios: np.ndarray) -> np.ndarray:
+    """A one, the mean ratio, the best mean of SPAN words, the best word, the logarithm of the
+    length, and for each mark the excess by length and by its square root; `words` are sorted hashes."""
+    found = W.Words(column)
+    out = np.zeros((len(column), FEATURES))
+    out[:, 0] = 1
+    if not len(found):
+        return out
+    hashes, where = np.unique(found.hashes(), return_inverse=True)
+    at, seen = _find(words, hashes)
+    ratios = np.zeros(len(hashes))
+    ratios[seen] = word_ratios[at[seen]]
+    ratios = ratios[where]
+    sums = np.r_[0.0, np.cumsum(ratios)]
+    first, counts = found.first, found.counts
+    some = np.flatnonzero(counts)
+    out[some, 1] = (sums[first[some + 1]] - sums[first[some]]) / counts[some]
+    # A span is cut at the end of its document.
+    stop = np.minimum(np.arange(len(found)) + SPAN, np.repeat(first[1:], counts))
+    size = np.minimum(SPAN, np.repeat(counts, counts))
+    spans = np.where(stop - np.arange(len(found)) == size, (sums[stop] - sums[:-1]) / size, -np.inf)
+    out[some, 2] = np.maximum.reduceat(spans, first[some])
+    out[some, 3] = np.maximum.reduceat(ratios, first[some])
+    out[some, 4] = np.log(counts[some])
+    for j, mark in enumerate(MARKS):
+        over = np.add.reduceat(np.maximum(ratios - mark, 0), first[some])
+        out[some, 5 + 2 * j] = over / counts[some]
+        out[some, 6 + 2 * j] = over / np.sqrt(counts[some])
+    return out
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
     """Weights of a logistic regression by Newton steps; the first column of x is one."""
     mean, scale = x.mean(0), x.std(0) + 1e-9
@@ -313,56 +324,56 @@ def remainder() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % 4
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
-        max_runs: int = MAX_RUNS) -> Model:
-    """The models, from labels outside the held-out quarter and from all texts."""
-    spark = docs.sparkSession
-    marked = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-              .where(remainder() != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
-    path = work_dir(spark, "toxicity")
-    marked.write.parquet(f"{path}/labels")
-    marked = spark.read.parquet(f"{path}/labels")
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
+    """The model, from all labels outside the held-out quarter and from all texts."""
+    steps = Steps(docs.sparkSession, "toxicity")
+    marked = steps.keep(labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+                        .where(remainder() != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     shares = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     base = shares.get(1, 0) / max(1, sum(shares.values()))
-    # At most max_labelled rows of two numbers.
-    texts = (docs.select("doc_id", "text").where(F.col("text").isNotNull())
-             .join(F.broadcast(marked), "doc_id")
-             .withColumn("kept_back", (remainder() == 3).cast("int")))
-    (texts.select("text", "toxic", "kept_back")
-     .mapInArrow(W.per_slice("text", _class_runs), "class int, kept_back int, run long, n long")
-     .groupBy("class", "kept_back", "run").agg(F.sum("n").alias("n"))
-     .write.parquet(f"{path}/class"))
-    (docs.select("text").mapInArrow(_shared_runs, "run long").distinct()
-     .groupBy(F.col("run").bitwiseAND(_mask(SHARED)).alias("run")).agg(F.count("*").alias("n"))
-     .write.parquet(f"{path}/shared"))
-    _bounded(spark.read.parquet(f"{path}/class"), max_runs).write.parquet(f"{path}/counts")
-    counts = spark.read.parquet(f"{path}/counts")
-    _lower_counts(spark.read.parquet(f"{path}/shared")).write.parquet(f"{path}/lower")
-    lower = _wanted_counts(spark.read.parquet(f"{path}/lower"), counts)
-    both = counts.select(F.lit(0).alias("order"), F.lit(False).alias("context"), "class", "kept_back", "run", "n",
-                         F.lit(0).cast("long").alias("kinds")).unionByName(
-        lower.select("order", "context", F.lit(0).alias("class"), F.lit(0).alias("kept_back"), "run", "n", "kinds"))
-    # Bounded by max_runs, so one task can hold them; the driver reads one model at a time, part by part.
-    both.repartition(1).mapInArrow(_fitting(base), "final boolean, part int, model binary").write.parquet(
-        f"{path}/models")
-    models = spark.read.parquet(f"{path}/models")
-    width = FEATURES + 1
-    features = np.zeros((0, width))
-    if len(shares) == 2:
-        shared = spark.sparkContext.broadcast(_read(models.where("not final")))
-        found = texts.where("kept_back = 1").select("text", "toxic").mapInArrow(
-            _features(shared), "x binary").collect()
-        features = np.concatenate([features, *(np.frombuffer(r["x"]).reshape(-1, width) for r in found)])
-        shared.destroy()
-    model = _read(models.where("final"))
-    if len(features):
-        model.weights = logistic(features[:, :-1], features[:, -1])
-    return model
-
+    if len(shares) < 2:
+        return Model(None, np.zeros(FEATURES), base)
+    labelled = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    runs = steps.keep(labelled.join(sent_if_small(marked), "doc_id")
+                      .select("text", "toxic", (remainder() == 3).cast("int").alias("kept_back"))
+                      .mapInArrow(W.per_slice("text", _class_runs), "class int, kept_back int, run long, n long")
+                      .groupBy("class", "kept_back", "run").agg(F.sum("n").alias("n")))
+    shared = steps.keep(_words(docs).mapInArrow(_shared_runs, "run long").distinct()
+                        .groupBy(F.col("run").bitwiseAND(_mask(SHARED)).alias("run")).agg(F.count("*").alias("n")))
+    lower = steps.keep(_wanted_counts(steps.keep(_lower_counts(shared)), runs))
+    back = steps.keep(_backoff(lower))
+    sample = steps.keep(marked.where(remainder() == 3).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
+    # Texts of at most max_labelled ids.
+    kept_back = steps.keep(labelled.join(F.broadcast(sample), "doc_id").select("text", "toxic"))
+    ratios = Counts.of(steps, runs.where("kept_back = 0"), back).word_ratios(steps, kept_back)
+
+    def work(batch: pa.RecordBatch, words: np.ndarray, word_ratios: np.ndarray) -> pa.RecordBatch:
+        x = np.c_[features(batch.column("text"), words, word_ratios),
+                  batch.column("toxic").to_numpy(zero_copy_only=False)]
+        return pa.RecordBatch.from_pydict({"x": pa.array([x.astype(np.float64).tobytes()], pa.binary())})
 
-def _read(parts: DataFrame) -> Model:
-    return pickle.loads(b"".join(r["model"] for r in parts.select("part", "model").orderBy("part").toLocalIterator()))
+    width = FEATURES + 1
+    found = np.concatenate([np.zeros((0, width)), *(
+        np.frombuffer(r["x"]).reshape(-1, width) for r in _with_ratios(kept_back, ratios, work, "x binary").collect())])
+    weights = logistic(found[:, :-1], found[:, -1]) if len(found) else np.zeros(FEATURES)
+    return Model(Counts.of(steps, runs, back), weights, base)
+
+
+def _backoff(lower: DataFrame) -> DataFrame:
+    """(run, back): the chance of the last letter of each run of the highest shared order."""
+    found = None
+    for order in range(1, SHARED + 1):
+        part = lower.where(F.col("order") == order)
+        contexts = part.where("context").select(F.col("run").alias("above"), F.col("n").alias("total"), "kinds")
+        runs = part.where("not context").select("run", "n", _up("run").alias("above")).join(contexts, "above")
+        if found is None:
+            runs = runs.withColumn("back", F.lit(1 / 256))
+        else:
+            runs = runs.withColumn("below", F.col("run").bitwiseAND(_mask(order - 1))).join(
+                found.withColumnRenamed("run", "below"), "below")
+        found = runs.select("run", ((F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("kinds")
+                                     * F.col("back")) / F.col("total")).alias("back"))
+    return found
 
 
 def _suffixes(longer: int) -> F.Column:
@@ -396,42 +407,54 @@ def _wanted_counts(lower: DataFrame, counts: DataFrame) -> DataFrame:
     return lower.join(wanted, ["order", "context", "run"], "left_semi")
 
 
-def _fitting(base: float):
-    """Parts of both models from all runs: without those of the documents kept back, and with them."""
-    def run(batches):
-        runs = pa.Table.from_batches(list(batches) or [_NO_RUNS]).to_pandas()
-        counts, lower = runs[runs["order"] == 0], runs[runs["order"] > 0]
-        for final in (False, True):
-            model = pickle.dumps(Model.fit(counts if final else counts[counts["kept_back"] == 0], lower, base))
-            for part, at in enumerate(range(0, len(model), PART)):
-                yield pa.RecordBatch.from_pydict({"final": pa.array([final]), "part": pa.array([part], pa.int32()),
-                                                  "model": pa.array([model[at:at + PART]], pa.binary())})
-    return run
-
-
-_NO_RUNS = pa.RecordBatch.from_pydict(
-    {"order": pa.array([], pa.int32()), "context": pa.array([], pa.bool_()), "class": pa.array([], pa.int32()),
-     "kept_back": pa.array([], pa.int32()), "run": pa.array([], pa.int64()), "n": pa.array([], pa.int64()),
-     "kinds": pa.array([], pa.int64())})
-
-
-def _features(model):
-    """All features and labels of a slice in one array."""
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = model.value.features(batch.column("text"))
-        x = np.c_[x, batch.column("toxic").to_numpy(zero_copy_only=False)]
-        return pa.RecordBatch.from_pydict({"x": pa.array([x.astype(np.float64).tobytes()], pa.binary())})
-    return W.per_slice("text", work)
-
-
-def scores(docs: DataFrame, model: Model) -> DataFrame:
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and ratios of a batch as two byte strings."""
+    for batch in batches:
+        yield pa.RecordBatch.from_pydict({n: pa.array([batch.column(n).to_numpy().tobytes()], pa.binary())
+                                          for n in ("word", "ratio")})
+
+
+def _text_words(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The words of each text, with the key of the text."""
+    found = W.Words(batch.column("text"))
+    return pa.RecordBatch.from_pydict({"key": batch.column("key").take(pa.array(found.rows)),
+                                       "word": pa.array(found.hashes().view(np.int64))})
+
+
+def _with_ratios(docs: DataFrame, ratios: DataFrame, work: Callable[..., pa.RecordBatch], schema,
+                 sent: int | None = None) -> DataFrame:
+    """The documents by `work`, which gets a slice of them and the sorted words that have a ratio, with these."""
+    if ratios.count() <= (SENT_WORDS if sent is None else sent):
+        rows = ratios.mapInArrow(_pairs, "word binary, ratio binary").collect()
+        words = np.frombuffer(b"".join(bytes(r["word"]) for r in rows), np.uint64)
+        order = np.argsort(words)
+        shared = docs.sparkSession.sparkContext.broadcast(
+            (words[order], np.frombuffer(b"".join(bytes(r["ratio"]) for r in rows), np.float32)[order]))
+        return docs.mapInArrow(W.per_slice("text", lambda batch: work(batch, *shared.value)), schema)
+    key = F.xxhash64("text").alias("key")
+    found = (docs.select(key, "text").mapInArrow(W.per_slice("text", _text_words), "key long, word long").distinct()
+             .join(ratios, "word").groupBy("key").agg(F.collect_list(F.struct("word", "ratio")).alias("found")))
+    rows = docs.select(key, "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).join(
+        found, "key", "left")
+
+    def joined(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pairs = batch.column("found").flatten()
+        words, at = np.unique(pairs.field("word").to_numpy().view(np.uint64), return_index=True)
+        return work(pa.RecordBatch.from_struct_array(batch.column("row")), words,
+                    pairs.field("ratio").to_numpy()[at])
+    return rows.select("row", "text", "found").mapInArrow(W.per_slice("text", joined), schema)
+
+
+def scores(docs: DataFrame, model: Model, sent: int | None = None) -> DataFrame:
     """The documents with `score`; a column of that name is replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("score")
+    if not model.weights.any():
+        return docs.withColumn("score", F.lit(float(model.base)))
+    ratios = model.counts.word_ratios(Steps(docs.sparkSession, "toxicity-scores"), docs)
+    judge = Model(None, model.weights, model.base)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = shared.value.score(shared.value.features(batch.column("text")))
+    def work(batch: pa.RecordBatch, words: np.ndarray, word_ratios: np.ndarray) -> pa.RecordBatch:
+        found = judge.score(features(batch.column("text"), words, word_ratios))
         return pa.RecordBatch.from_pydict({**{n: batch.column(n) for n in batch.schema.names},
                                            "score": pa.array(found)})
-    schema = docs.withColumn("score", F.lit(0.0)).schema
-    return docs.mapInArrow(W.per_slice("text", work), schema)
+    return _with_ratios(docs, ratios, work, docs.withColumn("score", F.lit(0.0)).schema, sent)
