@@ -332,6 +332,17 @@ def test_near_dups(spark, empty, block, monkeypatch):
         assert near_dups.classes(empty).count() == 0
 
 
+def test_first_of_each_goes_by_row(spark):
+    rng = random.Random(21)
+    a, b, c, d = (prose(rng, 60) + f" mark{i}" for i in range(4))
+    rows = [(1, a, "en", "s", 0), (None, a, "en", "s", 0),  # a copy without an id
+            (None, b, "en", "s", 0), (None, c, "en", "s", 0), (None, c + "!", "en", "s", 0),  # b is unique, c near
+            (2, a, "en", "s", 0), (2, d, "en", "s", 0), (2, d, "en", "s", 0)]  # a used id, and rows that repeat
+    kept = sorted(near_dups.first_of_each(spark.createDataFrame(rows, DOCS)).collect(), key=str)
+    got = [(r["doc_id"], r["text"].rstrip("!")) for r in kept]
+    assert collections.Counter(got) == collections.Counter([(1, a), (None, b), (None, c), (2, d)])
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]

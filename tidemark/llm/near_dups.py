@@ -139,7 +139,8 @@ def _signed(bands: int, rows: int):
             keys = keys * _U(0x9E3779B97F4A7C15) + kept[:, j::rows]
         keys = W.mix(keys + np.arange(bands, dtype=np.uint64))
         return pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id"), "node": pa.array(_set_hash(values, first, 11).view(np.int64)),
+            "doc_id": batch.column("doc_id"), "row": batch.column("row"),
+            "node": pa.array(_set_hash(values, first, 11).view(np.int64)),
             "bands": W.list_column(keys.view(np.int64).ravel(), np.arange(n + 1) * bands)})
     return W.per_slice("text", work, 1_000_000)
 
@@ -249,11 +250,17 @@ def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id) of every document."""
+    return _classed(docs.select("doc_id", "text", F.lit(0).cast("long").alias("row")), similar, bands, rows).select(
+        "doc_id", "class_id")
+
+
+def _classed(docs: DataFrame, similar: float, bands: int, rows: int) -> DataFrame:
+    """(doc_id, row, class_id, class) of every document with a hash `row`; `class` names also classes without an id."""
     spark = docs.sparkSession
     steps = Steps(spark, "near-dups")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = steps.keep(docs.select("doc_id", "text").mapInArrow(
-        _signed(bands, rows), f"doc_id {kind}, node long, bands array<long>"))
+    signed = steps.keep(docs.select("doc_id", "text", "row").mapInArrow(
+        _signed(bands, rows), f"doc_id {kind}, row long, node long, bands array<long>"))
     nodes = steps.keep(signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = steps.keep(banded.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
@@ -280,19 +287,32 @@ def classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows:
     named = components(steps, links.unionByName(steps.keep(more.distinct())))
     ids = (nodes.select("node", "doc_id").join(named, "node")
            .groupBy("component").agg(F.min("doc_id").alias("class_id")))
-    named = steps.keep(named.join(ids, "component").select("node", F.col("class_id").alias("found")))
+    named = steps.keep(named.join(ids, "component").select("node", "component", F.col("class_id").alias("found")))
     least = nodes.select("node", F.col("doc_id").alias("own"))
     node_class = steps.keep(least.join(named, "node", "left").select(
-        "node", F.coalesce("found", "own").alias("class_id")))
-    return signed.select("doc_id", "node").join(node_class, "node").select("doc_id", "class_id")
+        "node", F.coalesce("found", "own").alias("class_id"), F.coalesce("component", "node").alias("class")))
+    return signed.select("doc_id", "row", "node").join(node_class, "node").select("doc_id", "row", "class_id", "class")
 
 
 def first_of_each(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """The documents that give their class its id; those without an id stay if their class has none.
+    """One row of each class: of the least id, and of those the row of the least hash.
 
-    Rows that repeat an id stay or go together.
+    Rows go by a hash of all their columns, so an id that is null or repeats loses
+    only its copies. Of rows that are equal in every column one stays.
     """
-    others = classes(docs, similar).where("doc_id <> class_id or (doc_id is null and class_id is not null)")
-    gone = Steps(docs.sparkSession, "near-dups-gone").keep(others.select(F.col("doc_id").alias("gone")).distinct())
-    left = packed(docs).join(sent_if_small(gone), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
-    return unpacked(left, docs)
+    steps = Steps(docs.sparkSession, "near-dups-gone")
+    rows = packed(docs).withColumn("row", F.xxhash64("doc_id", "text", "rest"))
+    found = steps.keep(_classed(rows, similar, BANDS, ROWS).groupBy("class", "doc_id", "row").agg(
+        F.count("*").alias("n")))
+    least = found.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least"))
+    marked = found.join(least, "class").select(
+        F.col("row").alias("of"), (F.col("row") == F.col("least.row")).alias("first"), "n")
+    marked = steps.keep(marked.where("not first or n > 1").select("of", "first"))
+    sent = sent_if_small(marked)
+    left = rows.join(sent, F.col("row") == F.col("of"), "left")
+    one = left.where("of is null")
+    if marked.where("first").head(1):
+        columns = ("doc_id", "text", "rest")
+        copies = left.where("first").groupBy("row").agg(F.first(F.struct(*columns)).alias("one"))
+        one = one.select(*columns).unionByName(copies.select("one.*"))
+    return unpacked(one, docs)
