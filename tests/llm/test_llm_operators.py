@@ -452,6 +452,20 @@ def test_mixing_equals_sql(spark, docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_cuts_within_equal_rows(spark):
+    con = duckdb.connect()
+    hot = [(1, f"{i} w w", "en", "hot", 0) for i in range(1000)] + [(None, f"{i} v v", "en", None, 0) for i in range(1000)]
+    hot += [(700 + i, "x " * (i % 40), "en", f"t{i % 4}", 0) for i in range(160)]
+    frame = spark.createDataFrame(hot, DOCS).repartition(5)
+    con.register("documents", frame.toArrow())
+    want = collections.Counter(con.execute(mixing.ORACLE).fetchall())
+    assert len({r[4] for r in want if r[0] == 1 and r[1] == 3}) > 1  # a tie is cut
+    assert collections.Counter(tuple(r) for r in mixing.mix(frame).collect()) == want
+    kept = mixing.mix(frame, keep=("text",)).collect()
+    assert collections.Counter(tuple(r)[:5] for r in kept) == want
+    assert collections.Counter(r["text"] for r in kept) == collections.Counter(r["text"] for r in frame.collect())
+
+
 def test_targets_share_the_excess(spark):
     sources = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 500), (None, 40)], "source string, source_size long")
     got = {r["source"]: r["target"] for r in mixing.with_targets(Steps(spark, "test"), sources).collect()}

@@ -19,8 +19,9 @@ found on these sums, then within that cell among as many finer ones. Only the
 documents of the last, finest cell are put in order.
 
 Nulls: a null text has size 0, a null source is a source, last in order; a null
-id draws like an id of its own. Documents of one id and size have one rank and
-are taken in any order. A source whose words are 0 has target 0. Other columns
+id draws like an id of its own. Documents of one id and size have one rank; where
+a source reaches its target among these, as many of them are taken as reach it to
+the nearest document. A source whose words are 0 has target 0. Other columns
 are kept where the caller asks for them; nothing here runs Python on rows.
 """
 
@@ -117,21 +118,49 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                  found, "fine")
     found = steps.keep(found.select("source", "source_size", "target", "copies", F.col("left"),
                                     F.col("coarse").alias("edge"), F.col("fine").alias("fine_edge")))
-    # The documents of the finest cell, in order, until what is left is reached to the nearest document.
-    last = (_joined(celled, found).where("coarse = edge and fine = fine_edge")
-            .withColumn("sum", F.sum("size").over(Window.partitionBy("source").orderBy("u", "doc_id", "size")
-                                                  .rowsBetween(Window.unboundedPreceding, 0))))
-    ends = last.where(F.col("sum") - F.col("size") / 2 <= F.col("left")).groupBy("source").agg(
-        F.max(F.struct("u", "doc_id", "size")).alias("end"))
+    # The ranks of the finest cell, in order, until what is left is reached to the nearest document. A rank with
+    # `many` equal documents counts once; of the last one that fits, `some` documents do.
+    rank = ("u", "doc_id", "size")
+    ranks = _joined(celled, found).where("coarse = edge and fine = fine_edge").groupBy("source", "left", *rank).agg(
+        F.count("*").alias("many"))
+    whole = F.col("size") * F.col("many")
+    last = ranks.withColumn("before", F.sum(whole).over(
+        Window.partitionBy("source").orderBy(*rank).rowsBetween(Window.unboundedPreceding, 0)) - whole)
+    room = F.col("left") - F.col("before")
+    fits = F.when(F.col("size") == 0, F.col("many")).otherwise(
+        F.least(F.floor(room / F.col("size") + 0.5), F.col("many")))
+    ends = last.where(room >= F.col("size") / 2).groupBy("source").agg(
+        F.max(F.struct(*rank, fits.alias("some"), "many")).alias("last")).select(
+        "source", F.struct(*(F.col(f"last.{c}").alias(c) for c in rank)).alias("end"), "last.some", "last.many")
     found = steps.keep(_joined(found, ends))
-    before = (F.col("coarse") < F.col("edge")) | ((F.col("coarse") == F.col("edge")) & (
-        (F.col("fine") < F.col("fine_edge")) | ((F.col("fine") == F.col("fine_edge")) & F.coalesce(
-            F.struct("u", "doc_id", "size") <= F.col("end"), F.lit(False)))))
-    more = F.when(before & (F.col("target") > F.col("copies") * F.col("source_size")), 1).otherwise(0)
-    return _joined(answered, found).select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("size") * (F.col("copies") + more)).alias("taken"),
-        *(F.col("kept").getField(c).alias(c) for c in keep))
+    placed = _joined(answered, found).withColumn("rank", F.struct(*rank))
+    at_edge = F.coalesce((F.col("coarse") == F.col("edge")) & (F.col("fine") == F.col("fine_edge")), F.lit(False))
+    split = at_edge & F.coalesce(F.col("rank").eqNullSafe(F.col("end")) & (F.col("some") < F.col("many")), F.lit(False))
+    before = F.coalesce((F.col("coarse") < F.col("edge")) | ((F.col("coarse") == F.col("edge")) & (
+        (F.col("fine") < F.col("fine_edge")) | (at_edge & F.coalesce(F.col("rank") <= F.col("end"), F.lit(False))))),
+        F.lit(False))
+
+    def taken(rows: DataFrame, chosen: Column) -> DataFrame:
+        more = F.when(chosen & (F.col("target") > F.col("copies") * F.col("source_size")), 1).otherwise(0)
+        return rows.select(
+            "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("copies") + more)).alias("taken"),
+            *(F.col("kept").getField(c).alias(c) for c in keep))
+
+    if not found.where("some < many").head(1):
+        return taken(placed, before)
+    # Equal documents of a rank that fits in part are written, so that a number of each holds, and counted by task.
+    equal = steps.keep(placed.where(split).withColumn("number", F.monotonically_increasing_id()))
+    part = F.shiftright("number", 33)
+    counts = equal.groupBy("source", part.alias("part")).agg(F.count("*").alias("n"))
+    ahead = counts.select(F.col("source").alias("of"), "part", (F.sum("n").over(
+        Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias(
+        "ahead"))
+    within = F.row_number().over(Window.partitionBy("source", "part").orderBy("number"))
+    numbered = equal.withColumn("part", part).withColumn("within", within).join(
+        ahead.withColumnRenamed("part", "its"),
+        F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("its")))
+    return taken(placed.where(~split), before).unionByName(
+        taken(numbered, F.col("ahead") + F.col("within") <= F.col("some")))
 
 
 def _joined(rows: DataFrame, sources: DataFrame) -> DataFrame:
