@@ -435,6 +435,31 @@ def test_html_boilerplate_of_a_host(spark):
     assert got[20]["text"] == got[21]["text"] == ""
 
 
+def body(*texts, tag="div"):
+    return f"<body><{tag}>" + "".join(f"<p>{t}</p>" for t in texts) + f"</{tag}></body>"
+
+
+@pytest.mark.parametrize("sent", [None, 0])
+def test_html_short_repeats_and_copies(spark, sent):
+    rng = random.Random(7)
+
+    def own(i):
+        return " ".join(f"t{rng.randint(0, 10**9)}" for _ in range(40)) + f" end{i}"
+    texts = {i: own(i) for i in range(100)}
+    pages = [(i, f"http://h.org/{i}", body(texts[i], "Share this page with your friends", "Subscribe now"))
+             for i in range(8)]  # repeats of six and of two tokens
+    copied = [(20, "http://m.org/a", body(texts[20])), (21, "http://m.org/a?x=1", body(texts[20])),
+              (22, "http://m.org/b", body(texts[22]))]
+    articles = [(30, "http://q.org/1", body(texts[30], tag="article")), (31, "http://q.org/2", body(texts[30]))]
+    rare = [(40 + i, f"http://r.org/{i}", body(texts[40 + max(i, 1)], f"own{i}")) for i in range(40)]  # two of 40 share a text
+    frame = spark.createDataFrame(pages + copied + [copied[0], copied[2]] + articles + rare, PAGES)
+    got = {r["page_id"]: r["text"] for r in html_text.main_texts(frame, sent).collect()}
+    assert all(got[i] == texts[i] for i in range(8))
+    assert got[20] == got[21] == texts[20] and got[22] == texts[22]
+    assert got[30] == got[31] == texts[30]
+    assert got[40] == texts[41] + "\nown0" and got[41] == texts[41] + "\nown1"
+
+
 def test_mixing_equals_sql(spark, docs, empty):
     con = duckdb.connect()
     frame = docs.unionByName(spark.createDataFrame(

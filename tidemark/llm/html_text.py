@@ -1,4 +1,4 @@
-"""Main text of HTML pages, with boilerplate found by a suffix array of each host.
+"""Main text of HTML pages, with boilerplate found by the repeats of each host.
 
 A page is cut into blocks of text at block-level tags. Blocks in menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments, told by element
@@ -6,28 +6,33 @@ or by a word of class, id or role, are left out; of a page with an `article` or
 `main` element only the blocks in it are text.
 
 The blocks that are left make the token stream of a page, and the streams of a
-host its suffix array. Neighbours in that array that have `HEAD` tokens in common
-are those with an equal hash of these tokens, so the array is grouped by head and
-host instead of sorted in one place, and a host with a third of all pages is no
-large group. Suffixes start at anchors: places whose head hash is the least of
-`SPACING` in a row. A substring of `HEAD + SPACING - 1` tokens has the same
-anchor wherever it stands, so every longer repeat is found.
-
-Outside an article a head on two pages of the host is boilerplate. Inside one it
-has to be on more than half of the host's pages, and on at least `MANY`:
-articles quote and copy each other, and nothing of an article may be lost. A
-block whose tokens are covered by repeats to `COVERED` is removed, and the other
+host its suffixes. A token lies in a repeat of at least `HEAD` tokens just where it
+lies in a repeated run of `HEAD` tokens: each run of that length within a longer
+repeat is on the same pages. So no suffix array is sorted and no common prefix
+length computed; the heads of all suffixes are counted by host, in each task first,
+and what the repeated ones cover is what repeats of their full length cover. No
+place is left out; repeats under `HEAD` tokens are not looked for, but a block
+shorter than that counts as one run.
+
+Pages of a host count once for each distinct list of blocks, so that copies of a
+page, by rows or by address, repeat nothing. Outside articles a head is boilerplate
+on two pages that are at least a part of `OUTSIDE` of the host's pages without an
+article. Inside one it has to be on more than half of the host's pages with an
+article, and on at least `MANY`: articles quote and copy each other, and nothing of
+an article may be lost. What is found outside articles says nothing of those inside.
+A block whose tokens are covered by repeats to `COVERED` is removed, and the other
 blocks are the unique runs that stay.
 
 A null html has an empty text, a null url an empty host. Rows that repeat are
-answered row by row and count as one page; other columns are not read.
+answered row by row; other columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +43,12 @@ from tidemark.llm import words as W
 from tidemark.llm.graph import Steps, sent_if_small
 from tidemark.llm.url_filters import host_of
 
-HEAD = 16
-SPACING = 32
+HEAD = 5
 MANY = 10
+#: Part of a host's distinct pages without an article.
+OUTSIDE = 0.1
+#: Repeated heads (8 bytes each) that are sent to every executor; more are joined to the pages.
+SENT_HEADS = 5_000_000
 COVERED = 0.8
 
 # Elements by what they do.
@@ -148,90 +156,131 @@ def blocks(page: str) -> list[tuple[str, bool]]:
     return [b for b in out if b[1]] or out
 
 
-def _heads(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of a stream of blocks: first token and head hash of each; and the first token of each block."""
+def _heads(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First token, size and hash of each head of a stream of blocks; and the first token of each block.
+
+    A block of fewer than HEAD tokens has a head of its own besides those of the stream.
+    """
     found = W.Words(pa.array(texts, pa.large_string()))
     hashes = found.hashes()
-    stream = np.array([0, len(found)])
-    places, heads = W.windows(hashes, stream, HEAD)
-    if len(heads) > SPACING:
-        least = np.lib.stride_tricks.sliding_window_view(heads, SPACING)
-        chosen = np.unique(least.argmin(axis=1) + np.arange(len(least)))
-    else:
-        chosen = np.array([heads.argmin()]) if len(heads) else np.zeros(0, np.int64)
-    return places[chosen], heads[chosen], found.first
-
-
-def _anchors(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The distinct heads of each page, and whether one stands outside an article."""
-    out: dict[str, list] = {"page": [], "host": [], "head": [], "outside": []}
+    places, heads = W.windows(hashes, np.array([0, len(found)]), HEAD)
+    short = np.flatnonzero((found.counts > 0) & (found.counts < HEAD))
+    own = W.range_hash(hashes, found.first[short], found.first[short + 1])
+    return (np.r_[places, found.first[short]], np.r_[np.full(len(places), HEAD), found.counts[short]],
+            np.r_[heads, own], found.first)
+
+
+def _contents(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The host of each page, a hash of its blocks and whether they lie outside an article."""
+    out: dict[str, list] = {"page": [], "host": [], "content": [], "outside": []}
     for page, host, text in zip(*(batch.column(n).to_pylist() for n in ("page", "host", "html"))):
         cut = blocks(text)
-        if not cut:
-            continue
-        _, heads, _ = _heads([t for t, _ in cut])
-        heads = np.unique(heads).view(np.int64)
-        out["page"] += [page] * len(heads)
-        out["host"] += [host] * len(heads)
-        out["head"] += heads.tolist()
-        out["outside"] += [not cut[0][1]] * len(heads)
+        if cut:
+            out["page"].append(page)
+            out["host"].append(host)
+            out["content"].append(int.from_bytes(hashlib.sha256("\n".join(t for t, _ in cut).encode(
+                "utf-8", "surrogatepass")).digest()[:8], "little", signed=True))
+            out["outside"].append(not cut[0][1])
     return pa.RecordBatch.from_pydict({
         "page": pa.array(out["page"], pa.int64()), "host": pa.array(out["host"], pa.int64()),
-        "head": pa.array(out["head"], pa.int64()), "outside": pa.array(out["outside"], pa.bool_())})
+        "content": pa.array(out["content"], pa.int64()), "outside": pa.array(out["outside"], pa.bool_())})
 
 
-def kept(cut: list[tuple[str, bool]], repeated: list[int] | None) -> list[str]:
-    """The blocks that the repeated heads of the page do not cover.
+def _page_heads(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The distinct heads of each page, and whether they lie outside an article."""
+    cuts = [blocks(text) for text in batch.column("html").to_pylist()]
+    lists = [np.unique(_heads([t for t, _ in cut])[2]).view(np.int64) for cut in cuts]
+    at = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    outside = np.array([bool(cut) and not cut[0][1] for cut in cuts], bool)
+    return pa.RecordBatch.from_pydict({
+        **{n: batch.column(n).take(pa.array(at)) for n in batch.schema.names if n != "html"},
+        "outside": pa.array(outside[at]), "head": pa.array(np.concatenate([np.zeros(0, np.int64), *lists]))})
 
-    A repeat reaches from its anchor over the head, on to the next anchor if that
-    is repeated too, and to an edge of the block if no other anchor lies between.
-    """
+
+def _keys(host: np.ndarray, outside: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Hashes of (host, outside, head)."""
+    return W.mix(heads ^ W.mix(W.mix(host) + outside.astype(np.uint64)))
+
+
+def kept(cut: list[tuple[str, bool]], repeated: Callable[[np.ndarray], np.ndarray]) -> list[str]:
+    """The blocks that the heads told as repeated do not cover."""
     texts = [t for t, _ in cut]
-    if not repeated:
+    places, sizes, heads, first = _heads(texts)
+    hit = repeated(heads)
+    if not hit.any():
         return texts
-    places, heads, first = _heads(texts)
-    hit = np.isin(heads.view(np.int64), repeated)
-    block = np.searchsorted(first, places, "right") - 1
-    changes = np.zeros(first[-1] + HEAD + 1, np.int64)
-    for i in np.flatnonzero(hit).tolist():
-        start, end = places[i], places[i] + HEAD
-        if i + 1 < len(places) and hit[i + 1]:
-            end = max(end, places[i + 1])
-        elif i + 1 == len(places) or block[i + 1] != block[i]:
-            end = max(end, min(first[block[i] + 1], end + SPACING))
-        if i == 0 or block[i - 1] != block[i]:
-            start = max(first[block[i]], start - SPACING)
-        changes[start] += 1
-        changes[end] -= 1
+    changes = np.zeros(first[-1] + 1, np.int64)
+    np.add.at(changes, places[hit], 1)
+    np.add.at(changes, places[hit] + sizes[hit], -1)
     inside = np.r_[0, np.cumsum(np.cumsum(changes) > 0)]
     size = np.diff(first)
     share = (inside[first[1:]] - inside[first[:-1]]) / np.maximum(size, 1)
     return [t for t, s, n in zip(texts, share, size) if not n or s < COVERED]
 
 
-def _texts(batch: pa.RecordBatch) -> pa.RecordBatch:
-    texts = ["\n".join(kept(blocks(page), repeated)) for page, repeated in
-             zip(batch.column("html").to_pylist(), batch.column("repeated").to_pylist())]
-    return pa.RecordBatch.from_pydict({
-        "page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string()),
-        "n_chars": pa.array(map(len, texts), pa.int64())})
+def _texts(told: Callable[..., Callable[[np.ndarray], np.ndarray]], others: str):
+    """The texts of pages, with a function that tells repeated heads for a page's value of the column `others`."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = []
+        for page, other in zip(batch.column("html").to_pylist(), batch.column(others).to_pylist()):
+            cut = blocks(page)
+            texts.append("\n".join(kept(cut, told(other, not cut[0][1]))) if cut else "")
+        return pa.RecordBatch.from_pydict({
+            "page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string()),
+            "n_chars": pa.array(map(len, texts), pa.int64())})
+    return W.per_slice("html", work)
 
 
-def main_texts(pages: DataFrame) -> DataFrame:
+def main_texts(pages: DataFrame, sent: int | None = None) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    steps = Steps(pages.sparkSession, "html-text")
+    spark = pages.sparkSession
+    steps = Steps(spark, "html-text")
     kind = pages.schema["page_id"].dataType.simpleString()
+    out = f"page_id {kind}, url string, text string, n_chars long"
     named = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"),
                          F.xxhash64("page_id", "url", "html").alias("page"),
                          F.xxhash64(host_of("url")).alias("host"))
-    anchors = steps.keep(named.select("page", "host", "html").mapInArrow(
-        W.per_slice("html", _anchors), "page long, host long, head long, outside boolean"))
-    sizes = named.select("page", "host").groupBy("host").agg(F.count("*").alias("pages"))
-    counted = anchors.groupBy("host", "head").agg(F.count("*").alias("n"), F.max("outside").alias("outside"))
-    counted = counted.where((F.col("n") >= MANY) | F.col("outside") & (F.col("n") > 1))
-    repeated = steps.keep(counted.join(sizes, "host").where(
-        F.col("outside") | (F.col("n") * 2 > F.col("pages"))).select("host", "head"))
-    by_page = steps.keep(anchors.join(repeated, ["host", "head"], "left_semi").groupBy("page").agg(
+    contents = steps.keep(named.select("page", "host", "html").mapInArrow(
+        W.per_slice("html", _contents), "page long, host long, content long, outside boolean")
+        .groupBy("host", "content", "outside", "page").agg(F.count("*").alias("n")))
+    first = contents.groupBy("host", "content", "outside").agg(F.min("page").alias("first"))
+    sizes = steps.keep(first.groupBy("host", "outside").agg(F.count("*").alias("pages")))
+    # Of the pages of one content the first gives heads; its n equal rows count as an n-th of a page each.
+    copies = steps.keep(contents.join(first, ["host", "content", "outside"]).where("n > 1 or page <> first").select(
+        "page", "n", (F.col("page") == F.col("first")).alias("first")))
+    heads = (named.select("page", "host", "html").join(sent_if_small(copies), "page", "left")
+             .where("first is null or first").select("host", F.coalesce("n", F.lit(1)).alias("n"), "html")
+             .mapInArrow(W.per_slice("html", _page_heads), "host long, n long, outside boolean, head long"))
+    counted = heads.groupBy("host", "outside", "head").agg(F.round(F.sum(1 / F.col("n"))).alias("n")).where("n > 1")
+    enough = F.when(F.col("outside"), F.col("n") >= OUTSIDE * F.col("pages")).otherwise(
+        (F.col("n") >= MANY) & (F.col("n") * 2 > F.col("pages")))
+    repeated = steps.keep(counted.join(sizes, ["host", "outside"]).where(enough).select("host", "outside", "head"))
+    if repeated.count() <= (SENT_HEADS if sent is None else sent):
+        rows = repeated.mapInArrow(_packed_keys, "keys binary").collect()
+        shared = spark.sparkContext.broadcast(np.unique(np.frombuffer(b"".join(bytes(r["keys"]) for r in rows), np.uint64)))
+
+        def told(host: int, outside: bool) -> Callable[[np.ndarray], np.ndarray]:
+            def find(heads: np.ndarray) -> np.ndarray:
+                if not len(shared.value):
+                    return np.zeros(len(heads), bool)
+                of = np.array([host], np.int64).view(np.uint64)
+                keys = _keys(of, np.array([outside]), heads)
+                return shared.value[np.minimum(np.searchsorted(shared.value, keys), len(shared.value) - 1)] == keys
+            return find
+        return named.select("page_id", "url", "html", "host").mapInArrow(_texts(told, "host"), out)
+    by_page = steps.keep(named.select("page", "host", "html").mapInArrow(
+        W.per_slice("html", _page_heads), "page long, host long, outside boolean, head long")
+        .join(repeated, ["host", "outside", "head"], "left_semi").groupBy("page").agg(
         F.collect_set("head").alias("repeated")))
-    return (named.select("page_id", "url", "html", "page").join(sent_if_small(by_page, 100_000), "page", "left")
-            .mapInArrow(W.per_slice("html", _texts), f"page_id {kind}, url string, text string, n_chars long"))
+
+    def listed(found: list[int] | None, outside: bool) -> Callable[[np.ndarray], np.ndarray]:
+        return lambda heads: np.isin(heads.view(np.int64), found or [])
+    return named.select("page_id", "url", "html", "page").join(sent_if_small(by_page, 100_000), "page", "left").mapInArrow(
+        _texts(listed, "repeated"), out)
+
+
+def _packed_keys(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_pydict({"keys": pa.array([_keys(
+            batch.column("host").to_numpy().view(np.uint64), batch.column("outside").to_numpy(zero_copy_only=False),
+            batch.column("head").to_numpy().view(np.uint64)).tobytes()], pa.binary())})
