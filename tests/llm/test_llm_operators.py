@@ -544,6 +544,13 @@ def test_line_dedup(spark, empty):
     assert line_dedup.dedup(empty).count() == 0
 
 
+def test_line_dedup_of_short_lines_and_blank_rests(spark):
+    rows = [(1, "All rights!\n\nsecond line of it", "", "", 0), (2, "All rights!\n\nsecond line of it", "", "", 0),
+            (3, "All right!\nthird text here", "", "", 0), (4, " \n\n", "", "", 0), (5, None, "", "", 0)]
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.deduped_documents(spark.createDataFrame(rows, DOCS)).collect()}
+    assert kept == {1: rows[0][1], 3: "third text here", 4: " \n\n", 5: None}
+
+
 def test_queries_over_whole_tables(spark, sf_dir):
     import __spark_entry__ as entry
     from tidemark.llm.queries import QUERIES

@@ -38,7 +38,7 @@ from tidemark.llm import words as W
 from tidemark.llm.columns import packed, unpacked
 from tidemark.llm.graph import Steps, sent_if_small
 
-LEAST = 20
+LEAST = 10
 #: Survivors and keys that may be sent to every executor: narrow rows.
 SENDABLE_ROWS = 1_000_000
 
@@ -253,10 +253,11 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def deduped_documents(docs: DataFrame) -> DataFrame:
-    """The documents with their columns and the text left; those that lost every line go.
+    """The documents with their columns and the text left; those that lost every line but blank ones go.
 
     `n_chars`, if there, is counted anew where a text changed.
     """
     out = dedup(packed(docs))
-    out = out.where((F.col("n_kept") > 0) | (F.col("n_lines") == 0))
+    bare = F.btrim("text", F.lit(_WHITE + "\n")) == ""
+    out = out.where(~((F.col("n_kept") < F.col("n_lines")) & F.coalesce(bare, F.lit(False))))
     return unpacked(out, docs, F.col("n_kept") < F.col("n_lines"))
