@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontamination, fingerprints, html_text, licenses, line_dedup, mixing, near_dups, token_counts, toxicity,
-    url_filters,
+    centroids, decontamination, fill_middle, fingerprints, html_text, licenses, line_dedup, mixing, near_dups,
+    token_counts, toxicity, url_filters, warc,
 )
 from tidemark.llm.shipping import ship
 
@@ -83,3 +83,27 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.archived(table(spark, sf_dir, "pages")))
+
+
+ORACLES["op11_warc"] = warc.ORACLE
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(fill_middle.rearranged(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op12_fill_middle"] = fill_middle.ORACLE
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_centroids"] = centroids.ORACLE
