@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,29 +59,80 @@ def test_change_log_of_a_stream(spark, store, control, data, tmp_path):
     assert got == {r.k: str(r.v) for r in latest_per_key(data, KEY, WM).collect()}
 
 
-def test_redelivery_in_later_and_in_the_same_batch(spark, rows, tmp_path):
-    df = rows([("a", 1, "2024-01-01"), ("a", 1, "2024-01-02"), ("a", 2, "2024-01-01")] +
-              [("hot", 0, "2024-01-01")] * 300, "k string, v int, ts string") \
-        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    path = str(tmp_path / "in")
-    df.repartition(3).write.parquet(path)
-    df.write.mode("append").parquet(path)
-    once = ops.drop_redelivery(stream(spark, df, path), KEY, "ts", "30 days")
-    (once.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+def passed_on(stream, tmp_path):
+    """Rows that each batch passes on, in the order of the batches."""
+    out = []
+    (stream.writeStream.outputMode("update").foreachBatch(lambda df, i: out.append(df.collect()))
      .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
      .start().awaitTermination())
-    got = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert sorted((r.k, r.v) for r in got) == [("a", 1), ("a", 2), ("hot", 0)]
+    return [b for b in out if b]
+
+
+D = "k string, v int, ts timestamp_ntz"
+
+
+def day(n):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(n)
+
+
+def land_batches(rows, batches, schema, tmp_path):
+    for batch in batches:
+        rows(batch, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    return rows(batches[0], schema)
+
+
+@pytest.mark.parametrize("partitions", ["1", "4"])
+def test_redelivery(spark, rows, tmp_path, partitions, monkeypatch):
+    """A to B to A gives three rows; copies of the current row, late rows and rows without a time none."""
+    ops.use_rocksdb(spark)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    batches = [
+        [("a", 1, day(1)), ("a", 1, day(2)), ("a", 2, day(3)), (None, 7, day(1)), ("b", None, day(1)),
+         ("x", 1, None)] + [("hot", 0, day(1))] * 300,
+        [("a", 1, day(4)), ("a", 1, day(5)), (None, 7, day(2)), ("b", None, day(3)), ("hot", 0, day(2))],
+        [("a", 2, day(4)), ("a", 3, day(5)), ("a", 2, day(6)), ("b", 1, day(4)), ("hot", 0, day(1))]]
+    df = land_batches(rows, batches, D, tmp_path)
+    out = passed_on(ops.drop_redelivery(stream(spark, df, str(tmp_path / "in")), KEY, "ts", "30 days"), tmp_path)
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    first, second, third = [sorted(((r.k, r.v, r.ts) for r in b), key=repr) for b in out]
+    assert first == sorted([("a", 1, day(1)), ("a", 2, day(3)), (None, 7, day(1)), ("b", None, day(1)),
+                            ("hot", 0, day(1))], key=repr)
+    assert second == [("a", 1, day(4))]
+    three = [] if third[0][1] != 3 else [("a", 3, day(5))]  # equal times go by the hash of the image
+    assert [r for r in third if r[1] != 3] == [("a", 2, day(6)), ("b", 1, day(4))] and len(third) == 2 + len(three)
+
+
+def test_a_quiet_key_is_forgotten(spark, rows, tmp_path):
+    ops.use_rocksdb(spark)
+    batches = [[("a", 1, day(1)), ("b", 1, day(1))], [("b", 1, day(20))], [("b", 2, day(21))],
+               [("a", 1, day(22)), ("b", 2, day(23))]]
+    df = land_batches(rows, batches, D, tmp_path)
+    out = passed_on(ops.drop_redelivery(stream(spark, df, str(tmp_path / "in")), KEY, "ts", "5 days"), tmp_path)
+    seen = sorted((r.k, r.v, r.ts) for b in out for r in b)
+    assert ("a", 1, day(22)) in seen and ("b", 2, day(23)) not in seen
 
 
 def test_latest_state(spark, data, tmp_path):
+    ops.use_rocksdb(spark)
     land(data, str(tmp_path / "in"), 3)
-    latest = ops.latest_state(stream(spark, data, str(tmp_path / "in")), KEY, WM)
-    (latest.writeStream.format("memory").queryName("latest").outputMode("complete")
-     .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
-     .start().awaitTermination())
-    want = latest_per_key(data, KEY, WM)
-    assert row_differences(want, spark.table("latest"), "a", "b").first().equal
+    out = passed_on(ops.latest_state(stream(spark, data, str(tmp_path / "in")), KEY, WM), tmp_path)
+    held = {}
+    for batch in out:
+        for r in batch:
+            assert r.k not in held or (r.CDC_TIMESTAMP_TEXT, r.v) > (held[r.k].CDC_TIMESTAMP_TEXT, held[r.k].v)
+            held[r.k] = r
+    assert {tuple(r) for r in held.values()} == {tuple(r) for r in latest_per_key(data, KEY, WM).collect()}
+
+
+def test_latest_state_passes_on_only_keys_that_moved(spark, rows, tmp_path):
+    ops.use_rocksdb(spark)
+    batches = [[("a", 1, "10"), ("b", 1, "10"), (None, 1, None)], [("a", 2, "05"), ("a", 1, "10"), ("b", 3, "11")],
+               [("a", 0, None), ("a", 0, "12"), (None, 1, None)]]
+    df = land_batches(rows, batches, T, tmp_path)
+    out = passed_on(ops.latest_state(stream(spark, df, str(tmp_path / "in")), KEY, WM), tmp_path)
+    assert [sorted(((r.k, r.v) for r in b), key=repr) for b in out] == [
+        sorted([("a", 1), ("b", 1), (None, 1)], key=repr), [("b", 3)], [("a", 0)]]
 
 
 def test_unread_drains_warn(rows):

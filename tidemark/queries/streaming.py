@@ -56,33 +56,50 @@ def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {LATEST_SQL} SELECT user_id, event_type, event_id FROM latest")
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest row per key kept as streaming state."""
-    latest = ops.latest_state(_landed(spark, sf_dir), KEYS, _WM)
-    out = work_dir(spark, "latest")
+    """What three batches pass on, newest files first, holds the latest row of each key once."""
+    ops.use_rocksdb(spark)
+    out = _run(ops.latest_state(_landed(spark, sf_dir), KEYS, _WM), spark, "latest")
+    return out.groupBy(*KEYS).agg(F.max_by("event_id", F.struct(_WM, "event_id")).alias("event_id"))
 
-    def keep(state: DataFrame, batch_id: int) -> None:
-        state.write.mode("overwrite").parquet(out)
 
-    (latest.writeStream.outputMode("complete").foreachBatch(keep)
-     .option("checkpointLocation", work_dir(spark, "offsets"))
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(out).select(*KEYS, "event_id")
+def _run(stream: DataFrame, spark: SparkSession, purpose: str) -> DataFrame:
+    """Everything a stream passes on, update or append mode alike, with the batch as `batch`."""
+    out = work_dir(spark, purpose)
 
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-@query("SELECT event_id, user_id, event_type FROM events")
-def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event is delivered twice, the second time with a later stamp."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
-    again = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
-    path, third = land_clustered(spark, events.unionByName(again), ["ts", "event_id"], "twice")
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", third)
-              .parquet(path))
-    out = work_dir(spark, "once")
-    once = ops.drop_redelivery(stream, ["event_id"], "ts", "60 days")
-    (once.writeStream.format("parquet").option("path", out)
+    (stream.writeStream.outputMode("update").foreachBatch(keep)
      .option("checkpointLocation", work_dir(spark, "offsets"))
      .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.schema(events.schema).parquet(out).select("event_id", "user_id", "event_type")
+    return spark.read.parquet(out)
+
+
+def _in_order(spark: SparkSession, rows: DataFrame, by: str, cuts: list[str]) -> DataFrame:
+    """Rows landed period by period, four files each, and read a period a batch."""
+    path, bounds = work_dir(spark, "periods"), [None, *cuts, None]
+    for start, end in zip(bounds, bounds[1:]):
+        part = rows if start is None else rows.where(F.col(by) >= at(start))
+        part = part if end is None else part.where(F.col(by) < at(end))
+        part.repartition(4).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path)
+
+
+@query("""
+WITH d AS (SELECT user_id, event_type, ts FROM events
+           UNION ALL SELECT user_id, event_type, ts + INTERVAL 1 MINUTE FROM events),
+s AS (SELECT *, lag(event_type) OVER (
+        PARTITION BY user_id ORDER BY ts, sha256('{"event_type":"' || event_type || '"}')) AS before
+      FROM d)
+SELECT user_id, event_type, ts FROM s WHERE event_type IS DISTINCT FROM before
+""")
+def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each user did last, every row delivered again a minute later; users return to old images."""
+    ops.use_rocksdb(spark)
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    again = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
+    stream = _in_order(spark, events.unionByName(again), "ts", ["2024-01-10", "2024-01-20"])
+    return _run(ops.drop_redelivery(stream, ["user_id"], "ts", "60 days"), spark, "once").drop("batch")
 
 
 @query(f"""

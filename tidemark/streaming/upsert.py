@@ -1,4 +1,4 @@
-"""Landed files as a stream: upsert to Silver, log changes, drop re-deliveries.
+"""Landed files as a stream: upsert to Silver and log changes.
 
 A pure delete never lands as a file; only a snapshot refresh sees it.
 """
@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.fixed import LINEAGE, STALE_DRAIN_DAYS
-from tidemark.functions import row_hash, row_image
 from tidemark.operators.changes import drain_changes
 from tidemark.operators.silver import merge_rows
 from tidemark.sources.control import ControlTables
@@ -50,33 +49,6 @@ def _start(stream: DataFrame, merge, checkpoint: str) -> StreamingQuery:
             .trigger(availableNow=True).start())
 
 
-def drop_redelivery(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str,
-                    exclude: Iterable[str] = LINEAGE) -> DataFrame:
-    """Drop rows whose key and business image were delivered before, within `delay`.
-
-    One image may be most of the stream, and its copies must meet in one task to
-    be dropped. They are therefore dropped per input partition first, so that
-    only one row per partition and image reaches that task.
-    """
-    marked = stream.withColumns({
-        "__image": row_hash(row_image(stream, {*exclude, event_time})),
-        "__time": F.col(event_time).cast("timestamp"), "__part": F.spark_partition_id()})
-    return (marked.withWatermark("__time", delay)
-            .dropDuplicatesWithinWatermark([*keys, "__image", "__part"])
-            .dropDuplicatesWithinWatermark([*keys, "__image"])
-            .drop("__image", "__time", "__part"))
-
-
-def latest_state(stream: DataFrame, keys: Sequence[str], wm: str) -> DataFrame:
-    """The latest row per key as a streaming aggregate (output mode update or complete).
-
-    State is one row per key; each task folds its rows before the shuffle.
-    """
-    row = F.struct(*stream.columns)
-    return (stream.groupBy(*keys).agg(F.max_by(row, F.struct(F.col(wm), row)).alias("__row"))
-            .select("__row.*"))
-
-
 def drain_staleness(drains: DataFrame, as_of: Column, days: int = STALE_DRAIN_DAYS) -> DataFrame:
     """Per object: days since its last committed drain, WARN beyond the limit."""
     return (drains.groupBy("object_name").agg(F.max("logged_at").alias("last_drain"))
