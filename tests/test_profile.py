@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql.types import StructType
 
-from tidemark.operators import profile as ops
+from tidemark.operators import keys, profile as ops
 from tidemark.sources import file_listing, listing_mark, read_source, write_sink
 
 HASH = "0123456789abcdef0123456789abcdef"
@@ -101,3 +103,26 @@ def test_catalogue_tables(spark):
 def test_key_behind_the_sixth_column(rows):
     df = rows([(1, 1, 1, 1, 1, 1, i) for i in range(9)], ", ".join(f"c{i} int" for i in range(7)))
     assert ops.infer_key(df).first().key_parts == 7
+
+
+@pytest.mark.parametrize("distinct, want, confirmed", [(1, None, 0), (12, None, 0), (2_000, 100, 1)])
+def test_a_wide_table_costs_two_scans_at_most(spark, monkeypatch, distinct, want, confirmed):
+    seen, whole = [], keys.shortest_unique
+    monkeypatch.setattr(keys, "shortest_unique", lambda *a: seen.append(a) or whole(*a))
+    df = spark.range(2_000).selectExpr(*[f"id % {7 + i % 3} AS c{i}" for i in range(99)], f"id % {distinct} AS c99")
+    assert ops.infer_key(df).first().key_parts == want and len(seen) == confirmed
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_shortest_unique_prefix_among_near_ones(spark, rows, seed):
+    rng = random.Random(seed)
+    data = {tuple(rng.choice([None, 0, 1, 2]) if j else rng.randrange(3000) for j in range(5)) for _ in range(900)}
+    data = [*data, *([(7, 1, 1, 1, 1)] * 2 if seed == 7 else [])]
+    want = next((i for i in range(1, 6) if len({r[:i] for r in data}) == len(data)), None)
+    assert ops.infer_key(rows(data, ", ".join(f"c{i} int" for i in range(5)))).first().key_parts == want
+
+
+def test_masked_columns_are_in_the_profile(rows):
+    df = rows([("a", "x", 1), ("b", "****", 2), ("c", None, 3)], "k string, m string, z int")
+    r = ops.profile_objects({"T": df}).first()
+    assert (r.inferred_key, r.masked_columns) == ("k", "m")

@@ -47,18 +47,23 @@ _LEADING = {
 def _profiled(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"ORDERS": table(spark, sf_dir, "orders"),
             "LINEITEM": table(spark, sf_dir, "lineitem"),
-            "CONVERSATIONS": table(spark, sf_dir, "conversations"),
+            "CONVERSATIONS": table(spark, sf_dir, "conversations").withColumn(
+                "text", F.when(F.col("role") == "user", F.col("text")).otherwise("********")),
             "EVENTS": events_standard(spark, sf_dir), "CHANGES": events_custom(spark, sf_dir)}
 
 
 def _profile_sql(name: str, track: str, flow: str, wm: str, indicators: str) -> str:
     source, columns = _LEADING[name]
     key = inferred_sql(source, columns)
+    masked = "''"
+    if name == "CONVERSATIONS":  # what others than the user say is masked
+        masked = ("(SELECT CASE WHEN bool_or(role IS DISTINCT FROM 'user') THEN 'text' ELSE '' END "
+                  "FROM conversations)")
     if name == "CHANGES":
         key = f"replace({key}, 'ts', 'ZZLASTCHGDATE')"
     return f"""SELECT '{name}' AS object_name, (SELECT count(*) FROM {source}) AS n_rows,
         '{track}' AS track, {flow} AS flow_hash, {wm} AS watermark_column,
-        {key} AS inferred_key, '{indicators}' AS indicators"""
+        {key} AS inferred_key, {masked} AS masked_columns, '{indicators}' AS indicators"""
 
 
 PROFILE_SQL = "\nUNION ALL\n".join([
@@ -82,7 +87,8 @@ def object_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 SELECT count(*) AS objects, count(DISTINCT flow_hash) AS flow_hashes,
        count(*) AS undeclared_keys,
-       count(*) FILTER (WHERE track = 'NONE') AS without_signal
+       count(*) FILTER (WHERE track = 'NONE') AS without_signal,
+       count(*) FILTER (WHERE masked_columns <> '') AS masked_objects
 FROM ({PROFILE_SQL})
 """)
 def profile_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
