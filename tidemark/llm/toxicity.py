@@ -15,12 +15,14 @@ word, and the means of what the words' ratios exceed each of `MARKS` by. A
 logistic regression turns these into the chance of the label; it is fitted on
 labelled documents held back from the counts, then the counts of these are added.
 
-All counts, of classes and shared, are tables and grow with the input; none is left
-out. The distinct words of the documents are spelled, their runs joined with the
-counts, and the ratios of the runs summed by word. Word ratios that are not zero go to
-the executors as two arrays up to `SENT_WORDS`; beyond that each text gets those of its
-words by a join. Only the regression is bounded: it is fitted on at most `MAX_LABELLED`
-of the documents held back, by hash order.
+All counts, of classes and shared, grow with the input; none is left out. One pass
+over the documents emits the distinct runs of letters of each task, with their counts
+by class; runs whose letters before the last agree in three meet in one task, where
+everything that the chances of a run depend on, down to the fourth order, is at hand.
+The three lowest orders, over runs of at most three letters, go there as an array. The
+ratios of runs go to the executors as two arrays up to `SENT_RUNS`; beyond that each
+text gets the ratios of its words by joins. Only the regression is bounded: it is fitted
+on at most `MAX_LABELLED` of the documents held back, by hash order.
 
 Nulls: a null or empty text has no words and the score of a document without
 evidence. A null id has no label and is not held out. Labels that repeat count
@@ -35,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
@@ -49,9 +51,13 @@ SPAN = 8
 #: Ratios above which a word counts as a mark of toxicity, for the features.
 MARKS = (0.5, 1.0, 2.0, 3.0)
 MAX_LABELLED = 200_000
-#: Words with a ratio (12 bytes each) that are sent to every executor; more are joined to the texts.
-SENT_WORDS = 10_000_000
-#: Ratios are summed as whole numbers of this part, so that the order of rows changes nothing.
+#: Runs with a ratio (12 bytes each) that are sent to every executor; more are joined to the texts.
+SENT_RUNS = 10_000_000
+#: Distinct runs that a task holds before it passes them on, and that it compares at once.
+HELD_RUNS = 500_000
+#: Letters before the last by which runs meet, and the highest order below, which is sent.
+MEET = 3
+#: Ratios are summed as whole numbers of this part where the order of rows is not fixed.
 UNIT = 2.0**-32
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
@@ -60,6 +66,9 @@ _U = np.uint64
 
 
 FEATURES = 5 + 2 * len(MARKS)
+#: Labelled documents are of two classes, counted or kept back.
+PARTS = 4
+_COUNTS = "run long, " + ", ".join(f"n{i} int" for i in range(PARTS))
 
 
 def _mask(order: int) -> int:
@@ -93,33 +102,37 @@ class Spelled:
         self.owner = np.repeat(np.arange(len(sizes)), sizes + 1)
 
 
-def _class_runs(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Runs of ORDER letters in the words of labelled documents, counted for each label and part."""
-    group = (batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64) * 2
-             + batch.column("kept_back").to_numpy(zero_copy_only=False))
-    parts = []
-    for g in np.unique(group):
-        spelled = Spelled(W.Words(batch.column("text").filter(pa.array(group == g))))
-        runs, where = np.unique(spelled.runs, return_inverse=True)
-        n = np.bincount(where, weights=spelled.times[spelled.owner], minlength=len(runs)).astype(np.int64)
-        parts.append(pa.RecordBatch.from_pydict({
-            "class": pa.array(np.full(len(runs), g // 2, np.int32)),
-            "kept_back": pa.array(np.full(len(runs), g % 2, np.int32)),
-            "run": pa.array(runs.view(np.int64)), "n": pa.array(n)}))
-    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-
-
-def _shared_runs(batches):
-    """Distinct runs of SHARED + 1 letters in the words of some documents."""
-    seen = np.zeros(0, np.uint64)
+def _run_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct runs of ORDER letters in the words of all documents, and how often labelled parts hold each.
+
+    A part is 2 * toxic + kept_back; documents without a label have none and count 0.
+    """
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
-        for part in W.slices(batch, "text"):
-            runs = Spelled(W.Words(part.column("text"))).runs & _U(_mask(SHARED + 1))
-            seen = np.union1d(seen, runs)
-            if len(seen) > 500_000:
-                yield pa.RecordBatch.from_pydict({"run": pa.array(seen.view(np.int64))})
-                seen = np.zeros(0, np.uint64)
-    yield pa.RecordBatch.from_pydict({"run": pa.array(seen.view(np.int64))})
+        for rows in W.slices(batch, "text"):
+            found = W.Words(rows.column("text"))
+            spelled = Spelled(found)
+            part = rows.column("part").fill_null(PARTS).to_numpy()[found.rows]
+            n = np.bincount(spelled.word * (PARTS + 1) + part, minlength=len(spelled.times) * (PARTS + 1))
+            held.append((spelled.runs, n.reshape(-1, PARTS + 1)[spelled.owner, :PARTS]))
+            if sum(len(runs) for runs, _ in held) > HELD_RUNS:
+                held = [_summed(held)]
+                if len(held[0][0]) > HELD_RUNS // 2:
+                    yield _count_rows(*held.pop())
+    if held:
+        yield _count_rows(*_summed(held))
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct runs in order with the sums of their counts."""
+    runs, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    counts = np.concatenate([p[1] for p in parts])
+    return runs, np.stack([np.bincount(where, weights=c, minlength=len(runs)) for c in counts.T], 1).astype(np.int64)
+
+
+def _count_rows(runs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"run": pa.array(runs.view(np.int64)),
+                                       **{f"n{i}": pa.array(counts[:, i].astype(np.int32)) for i in range(PARTS)}})
 
 
 def _distinct_words(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -144,13 +157,6 @@ def _spellings(batch: pa.RecordBatch) -> pa.RecordBatch:
                                        "run": pa.array(spelled.runs.view(np.int64))})
 
 
-def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with the sum of n and the number of entries of each."""
-    distinct, where = np.unique(keys, return_inverse=True)
-    return (distinct, np.bincount(where, weights=n, minlength=len(distinct)),
-            np.bincount(where, minlength=len(distinct)).astype(float))
-
-
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each wanted key in sorted keys, and whether it is there."""
     if not len(keys):
@@ -159,101 +165,119 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-@dataclass
-class _Level:
-    """Discounted counts of runs of one order: P(last letter | letters before) without the backoff.
-
-    `n` counts a run, `totals` and `kinds` the runs of a context, all or distinct; keys are sorted.
+def _share(runs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Own part of the chance of each distinct run after its context, and the weight of the backoff."""
+    _, context = np.unique(runs >> _U(8), return_inverse=True)
+    total = np.bincount(context, weights=n)[context]
+    kinds = np.bincount(context, weights=n > 0)[context]
+    known = np.maximum(total, 1)
+    return (np.where(total > 0, np.maximum(n - DISCOUNT, 0) / known, 0),
+            np.where(total > 0, DISCOUNT * kinds / known, 1))
+
+
+def lowest(runs: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Chances of the last letters of distinct runs of MEET letters, counted by the letters before them."""
+    if not len(runs):
+        return np.zeros(0)
+    levels = [(runs, n, np.zeros(0, np.int64))]
+    for order in range(MEET - 1, 0, -1):
+        below, where, count = np.unique(levels[-1][0] & _U(_mask(order)), return_inverse=True, return_counts=True)
+        levels.append((below, count, where))
+    chance = np.full(1, 1 / 256)
+    for at, (level, count, _) in reversed(list(enumerate(levels))):
+        own, weight = _share(level, count)
+        rest = chance[levels[at + 1][2]] if at + 1 < len(levels) else chance
+        chance = own + weight * rest
+    return chance
+
+
+def run_ratios(runs: np.ndarray, counts: np.ndarray, low_runs: np.ndarray, low_chances: np.ndarray
+               ) -> tuple[np.ndarray, np.ndarray]:
+    """Log ratios of the classes' chances for distinct runs: without and with the parts kept back.
+
+    Holds all runs that share the MEET letters before the last of any of them.
     """
-
-    runs: np.ndarray
-    n: np.ndarray
-    contexts: np.ndarray
-    totals: np.ndarray
-    kinds: np.ndarray
-
-    @classmethod
-    def of(cls, runs: np.ndarray, n: np.ndarray) -> _Level:
-        runs, n, _ = _sums(runs, n)
-        return cls(runs, n, *_sums(runs >> _U(8), n))
-
-    def share(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Own part of the probability of each run, and the weight of the backoff."""
-        at, known = _find(self.contexts, runs >> _U(8))
-        run_at, seen = _find(self.runs, runs)
-        own, weight = np.zeros(len(runs)), np.ones(len(runs))
-        total = self.totals[at[known]] if known.any() else np.zeros(0)
-        weight[known] = DISCOUNT * self.kinds[at[known]] / total if known.any() else 0
-        both = known & seen
-        if both.any():
-            own[both] = np.maximum(self.n[run_at[both]] - DISCOUNT, 0) / self.totals[at[both]]
-        return own, weight
-
-
-def _up(column: str) -> Column:
-    """The letters before the last of a run."""
-    return F.shiftrightunsigned(column, 8)
-
-
-def _contexts(runs: DataFrame) -> DataFrame:
-    """Sum and number of the runs of each context, by class."""
-    return runs.groupBy(_up("run").alias("run")).agg(*(x for c in (0, 1) for x in (
-        F.sum(f"n{c}").alias(f"total{c}"), F.count(F.when(F.col(f"n{c}") > 0, 1)).alias(f"kinds{c}"))))
+    levels, wheres = [(runs, None)], []
+    for order in range(ORDER - 1, MEET, -1):
+        below, where, count = np.unique(levels[-1][0] & _U(_mask(order)), return_inverse=True, return_counts=True)
+        levels.append((below, count))
+        wheres.append(where)
+    chance = low_chances[_find(low_runs, levels[-1][0] & _U(_mask(MEET)))[0]]
+    for level in range(len(levels) - 1, 1, -1):  # shared orders, from the lowest
+        own, weight = _share(*levels[level])
+        chance = (own + weight * chance)[wheres[level - 1]]
+    below, where = levels[1][0], wheres[0]
+
+    def class_chance(n: np.ndarray) -> np.ndarray:
+        own, weight = _share(below, np.bincount(where, weights=n > 0, minlength=len(below)))
+        low = (own + weight * chance)[where]
+        own, weight = _share(runs, n)
+        return own + weight * low
+    fitted = np.log(class_chance(counts[:, 2]) / class_chance(counts[:, 0]))
+    whole = np.log(class_chance(counts[:, 2] + counts[:, 3]) / class_chance(counts[:, 0] + counts[:, 1]))
+    return fitted, whole
+
+
+def _ratio_rows(low_runs, low_chances) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of counts sorted by `meet` to rows of ratios; runs that meet are compared together."""
+    def work(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        runs, counts = _summed(parts)
+        fitted, whole = run_ratios(runs, counts, low_runs.value, low_chances.value)
+        some = np.flatnonzero((fitted != 0) | (whole != 0))
+        return pa.RecordBatch.from_pydict({
+            "run": pa.array(runs[some].view(np.int64)), "fitted": pa.array(fitted[some].astype(np.float32)),
+            "whole": pa.array(whole[some].astype(np.float32))})
+
+    def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, last = [], 0, None
+        for batch in batches:
+            runs = batch.column("run").to_numpy().view(np.uint64)
+            counts = np.stack([batch.column(f"n{i}").to_numpy() for i in range(PARTS)], 1)
+            meets = (runs >> _U(8)) & _U(_mask(MEET))
+            others = np.flatnonzero(meets != last)
+            if size > HELD_RUNS and len(others):
+                cut = others[0]
+                yield work([*held, (runs[:cut], counts[:cut])])
+                held, size, runs, counts = [], 0, runs[cut:], counts[cut:]
+            held.append((runs, counts))
+            size += len(runs)
+            last = meets[-1] if len(meets) else last
+        if size:
+            yield work(held)
+    return ratios
 
 
 @dataclass
-class Counts:
-    """Tables of counts by class of runs (`n0`, `n1`) and of their contexts (`total0`, `kinds0`, ...), for whole
-    runs and for the order below, and `back`: the shared chance of the letters further below."""
+class Ratios:
+    """Log ratios of runs, `fitted` without the documents kept back and `whole` with them."""
 
-    top: DataFrame
-    top_contexts: DataFrame
-    low: DataFrame
-    low_contexts: DataFrame
-    back: DataFrame
+    runs: DataFrame
 
     @classmethod
-    def of(cls, steps: Steps, runs: DataFrame, back: DataFrame) -> Counts:
-        top = steps.keep(runs.groupBy("run").agg(*(
-            F.sum(F.when(F.col("class") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1))))
-        low = steps.keep(top.groupBy(F.col("run").bitwiseAND(_mask(ORDER - 1)).alias("run")).agg(*(
-            F.count(F.when(F.col(f"n{c}") > 0, 1)).alias(f"n{c}") for c in (0, 1))))
-        return cls(top, steps.keep(_contexts(top)), low, steps.keep(_contexts(low)), back)
-
-    def run_ratios(self, runs: DataFrame) -> DataFrame:
-        """(run, ratio) of distinct runs, in `UNIT`; runs without a ratio are left out.
-
-        Where no class has seen the order below, the shared chance cancels; where
-        none has seen its context either, nothing is left of the ratio.
+    def of(cls, steps: Steps, counts: DataFrame) -> Ratios:
+        spark = counts.sparkSession
+        short = (counts.select(F.col("run").bitwiseAND(_mask(MEET + 1)).alias("run")).distinct()
+                 .groupBy(F.col("run").bitwiseAND(_mask(MEET)).alias("run")).agg(F.count("*").alias("n"))).collect()
+        runs = np.array([r["run"] for r in short], np.uint64)
+        order = np.argsort(runs)
+        runs, n = runs[order], np.array([r["n"] for r in short], np.int64)[order]
+        low = spark.sparkContext.broadcast(runs), spark.sparkContext.broadcast(lowest(runs, n))
+        meet = F.shiftrightunsigned("run", 8).bitwiseAND(_mask(MEET))
+        return cls(steps.keep(counts.withColumn("meet", meet).repartition("meet").sortWithinPartitions("meet")
+                              .drop("meet").mapInArrow(_ratio_rows(*low), "run long, fitted float, whole float")))
+
+    def word_ratios(self, steps: Steps, docs: DataFrame, kind: str) -> DataFrame:
+        """(word, ratio) of the distinct words of texts, the word as its hash; words without a ratio are left out.
+
+        Every word shares its first runs with many, so those, which are few, are broadcast.
         """
-        def named(table: DataFrame, key: str, prefix: str) -> DataFrame:
-            return table.select(F.col("run").alias(key), *(F.col(x).alias(prefix + x) for x in table.columns[1:]))
-
-        def mixed(prefix: str, c: int, rest: Column) -> Column:
-            n, total, kinds = (F.coalesce(F.col(f"{prefix}{x}{c}"), F.lit(0)) for x in ("n", "total", "kinds"))
-            return F.when(total > 0, (F.greatest(n - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * rest) / total).otherwise(
-                rest)
-
-        found = (runs.select("run", _up("run").alias("context"),
-                             F.col("run").bitwiseAND(_mask(ORDER - 1)).alias("below"),
-                             F.col("run").bitwiseAND(_mask(SHARED)).alias("rest"))
-                 .withColumn("below_context", _up("below"))
-                 .join(named(self.low_contexts, "below_context", "low_"), "below_context")
-                 .join(named(self.low, "below", "low_"), "below", "left")
-                 .join(named(self.top_contexts, "context", "top_"), "context", "left")
-                 .join(named(self.top, "run", "top_"), "run", "left")
-                 .join(named(self.back, "rest", ""), "rest", "left"))
-        rest = F.coalesce("back", F.lit(1.0))
-        chances = [mixed("top_", c, mixed("low_", c, rest)) for c in (0, 1)]
-        ratio = F.round((F.log(chances[1]) - F.log(chances[0])) / UNIT).cast("long")
-        return found.select("run", ratio.alias("ratio")).where("ratio <> 0")
-
-    def word_ratios(self, steps: Steps, docs: DataFrame) -> DataFrame:
-        """(word, ratio) of the distinct words of texts, the word as its hash; words without a ratio are left out."""
+        ratios = self.runs.select("run", F.round(F.col(kind).cast("double") / UNIT).cast("long").alias("ratio"))
+        start = F.shiftrightunsigned("run", 8 * MEET) == 0
         spelled = steps.keep(_words(docs).mapInArrow(W.per_slice("text", _spellings, 500_000), "word long, run long"))
-        ratios = self.run_ratios(spelled.select("run").distinct())
-        return steps.keep(spelled.join(ratios, "run").groupBy("word").agg(
-            (F.sum("ratio") * UNIT).cast("float").alias("ratio")).where("ratio <> 0"))
+        found = spelled.where(start).join(F.broadcast(ratios.where(start)), "run").unionByName(
+            spelled.where(~start).join(ratios.where(~start), "run"))
+        return steps.keep(found.groupBy("word").agg((F.sum("ratio") * UNIT).cast("float").alias("ratio"))
+                          .where("ratio <> 0"))
 
 
 def _words(docs: DataFrame) -> DataFrame:
@@ -262,9 +286,9 @@ def _words(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Counts, if there are labels of both kinds, and the weights of the features."""
+    """Ratios of runs, if there are labels of both kinds, and the weights of the features."""
 
-    counts: Counts | None
+    ratios: Ratios | None
     weights: np.ndarray
     base: float
 
@@ -272,19 +296,34 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(features @ self.weights, -30, 30)))
 
 
-def features(column: pa.Array, words: np.ndarray, word_ratios: np.ndarray) -> np.ndarray:
+def by_runs(found: W.Words, runs: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+    """The ratio of each word: the sum over its letters; `runs` are sorted."""
+    spelled = Spelled(found)
+    distinct, where = np.unique(spelled.runs, return_inverse=True)
+    at, seen = _find(runs, distinct)
+    each = np.zeros(len(distinct))
+    each[seen] = ratios[at[seen]]
+    return np.bincount(spelled.owner, weights=each[where], minlength=len(spelled.times))[spelled.word]
+
+
+def by_words(found: W.Words, words: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+    """The ratio of each word, found by its hash; `words` are sorted."""
+    distinct, where = np.unique(found.hashes(), return_inverse=True)
+    at, seen = _find(words, distinct)
+    each = np.zeros(len(distinct))
+    each[seen] = ratios[at[seen]]
+    return each[where]
+
+
+def features(column: pa.Array, word_ratios: Callable[[W.Words], np.ndarray]) -> np.ndarray:
     """A one, the mean ratio, the best mean of SPAN words, the best word, the logarithm of the
-    length, and for each mark the excess by length and by its square root; `words` are sorted hashes."""
+    length, and for each mark the excess by length and by its square root."""
     found = W.Words(column)
     out = np.zeros((len(column), FEATURES))
     out[:, 0] = 1
     if not len(found):
         return out
-    hashes, where = np.unique(found.hashes(), return_inverse=True)
-    at, seen = _find(words, hashes)
-    ratios = np.zeros(len(hashes))
-    ratios[seen] = word_ratios[at[seen]]
-    ratios = ratios[where]
+    ratios = word_ratios(found)
     sums = np.r_[0.0, np.cumsum(ratios)]
     first, counts = found.first, found.counts
     some = np.flatnonzero(counts)
@@ -333,85 +372,31 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     base = shares.get(1, 0) / max(1, sum(shares.values()))
     if len(shares) < 2:
         return Model(None, np.zeros(FEATURES), base)
-    labelled = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    runs = steps.keep(labelled.join(sent_if_small(marked), "doc_id")
-                      .select("text", "toxic", (remainder() == 3).cast("int").alias("kept_back"))
-                      .mapInArrow(W.per_slice("text", _class_runs), "class int, kept_back int, run long, n long")
-                      .groupBy("class", "kept_back", "run").agg(F.sum("n").alias("n")))
-    shared = steps.keep(_words(docs).mapInArrow(_shared_runs, "run long").distinct()
-                        .groupBy(F.col("run").bitwiseAND(_mask(SHARED)).alias("run")).agg(F.count("*").alias("n")))
-    lower = steps.keep(_wanted_counts(steps.keep(_lower_counts(shared)), runs))
-    back = steps.keep(_backoff(lower))
+    part = (2 * F.col("toxic") + (remainder() == 3).cast("int")).cast("int").alias("part")
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    counts = steps.keep(texts.join(sent_if_small(marked.select("doc_id", part)), "doc_id", "left")
+                        .select("text", "part").mapInArrow(_run_counts, _COUNTS))
+    ratios = Ratios.of(steps, counts)
     sample = steps.keep(marked.where(remainder() == 3).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
     # Texts of at most max_labelled ids.
-    kept_back = steps.keep(labelled.join(F.broadcast(sample), "doc_id").select("text", "toxic"))
-    ratios = Counts.of(steps, runs.where("kept_back = 0"), back).word_ratios(steps, kept_back)
+    kept_back = steps.keep(texts.join(F.broadcast(sample), "doc_id").select("text", "toxic"))
 
-    def work(batch: pa.RecordBatch, words: np.ndarray, word_ratios: np.ndarray) -> pa.RecordBatch:
-        x = np.c_[features(batch.column("text"), words, word_ratios),
-                  batch.column("toxic").to_numpy(zero_copy_only=False)]
+    def work(batch: pa.RecordBatch, word_ratios: Callable[[W.Words], np.ndarray]) -> pa.RecordBatch:
+        x = np.c_[features(batch.column("text"), word_ratios), batch.column("toxic").to_numpy(zero_copy_only=False)]
         return pa.RecordBatch.from_pydict({"x": pa.array([x.astype(np.float64).tobytes()], pa.binary())})
 
     width = FEATURES + 1
-    found = np.concatenate([np.zeros((0, width)), *(
-        np.frombuffer(r["x"]).reshape(-1, width) for r in _with_ratios(kept_back, ratios, work, "x binary").collect())])
-    weights = logistic(found[:, :-1], found[:, -1]) if len(found) else np.zeros(FEATURES)
-    return Model(Counts.of(steps, runs, back), weights, base)
-
-
-def _backoff(lower: DataFrame) -> DataFrame:
-    """(run, back): the chance of the last letter of each run of the highest shared order."""
-    found = None
-    for order in range(1, SHARED + 1):
-        part = lower.where(F.col("order") == order)
-        contexts = part.where("context").select(F.col("run").alias("above"), F.col("n").alias("total"), "kinds")
-        runs = part.where("not context").select("run", "n", _up("run").alias("above")).join(contexts, "above")
-        if found is None:
-            runs = runs.withColumn("back", F.lit(1 / 256))
-        else:
-            runs = runs.withColumn("below", F.col("run").bitwiseAND(_mask(order - 1))).join(
-                found.withColumnRenamed("run", "below"), "below")
-        found = runs.select("run", ((F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("kinds")
-                                     * F.col("back")) / F.col("total")).alias("back"))
-    return found
-
-
-def _suffixes(longer: int) -> F.Column:
-    """(order, run) of the last letters of `run` for each shared order, `longer` letters more than it."""
-    top = SHARED - longer
-    return F.inline(F.array(*(F.struct(F.lit(order).alias("order"),
-                                       F.col("run").bitwiseAND(_mask(order + longer)).alias("run"))
-                              for order in range(1, top + 1))))
-
-
-def _lower_counts(shared: DataFrame) -> DataFrame:
-    """Counts of every shared order, and of its contexts, from those of the highest.
-
-    A run of a lower order counts the distinct runs of one letter more that end in it.
-    """
-    mask = F.expr("shiftleft(1L, 8 * order) - 1")
-    below = (shared.select(_suffixes(1)).distinct()
-             .groupBy("order", F.col("run").bitwiseAND(mask).alias("run")).agg(F.count("*").alias("n")))
-    runs = shared.select(F.lit(SHARED).alias("order"), "run", "n").unionByName(below)
-    contexts = (runs.groupBy("order", F.shiftright("run", 8).alias("run"))
-                .agg(F.sum("n").alias("n"), F.count("*").alias("kinds")))
-    return runs.select("order", F.lit(False).alias("context"), "run", "n", F.lit(0).cast("long").alias("kinds")
-                       ).unionByName(contexts.select("order", F.lit(True).alias("context"), "run", "n", "kinds"))
-
-
-def _wanted_counts(lower: DataFrame, counts: DataFrame) -> DataFrame:
-    """The shared counts that the runs of the classes back off to."""
-    runs = counts.select(_suffixes(0)).distinct()
-    contexts = runs.select("order", F.lit(True).alias("context"), F.shiftright("run", 8).alias("run")).distinct()
-    wanted = runs.select("order", F.lit(False).alias("context"), "run").unionByName(contexts)
-    return lower.join(wanted, ["order", "context", "run"], "left_semi")
+    rows = _with_ratios(kept_back, ratios, "fitted", work, "x binary").collect()
+    found = np.concatenate([np.zeros((0, width)), *(np.frombuffer(r["x"]).reshape(-1, width) for r in rows)])
+    found = found[np.lexsort(found.T)]  # the sums of the regression shall not follow the order of tasks
+    return Model(ratios, logistic(found[:, :-1], found[:, -1]) if len(found) else np.zeros(FEATURES), base)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and ratios of a batch as two byte strings."""
+    """Runs and ratios of a batch as two byte strings."""
     for batch in batches:
-        yield pa.RecordBatch.from_pydict({n: pa.array([batch.column(n).to_numpy().tobytes()], pa.binary())
-                                          for n in ("word", "ratio")})
+        yield pa.RecordBatch.from_pydict({n: pa.array([batch.column(i).to_numpy().tobytes()], pa.binary())
+                                          for i, n in enumerate(("run", "ratio"))})
 
 
 def _text_words(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -421,27 +406,31 @@ def _text_words(batch: pa.RecordBatch) -> pa.RecordBatch:
                                        "word": pa.array(found.hashes().view(np.int64))})
 
 
-def _with_ratios(docs: DataFrame, ratios: DataFrame, work: Callable[..., pa.RecordBatch], schema,
+def _with_ratios(docs: DataFrame, ratios: Ratios, kind: str, work: Callable[..., pa.RecordBatch], schema,
                  sent: int | None = None) -> DataFrame:
-    """The documents by `work`, which gets a slice of them and the sorted words that have a ratio, with these."""
-    if ratios.count() <= (SENT_WORDS if sent is None else sent):
-        rows = ratios.mapInArrow(_pairs, "word binary, ratio binary").collect()
-        words = np.frombuffer(b"".join(bytes(r["word"]) for r in rows), np.uint64)
-        order = np.argsort(words)
+    """The documents by `work`, which gets a slice of them and a function from its words to their ratios."""
+    runs = ratios.runs.select("run", kind).where(F.col(kind) != 0)
+    if runs.count() <= (SENT_RUNS if sent is None else sent):
+        rows = runs.mapInArrow(_pairs, "run binary, ratio binary").collect()
+        keys = np.frombuffer(b"".join(bytes(r["run"]) for r in rows), np.uint64)
+        order = np.argsort(keys)
         shared = docs.sparkSession.sparkContext.broadcast(
-            (words[order], np.frombuffer(b"".join(bytes(r["ratio"]) for r in rows), np.float32)[order]))
-        return docs.mapInArrow(W.per_slice("text", lambda batch: work(batch, *shared.value)), schema)
+            (keys[order], np.frombuffer(b"".join(bytes(r["ratio"]) for r in rows), np.float32)[order]))
+        return docs.mapInArrow(W.per_slice(
+            "text", lambda batch: work(batch, lambda found: by_runs(found, *shared.value))), schema)
+    words = ratios.word_ratios(Steps(docs.sparkSession, "toxicity-words"), docs, kind)
     key = F.xxhash64("text").alias("key")
     found = (docs.select(key, "text").mapInArrow(W.per_slice("text", _text_words), "key long, word long").distinct()
-             .join(ratios, "word").groupBy("key").agg(F.collect_list(F.struct("word", "ratio")).alias("found")))
+             .join(words, "word").groupBy("key").agg(F.collect_list(F.struct("word", "ratio")).alias("found")))
     rows = docs.select(key, "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).join(
         found, "key", "left")
 
     def joined(batch: pa.RecordBatch) -> pa.RecordBatch:
         pairs = batch.column("found").flatten()
-        words, at = np.unique(pairs.field("word").to_numpy().view(np.uint64), return_index=True)
-        return work(pa.RecordBatch.from_struct_array(batch.column("row")), words,
-                    pairs.field("ratio").to_numpy()[at])
+        hashes, at = np.unique(pairs.field("word").to_numpy().view(np.uint64), return_index=True)
+        each = pairs.field("ratio").to_numpy()[at]
+        return work(pa.RecordBatch.from_struct_array(batch.column("row")),
+                    lambda found: by_words(found, hashes, each))
     return rows.select("row", "text", "found").mapInArrow(W.per_slice("text", joined), schema)
 
 
@@ -450,11 +439,10 @@ def scores(docs: DataFrame, model: Model, sent: int | None = None) -> DataFrame:
     docs = docs.drop("score")
     if not model.weights.any():
         return docs.withColumn("score", F.lit(float(model.base)))
-    ratios = model.counts.word_ratios(Steps(docs.sparkSession, "toxicity-scores"), docs)
     judge = Model(None, model.weights, model.base)
 
-    def work(batch: pa.RecordBatch, words: np.ndarray, word_ratios: np.ndarray) -> pa.RecordBatch:
-        found = judge.score(features(batch.column("text"), words, word_ratios))
+    def work(batch: pa.RecordBatch, word_ratios: Callable[[W.Words], np.ndarray]) -> pa.RecordBatch:
+        found = judge.score(features(batch.column("text"), word_ratios))
         return pa.RecordBatch.from_pydict({**{n: batch.column(n) for n in batch.schema.names},
                                            "score": pa.array(found)})
-    return _with_ratios(docs, ratios, work, docs.withColumn("score", F.lit(0.0)).schema, sent)
+    return _with_ratios(docs, model.ratios, "whole", work, docs.withColumn("score", F.lit(0.0)).schema, sent)
