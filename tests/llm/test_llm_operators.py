@@ -91,95 +91,109 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(0 <= r["score"] <= 1 for r in found.values())
 
 
-def test_toxicity_shared_counts_are_whole(spark):
-    rng = random.Random(5)
-    texts = [prose(rng, 30) for _ in range(20)]
-    ends = collections.defaultdict(set)  # runs of an order: the runs of one letter more that end in them
-    for word in {w for t in texts for w in words_of(t)}:
-        letters = bytes(toxicity.SHARED + 1) + word.encode() + b"\0"
-        for end in range(toxicity.SHARED + 1, len(letters)):
-            run = letters[end - toxicity.SHARED:end + 1]
-            for order in range(1, toxicity.SHARED + 1):
-                ends[order, run[-order:]].add(run[-order - 1:])
-    kinds = collections.defaultdict(list)
-    for (order, run), longer in ends.items():
-        kinds[order, run[:-1]].append(len(longer))
-    want = {(o, False, int.from_bytes(r, "big")): (len(x), 0) for (o, r), x in ends.items()}
-    want |= {(o, True, int.from_bytes(r, "big")): (sum(x), len(x)) for (o, r), x in kinds.items()}
-    shared = (spark.createDataFrame([(t,) for t in texts], "text string").mapInArrow(toxicity._shared_runs, "run long")
-              .distinct().groupBy(F.col("run").bitwiseAND(toxicity._mask(toxicity.SHARED)).alias("run"))
-              .agg(F.count("*").alias("n")))
-    lower = toxicity._lower_counts(shared)
-    assert {(r["order"], r["context"], r["run"]): (r["n"], r["kinds"]) for r in lower.collect()} == want
-    counts = shared.limit(3).selectExpr("run", "0 as class", "0 as kept_back", "n")
-    near = toxicity._wanted_counts(lower, counts).collect()
-    runs = {(o, r["run"] & toxicity._mask(o)) for r in counts.collect() for o in range(1, toxicity.SHARED + 1)}
-    assert {(r["order"], r["run"]) for r in near if not r["context"]} == runs
-
-
 def test_toxicity_without_labels_or_rows(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in toxicity.scores(docs, toxicity.fit(docs, none)).collect()} == {0.0}
     assert toxicity.scores(empty, toxicity.fit(empty, none)).count() == 0
 
 
+def kneser_ney(counts):
+    """Own part and backoff weight by context and letter, for counts of runs as bytes."""
+    total, kinds = collections.Counter(), collections.Counter()
+    for run, n in counts.items():
+        total[run[:-1]] += n
+        kinds[run[:-1]] += 1
+
+    def share(run):
+        if not total[run[:-1]]:
+            return 0.0, 1.0
+        return (max(counts[run] - toxicity.DISCOUNT, 0) / total[run[:-1]],
+                toxicity.DISCOUNT * kinds[run[:-1]] / total[run[:-1]])
+    return share
+
+
+def letter_runs(word):
+    letters = bytes(toxicity.ORDER) + word.encode() + b"\0"
+    return [letters[i - 7:i + 1] for i in range(toxicity.ORDER, len(letters))]
+
+
+def brute_ratio(texts, by_class):
+    """The log ratio of a word, with counts over all words of texts and of the texts of each class."""
+    longer = {r[-7:] for t in texts for w in words_of(t) for r in letter_runs(w)}
+    shared = {}
+    for order in range(toxicity.SHARED, 0, -1):
+        shared[order] = kneser_ney(collections.Counter(r[1:] for r in longer))
+        longer = {r[1:] for r in longer}
+    classes = []
+    for own in by_class:
+        top = collections.Counter(r for t in own for w in words_of(t) for r in letter_runs(w))
+        classes.append((kneser_ney(collections.Counter(r[1:] for r in top)), kneser_ney(top)))
+
+    def ratio(word):
+        total = 0.0
+        for run in letter_runs(word):
+            rest = 1 / 256
+            for order in range(1, toxicity.SHARED + 1):
+                own, weight = shared[order](run[-order:])
+                rest = own + weight * rest
+            chances = []
+            for low, top in classes:
+                own, weight = low(run[1:])
+                chance = own + weight * rest
+                own, weight = top(run)
+                chances.append(own + weight * chance)
+            total += np.log(chances[1] / chances[0])
+        return total
+    return ratio
+
+
 def test_kneser_ney_sums_to_one():
-    counts = W.mix(np.arange(1, 50, dtype=np.uint64)) & np.uint64(0xFFFF)
-    level = toxicity._Level.of(counts, np.full(49, 3.0))
-    context = level.contexts[:1]
-    runs = (context << np.uint64(8)) + np.arange(256, dtype=np.uint64)
-    own, weight = level.share(runs)
-    assert own.sum() + weight[0] == pytest.approx(1)
+    runs = np.unique(W.mix(np.arange(1, 50, dtype=np.uint64)) & np.uint64(0xFFFF))
+    own, weight = toxicity._share(runs, np.full(len(runs), 3.0))
+    for context in np.unique(runs >> np.uint64(8)):
+        some = runs >> np.uint64(8) == context
+        assert own[some].sum() + weight[some][0] == pytest.approx(1)
 
 
-def test_toxicity_counts_are_whole(spark):
-    """Every run of the classes keeps its count: word ratios equal those of arrays over all runs."""
+@pytest.mark.parametrize("held", [toxicity.HELD_RUNS, 40])
+def test_toxicity_counts_are_whole(spark, monkeypatch, held):
+    """Every run of the classes keeps its count: ratios of words equal those of a plain model over all runs."""
+    monkeypatch.setattr(toxicity, "HELD_RUNS", held)
     rows, labels = toxic_documents(80)
     rows.append((82, "onceonlyvile", "en", "s", 0))  # one toxic run among more frequent ones
-    frame = spark.createDataFrame(rows, DOCS)
-    marked = spark.createDataFrame(labels + [(82, 1, 1)], "doc_id long, quality int, toxic int")
+    rows += [rows[4], (4, "a second text of an id, é", "", "", 0), (None, "no id", "", "", 0), (90, None, "", "", 0)]
+    labels.append((82, 1, 1))
+    frame = spark.createDataFrame(rows, DOCS).repartition(3)
+    marked = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     model = toxicity.fit(frame, marked)
-    used = {r["doc_id"] for r in marked.where(toxicity.remainder() != 2).select("doc_id").collect()}
-    toxic = {doc: t for doc, _, t in labels + [(82, 1, 1)]}
-    assert 82 in used
-    mask, u = toxicity._mask, np.uint64
-
-    def runs_of(word):
-        letters = bytes(toxicity.ORDER) + word.encode() + b"\0"
-        return np.array([int.from_bytes(letters[i - 7:i + 1], "big") for i in range(toxicity.ORDER, len(letters))], u)
-    tops, lows = [], []
-    for c in (0, 1):
-        runs = np.concatenate([runs_of(w) for r in rows if r[0] in used and toxic[r[0]] == c for w in words_of(r[1])])
-        tops.append(toxicity._Level.of(runs, np.ones(len(runs))))
-        low = tops[-1].runs & u(mask(toxicity.ORDER - 1))
-        lows.append(toxicity._Level.of(low, np.ones(len(low))))
-    shared = np.unique(np.concatenate([runs_of(w) for r in rows for w in words_of(r[1])]) & u(mask(7)))
-
-    def back(runs):
-        p = np.full(len(runs), 1 / 256)
-        for order in range(1, toxicity.SHARED + 1):
-            longer = np.unique(shared & u(mask(order + 1)))
-            own, weight = toxicity._Level.of(longer & u(mask(order)), np.ones(len(longer))).share(runs & u(mask(order)))
-            p = own + weight * p
-        return p
-
-    def ratio(word):
-        runs, chances = runs_of(word), []
-        for top, low in zip(tops, lows):
-            own, weight = low.share(runs & u(mask(7)))
-            p = own + weight * back(runs & u(mask(6)))
-            own, weight = top.share(runs)
-            chances.append(own + weight * p)
-        return float(np.log(chances[1] / chances[0]).sum())
+    part = {r["doc_id"]: r["r"] for r in marked.select("doc_id", toxicity.remainder().alias("r")).collect()}
+    toxic = {doc: t for doc, _, t in labels}
     words = sorted({w for r in rows for w in words_of(r[1])})
-    hashes = W.Words(pa.array(words)).hashes().view(np.int64).tolist()
-    got = {r["word"]: r["ratio"] for r in model.counts.word_ratios(Steps(spark, "test"), frame).collect()}
-    for word, h in zip(words, hashes):
-        assert got.get(h, 0.0) == pytest.approx(ratio(word), abs=1e-4), word
+    found = W.Words(pa.array(words))
+    for kind, out in (("fitted", (2, 3)), ("whole", (2,))):
+        ratio = brute_ratio([r[1] for r in rows], [[r[1] for r in rows if toxic.get(r[0]) == c and part[r[0]] not in out]
+                                                   for c in (0, 1)])
+        want = [ratio(w) for w in words]
+        pairs = sorted((r["run"] % (1 << 64), r[kind]) for r in model.ratios.runs.collect())
+        runs = np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs])
+        assert toxicity.by_runs(found, *runs) == pytest.approx(want, abs=1e-4)
+        by_hash = {r["word"]: r["ratio"] for r in model.ratios.word_ratios(Steps(spark, "test"), frame, kind).collect()}
+        hashes = found.hashes().view(np.int64).tolist()
+        assert [by_hash.get(h, 0.0) for h in hashes] == pytest.approx(want, abs=1e-4)
     sent = {r["doc_id"]: r["score"] for r in toxicity.scores(frame, model).collect()}
     assert {r["doc_id"]: r["score"] for r in toxicity.scores(frame, model, sent=0).collect()} == pytest.approx(sent)
 
 
+def test_toxicity_with_clashing_columns(spark):
+    rows, labels = toxic_documents(80)
+    frame = spark.createDataFrame([(*r[:2], 1, "x", 2, 0.5) for r in rows],
+                                  "doc_id long, text string, part int, run string, toxic int, score double")
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    for sent in (None, 0):
+        found = toxicity.scores(frame, model, sent)
+        assert set(found.columns) == set(frame.columns) and found.where("run = 'x' and part = 1").count() == 80
+
+
 def brute_hits(text, items, window):
     found, hit, ids = words_of(text), set(), set()
     for item, item_text in items:
@@ -244,6 +258,41 @@ def test_token_counts(spark, docs, empty):
     assert token_counts.token_counts(empty).count() == 0
 
 
+def test_fingerprints_of_text_ids_and_hot_ids(spark):
+    rows = [(f"d{i:03d}", prose(random.Random(i), 12), 1) for i in range(30)] + [("d007", "again", 2)] * 20
+    rows += [(None, prose(random.Random(i), 9), 3) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, range int")
+    source = frame.orderBy(F.desc_nulls_last("doc_id"), F.desc(F.xxhash64("text"))).collect()
+    texts = [r["text"] for r in source]
+    want = collections.Counter((r["doc_id"], hashlib.sha256(fingerprints.edited(
+        t, texts[(i + 1) % len(texts)]).encode()).hexdigest()) for i, (r, t) in enumerate(zip(source, texts)))
+    for ranges in (1, 9, 200):
+        found = fingerprints.fingerprints(frame, ranges).collect()
+        assert collections.Counter((r["doc_id"], r["edited_sha256"]) for r in found) == want
+
+
+def test_run_counts_and_ratios_in_pieces(monkeypatch):
+    """What a task passes on early, and what meets in pieces, adds up to the same ratios."""
+    texts = [prose(random.Random(i), 60) for i in range(30)]
+    batches = [pa.record_batch({"text": texts[i:i + 5], "part": pa.array([0, 1, 2, 3, None], pa.int32())})
+               for i in range(0, 30, 5)]
+
+    def ratios():
+        table = pa.Table.from_batches(list(toxicity._run_counts(iter(batches))))
+        runs = table.column("run").to_numpy().view(np.uint64)
+        meet = np.argsort((runs >> np.uint64(8)) & np.uint64(0xFFFFFF), kind="stable")
+        low = np.unique(runs & np.uint64(0xFFFFFFFF)) & np.uint64(0xFFFFFF)
+        low, n = np.unique(low, return_counts=True)
+        sent = [type("Sent", (), {"value": v}) for v in (low, toxicity.lowest(low, n))]
+        parts = table.take(pa.array(meet)).to_batches(max_chunksize=37)
+        found = pa.Table.from_batches(list(toxicity._ratio_rows(*sent)(iter(parts)))).to_pylist()
+        return len(table), {r["run"]: (r["fitted"], r["whole"]) for r in found}
+    whole = ratios()
+    monkeypatch.setattr(toxicity, "HELD_RUNS", 50)
+    pieces = ratios()
+    assert pieces[0] > whole[0] and pieces[1] == whole[1] and len(whole[1]) > 100
+
+
 def starting_shingles(text):
     w = words_of(text)
     return {tuple(w[max(0, i - 4):i + 1]) for i in range(len(w))}
@@ -252,7 +301,7 @@ def starting_shingles(text):
 @pytest.mark.parametrize("ranges", [1, 7])
 def test_fingerprints(spark, docs, empty, ranges):
     rows = fingerprints.fingerprints(docs, ranges).collect()
-    source = sorted(docs.collect(), key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["text"] or ""))
+    source = docs.orderBy(F.desc_nulls_last("doc_id"), F.desc(F.xxhash64(F.coalesce("text", F.lit(""))))).collect()
     assert len(rows) == len(source)
     texts = [r["text"] or "" for r in source]
     want = collections.Counter()

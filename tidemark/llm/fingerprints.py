@@ -13,13 +13,17 @@ A text without words has the fingerprint of its bytes as one shingle, so equal
 texts have equal fingerprints, and an empty one is like no text but an empty one.
 
 The next document in descending order of id is found without sorting in one
-place: ids are cut at quantiles into ranges, each range is sorted by itself, and
-the document at the upper end of a range is sent to the range before it as well.
-
-Nulls: a null text is empty; a null id comes last in the descending order.
-Repeated ids are ordered by their text, and rows that repeat follow each other,
-each answered by itself. The ids of one range, so the rows of one repeated id,
-meet in one task and are read one slice at a time.
+place: places in the order (id, then hash of the text, both descending) are cut
+at rows of a sample into ranges, each range is sorted by itself, and the row at
+the upper end of a range is sent to the range before it as well. The sample only
+decides where ranges start.
+
+A null text is empty; a null id comes last in the descending order. Ids may be
+text. Rows of one id follow each other by the hash of their text, so one id may
+span ranges; only rows that repeat whole meet in one task, where they are read
+one slice at a time, each answered by the next. A long text is a slice of its
+own. An empty table gives no rows; columns other than id and text are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -29,8 +33,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegerType, StructField, StructType
 
 from tidemark.llm import words as W
 
@@ -39,6 +44,10 @@ BINS = 256
 BITS = 4
 #: A range beyond this many is sorted with others of its task, which spills.
 MOST_RANGES = 4096
+#: Rows of the sample for each range; cuts that are looked through at once.
+SAMPLED, STEP = 50, 64
+#: Bytes of text worked on at once.
+SLICE_BYTES = 500_000
 
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
@@ -105,15 +114,16 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-def _answers(rows: pa.RecordBatch, at: np.ndarray) -> pa.RecordBatch:
-    """Results for the rows at some places, each of which has its next document below it."""
+def _answers(rows: pa.RecordBatch, own: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """Results for the rows at some places, each of which has its next document below it; `own` are their bins."""
     texts = rows.column("text").to_pylist()
     changed = [edited(texts[i], texts[i + 1]) for i in at.tolist()]
-    own = bin_minima(rows.column("text"))
+    sizes = [len(texts[i]) for i in at.tolist()]
+    del texts
     new = bin_minima(pa.array(changed, pa.large_string()))
     return pa.RecordBatch.from_pydict({
         "doc_id": rows.column("doc_id").take(pa.array(at)),
-        "n_chars": pa.array([len(texts[i]) for i in at.tolist()], pa.int64()),
+        "n_chars": pa.array(sizes, pa.int64()),
         "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
         "fingerprint": pa.array(pack(own[at]), pa.string()),
         "edited_fingerprint": pa.array(pack(new), pa.string()),
@@ -125,12 +135,41 @@ def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by range with each range's sentinel last; a row's next is the row below it."""
     held = None
     for batch in batches:
-        for part in W.slices(batch, "text"):
-            rows = part if held is None else pa.Table.from_batches([held, part]).combine_chunks().to_batches()[0]
-            held = rows.slice(rows.num_rows - 1)
+        for rows in W.slices(batch, "text", SLICE_BYTES):
+            own = bin_minima(rows.column("text"))
+            if held is not None:
+                rows = pa.Table.from_batches([held[0], rows]).combine_chunks().to_batches()[0]
+                own = np.r_[held[1], own]
+            held = rows.slice(rows.num_rows - 1), own[-1:].copy()
             at = np.flatnonzero(~rows.column("sentinel").to_numpy(zero_copy_only=False)[:-1])
             if len(at):
-                yield _answers(rows, at)
+                yield _answers(rows, own, at)
+
+
+def _cuts(places: DataFrame, ranges: int) -> list:
+    """Places at which ranges start, the greatest first, from a sample by hash; the greatest of all is one."""
+    row = places.agg(F.count("*").alias("n"), F.max("place").alias("top")).first()
+    if not row["n"]:
+        return []
+    share = max(1, row["n"] // (SAMPLED * ranges))
+    sample = places.where(F.pmod(F.xxhash64("place"), F.lit(share)) == 0).distinct()
+    found = [r["place"] for r in sample.orderBy(F.desc("place")).collect()]
+    step = max(1, len(found) // ranges)
+    return [row["top"], *[p for p in found[step::step] if p != row["top"]]]
+
+
+def _numbers(cuts: list, id_type: DataType) -> Column:
+    """How many cuts are at or above the place, less one: found among blocks of cuts, then within one."""
+    def reached(some: Column) -> Column:
+        return F.size(F.filter(some, lambda c: c >= F.col("place")))
+
+    def listed(some: list) -> Column:
+        return F.array(*[F.struct(F.lit(p["doc_id"]).cast(id_type).alias("doc_id"), F.lit(p["h"]).alias("h"))
+                         for p in some])
+    blocks = [cuts[i:i + STEP] for i in range(0, len(cuts), STEP)]
+    block = F.greatest(reached(listed([b[0] for b in blocks])), F.lit(1))
+    inside = F.element_at(F.array(*map(listed, blocks)), block)
+    return ((block - 1) * STEP + reached(inside) - 1).cast("int")
 
 
 def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -138,28 +177,23 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     ranges = ranges or min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES)
-    levels = [i / ranges for i in range(1, ranges)]
-    row = docs.agg(F.percentile_approx("doc_id", levels, 100 * ranges).alias("cuts"),
-                  F.max("doc_id").alias("top"), F.count(F.when(F.isnull("doc_id"), 1)).alias("nulls")).first()
-    # A cut is an id that starts a range (in descending order); the greatest starts the first.
-    cuts = sorted({*(row["cuts"] or []), *([row["top"]] if row["top"] is not None else [])}, reverse=True)
-    starts = [*cuts, None] if row["nulls"] else cuts  # nulls are a range of their own
-    number = F.lit(len(cuts)) if not cuts else F.when(F.isnull("doc_id"), len(cuts)).otherwise(
-        F.size(F.filter(F.lit(cuts), lambda c: c >= F.col("doc_id"))) - 1)
     text = F.coalesce("text", F.lit(""))
-    placed = docs.select("doc_id", text.alias("text"), number.cast("int").alias("range"),
-                         F.lit(False).alias("sentinel"))
-    n = len(starts)
-    # The first document of each range, by the order within ranges.
-    first = (docs.select("doc_id", text.alias("text"))
-             .where(F.col("doc_id").isin(cuts) | F.isnull("doc_id"))
-             .groupBy("doc_id").agg(F.min("text").alias("text")))
-    numbered = first.select("doc_id", "text", number.cast("int").alias("at"))
-    sentinels = numbered.select(
-        "doc_id", "text", F.pmod(F.col("at") - 1, F.lit(max(n, 1))).cast("int").alias("range"),
-        F.lit(True).alias("sentinel"))
-    rows = (placed.unionByName(sentinels).repartition("range")
-            .sortWithinPartitions("range", "sentinel", F.desc_nulls_last("doc_id"), "text"))
-    return rows.select("doc_id", "text", "sentinel").mapInArrow(
-        _followed, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
-        "edited_fingerprint string, near_edited double, near_next double")
+    rows = docs.select("doc_id", text.alias("text"),
+                       F.struct("doc_id", F.xxhash64(text).alias("h")).alias("place"))
+    cuts = _cuts(rows.select("place"), ranges)
+    schema = (f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
+              "edited_fingerprint string, near_edited double, near_next double")
+    if not cuts:
+        return spark.createDataFrame([], schema)
+    place = rows.schema["place"].dataType
+    starts = F.broadcast(spark.createDataFrame(
+        [(p, (i - 1) % len(cuts)) for i, p in enumerate(cuts)], StructType(
+            [StructField("start", place), StructField("range", IntegerType())])))
+    # The first row of each range goes to the range before it; that of the first to the last.
+    sentinels = (rows.join(starts, F.col("place").eqNullSafe(F.col("start"))).groupBy("place", "range")
+                 .agg(F.min("text").alias("text"))
+                 .select("place.doc_id", "text", "place", "range", F.lit(True).alias("sentinel")))
+    numbered = rows.select("*", _numbers(cuts, docs.schema["doc_id"].dataType).alias("range"), F.lit(False).alias("sentinel"))
+    ordered = (numbered.unionByName(sentinels).repartition("range")
+               .sortWithinPartitions("range", "sentinel", F.desc("place"), "text"))
+    return ordered.select("doc_id", "text", "sentinel").mapInArrow(_followed, schema)
