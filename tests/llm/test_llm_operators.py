@@ -155,10 +155,10 @@ def test_kneser_ney_sums_to_one():
         assert own[some].sum() + weight[some][0] == pytest.approx(1)
 
 
-@pytest.mark.parametrize("held", [toxicity.HELD_RUNS, 40])
-def test_toxicity_counts_are_whole(spark, monkeypatch, held):
+@pytest.mark.parametrize("buckets", [1, 97])
+def test_toxicity_counts_are_whole(spark, monkeypatch, buckets):
     """Every run of the classes keeps its count: ratios of words equal those of a plain model over all runs."""
-    monkeypatch.setattr(toxicity, "HELD_RUNS", held)
+    monkeypatch.setattr(toxicity, "LEAST_BUCKETS", buckets)
     rows, labels = toxic_documents(80)
     rows.append((82, "onceonlyvile", "en", "s", 0))  # one toxic run among more frequent ones
     rows += [rows[4], (4, "a second text of an id, é", "", "", 0), (None, "no id", "", "", 0), (90, None, "", "", 0)]
@@ -174,8 +174,10 @@ def test_toxicity_counts_are_whole(spark, monkeypatch, held):
         ratio = brute_ratio([r[1] for r in rows], [[r[1] for r in rows if toxic.get(r[0]) == c and part[r[0]] not in out]
                                                    for c in (0, 1)])
         want = [ratio(w) for w in words]
-        pairs = sorted((r["run"] % (1 << 64), r[kind]) for r in model.ratios.runs.collect())
-        runs = np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs])
+        packed = model.ratios.runs.collect()
+        runs = np.concatenate([np.frombuffer(r["runs"], np.uint64) for r in packed])
+        each, order = np.concatenate([np.frombuffer(r[kind], np.float32) for r in packed]), np.argsort(runs)
+        runs = runs[order], each[order]
         assert toxicity.by_runs(found, *runs) == pytest.approx(want, abs=1e-4)
         by_hash = {r["word"]: r["ratio"] for r in model.ratios.word_ratios(Steps(spark, "test"), frame, kind).collect()}
         hashes = found.hashes().view(np.int64).tolist()
@@ -278,15 +280,14 @@ def test_run_counts_and_ratios_in_pieces(monkeypatch):
                for i in range(0, 30, 5)]
 
     def ratios():
-        table = pa.Table.from_batches(list(toxicity._run_counts(iter(batches))))
-        runs = table.column("run").to_numpy().view(np.uint64)
-        meet = np.argsort((runs >> np.uint64(8)) & np.uint64(0xFFFFFF), kind="stable")
-        low = np.unique(runs & np.uint64(0xFFFFFFFF)) & np.uint64(0xFFFFFF)
-        low, n = np.unique(low, return_counts=True)
+        table = pa.Table.from_batches(list(toxicity._run_counts(5)(iter(batches))))
+        short = pa.Table.from_batches(list(toxicity._short_runs(iter(table.to_batches()))))
+        low, n = np.unique(short.column("run").to_numpy().view(np.uint64) & np.uint64(0xFFFFFF), return_counts=True)
         sent = [type("Sent", (), {"value": v}) for v in (low, toxicity.lowest(low, n))]
-        parts = table.take(pa.array(meet)).to_batches(max_chunksize=37)
+        parts = table.sort_by("bucket").to_batches(max_chunksize=2)
         found = pa.Table.from_batches(list(toxicity._ratio_rows(*sent)(iter(parts)))).to_pylist()
-        return len(table), {r["run"]: (r["fitted"], r["whole"]) for r in found}
+        return len(table), {run: pair for r in found for run, *pair in zip(
+            *(np.frombuffer(r[c], t).tolist() for c, t in (("runs", "u8"), ("fitted", "f4"), ("whole", "f4"))))}
     whole = ratios()
     monkeypatch.setattr(toxicity, "HELD_RUNS", 50)
     pieces = ratios()

@@ -17,8 +17,9 @@ labelled documents held back from the counts, then the counts of these are added
 
 All counts, of classes and shared, grow with the input; none is left out. One pass
 over the documents emits the distinct runs of letters of each task, with their counts
-by class; runs whose letters before the last agree in three meet in one task, where
-everything that the chances of a run depend on, down to the fourth order, is at hand.
+by class, packed by bucket of the three letters before the last; a bucket meets in one
+task, where everything that the chances of its runs depend on, down to the fourth
+order, is at hand. The number of buckets grows with the text, so a bucket does not.
 The three lowest orders, over runs of at most three letters, go there as an array. The
 ratios of runs go to the executors as two arrays up to `SENT_RUNS`; beyond that each
 text gets the ratios of its words by joins. Only the regression is bounded: it is fitted
@@ -37,6 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,10 +55,13 @@ MARKS = (0.5, 1.0, 2.0, 3.0)
 MAX_LABELLED = 200_000
 #: Runs with a ratio (12 bytes each) that are sent to every executor; more are joined to the texts.
 SENT_RUNS = 10_000_000
-#: Distinct runs that a task holds before it passes them on, and that it compares at once.
-HELD_RUNS = 500_000
+#: Distinct runs that a task holds before it passes them on.
+HELD_RUNS = 1_000_000
 #: Letters before the last by which runs meet, and the highest order below, which is sent.
 MEET = 3
+#: Bytes of text for each bucket of runs that meet.
+BUCKET_BYTES = 4_000_000
+LEAST_BUCKETS = 64
 #: Ratios are summed as whole numbers of this part where the order of rows is not fixed.
 UNIT = 2.0**-32
 #: Score from which a document counts as toxic.
@@ -68,7 +73,9 @@ _U = np.uint64
 FEATURES = 5 + 2 * len(MARKS)
 #: Labelled documents are of two classes, counted or kept back.
 PARTS = 4
-_COUNTS = "run long, " + ", ".join(f"n{i} int" for i in range(PARTS))
+#: Packed runs of a bucket: sorted runs and their counts, or their ratios.
+_COUNTS = "bucket int, runs binary, counts binary"
+_RATIOS = "n long, runs binary, fitted binary, whole binary"
 
 
 def _mask(order: int) -> int:
@@ -102,25 +109,55 @@ class Spelled:
         self.owner = np.repeat(np.arange(len(sizes)), sizes + 1)
 
 
-def _run_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed bytes, place by place, as high places are mostly zero."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize)
+    return zstandard.compress(raw.T.tobytes(), 1)
+
+
+def _spread(data: bytes, kind: np.dtype | type) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
+
+
+def _unpacked(runs: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    found = np.cumsum(_spread(runs, np.uint64), dtype=np.uint64)
+    return found, _spread(counts, np.int64).reshape(-1, PARTS)
+
+
+def _bucket_rows(runs: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Sorted distinct runs with their counts, packed by bucket."""
+    bucket = (W.mix((runs >> _U(8)) & _U(_mask(MEET))) % _U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    present, first = np.unique(bucket[order], return_index=True)
+    parts = np.split(order, first[1:])
+    return pa.RecordBatch.from_pydict({
+        "bucket": pa.array(present.astype(np.int32)),
+        "runs": pa.array([_squeezed(np.diff(runs[p], prepend=_U(0))) for p in parts], pa.binary()),
+        "counts": pa.array([_squeezed(counts[p].reshape(-1)) for p in parts], pa.binary())})
+
+
+def _run_counts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Distinct runs of ORDER letters in the words of all documents, and how often labelled parts hold each.
 
     A part is 2 * toxic + kept_back; documents without a label have none and count 0.
     """
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        for rows in W.slices(batch, "text"):
-            found = W.Words(rows.column("text"))
-            spelled = Spelled(found)
-            part = rows.column("part").fill_null(PARTS).to_numpy()[found.rows]
-            n = np.bincount(spelled.word * (PARTS + 1) + part, minlength=len(spelled.times) * (PARTS + 1))
-            held.append((spelled.runs, n.reshape(-1, PARTS + 1)[spelled.owner, :PARTS]))
-            if sum(len(runs) for runs, _ in held) > HELD_RUNS:
-                held = [_summed(held)]
-                if len(held[0][0]) > HELD_RUNS // 2:
-                    yield _count_rows(*held.pop())
-    if held:
-        yield _count_rows(*_summed(held))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for rows in W.slices(batch, "text"):
+                found = W.Words(rows.column("text"))
+                spelled = Spelled(found)
+                part = rows.column("part").fill_null(PARTS).to_numpy()[found.rows]
+                n = np.bincount(spelled.word * (PARTS + 1) + part, minlength=len(spelled.times) * (PARTS + 1))
+                held.append((spelled.runs, n.reshape(-1, PARTS + 1)[spelled.owner, :PARTS]))
+                if sum(len(runs) for runs, _ in held) > HELD_RUNS:
+                    held = [_summed(held)]
+                    if len(held[0][0]) > HELD_RUNS // 2:
+                        yield _bucket_rows(*held.pop(), buckets)
+        if held:
+            yield _bucket_rows(*_summed(held), buckets)
+    return count
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -130,9 +167,14 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return runs, np.stack([np.bincount(where, weights=c, minlength=len(runs)) for c in counts.T], 1).astype(np.int64)
 
 
-def _count_rows(runs: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"run": pa.array(runs.view(np.int64)),
-                                       **{f"n{i}": pa.array(counts[:, i].astype(np.int32)) for i in range(PARTS)}})
+def _short_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct runs of one letter more than the lowest orders have."""
+    seen = np.zeros(0, np.uint64)
+    for batch in batches:
+        for runs, counts in zip(batch.column("runs"), batch.column("counts")):
+            found = _unpacked(runs.as_py(), counts.as_py())[0]
+            seen = np.union1d(seen, found & _U(_mask(MEET + 1)))
+    yield pa.RecordBatch.from_pydict({"run": pa.array(seen.view(np.int64))})
 
 
 def _distinct_words(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -219,59 +261,64 @@ def run_ratios(runs: np.ndarray, counts: np.ndarray, low_runs: np.ndarray, low_c
 
 
 def _ratio_rows(low_runs, low_chances) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of counts sorted by `meet` to rows of ratios; runs that meet are compared together."""
+    """Packed counts sorted by bucket to packed ratios, a bucket at a time."""
     def work(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         runs, counts = _summed(parts)
-        fitted, whole = run_ratios(runs, counts, low_runs.value, low_chances.value)
-        some = np.flatnonzero((fitted != 0) | (whole != 0))
-        return pa.RecordBatch.from_pydict({
-            "run": pa.array(runs[some].view(np.int64)), "fitted": pa.array(fitted[some].astype(np.float32)),
-            "whole": pa.array(whole[some].astype(np.float32))})
+        found = run_ratios(runs, counts, low_runs.value, low_chances.value)
+        some = np.flatnonzero((found[0] != 0) | (found[1] != 0))
+        cells = [runs[some], *(r[some].astype(np.float32) for r in found)]
+        return pa.RecordBatch.from_pydict({"n": [len(some)], **{
+            name: pa.array([c.tobytes()], pa.binary()) for name, c in zip(("runs", "fitted", "whole"), cells)}})
 
     def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
+        held, last = [], None
         for batch in batches:
-            runs = batch.column("run").to_numpy().view(np.uint64)
-            counts = np.stack([batch.column(f"n{i}").to_numpy() for i in range(PARTS)], 1)
-            meets = (runs >> _U(8)) & _U(_mask(MEET))
-            others = np.flatnonzero(meets != last)
-            if size > HELD_RUNS and len(others):
-                cut = others[0]
-                yield work([*held, (runs[:cut], counts[:cut])])
-                held, size, runs, counts = [], 0, runs[cut:], counts[cut:]
-            held.append((runs, counts))
-            size += len(runs)
-            last = meets[-1] if len(meets) else last
-        if size:
+            for bucket, runs, counts in zip(*(batch.column(n) for n in ("bucket", "runs", "counts"))):
+                if held and bucket.as_py() != last:
+                    yield work(held)
+                    held = []
+                last = bucket.as_py()
+                held.append(_unpacked(runs.as_py(), counts.as_py()))
+        if held:
             yield work(held)
     return ratios
 
 
+def _ratio_cells(kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Packed ratios as rows (run, ratio), in whole parts of UNIT."""
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for runs, ratios in zip(batch.column("runs"), batch.column(kind)):
+                whole = np.round(np.frombuffer(ratios.as_py(), np.float32).astype(float) / UNIT)
+                yield pa.RecordBatch.from_pydict({"run": np.frombuffer(runs.as_py(), np.int64),
+                                                  "ratio": whole.astype(np.int64)})
+    return cells
+
+
 @dataclass
 class Ratios:
-    """Log ratios of runs, `fitted` without the documents kept back and `whole` with them."""
+    """Log ratios of runs, packed by bucket: `fitted` without the documents kept back and `whole` with them."""
 
     runs: DataFrame
 
     @classmethod
     def of(cls, steps: Steps, counts: DataFrame) -> Ratios:
         spark = counts.sparkSession
-        short = (counts.select(F.col("run").bitwiseAND(_mask(MEET + 1)).alias("run")).distinct()
+        short = (counts.mapInArrow(_short_runs, "run long").distinct()
                  .groupBy(F.col("run").bitwiseAND(_mask(MEET)).alias("run")).agg(F.count("*").alias("n"))).collect()
         runs = np.array([r["run"] for r in short], np.uint64)
         order = np.argsort(runs)
         runs, n = runs[order], np.array([r["n"] for r in short], np.int64)[order]
         low = spark.sparkContext.broadcast(runs), spark.sparkContext.broadcast(lowest(runs, n))
-        meet = F.shiftrightunsigned("run", 8).bitwiseAND(_mask(MEET))
-        return cls(steps.keep(counts.withColumn("meet", meet).repartition("meet").sortWithinPartitions("meet")
-                              .drop("meet").mapInArrow(_ratio_rows(*low), "run long, fitted float, whole float")))
+        return cls(steps.keep(counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _ratio_rows(*low), _RATIOS)))
 
     def word_ratios(self, steps: Steps, docs: DataFrame, kind: str) -> DataFrame:
         """(word, ratio) of the distinct words of texts, the word as its hash; words without a ratio are left out.
 
         Every word shares its first runs with many, so those, which are few, are broadcast.
         """
-        ratios = self.runs.select("run", F.round(F.col(kind).cast("double") / UNIT).cast("long").alias("ratio"))
+        ratios = self.runs.mapInArrow(_ratio_cells(kind), "run long, ratio long").where("ratio <> 0")
         start = F.shiftrightunsigned("run", 8 * MEET) == 0
         spelled = steps.keep(_words(docs).mapInArrow(W.per_slice("text", _spellings, 500_000), "word long, run long"))
         found = spelled.where(start).join(F.broadcast(ratios.where(start)), "run").unionByName(
@@ -374,8 +421,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         return Model(None, np.zeros(FEATURES), base)
     part = (2 * F.col("toxic") + (remainder() == 3).cast("int")).cast("int").alias("part")
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
     counts = steps.keep(texts.join(sent_if_small(marked.select("doc_id", part)), "doc_id", "left")
-                        .select("text", "part").mapInArrow(_run_counts, _COUNTS))
+                        .select("text", "part").mapInArrow(_run_counts(buckets), _COUNTS))
     ratios = Ratios.of(steps, counts)
     sample = steps.keep(marked.where(remainder() == 3).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
     # Texts of at most max_labelled ids.
@@ -392,13 +441,6 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     return Model(ratios, logistic(found[:, :-1], found[:, -1]) if len(found) else np.zeros(FEATURES), base)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs and ratios of a batch as two byte strings."""
-    for batch in batches:
-        yield pa.RecordBatch.from_pydict({n: pa.array([batch.column(i).to_numpy().tobytes()], pa.binary())
-                                          for i, n in enumerate(("run", "ratio"))})
-
-
 def _text_words(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The words of each text, with the key of the text."""
     found = W.Words(batch.column("text"))
@@ -409,13 +451,13 @@ def _text_words(batch: pa.RecordBatch) -> pa.RecordBatch:
 def _with_ratios(docs: DataFrame, ratios: Ratios, kind: str, work: Callable[..., pa.RecordBatch], schema,
                  sent: int | None = None) -> DataFrame:
     """The documents by `work`, which gets a slice of them and a function from its words to their ratios."""
-    runs = ratios.runs.select("run", kind).where(F.col(kind) != 0)
-    if runs.count() <= (SENT_RUNS if sent is None else sent):
-        rows = runs.mapInArrow(_pairs, "run binary, ratio binary").collect()
-        keys = np.frombuffer(b"".join(bytes(r["run"]) for r in rows), np.uint64)
+    runs = ratios.runs.agg(F.sum("n")).first()[0] or 0
+    if runs <= (SENT_RUNS if sent is None else sent):
+        rows = ratios.runs.select("runs", kind).collect()
+        keys = np.frombuffer(b"".join(bytes(r["runs"]) for r in rows), np.uint64)
         order = np.argsort(keys)
         shared = docs.sparkSession.sparkContext.broadcast(
-            (keys[order], np.frombuffer(b"".join(bytes(r["ratio"]) for r in rows), np.float32)[order]))
+            (keys[order], np.frombuffer(b"".join(bytes(r[kind]) for r in rows), np.float32)[order]))
         return docs.mapInArrow(W.per_slice(
             "text", lambda batch: work(batch, lambda found: by_runs(found, *shared.value))), schema)
     words = ratios.word_ratios(Steps(docs.sparkSession, "toxicity-words"), docs, kind)
