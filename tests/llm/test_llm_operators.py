@@ -470,6 +470,84 @@ def test_html_blocks():
     assert [t for t, _ in html_text.blocks("<p a=\"x>y\">in</p><p>cut <b")] == ["in", "cut"]
 
 
+def test_html_names_within_an_article():
+    """Within an article one word of a name is no ground to drop; outside it is."""
+    page = ("<body><div class='copyright'>C</div><div id='disclaimer'>D</div><article><header><h1>H</h1><p>Lead</p>"
+            "<nav>N</nav></header><div class='article-header'><h2>H2</h2></div><p class='notice'>One</p>"
+            "<div class='widget-text'>Two</div><section class='related-work'>Three</section>"
+            "<div class='share-buttons'>S</div><div class='related posts'>R</div><div class='ad'>A</div>"
+            "<div class='comments'><p>Said</p></div><footer>F</footer><p>Four</p></article></body>")
+    assert [t for t, _ in html_text.blocks(page)] == ["H", "Lead", "H2", "One", "Two", "Three", "Four"]
+    plain = "<body><div class='author-bio'>B</div><ul class='tags'><li>T</li></ul><p>Text</p><div id='copyright'>C</div></body>"
+    assert [t for t, _ in html_text.blocks(plain)] == ["Text"]
+
+
+def brute_texts(pages):
+    """What main_texts is to give, with every head of every page counted in one place."""
+    cuts = {row: html_text.blocks(row[2] or "") for row in pages}
+    host = {row: row[1].split("/")[2] if row[1] and "://" in row[1] else "" for row in pages}
+
+    def heads(texts):
+        words, out = [w for t in texts for w in words_of(t)], set()
+        out |= {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+        return out | {tuple(words_of(t)) for t in texts if 0 < len(words_of(t)) < 5}
+    contents = collections.defaultdict(set)
+    for row, cut in cuts.items():
+        if cut:
+            contents[host[row], not cut[0][1]].add(tuple(t for t, _ in cut))
+    told = collections.defaultdict(set)
+    for key, lists in contents.items():
+        on = collections.Counter(h for texts in lists for h in heads(texts))
+        told[key] = {h for h, n in on.items() if n > 1 and (
+            n >= html_text.OUTSIDE * len(lists) if key[1] else n >= html_text.MANY and 2 * n > len(lists))}
+    out = {}
+    for row, cut in cuts.items():
+        texts, repeated = [t for t, _ in cut], told[host[row], bool(cut) and not cut[0][1]]
+        words, covered, at = [w for t in texts for w in words_of(t)], set(), 0
+        for i in range(len(words) - 4):
+            if tuple(words[i:i + 5]) in repeated:
+                covered |= set(range(i, i + 5))
+        left = []
+        for t in texts:
+            n = len(words_of(t))
+            if 0 < n < 5 and tuple(words_of(t)) in repeated:
+                covered |= set(range(at, at + n))
+            if not n or len(covered & set(range(at, at + n))) / n < html_text.COVERED:
+                left.append(t)
+            at += n
+        out[row] = "\n".join(left)
+    return out
+
+
+@pytest.mark.parametrize("sent", [None, 0])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_html_equals_brute_force(spark, seed, sent, monkeypatch):
+    """Pages without telling names: what goes is what their host repeats, spread over tasks one by one."""
+    rng = random.Random(seed)
+    pieces = [prose(rng, rng.randint(1, 12)) for _ in range(6)]
+    pages = []
+    for i in range(90):
+        own = [prose(rng, rng.randint(2, 30)) + f" x{rng.random()}" for _ in range(rng.randint(0, 3))]
+        texts = own + [p for p in pieces if rng.random() < rng.choice([.05, .3, .9])]
+        rng.shuffle(texts)
+        tag = rng.choice(["div", "article", "section"])
+        pages.append((i, f"http://h{rng.choice([1, 1, 1, 2, 3, rng.randint(4, 40)])}.org/{i}", body(*texts, tag=tag)))
+    pages += [(200 + i, "http://h1.org/copy", pages[3][2]) for i in range(30)] + [(300, None, body(*pieces)), (301, "x", None)]
+    frame = spark.createDataFrame(pages + pages[:5], PAGES).repartition(7)
+    want, found = brute_texts(pages), html_text.main_texts(frame, sent).collect()
+    by_id = {row[0]: text for row, text in want.items()}
+    assert len(found) == len(pages) + 5 and {r["page_id"]: r["text"] for r in found} == by_id
+    assert sum(by_id[row[0]] != "\n".join(t for t, _ in html_text.blocks(row[2] or "")) for row in pages) > 20
+
+
+def test_html_of_no_pages_and_clashing_columns(spark):
+    assert html_text.main_texts(spark.createDataFrame([], PAGES)).collect() == []
+    rows = [(i, f"http://h.org/{i}", body("same words on all of these", f"own {i} " * 3), "x", 1) for i in range(4)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, host string, page int")
+    assert [r["text"] for r in html_text.main_texts(frame).orderBy("page_id").collect()] == [
+        ("own %d " % i * 3).strip() for i in range(4)]
+
+
 def test_html_boilerplate_of_a_host(spark):
     rng = random.Random(6)
     banner = " ".join(f"w{i}" for i in range(60))

@@ -3,16 +3,16 @@
 A page is cut into blocks of text at block-level tags. Blocks in menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments, told by element
 or by a word of class, id or role, are left out; of a page with an `article` or
-`main` element only the blocks in it are text.
+`main` element only the blocks in it are text. Within an article a name alone is a
+weak sign: it counts only if all words of the class or id say so, and never for a
+paragraph or heading; the headings and paragraphs of the article's own header are text.
 
 The blocks that are left make the token stream of a page, and the streams of a
-host its suffixes. A token lies in a repeat of at least `HEAD` tokens just where it
-lies in a repeated run of `HEAD` tokens: each run of that length within a longer
-repeat is on the same pages. So no suffix array is sorted and no common prefix
-length computed; the heads of all suffixes are counted by host, in each task first,
-and what the repeated ones cover is what repeats of their full length cover. No
-place is left out; repeats under `HEAD` tokens are not looked for, but a block
-shorter than that counts as one run.
+host its suffixes, sorted as far as their first `HEAD` tokens, their head: a token
+lies in a repeat of at least `HEAD` tokens just where it lies in a repeated head, for
+each run of that length within a longer repeat is on the same pages. What the
+repeated heads cover is thus what repeats of their full length cover. Repeats under
+`HEAD` tokens are not looked for, but a block shorter than that counts as one run.
 
 Pages of a host count once for each distinct list of blocks, so that copies of a
 page, by rows or by address, repeat nothing. Outside articles a head is boilerplate
@@ -20,9 +20,13 @@ on two pages that are at least a part of `OUTSIDE` of the host's pages without a
 article. Inside one it has to be on more than half of the host's pages with an
 article, and on at least `MANY`: articles quote and copy each other, and nothing of
 an article may be lost. What is found outside articles says nothing of those inside.
+A head on such a part of a host's pages is on that part in the pages of one task at
+least, so each task names the heads that are on it among its own pages, and only
+named heads are counted over all pages: exact, without a shuffle of all heads.
 A block whose tokens are covered by repeats to `COVERED` is removed, and the other
 blocks are the unique runs that stay.
 
+A page is read whole, however long, as a slice of its own. An empty table gives no rows.
 A null html has an empty text, a null url an empty host. Rows that repeat are
 answered row by row; other columns are not read.
 """
@@ -66,7 +70,13 @@ UNWANTED = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "breadc
             "comments", "consent", "cookie", "cookies", "footer", "header", "masthead", "menu", "modal", "nav",
             "navbar", "navigation", "newsletter", "notice", "notification", "popup", "promo", "related", "respond",
             "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar",
-            "widget", "complementary", "contentinfo", "search", "disqus"}
+            "widget", "complementary", "contentinfo", "search", "disqus", "disclaimer", "copyright", "legal", "bio",
+            "byline", "tags"}
+#: Words of a name that say nothing of what it holds.
+NEUTRAL = {"area", "bar", "block", "box", "buttons", "container", "icons", "inner", "item", "items", "links", "list",
+           "outer", "panel", "posts", "section", "wrap", "wrapper"}
+#: Elements that hold text as such, so that their names do not count within an article.
+PLAIN = {"p", "li", "dt", "dd", "td", "th", "pre", "blockquote", "figcaption"} | HEADINGS
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -78,11 +88,22 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 _WORD = re.compile(r"[a-z]+")
 
 
-def _names(attributes: str) -> set[str]:
+def _names(attributes: str) -> list[set[str]]:
+    """The words of each name in class, id and role."""
     if "=" not in attributes:
-        return set()
-    found = (x or y or z for x, y, z in _NAMES.findall(attributes))
-    return set(_WORD.findall(" ".join(found).lower()))
+        return []
+    found = " ".join(x or y or z for x, y, z in _NAMES.findall(attributes)).lower().split()
+    return [words for name in found if (words := set(_WORD.findall(name)))]
+
+
+def _unwanted(tag: str, names: list[set[str]], inside: bool) -> bool:
+    """Whether names tell an element to leave out: by one word, within an article by all words of a name."""
+    if tag in MAIN | {"html", "body"}:
+        return tag == "article" and any(words & {"comment", "comments"} for words in names)
+    if not inside:
+        return any(not UNWANTED.isdisjoint(words) for words in names)
+    return tag not in PLAIN and any(
+        words <= UNWANTED | NEUTRAL and not UNWANTED.isdisjoint(words) for words in names)
 
 
 def blocks(page: str) -> list[tuple[str, bool]]:
@@ -91,7 +112,7 @@ def blocks(page: str) -> list[tuple[str, bool]]:
     held: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # (tag, left out, main) of open elements, with what holds inside
     skipped = inside = False
-    heading = ""  # an open heading in an article's own header, which is text
+    heading = ""  # an open heading or paragraph in an article's own header, which is text
     at = 0
 
     def flush() -> None:
@@ -114,10 +135,8 @@ def blocks(page: str) -> list[tuple[str, bool]]:
         if tag == "br":
             held.append(" ")
             continue
-        names = _names(m[4]) if not m[2] else ()
-        unwanted = bool(names) and not UNWANTED.isdisjoint(names) and tag not in MAIN | {"html", "body"}
-        if tag == "article" and names and not {"comment", "comments"}.isdisjoint(names):
-            unwanted = True
+        names = _names(m[4]) if not m[2] else []
+        unwanted = bool(names) and _unwanted(tag, names, inside)
         inline = tag in INLINE and not unwanted
         if m[2]:
             if tag not in INLINE:
@@ -140,11 +159,11 @@ def blocks(page: str) -> list[tuple[str, bool]]:
         if stack and stack[-1][0] in IMPLIED and (stack[-1][0] == tag or stack[-1][0] == "p" and tag not in INLINE):
             stack.pop()
             skipped, inside = state()
-        if tag in HEADINGS and skipped and inside and stack[-1][0] == "header":
+        if (tag in HEADINGS or tag == "p") and skipped and inside and stack[-1][0] == "header":
             heading = tag
         own = tag in LEFT_OUT or unwanted
         if own or tag not in IMPLIED and tag not in HEADINGS or tag in INLINE:
-            main = inside or (not skipped and not own and (tag in MAIN or bool(names) and "main" in names))
+            main = inside or (not skipped and not own and (tag in MAIN or any("main" in words for words in names)))
             stack.append((tag, skipped or own, main))
             skipped, inside = state()
         elif unwanted:
@@ -197,14 +216,57 @@ def _page_heads(batch: pa.RecordBatch) -> pa.RecordBatch:
         "outside": pa.array(outside[at]), "head": pa.array(np.concatenate([np.zeros(0, np.int64), *lists]))})
 
 
+#: Heads of a host's pages that a task holds before it names the frequent ones among them.
+HELD_HEADS = 1_000_000
+
+
+def _named_heads(batches):
+    """Heads that are on the part that makes boilerplate, of the pages of a host in one run of a task's pages.
+
+    A page that is one of n equal rows weighs an n-th. Where no run of pages holds a head on that part of
+    them, all pages together do not either.
+    """
+    held: dict[tuple[int, bool], tuple[list[float], list[np.ndarray]]] = {}
+    size = 0
+    for batch in batches:
+        for part in W.slices(batch, "html"):
+            for host, n, page in zip(*(part.column(c).to_pylist() for c in ("host", "n", "html"))):
+                cut = blocks(page)
+                if cut:
+                    weights, lists = held.setdefault((host, not cut[0][1]), ([], []))
+                    weights.append(1 / n)
+                    lists.append(np.unique(_heads([t for t, _ in cut])[2]).view(np.int64))
+                    size += len(lists[-1])
+            if size > HELD_HEADS:
+                yield _frequent(held)
+                held, size = {}, 0
+    yield _frequent(held)
+
+
+def _frequent(held: dict[tuple[int, bool], tuple[list[float], list[np.ndarray]]]) -> pa.RecordBatch:
+    hosts, outsides, found = [], [], [np.zeros(0, np.int64)]
+    for (host, outside), (weights, lists) in held.items():
+        heads, where = np.unique(np.concatenate(lists), return_inverse=True)
+        on = np.bincount(where, weights=np.repeat(weights, [len(x) for x in lists]), minlength=len(heads))
+        least = (OUTSIDE if outside else 0.5) * sum(weights)
+        found.append(heads[on > least - 1e-6])
+        hosts.append(np.full(len(found[-1]), host, np.int64))
+        outsides.append(np.full(len(found[-1]), outside))
+    return pa.RecordBatch.from_pydict({
+        "host": pa.array(np.concatenate([np.zeros(0, np.int64), *hosts])),
+        "outside": pa.array(np.concatenate([np.zeros(0, bool), *outsides])), "head": pa.array(np.concatenate(found))})
+
+
 def _keys(host: np.ndarray, outside: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """Hashes of (host, outside, head)."""
     return W.mix(heads ^ W.mix(W.mix(host) + outside.astype(np.uint64)))
 
 
-def kept(cut: list[tuple[str, bool]], repeated: Callable[[np.ndarray], np.ndarray]) -> list[str]:
+def kept(cut: list[tuple[str, bool]], repeated: Callable[[np.ndarray], np.ndarray] | None) -> list[str]:
     """The blocks that the heads told as repeated do not cover."""
     texts = [t for t, _ in cut]
+    if repeated is None:
+        return texts
     places, sizes, heads, first = _heads(texts)
     hit = repeated(heads)
     if not hit.any():
@@ -231,6 +293,45 @@ def _texts(told: Callable[..., Callable[[np.ndarray], np.ndarray]], others: str)
     return W.per_slice("html", work)
 
 
+def _repeatable(sizes: DataFrame) -> DataFrame:
+    """Hosts with pages enough for a head to be boilerplate."""
+    return sizes.where((F.col("outside") & (F.col("pages") > 1)) | (F.col("pages") >= MANY)).select("host").distinct()
+
+
+def _sent_keys(spark, heads: DataFrame):
+    """Sorted keys of heads, sent to every executor."""
+    rows = heads.mapInArrow(_packed_keys, "keys binary").collect()
+    return spark.sparkContext.broadcast(np.unique(np.frombuffer(b"".join(bytes(r["keys"]) for r in rows), np.uint64)))
+
+
+def _among(keys: np.ndarray, host: np.ndarray, outside: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    if not len(keys):
+        return np.zeros(len(heads), bool)
+    wanted = _keys(host, outside, heads)
+    return keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
+
+
+def _counted(spark, firsts: DataFrame, named_heads: DataFrame, sent: int) -> DataFrame:
+    """(host, outside, head, n) of the named heads that are on more than one page, n by weight."""
+    form = "host long, n long, outside boolean, head long"
+    if named_heads.isEmpty():
+        return spark.createDataFrame([], "host long, outside boolean, head long, n double")
+    hosts = sent_if_small(named_heads.select("host").distinct())
+    pages = firsts.join(hosts, "host", "left_semi")
+    if named_heads.count() <= sent:
+        shared = _sent_keys(spark, named_heads)
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = _page_heads(batch)
+            host, outside, heads = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("host", "outside", "head"))
+            return rows.filter(pa.array(_among(shared.value, host.view(np.uint64), outside, heads.view(np.uint64))))
+        heads = pages.mapInArrow(W.per_slice("html", work), form)
+    else:
+        heads = pages.mapInArrow(W.per_slice("html", _page_heads), form).join(
+            named_heads, ["host", "outside", "head"], "left_semi")
+    return heads.groupBy("host", "outside", "head").agg(F.round(F.sum(1 / F.col("n"))).alias("n")).where("n > 1")
+
+
 def main_texts(pages: DataFrame, sent: int | None = None) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     spark = pages.sparkSession
@@ -248,33 +349,30 @@ def main_texts(pages: DataFrame, sent: int | None = None) -> DataFrame:
     # Of the pages of one content the first gives heads; its n equal rows count as an n-th of a page each.
     copies = steps.keep(contents.join(first, ["host", "content", "outside"]).where("n > 1 or page <> first").select(
         "page", "n", (F.col("page") == F.col("first")).alias("first")))
-    heads = (named.select("page", "host", "html").join(sent_if_small(copies), "page", "left")
-             .where("first is null or first").select("host", F.coalesce("n", F.lit(1)).alias("n"), "html")
-             .mapInArrow(W.per_slice("html", _page_heads), "host long, n long, outside boolean, head long"))
-    counted = heads.groupBy("host", "outside", "head").agg(F.round(F.sum(1 / F.col("n"))).alias("n")).where("n > 1")
+    firsts = (named.select("page", "host", "html").join(sent_if_small(copies), "page", "left")
+              .where("first is null or first").select("host", F.coalesce("n", F.lit(1)).alias("n"), "html"))
+    named_heads = steps.keep(firsts.join(sent_if_small(_repeatable(sizes)), "host", "left_semi").mapInArrow(
+        _named_heads, "host long, outside boolean, head long").distinct())
+    counted = _counted(spark, firsts, named_heads, SENT_HEADS if sent is None else sent)
     enough = F.when(F.col("outside"), F.col("n") >= OUTSIDE * F.col("pages")).otherwise(
         (F.col("n") >= MANY) & (F.col("n") * 2 > F.col("pages")))
     repeated = steps.keep(counted.join(sizes, ["host", "outside"]).where(enough).select("host", "outside", "head"))
     if repeated.count() <= (SENT_HEADS if sent is None else sent):
-        rows = repeated.mapInArrow(_packed_keys, "keys binary").collect()
-        shared = spark.sparkContext.broadcast(np.unique(np.frombuffer(b"".join(bytes(r["keys"]) for r in rows), np.uint64)))
-
-        def told(host: int, outside: bool) -> Callable[[np.ndarray], np.ndarray]:
-            def find(heads: np.ndarray) -> np.ndarray:
-                if not len(shared.value):
-                    return np.zeros(len(heads), bool)
-                of = np.array([host], np.int64).view(np.uint64)
-                keys = _keys(of, np.array([outside]), heads)
-                return shared.value[np.minimum(np.searchsorted(shared.value, keys), len(shared.value) - 1)] == keys
-            return find
+        shared = _sent_keys(spark, repeated)
+
+        def told(host: int, outside: bool) -> Callable[[np.ndarray], np.ndarray] | None:
+            if not len(shared.value):
+                return None
+            of = np.array([host], np.int64).view(np.uint64)
+            return lambda heads: _among(shared.value, of, np.array([outside]), heads)
         return named.select("page_id", "url", "html", "host").mapInArrow(_texts(told, "host"), out)
     by_page = steps.keep(named.select("page", "host", "html").mapInArrow(
         W.per_slice("html", _page_heads), "page long, host long, outside boolean, head long")
         .join(repeated, ["host", "outside", "head"], "left_semi").groupBy("page").agg(
         F.collect_set("head").alias("repeated")))
 
-    def listed(found: list[int] | None, outside: bool) -> Callable[[np.ndarray], np.ndarray]:
-        return lambda heads: np.isin(heads.view(np.int64), found or [])
+    def listed(found: list[int] | None, outside: bool) -> Callable[[np.ndarray], np.ndarray] | None:
+        return (lambda heads: np.isin(heads.view(np.int64), found)) if found else None
     return named.select("page_id", "url", "html", "page").join(sent_if_small(by_page, 100_000), "page", "left").mapInArrow(
         _texts(listed, "repeated"), out)
 
