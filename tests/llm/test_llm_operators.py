@@ -672,6 +672,14 @@ def test_line_dedup(spark, empty):
     assert line_dedup.dedup(empty).count() == 0
 
 
+def test_line_dedup_with_clashing_columns(spark):
+    rows = [(i, "the same line on all of these\nown line of number " + "abcdef"[i] * 6, i, "r", "k", 9) for i in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, of int, of_row string, kept string, n_lines int")
+    found = line_dedup.dedup(frame).orderBy("doc_id").collect()
+    assert [(r["of"], r["of_row"], r["kept"], r["n_lines"], r["n_kept"]) for r in found] == [
+        (0, "r", "k", 2, 2), *((i, "r", "k", 2, 1) for i in (1, 2, 3))]
+
+
 def test_line_dedup_of_short_lines_and_blank_rests(spark):
     rows = [(1, "All rights!\n\nsecond line of it", "", "", 0), (2, "All rights!\n\nsecond line of it", "", "", 0),
             (3, "All right!\nthird text here", "", "", 0), (4, " \n\n", "", "", 0), (5, None, "", "", 0)]

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.columns import packed, unpacked
+from tidemark.llm.columns import OWN, packed, unpacked
 from tidemark.llm.graph import Steps, sent_if_small
 
 LEAST = 10
@@ -230,10 +230,19 @@ _WHITE = "".join(map(chr, _BLANK.tolist()))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The documents with the text their lines leave, `n_lines` before and `n_kept` after."""
-    steps = Steps(docs.sparkSession, "line-dedup")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    plain = docs.drop("n_lines", "n_kept")
+    """The documents with the text their lines leave, `n_lines` before and `n_kept` after.
+
+    Other columns stay as they are, whatever their names; those two are replaced.
+    """
+    others = [c for c in docs.columns if c not in (*OWN, "n_lines", "n_kept")]
+    return _deduped(packed(docs.select(*OWN, *[F.col(f"`{c}`") for c in others]))).select(
+        *OWN, *[F.col("rest").getField(c).alias(c) for c in others], "n_lines", "n_kept")
+
+
+def _deduped(plain: DataFrame) -> DataFrame:
+    """As `dedup`, of packed documents."""
+    steps = Steps(plain.sparkSession, "line-dedup")
+    kind = plain.schema["doc_id"].dataType.simpleString()
     keyed = plain.select("doc_id", "text").withColumn("row", F.xxhash64("text"))
     place = F.struct(F.isnull("doc_id").alias("without"), "doc_id", "row", "number")
     unique = steps.keep(
@@ -257,7 +266,7 @@ def deduped_documents(docs: DataFrame) -> DataFrame:
 
     `n_chars`, if there, is counted anew where a text changed.
     """
-    out = dedup(packed(docs))
+    out = _deduped(packed(docs))
     bare = F.btrim("text", F.lit(_WHITE + "\n")) == ""
     out = out.where(~((F.col("n_kept") < F.col("n_lines")) & F.coalesce(bare, F.lit(False))))
     return unpacked(out, docs, F.col("n_kept") < F.col("n_lines"))
