@@ -62,6 +62,27 @@ def test_volatile_definitions_are_rejected(rows, volatile):
         ops.assert_deterministic(df.withColumn("x", volatile()))
 
 
+@pytest.mark.parametrize("expression", [
+    "uniform(1, 10)", "rand(5)", "randstr(4)", "current_user()", "now()", "localtimestamp()", "current_database()",
+    "current_timezone()", "1 + (SELECT max(rand()) FROM range(2))", "shuffle(array(1, 2))",
+    "monotonically_increasing_id()", "transform(array(1), x -> x + rand())", "spark_partition_id()", "input_file_name()"])
+def test_volatile_expressions_are_told_by_the_plan(rows, expression):
+    df = rows([("a", "1", 1)], T)
+    one = df.selectExpr(f"CAST({expression} AS string) AS x")
+    for bad in (one, one.union(df.selectExpr("k"))):
+        with pytest.raises(ValueError, match="not deterministic"):
+            ops.assert_deterministic(bad)
+
+
+def test_names_in_texts_and_columns_are_no_calls(spark, rows, capfd):
+    df = rows([("a", "1", 1)], T)
+    df.createOrReplaceTempView("held")
+    spark.sql("CREATE OR REPLACE TEMP VIEW viewed AS SELECT * FROM held")
+    ops.assert_deterministic(df.selectExpr("'call now()' AS x", "'rand(' AS `current_date()`", "hash(1) AS uuid"))
+    ops.assert_deterministic(spark.sql("WITH c AS (SELECT * FROM viewed) SELECT *, (SELECT count(*) FROM c) n FROM c"))
+    assert "Logical Plan" not in capfd.readouterr().out
+
+
 def test_backstop():
     noon = datetime(2024, 1, 1, 12)
     assert ops.refresh_due(None, 1, noon)

@@ -7,6 +7,7 @@ an INSERT of one key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -258,8 +259,9 @@ def merge_snapshot(store: SnapshotStore, obj: str, feed: DataFrame, token: str |
     """Apply a feed to a stored table, rewriting only the buckets its keys fall in. Runs jobs."""
     head = store.head(obj)
     # Written first, so that the buckets and the rows come of one state of a source that moves.
-    path = f"{store.root}/feeds/{obj}"
-    feed.write.mode("overwrite").parquet(path)
+    # A folder of its own: two merges, or a feed read from an earlier one, do not meet.
+    path = f"{store.root}/feeds/{obj}-{uuid.uuid4().hex}"
+    feed.write.parquet(path)
     feed = store.spark.read.schema(feed.schema).parquet(path)
     bucket = bucket_of(feed, head.keys, store.buckets)
     touched = {r.bucket for r in feed.select(bucket.alias("bucket")).distinct().collect()}

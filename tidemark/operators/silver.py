@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
-import re
-import threading
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -17,13 +13,6 @@ from tidemark.functions import bucket_of, fingerprint, null_safe
 from tidemark.functions.rules import Rule
 from tidemark.sources.snapshots import Snapshot, SnapshotStore
 
-_VOLATILE = re.compile(
-    r"\b(current_timestamp|current_date|current_time|localtimestamp|now|rand|randn|random|randstr|"
-    r"uuid|shuffle|monotonically_increasing_id|spark_partition_id|input_file_name)\(",
-    re.IGNORECASE)
-
-
-_STDOUT = threading.Lock()  # objects are captured side by side, and there is one stdout
 
 
 class SchemaDrift(RuntimeError):
@@ -71,20 +60,39 @@ def add_flags(df: DataFrame, rules: dict[str, Rule]) -> DataFrame:
     return df.withColumns({name: rule(df.schema) for name, rule in rules.items()}) if rules else df
 
 
+#: Expressions that Spark takes for constant within a query, and that differ between queries.
+_OF_THE_QUERY = {"CurrentDate", "CurrentTime", "CurrentTimestamp", "Now", "LocalTimestamp", "CurrentTimeZone",
+                 "CurrentUser", "CurrentDatabase", "CurrentCatalog"}
+
+
+def _each(seq) -> Iterator:
+    return (seq.apply(i) for i in range(seq.size()))
+
+
+def _volatile(plan) -> Iterator[str]:
+    """Names of the expressions of an analysed plan that give other values in another run."""
+    plans, expressions = [plan], []
+    while plans:
+        node = plans.pop()
+        for inner in (node.children(), node.innerChildren(), node.subqueries()):
+            plans += [p for p in _each(inner) if hasattr(p, "expressions")]
+        expressions += list(_each(node.expressions()))
+    while expressions:
+        e = expressions.pop()
+        name = e.getClass().getSimpleName()
+        if name in _OF_THE_QUERY:
+            yield e.prettyName()
+        below = list(_each(e.children()))
+        if not e.deterministic() and all(b.deterministic() for b in below):
+            yield e.prettyName()
+        expressions += below
+
+
 def assert_deterministic(df: DataFrame) -> None:
-    """Reject a definition that reads the clock or a random source."""
-    shown, limit = io.StringIO(), "spark.sql.debug.maxToStringFields"
-    with _STDOUT, contextlib.redirect_stdout(shown):
-        before = df.sparkSession.conf.get(limit)
-        df.sparkSession.conf.set(limit, str(2**31 - 1))  # else wide tables hide columns
-        try:
-            df.explain("extended")
-        finally:
-            df.sparkSession.conf.set(limit, before)
-    analysed = shown.getvalue().split("== Optimized Logical Plan ==")[0]
-    found = _VOLATILE.search(analysed)
+    """Reject a definition that reads the clock, the session or a random source, in a subquery too."""
+    found = next(_volatile(df._jdf.queryExecution().analyzed()), None)
     if found:
-        raise ValueError(f"not deterministic: {found.group(1)}; pass the time in as as_of")
+        raise ValueError(f"not deterministic: {found}; pass the time in as as_of")
 
 
 @dataclass(frozen=True)
