@@ -181,7 +181,7 @@ def _near_lines(steps: Steps, docs: DataFrame, unique: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text", "row").join(
         sent_if_small(wanted, SENDABLE_ROWS), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row")))
     texts = steps.keep(texts.select("text", "wanted").mapInArrow(
-        W.per_slice("text", _picked), "line long, text string").dropDuplicates(["line"])
+        W.per_slice("text", _picked, 500_000), "line long, text string").dropDuplicates(["line"])
         .join(survivors.select("line", "front", "back", F.col("place").alias("order")), "line"))
     variants = texts.select("line", "text", "front", "back").mapInArrow(
         W.per_slice("text", _variants, 200_000), "key long, role byte, place int, line long")
@@ -246,7 +246,7 @@ def _deduped(plain: DataFrame) -> DataFrame:
     keyed = plain.select("doc_id", "text").withColumn("row", F.xxhash64("text"))
     place = F.struct(F.isnull("doc_id").alias("without"), "doc_id", "row", "number")
     unique = steps.keep(
-        keyed.mapInArrow(W.per_slice("text", _line_rows, 1_000_000),
+        keyed.mapInArrow(W.per_slice("text", _line_rows, 500_000),
                          f"line long, check long, doc_id {kind}, row long, number int, odd boolean, halves array<long>")
         .groupBy("line", "check").agg(F.min(place).alias("place"), F.first("halves").alias("halves"),
              F.first("odd").alias("odd")))
@@ -258,7 +258,7 @@ def _deduped(plain: DataFrame) -> DataFrame:
                         & (F.xxhash64("text") == F.col("of_row")), "left").drop("of", "of_row")
     schema = joined.drop("kept").withColumn("n_lines", F.lit(0).cast("long")).withColumn(
         "n_kept", F.lit(0).cast("long")).schema
-    return joined.mapInArrow(W.per_slice("text", _rebuilt), schema)
+    return joined.mapInArrow(W.per_slice("text", _rebuilt, 500_000), schema)
 
 
 def deduped_documents(docs: DataFrame) -> DataFrame:

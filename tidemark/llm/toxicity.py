@@ -59,6 +59,8 @@ SENT_RUNS = 10_000_000
 HELD_RUNS = 1_000_000
 #: Letters before the last by which runs meet, and the highest order below, which is sent.
 MEET = 3
+#: Bytes of text worked on at once.
+SLICE_BYTES = 1_000_000
 #: Bytes of text for each bucket of runs that meet.
 BUCKET_BYTES = 4_000_000
 LEAST_BUCKETS = 64
@@ -145,12 +147,12 @@ def _run_counts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for rows in W.slices(batch, "text"):
+            for rows in W.slices(batch, "text", SLICE_BYTES):
                 found = W.Words(rows.column("text"))
                 spelled = Spelled(found)
                 part = rows.column("part").fill_null(PARTS).to_numpy()[found.rows]
                 n = np.bincount(spelled.word * (PARTS + 1) + part, minlength=len(spelled.times) * (PARTS + 1))
-                held.append((spelled.runs, n.reshape(-1, PARTS + 1)[spelled.owner, :PARTS]))
+                held.append((spelled.runs, n.reshape(-1, PARTS + 1)[:, :PARTS].astype(np.int32)[spelled.owner]))
                 if sum(len(runs) for runs, _ in held) > HELD_RUNS:
                     held = [_summed(held)]
                     if len(held[0][0]) > HELD_RUNS // 2:
@@ -459,7 +461,7 @@ def _with_ratios(docs: DataFrame, ratios: Ratios, kind: str, work: Callable[...,
         shared = docs.sparkSession.sparkContext.broadcast(
             (keys[order], np.frombuffer(b"".join(bytes(r[kind]) for r in rows), np.float32)[order]))
         return docs.mapInArrow(W.per_slice(
-            "text", lambda batch: work(batch, lambda found: by_runs(found, *shared.value))), schema)
+            "text", lambda batch: work(batch, lambda found: by_runs(found, *shared.value)), SLICE_BYTES), schema)
     words = ratios.word_ratios(Steps(docs.sparkSession, "toxicity-words"), docs, kind)
     key = F.xxhash64("text").alias("key")
     found = (docs.select(key, "text").mapInArrow(W.per_slice("text", _text_words), "key long, word long").distinct()

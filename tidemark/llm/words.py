@@ -161,6 +161,7 @@ def per_slice(column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch],
         for batch in batches:
             for part in slices(batch, column, limit):
                 yield work(part)
+            pa.default_memory_pool().release_unused()  # workers are used again
     return run
 
 
