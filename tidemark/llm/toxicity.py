@@ -124,7 +124,7 @@ def _spread(data: bytes, kind: np.dtype | type) -> np.ndarray:
 
 def _unpacked(runs: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     found = np.cumsum(_spread(runs, np.uint64), dtype=np.uint64)
-    return found, _spread(counts, np.int64).reshape(-1, PARTS)
+    return found, _spread(counts, np.int32).reshape(-1, PARTS)
 
 
 def _bucket_rows(runs: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -136,7 +136,7 @@ def _bucket_rows(runs: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Recor
     return pa.RecordBatch.from_pydict({
         "bucket": pa.array(present.astype(np.int32)),
         "runs": pa.array([_squeezed(np.diff(runs[p], prepend=_U(0))) for p in parts], pa.binary()),
-        "counts": pa.array([_squeezed(counts[p].reshape(-1)) for p in parts], pa.binary())})
+        "counts": pa.array([_squeezed(counts[p].astype(np.int32).reshape(-1)) for p in parts], pa.binary())})
 
 
 def _run_counts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -154,7 +154,9 @@ def _run_counts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                 n = np.bincount(spelled.word * (PARTS + 1) + part, minlength=len(spelled.times) * (PARTS + 1))
                 held.append((spelled.runs, n.reshape(-1, PARTS + 1)[:, :PARTS].astype(np.int32)[spelled.owner]))
                 if sum(len(runs) for runs, _ in held) > HELD_RUNS:
-                    held = [_summed(held)]
+                    runs, counts = _summed(held)
+                    held = [(runs, counts.astype(np.int32))]
+                    del runs, counts
                     if len(held[0][0]) > HELD_RUNS // 2:
                         yield _bucket_rows(*held.pop(), buckets)
         if held:
