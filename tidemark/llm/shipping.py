@@ -1,4 +1,4 @@
-"""Send this package to the executors, whose path may lack it."""
+"""Prepare a session: the package on the executors, whose path may lack it, and small Arrow batches."""
 
 from __future__ import annotations
 
@@ -9,11 +9,14 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Bytes of rows that go to a Python worker at once; a longer row goes alone.
+BATCH_BYTES = "8m"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package's source to the application, once."""
+    """Add the package's source to the application, once, and bound the Arrow batches of the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -56,11 +56,11 @@ MAX_LABELLED = 200_000
 #: Runs with a ratio (12 bytes each) that are sent to every executor; more are joined to the texts.
 SENT_RUNS = 10_000_000
 #: Distinct runs that a task holds before it passes them on.
-HELD_RUNS = 1_000_000
+HELD_RUNS = 600_000
 #: Letters before the last by which runs meet, and the highest order below, which is sent.
 MEET = 3
 #: Bytes of text worked on at once.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 #: Bytes of text for each bucket of runs that meet.
 BUCKET_BYTES = 4_000_000
 LEAST_BUCKETS = 64
