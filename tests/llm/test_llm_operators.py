@@ -690,10 +690,10 @@ def test_line_dedup_of_short_lines_and_blank_rests(spark):
 def test_queries_over_whole_tables(spark, sf_dir):
     import __spark_entry__ as entry
     from tidemark.llm.queries import QUERIES
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     n = duckdb.sql(f"select count(*) from '{sf_dir}/documents.parquet'").fetchall()[0][0]
-    for name in ("op2_decontamination", "op3_token_counts", "op9_mixing"):
+    for name in ("op2_decontamination", "op3_token_counts", "op9_mixing", "op12_fill_middle"):
         assert QUERIES[name](spark, sf_dir).count() == n
 
 
