@@ -5,7 +5,8 @@ from compare import rows_of, connect
 from pyspark.sql import functions as F
 
 from tidemark.operators import control as ops, gold as golds, silver
-from tidemark.plans.capture import Capture
+from tidemark.operators.grain import GrainError
+from tidemark.plans.capture import Capture, MetadataError
 from tidemark.queries import ORACLES
 from tidemark.queries.control import _captured
 from tidemark.queries.data import FLOW, KEYS
@@ -46,9 +47,8 @@ def test_assurance_health_and_drain(spark, run):
     spec = CaptureSpec("STANDARD", held.spec.objects[:2], flow_hash=FLOW,
                        referential=held.spec.referential)
     capture = Capture(spark, spec, held.control.root, held.store.buckets)
-    messages = capture.daily_assurance("2024-02-01 06:00:00")
-    assert messages == {"validate": "metadata of 2 object(s) usable",
-                        "reconcile": "row counts differ on 1 object(s)"}
+    assert capture.daily_assurance("2024-02-01 06:00:00") == {
+        "metadata_unusable": 0, "keys_drifted": 0, "counts_differ": 1}
     health = {r.object_name: r for r in capture.health("2024-02-01 07:00:00").collect()}
     assert health["EVENTS"].metadata_verdict == "USABLE"
     assert health["EVENTS"].reload_verdict == "MERGING"
@@ -143,6 +143,45 @@ def test_a_failed_refresh_is_recorded_and_does_not_stop_others(spark, sf_dir, tm
     assert capture.cycle("2024-02-01 00:15:00").statuses["A"] == "REFRESHED"
 
 
+def test_the_gate_refuses_a_short_key_before_anything_is_registered(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("SELECT id AS k, id % 5 AS part, TIMESTAMP_NTZ'2024-01-01' AS ZZLASTCHGDATE FROM range(20)") \
+         .write.parquet(path)
+
+    def capture(name, *keys):
+        spec = CaptureSpec("CUSTOM", (ObjectSpec("T", path, keys),), watermark_column="ZZLASTCHGDATE")
+        return Capture(spark, spec, str(tmp_path / name), 4)
+
+    short = capture("short", "part")
+    with pytest.raises(GrainError, match="T by \\(part\\): FAIL, 15 rows discarded"):
+        short.build("2024-02-01 00:00:00")
+    assert short.control.read("registry").count() == 0 and short.store.head("T") is None
+    with pytest.raises(GrainError, match="VIOLATED"):
+        capture("declared", "k").build("2024-02-01 00:00:00", {"T": (("part",), "PK")})
+    assert capture("right", "k").build("2024-02-01 00:00:00").actions == {"T": "FULL"}
+
+
+def test_a_cycle_leaves_an_object_whose_metadata_turned_unusable(spark, tmp_path):
+    path, key = str(tmp_path / "t"), ("k",)
+
+    def land(stamp):
+        spark.sql(f"SELECT id AS k, CAST({stamp} AS TIMESTAMP_NTZ) AS ZZLASTCHGDATE FROM range(20)") \
+             .write.mode("overwrite").parquet(path)
+
+    land("'2024-01-01'")
+    spec = CaptureSpec("CUSTOM", (ObjectSpec("T", path, key),), watermark_column="ZZLASTCHGDATE")
+    capture = Capture(spark, spec, str(tmp_path / "r"), 4)
+    capture.build("2024-02-01 00:00:00")
+    land("NULL")
+    with pytest.raises(MetadataError, match="T: 20 row"):
+        capture.gate("2024-02-01 01:00:00")
+    assert capture.cycle("2024-02-03 01:00:00").statuses == {"T": "UNUSABLE"}
+    assert capture.store.read("T").filter("ZZLASTCHGDATE IS NULL").count() == 0
+    land("'2024-01-03'")
+    capture.validate("2024-02-03 02:00:00")
+    assert capture.cycle("2024-02-03 02:00:00").statuses == {"T": "REFRESHED"}
+
+
 def test_gold_definitions_must_name_their_keys(run):
     gold = golds.GoldDef("G", ("a", "b"), {"EVENTS": ("user_id",)}, lambda i: i["EVENTS"])
     with pytest.raises(ValueError):

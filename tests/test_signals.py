@@ -83,10 +83,31 @@ def test_pruning_counts_files_and_bytes(spark, tmp_path):
     r = ops.pruning_ratio(df, "wm").first()
     assert (r.files_total, r.files_touched, r.status) == (10, 1, "WARN")
     assert ops.pruning_ratio(df, "wm", bound=0).first().ratio == 1.0
+    assert ops.pruning_ratio(df, "wm", bound=10).first().files_touched == 0
+    zones = {(r.n_rows, r.oldest, r.newest) for r in ops.zone_map(df, "wm").collect()}
+    assert zones == {(1000, day, day) for day in range(10)}
+    empty = ops.pruning_ratio(df.withColumn("wm", F.lit(None).cast("int")), "wm").first()
+    assert (empty.files_touched, empty.ratio, empty.status) == (0, 0.0, "WARN")
     assert ops.file_count_drop(df, 20).first().dropped
     assert not ops.file_count_drop(df, 14).first().dropped
 
 
+@pytest.mark.parametrize("batches,status", [(10, "PASS"), (1, "WARN")])
+def test_extract_is_judged_by_bytes(spark, tmp_path, batches, status):
+    path = str(tmp_path / "t")
+    for batch in range(batches):
+        spark.range(100).select("id", F.lit(f"2026-06-1{batch}T00:00:00,0000000Z").alias("ts")) \
+             .coalesce(1).write.mode("append").parquet(path)
+    pruned = ops.pruning_ratio(spark.read.parquet(path), "ts")
+    assert findings.extract_finding(pruned).first().status == status
+
+
+def test_delete_codes_are_reported(rows):
+    seen = ops.operation_summary(ops.operation_mix({"T": rows([("L",), ("D",)], "op string")}, "op"))
+    found = findings.operation_finding(seen).first()
+    assert (found.status, found.detail) == ("INFO", "2 code(s) on 1 object(s); deletes can be applied")
+
+
 @pytest.mark.parametrize("statuses,verdict", [
     ({}, "NOT ASSESSABLE"),
     ({"share.present": "PASS", "semantics.trustworthy": "FAIL"}, "NOT READY"),

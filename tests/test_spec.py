@@ -28,6 +28,16 @@ def test_capture_rules(kw):
         CaptureSpec(**{"objects": (OBJ,), **kw})
 
 
+def test_all_faults_are_named_at_once():
+    with pytest.raises(SpecError, match="name is .*; keys has a column; object_class is one of"):
+        ObjectSpec("orders", "orders", (), "OTHER")
+    with pytest.raises(SpecError, match="source is given; objects is given"):
+        CaptureSpec.from_dict({})
+    with pytest.raises(SpecError, match="keys has a column"):
+        CaptureSpec.from_dict({"source": {"track": "custom", "watermark_column": "ts"},
+                               "objects": [{"name": "a", "table": "a", "keys": None}]})
+
+
 def test_lag_follows_class():
     assert OBJ.lag_hours == 24
     assert ObjectSpec("T", "t", ("id",), "TRANSACTION").lag_hours == 1

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidemark.functions import minutes_between, parse_stamp
+from tidemark.operators.digests import sided, where_different
 from tidemark.operators.grain import keys_agree
 from tidemark.operators.profile import declared_keys, union_all
 from tidemark.spec import CaptureSpec
@@ -148,21 +149,32 @@ def reconcile(source: DataFrame, silver: DataFrame, name: str) -> DataFrame:
                     F.when(s == t, "MATCH").otherwise("DIFFERENCE").alias("verdict")))
 
 
-def reconcile_keys(source: DataFrame, silver: DataFrame, keys: Sequence[str]) -> DataFrame:
+def reconcile_keys(source: DataFrame, silver: DataFrame, keys: Sequence[str],
+                   parts: int | None = None) -> DataFrame:
     """Keys that one side lacks, with the side they are `missing_in`; NULL keys count.
 
     Equal counts can hide a swap of rows; this cannot. Each task reduces its
-    rows to keys before the one shuffle.
+    rows to keys before the one shuffle. With `parts`, digests of so many key
+    ranges are compared first, in a job that runs at once, and only keys of
+    ranges that differ are shuffled: cheap where the sides hold nearly the same
+    keys once each, and right also where they do not.
     """
-    sided = (source.select(*keys, F.lit(True).alias("__src"))
-             .unionByName(silver.select(*keys, F.lit(False).alias("__src"))))
-    seen = sided.groupBy(*keys).agg(F.bool_or("__src").alias("__in_source"),
-                                    F.bool_and("__src").alias("__only_source"))
-    return (seen.filter(~F.col("__in_source") | F.col("__only_source"))
-            .select(*keys, F.when(F.col("__only_source"), "silver").otherwise("source")
+    both = sided(source.select(*keys), silver.select(*keys))
+    if parts is not None:
+        both = where_different(both, keys, keys, parts)
+    seen = both.groupBy(*keys).agg(F.max("__side").alias("__most"), F.min("__side").alias("__least"))
+    return (seen.filter(F.col("__most") == F.col("__least"))
+            .select(*keys, F.when(F.col("__most") == 1, "silver").otherwise("source")
                     .alias("missing_in")))
 
 
+def distrusted(validations: DataFrame) -> DataFrame:
+    """object_name of those whose newest validation found their metadata UNUSABLE."""
+    return (validations.groupBy("object_name")
+            .agg(F.max_by("verdict", "checked_at").alias("verdict"))
+            .filter(F.col("verdict") == "UNUSABLE").select("object_name"))
+
+
 def freshness(registry: DataFrame, as_of: Column) -> DataFrame:
     """Minutes behind, counted in minute boundaries, from a UTC `as_of`."""
     stamp = F.coalesce("last_watermark", parse_stamp("last_watermark_text"))

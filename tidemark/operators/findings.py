@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.fixed import PRUNE_PARTIAL
+
 FINDING = "check string, status string, detail string"
 
 
@@ -56,6 +58,28 @@ def trust_finding(validations: DataFrame) -> DataFrame:
         "%d of %d standard object(s) unusable", F.col("unusable"), F.col("checked")))
 
 
+def operation_finding(summary: DataFrame) -> DataFrame:
+    """Whether deletes can be applied: INFO, for a code that was never seen may still come."""
+    deletes = F.when(F.col("delete_code_seen"), "deletes can be applied").otherwise(
+        "no delete code seen, deletes have to be found by comparing keys")
+    return finding(summary, "semantics.operation", F.lit("INFO"), F.format_string(
+        "%d code(s) on %d object(s); %s", F.col("operations"), F.col("objects"), deletes))
+
+
+def extract_finding(pruned: DataFrame) -> DataFrame:
+    """What reading the last batch costs on the standard track: WARN from a third of the bytes, or unmeasured."""
+    cheap = (F.col("files_touched") > 0) & (F.col("ratio") < PRUNE_PARTIAL)
+    return finding(pruned, "cost.extract", F.when(cheap, "PASS").otherwise("WARN"), F.format_string(
+        "%d of %d byte(s) touched", F.col("bytes_touched"), F.col("bytes_total")))
+
+
+def incremental_finding(compared: DataFrame) -> DataFrame:
+    """Whether an incremental refresh gave what a full one gives; `compared` as of `row_differences`."""
+    return finding(compared, "refresh.incremental", F.when(F.col("equal"), "PASS").otherwise("FAIL"),
+                   F.format_string("%d row(s) missing, %d too many", F.col("only_in_full"),
+                                   F.col("only_in_held")))
+
+
 def readiness_verdict(findings: DataFrame) -> DataFrame:
     """One row: verdict and reasons, from the status of each check.
 

@@ -137,25 +137,42 @@ def infer_load_phase(df: DataFrame, wm: str) -> DataFrame:
                          F.when(F.to_date(wm) == first, "initial").otherwise("delta"))
 
 
+def zone_map(df: DataFrame, wm: str) -> DataFrame:
+    """file, bytes, n_rows, oldest, newest: the watermarks of each file, from one scan of one column."""
+    return (df.groupBy(F.col("_metadata.file_path").alias("file"),
+                       F.col("_metadata.file_size").alias("bytes"))
+            .agg(F.count("*").alias("n_rows"), F.min(wm).alias("oldest"), F.max(wm).alias("newest")))
+
+
 def pruning_ratio(df: DataFrame, wm: str, bound: str | None = None) -> DataFrame:
     """One row: the share of bytes a "latest batch" filter touches, judged per file.
 
     A file is touched when its greatest watermark reaches the bound. The bound
-    is the data's own maximum, so the batch is never empty.
+    is the data's own maximum, so the batch is never empty; the files that reach
+    it are those whose greatest watermark is the greatest of all, so that one
+    scan gives both. A watermark that is empty on every row prunes nothing and
+    is a WARN.
     """
-    files = (df.groupBy(F.col("_metadata.file_path").alias("file"),
-                        F.col("_metadata.file_size").alias("size"))
-             .agg(F.max(wm).alias("newest")))
-    limit = df.agg(F.max(wm)).scalar() if bound is None else F.lit(bound)
-    touched = F.col("newest") >= limit
+    zones = zone_map(df, wm)
+    reached = (F.col("newest") if bound is None else
+               F.when(F.col("newest") >= F.lit(bound), F.lit(1)).otherwise(0))
+    by_reach = zones.groupBy(reached.alias("reached")).agg(
+        F.count("*").alias("files"), F.sum("bytes").alias("bytes"),
+        F.count("newest").alias("filled"))
+    top = F.max_by(F.struct("files", "bytes"), "reached")
+    if bound is not None:
+        top = F.max(F.when(F.col("reached") == 1, F.struct("files", "bytes")))
     ratio = F.col("bytes_touched") / F.col("bytes_total")
-    return (files.agg(F.count("*").alias("files_total"), F.count_if(touched).alias("files_touched"),
-                      F.sum("size").alias("bytes_total"),
-                      F.coalesce(F.sum(F.when(touched, F.col("size"))), F.lit(0))
-                      .alias("bytes_touched"))
+    return (by_reach.agg(F.sum("files").alias("files_total"), F.sum("bytes").alias("bytes_total"),
+                         top.alias("top"), (F.sum("filled") > 0).alias("filled"))
+            .select(F.coalesce("files_total", F.lit(0)).alias("files_total"),
+                    F.coalesce("top.files", F.lit(0)).alias("files_touched"), "bytes_total",
+                    F.coalesce("top.bytes", F.lit(0)).alias("bytes_touched"), "filled")
             .withColumn("ratio", F.round(ratio, 6))
-            .withColumn("status", F.when(F.col("ratio") < PRUNE_NEAR_COMPLETE, "PASS")
-                        .when(F.col("ratio") < PRUNE_PARTIAL, "WARN").otherwise("FAIL")))
+            .withColumn("status", F.when(~F.coalesce("filled", F.lit(False)), "WARN")
+                        .when(F.col("ratio") < PRUNE_NEAR_COMPLETE, "PASS")
+                        .when(F.col("ratio") < PRUNE_PARTIAL, "WARN").otherwise("FAIL"))
+            .drop("filled"))
 
 
 def file_count_drop(df: DataFrame, baseline_files: int, ratio: float = FILE_COUNT_RATIO) -> DataFrame:

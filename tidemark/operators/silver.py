@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from tidemark.fixed import OPERATION, TIMESTAMP
 from tidemark.functions import bucket_of, fingerprint, null_safe
 from tidemark.functions.rules import Rule
+from tidemark.operators.digests import sided, where_different
 from tidemark.sources.snapshots import Snapshot, SnapshotStore
 
 
@@ -209,17 +210,25 @@ def refresh_due(last_success: datetime | None, lag_hours: float | None, as_of: d
 def incremental_equals_full(store: SnapshotStore, target: str, rows: DataFrame,
                             keys: Sequence[str], wm: str, nulls: str = "last",
                             tiebreak: Sequence[str] = ()) -> DataFrame:
-    """One row: how many rows the held table and a full recomputation do not share."""
+    """One row: how many rows the held table and a full recomputation do not share.
+
+    Both are compared by key range first, so a table that agrees is not shuffled.
+    """
     full = latest_per_key(rows, keys, wm, nulls, [F.col(c).desc_nulls_last() for c in tiebreak])
     held = store.read(target).select(*full.columns)
-    return row_differences(full, held, "only_in_full", "only_in_held")
+    return row_differences(full, held, "only_in_full", "only_in_held", keys)
 
 
-def row_differences(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
-    """One row: rows (with repeats) on one side only; one shuffle, combined per task."""
-    columns = left.columns
-    sided = left.withColumn("__side", F.lit(1)).unionByName(right.withColumn("__side", F.lit(-1)))
-    surplus = sided.groupBy(*columns).agg(F.sum("__side").alias("__n"))
+def row_differences(left: DataFrame, right: DataFrame, left_name: str, right_name: str,
+                    keys: Sequence[str] = ()) -> DataFrame:
+    """One row: rows (with repeats) on one side only; one shuffle, combined per task.
+
+    With `keys` only the key ranges that differ are shuffled, found by a job that runs at once.
+    """
+    columns, both = left.columns, sided(left, right)
+    if keys:
+        both = where_different(both, keys, columns)
+    surplus = both.groupBy(*columns).agg(F.sum("__side").alias("__n"))
     total = surplus.agg(
         F.coalesce(F.sum(F.when(F.col("__n") > 0, F.col("__n"))), F.lit(0)).alias(left_name),
         F.coalesce(F.sum(F.when(F.col("__n") < 0, -F.col("__n"))), F.lit(0)).alias(right_name))

@@ -1,6 +1,6 @@
 """Jobs that chain the operators: capture cycle, assurance, drain, readiness."""
 
-from tidemark.plans.capture import Capture
-from tidemark.plans.readiness import assess
+from tidemark.plans.capture import Capture, MetadataError
+from tidemark.plans.readiness import Trial, assess
 
-__all__ = ["Capture", "assess"]
+__all__ = ["Capture", "MetadataError", "Trial", "assess"]

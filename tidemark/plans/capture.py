@@ -21,6 +21,14 @@ from tidemark.sources.snapshots import SnapshotStore
 from tidemark.spec import CaptureSpec, ObjectSpec, cdc_objects, silver_objects
 
 
+class MetadataError(RuntimeError):
+    """The change metadata of at least one object can't be trusted; `rows` holds the validations."""
+
+    def __init__(self, rows: list) -> None:
+        super().__init__("; ".join(f"{r.object_name}: {r.faults}" for r in rows))
+        self.rows = rows
+
+
 @dataclass
 class CycleResult:
     """What one cycle did: status per object, refresh action per table."""
@@ -86,6 +94,29 @@ class Capture:
 
     # -- jobs ------------------------------------------------------------------
 
+    def gate(self, as_of: str, declared: dict[str, tuple[tuple[str, ...], str]] | None = None) -> None:
+        """Raise unless every key is the grain of its object and all change metadata can be trusted.
+
+        `declared` is that of `verify_grain`. Keys are counted in one scan of the
+        key columns, metadata in one of its own columns, and the validation is
+        recorded; nothing else is written.
+        """
+        grain.assert_grain(self.verify_grain(declared))
+        unusable = self.validate(as_of).filter(F.col("verdict") == "UNUSABLE").collect()
+        if unusable:
+            raise MetadataError(unusable)
+
+    def build(self, as_of: str,
+              declared: dict[str, tuple[tuple[str, ...], str]] | None = None) -> CycleResult:
+        """The gate, then registration and the first cycle.
+
+        A log that holds several rows of a key by design has no grain to verify:
+        it goes by `register` and `cycle`.
+        """
+        self.gate(as_of, declared)
+        self.register(as_of)
+        return self.cycle(as_of)
+
     def register(self, as_of: str) -> None:
         registry = ops.upsert_registry(self.control.read("registry"),
                                        ops.spec_rows(self.spark, self.spec), ntz(as_of))
@@ -172,12 +203,22 @@ class Capture:
 
         Objects run side by side, so that small ones fill the gaps of large
         ones. One that fails is recorded as ERROR and does not stop the others.
+        One whose newest validation is UNUSABLE is recorded as that and keeps
+        what it holds until a validation finds its metadata usable again.
         """
         now = datetime.fromisoformat(as_of)
         state = {r.object_name: r.asDict() for r in self.control.read("registry").collect()}
         objects = [o for o in silver_objects(self.spec) if o.name in state]
+        stopped = {r.object_name for r in
+                   ops.distrusted(self.control.read("metadata_validation")).collect()}
+
+        def turn(obj: ObjectSpec) -> _Outcome:
+            if obj.name in stopped:
+                return _Outcome("UNUSABLE")
+            return self._capture_one(obj, state[obj.name], now)
+
         with ThreadPoolExecutor(self.at_once) as pool:
-            outcomes = list(pool.map(lambda o: self._capture_one(o, state[o.name], now), objects))
+            outcomes = list(pool.map(turn, objects))
 
         result = CycleResult()
         for obj, outcome in zip(objects, outcomes):
@@ -280,9 +321,9 @@ class Capture:
                                 union_all(frames).withColumn("checked_at", ntz(as_of)))
         return self.control.read("reconciliation").filter(F.col("checked_at") == ntz(as_of))
 
-    def daily_assurance(self, as_of: str, key_rows: DataFrame | None = None) -> dict[str, str]:
-        """Validate metadata, seed baselines, record keys and reconcile; two messages."""
-        bad = self.validate(as_of).filter(F.col("verdict") == "UNUSABLE").count()
+    def daily_assurance(self, as_of: str, key_rows: DataFrame | None = None) -> dict[str, int]:
+        """Validate metadata, seed baselines, record keys and reconcile; objects found at fault by each."""
+        unusable = self.validate(as_of).filter(F.col("verdict") == "UNUSABLE").count()
         self.seed_baseline(as_of)
         drifted = 0
         if key_rows is not None:
@@ -290,12 +331,7 @@ class Capture:
             drifted = self.key_drift().filter(
                 F.col("verdict").isin("CONFIG_DRIFT", "DECLARED_KEY_CHANGED")).count()
         differing = self.reconcile(as_of).filter(F.col("verdict") == "DIFFERENCE").count()
-        return {
-            "validate": (f"unusable metadata on {bad} object(s)" if bad else
-                         f"keys drifted on {drifted} object(s)" if drifted else
-                         f"metadata of {len(self.spec.objects)} object(s) usable"),
-            "reconcile": (f"row counts differ on {differing} object(s)" if differing else
-                          "row counts agree")}
+        return {"metadata_unusable": unusable, "keys_drifted": drifted, "counts_differ": differing}
 
     # -- monitoring ------------------------------------------------------------
 

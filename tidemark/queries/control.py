@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.fixed import OPERATION, TIMESTAMP
 from tidemark.operators import bronze, control as ops, signals
 from tidemark.operators.gold import GoldDef
+from tidemark.operators.grain import GrainError
 from tidemark.operators.profile import union_all
-from tidemark.plans.capture import Capture
+from tidemark.plans.capture import Capture, MetadataError
 from tidemark.queries.data import (
     AS_OF, EVENTS_SQL, FIRST_DELTA, FLOW, KEYS, LATEST_SQL, MIDWAY, SORTABLE_SQL, at,
     events_bronze, events_silver, events_standard, orders_after, orders_before, table,
@@ -280,16 +281,68 @@ def capture_health(spark: SparkSession, sf_dir: str) -> DataFrame:
                   "hash_suffix_seen"))
 
 
-@query("""
-SELECT 'reconcile' AS step, 'row counts differ on 1 object(s)' AS message
-UNION ALL SELECT 'validate', 'metadata of 2 object(s) usable'
+@query(f"""
+WITH {LATEST_SQL}
+SELECT 'metadata_unusable' AS finding,
+       CASE WHEN count(DISTINCT op) > 12 OR max(length(op)) > 2 OR count(stamp) = 0 THEN 2 ELSE 0 END AS objects
+FROM std
+UNION ALL SELECT 'keys_drifted', 0
+UNION ALL SELECT 'counts_differ',
+  CASE WHEN (SELECT count(*) FROM std) <> (SELECT count(*) FROM latest) THEN 1 ELSE 0 END
 """)
 def daily_assurance(spark: SparkSession, sf_dir: str) -> DataFrame:
     capture, _ = _captured(spark, sf_dir)
     readable = CaptureSpec("STANDARD", capture.spec.objects[:2], flow_hash=FLOW)
-    messages = Capture(spark, readable, capture.control.root, capture.store.buckets) \
+    found = Capture(spark, readable, capture.control.root, capture.store.buckets) \
         .daily_assurance(_ASSURED)
-    return spark.createDataFrame(sorted(messages.items()), "step string, message string")
+    return spark.createDataFrame(sorted(found.items()), "finding string, objects int")
+
+
+@query("""
+WITH l AS (SELECT count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber)) AS d FROM lineitem),
+     o AS (SELECT count(*) AS n, count(DISTINCT o_orderkey) AS d, count(DISTINCT o_custkey) AS c FROM orders),
+     e AS (SELECT count(DISTINCT event_type) > 12 OR max(length(event_type)) > 2 AS corrupt FROM events),
+     attempts AS (
+       SELECT 'lines' AS attempt, CASE WHEN n <> d THEN 'FAIL' END AS stopped_by, n - d AS lost, n FROM l
+       UNION ALL SELECT 'orders', CASE WHEN n <> d THEN 'FAIL' END, n - d, n FROM o
+       UNION ALL SELECT 'orders_by_customer', CASE WHEN n <> c THEN 'FAIL' END, n - c, n FROM o
+       UNION ALL SELECT 'events', CASE WHEN corrupt THEN 'UNUSABLE' END, 0, 0 FROM e)
+SELECT attempt, stopped_by, lost, CASE WHEN stopped_by IS NULL THEN 1 ELSE 0 END AS registered,
+       CASE WHEN stopped_by IS NULL THEN n ELSE 0 END AS silver_rows
+FROM attempts
+UNION ALL
+SELECT 'events_registered', CASE WHEN corrupt THEN 'UNUSABLE' END, 0, 1, 0 FROM e
+""")
+def build_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Builds by right and short keys, one over corrupt metadata, and a cycle over the same without the gate."""
+    corrupt = f"{work_dir(spark, 'corrupt')}/events"
+    events_standard(spark, sf_dir).withColumn(OPERATION, F.col("event_type")).write.parquet(corrupt)
+    attempts = {
+        "lines": (f"{sf_dir}/lineitem.parquet", ("l_orderkey", "l_linenumber"), "l_shipdate"),
+        "orders": (f"{sf_dir}/orders.parquet", ("o_orderkey",), "o_orderdate"),
+        "orders_by_customer": (f"{sf_dir}/orders.parquet", ("o_custkey",), "o_orderdate"),
+        "events": (corrupt, ("event_id",), None)}
+    rows = []
+    for attempt, (source, keys, stamp) in attempts.items():
+        spec = CaptureSpec("CUSTOM" if stamp else "STANDARD", (ObjectSpec("T", source, keys),),
+                           flow_hash=None if stamp else FLOW, watermark_column=stamp)
+        capture, stopped_by, lost = Capture(spark, spec, work_dir(spark, attempt), 8), None, 0
+        try:
+            capture.build(_ASSURED)
+        except (GrainError, MetadataError) as refusal:
+            stopped_by, = {r.verdict for r in refusal.rows}
+            lost = sum(r.asDict().get("rows_discarded", 0) for r in refusal.rows)
+        rows.append(_built(attempt, stopped_by, lost, capture))
+    capture.register(_ASSURED)
+    rows.append(_built("events_registered", capture.cycle(AS_OF).statuses["T"], 0, capture))
+    return spark.createDataFrame(rows, "attempt string, stopped_by string, lost bigint, "
+                                       "registered bigint, silver_rows bigint")
+
+
+def _built(attempt: str, stopped_by: str | None, lost: int, capture: Capture) -> tuple:
+    head = capture.store.head("T")
+    return (attempt, stopped_by, lost, capture.control.read("registry").count(),
+            capture.store.row_count(head) if head else 0)
 
 
 # -- monitoring -----------------------------------------------------------------------------
@@ -338,6 +391,16 @@ def reconcile_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
                               ["o_orderkey"])
 
 
+@query("""
+SELECT o_orderkey, 'silver' AS missing_in FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'
+""")
+def reconcile_keys_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few orders are missing; only the key ranges they fall in are shuffled."""
+    orders = table(spark, sf_dir, "orders")
+    held = orders.filter((F.col("o_orderpriority") != "1-URGENT") | (F.col("o_orderstatus") != "P"))
+    return ops.reconcile_keys(orders, held, ["o_orderkey"], parts=4096)
+
+
 _MINUTES_SQL = f"""
 WITH {EVENTS_SQL}
 SELECT upper(event_type) AS object_name, {SORTABLE_SQL.format('max(ts)')} AS last_watermark,

@@ -1,14 +1,14 @@
 """Change-signal semantics, metadata validation, readiness."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
 from tidemark.fixed import OPERATION, PRUNE_PARTIAL, TIMESTAMP
 from tidemark.operators import bronze, findings, signals as ops
 from tidemark.operators.profile import profile_object, union_all
-from tidemark.plans.readiness import assess, assess_frames
+from tidemark.plans.readiness import Trial, assess, assess_frames
 from tidemark.queries.data import (
-    EVENTS_SQL, FLOW, LOAD_TYPE, SORTABLE_SQL, at, events_bronze, events_custom, events_standard,
-    land_clustered, table, AS_OF,
+    EVENTS_SQL, FLOW, KEYS, LOAD_TYPE, ORDERS_SQL, SORTABLE_SQL, at, events_bronze, events_custom,
+    events_standard, land_clustered, orders_after, orders_before, table, AS_OF,
 )
 from tidemark.queries.registry import query
 from tidemark.sources import ControlTables, work_dir
@@ -204,6 +204,22 @@ def file_pruning_unclustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pruned.select("files_total", "files_touched", "ratio", "status")
 
 
+@query(f"""
+SELECT count(*) AS n_rows, {SORTABLE_SQL.format('min(ts)')} AS oldest, {SORTABLE_SQL.format('max(ts)')} AS newest,
+       true AS apart
+FROM events
+""")
+def zone_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zones of files clustered by write time hold all rows and follow one another."""
+    zones = ops.zone_map(_clustered(spark, sf_dir), "ZZLASTCHGDATE")
+    before = F.lag("newest").over(Window.partitionBy(F.lit(0)).orderBy("oldest", "newest"))
+    return (zones.withColumn("before", before)
+            .agg(F.sum("n_rows").alias("n_rows"), F.min("oldest").alias("oldest"),
+                 F.max("newest").alias("newest"),
+                 F.bool_and(F.coalesce(F.col("before") <= F.col("oldest"), F.lit(True))).alias("apart"))
+            .withColumns({c: bronze.watermark_text(c, "CUSTOM") for c in ("oldest", "newest")}))
+
+
 @query("SELECT 1 AS files, true AS dropped FROM events HAVING count(*) > 0")
 def file_count_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clustered copy is the baseline; the given table is the compacted one."""
@@ -246,6 +262,8 @@ UNION ALL SELECT 'signal.standard', 'PASS'
 UNION ALL SELECT 'semantics.trustworthy',
   CASE WHEN count(DISTINCT op) <= 12 AND max(length(op)) <= 2 AND count(*) FILTER (WHERE op = stamp) = 0
        THEN 'PASS' ELSE 'FAIL' END FROM std
+UNION ALL SELECT 'semantics.operation', 'INFO'
+UNION ALL SELECT 'cost.extract', 'WARN'
 UNION ALL SELECT 'semantics.load_type',
   CASE WHEN bool_and(load_type = 'initial') THEN 'WARN' ELSE 'PASS' END FROM std
 UNION ALL SELECT 'cost.poll',
@@ -261,9 +279,15 @@ def readiness_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(assess_frames(frames)).select("check", "status")
 
 
-@query("""
+@query(f"""
+WITH {EVENTS_SQL}
 SELECT 'READY WITH CAVEATS' AS verdict,
-       'the raw watermark text can be polled; a snapshot and deltas have landed' AS reasons
+       concat_ws('; ',
+         CASE WHEN max(stamp) = strftime(max(ts), '%Y-%m-%dT%H:%M:%S,%f') || '0Z'
+              THEN 'the raw watermark text can be polled' END,
+         'extracting a change reads most of the object',
+         CASE WHEN count(DISTINCT load_type) > 1 THEN 'a snapshot and deltas have landed' END) AS reasons
+FROM std
 """)
 def readiness_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tracks over landed files, and one source that cannot be read."""
@@ -273,3 +297,35 @@ def readiness_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = assess(spark, {"EVENTS": f"{root}/events", "CHANGES": changes,
                            "ABSENT": f"{root}/absent"})
     return findings.readiness_verdict(found)
+
+
+@query(f"""
+WITH {EVENTS_SQL}, {ORDERS_SQL}
+SELECT 'absent' AS source, 'NOT ASSESSABLE' AS verdict
+UNION ALL
+SELECT 'corrupt', CASE WHEN count(DISTINCT event_type) > 12 OR max(length(event_type)) > 2
+                       THEN 'NOT READY' ELSE 'READY WITH CAVEATS' END FROM std
+UNION ALL SELECT 'untried', 'READY WITH CAVEATS' FROM std HAVING count(ts) > 0
+UNION ALL SELECT 'tried', 'READY' FROM std HAVING count(ts) > 0
+UNION ALL
+SELECT 'reloaded', CASE WHEN count(*) > 0 THEN 'READY' END FROM cur
+UNION ALL
+SELECT 'read_as_appended', CASE WHEN count(*) > 0 THEN 'READY WITH CAVEATS' ELSE 'READY' END
+FROM prev WHERE o_orderkey NOT IN (SELECT o_orderkey FROM cur)
+""")
+def readiness_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every verdict, from data: two of the cases are tried on a source that lost rows."""
+    root = work_dir(spark, "assessed")
+    _corrupt(spark, sf_dir).write.parquet(f"{root}/corrupt")
+    events, _ = land_clustered(spark, events_custom(spark, sf_dir), ["ZZLASTCHGDATE"], "events")
+    before, after = (land_clustered(spark, image(spark, sf_dir).drop("CDC_TIMESTAMP_TEXT").withColumn(
+        "ZZLASTCHGDATE", F.col("o_orderdate")), ["ZZLASTCHGDATE"], "image")[0]
+        for image in (orders_before, orders_after))
+    cases = {
+        "absent": (f"{root}/absent", None), "corrupt": (f"{root}/corrupt", None),
+        "untried": (events, None), "tried": (events, Trial("T", tuple(KEYS))),
+        "reloaded": (after, Trial("T", ("o_orderkey",), before)),
+        "read_as_appended": (after, Trial("T", ("o_orderkey",), before, appended=True))}
+    return union_all([
+        findings.readiness_verdict(assess(spark, {"T": source}, trial=trial))
+        .select(F.lit(name).alias("source"), "verdict") for name, (source, trial) in cases.items()])

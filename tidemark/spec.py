@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -10,12 +11,44 @@ from tidemark.fixed import CLASSES, KEY_SOURCES, LAG_HOURS, LOAD_TYPE_PREFIX, OP
     RUN_ID_PREFIX, TIMESTAMP, TRACKS
 from tidemark.functions.rules import Rule, sql_rule
 
-_NAME = re.compile(r"[A-Z_][A-Z0-9_$]*")
-_FLOW_HASH = re.compile(r"[0-9a-f]{32}")
 
 
 class SpecError(ValueError):
-    """The capture specification cannot be built on."""
+    """The capture specification cannot be built on; the text names everything that is wrong."""
+
+
+#: What a part of a spec must be, and the test of it on the whole spec.
+Demand = tuple[str, Callable[[Any], bool]]
+
+
+def _demand(what: str, spec: Any, demands: Iterable[Demand]) -> None:
+    broken = [text for text, holds in demands if not holds(spec)]
+    if broken:
+        raise SpecError(f"{what}: " + "; ".join(broken))
+
+
+def _one_of(attribute: str, allowed: tuple[str, ...]) -> Demand:
+    return f"{attribute} is one of {', '.join(allowed)}", lambda spec: getattr(spec, attribute) in allowed
+
+
+_OBJECT_DEMANDS: tuple[Demand, ...] = (
+    ("name is an upper-case identifier", lambda o: re.fullmatch(r"[A-Z_][A-Z0-9_$]*", o.name)),
+    ("keys has a column", lambda o: o.keys),
+    _one_of("object_class", CLASSES),
+    _one_of("key_source", KEY_SOURCES),
+    ("key_override comes with its reason", lambda o: o.key_override_reason or not o.key_override),
+)
+_CAPTURE_DEMANDS: tuple[Demand, ...] = (
+    _one_of("track", TRACKS),
+    ("flow_hash is 32 hex digits on the standard track",
+     lambda s: s.track != "STANDARD" or re.fullmatch(r"[0-9a-f]{32}", s.flow_hash or "")),
+    ("watermark_column is given on the custom track",
+     lambda s: s.track != "CUSTOM" or s.watermark_column),
+    ("each name of objects stands once", lambda s: len({o.name for o in s.objects}) == len(s.objects)),
+    ("referential names captured objects",
+     lambda s: not s.referential or {s.referential.master, *s.referential.children} <= {
+         o.name for o in s.objects}),
+)
 
 
 @dataclass(frozen=True)
@@ -34,16 +67,7 @@ class ObjectSpec:
     tiebreak: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
-        if not _NAME.fullmatch(self.name):
-            raise SpecError(f"object name '{self.name}' must be an upper-case identifier")
-        if not self.keys:
-            raise SpecError(f"{self.name}: keys are required, verify the grain first")
-        if self.object_class not in CLASSES:
-            raise SpecError(f"{self.name}: class must be one of {CLASSES}")
-        if self.key_source not in KEY_SOURCES:
-            raise SpecError(f"{self.name}: key_source must be one of {KEY_SOURCES}")
-        if self.key_override and not self.key_override_reason:
-            raise SpecError(f"{self.name}: key_override needs key_override_reason")
+        _demand(f"object {self.name!r}", self, _OBJECT_DEMANDS)
         if self.lag_hours is None:
             object.__setattr__(self, "lag_hours", LAG_HOURS[self.object_class])
         if self.object_class == "EMPTY":
@@ -67,20 +91,7 @@ class CaptureSpec:
     gold: tuple[Any, ...] = ()
 
     def __post_init__(self) -> None:
-        if self.track not in TRACKS:
-            raise SpecError(f"track must be one of {TRACKS}")
-        if self.track == "STANDARD" and not _FLOW_HASH.fullmatch(self.flow_hash or ""):
-            raise SpecError("the standard track needs the 32-hex flow hash of load_type_<hash>; "
-                            "a source without it is probably a copy")
-        if self.track == "CUSTOM" and not self.watermark_column:
-            raise SpecError("the custom track needs a watermark column")
-        names = [o.name for o in self.objects]
-        if len(set(names)) != len(names):
-            raise SpecError("object names must be unique")
-        if self.referential:
-            for name in (self.referential.master, *self.referential.children):
-                if name not in names:
-                    raise SpecError(f"referential rule names the unknown object {name}")
+        _demand("capture", self, _CAPTURE_DEMANDS)
 
     @property
     def watermark(self) -> str:
@@ -105,41 +116,59 @@ class CaptureSpec:
         raise KeyError(name)
 
     @classmethod
-    def from_dict(cls, config: dict) -> CaptureSpec:
+    def from_dict(cls, config: Mapping) -> CaptureSpec:
         """Build from the nested mapping a YAML capture configuration loads to."""
-        for key in ("source", "objects"):
-            if key not in config:
-                raise SpecError(f"missing '{key}'")
-        source = config["source"]
-        log_default = bool(config.get("cdc_log", False))
-        objects = tuple(_object_from(raw, source, log_default) for raw in config["objects"])
+        _demand("configuration", config, [
+            (f"{part} is given", lambda c, part=part: part in c) for part in ("source", "objects")])
+        place = config["source"]
+        every = {"cdc_log": bool(config.get("cdc_log", False))}
+        objects = tuple(ObjectSpec(**_parts(_placed(raw, place), _OBJECT_PARTS, every))
+                        for raw in config["objects"])
         rule = config.get("referential_integrity")
-        return cls(
-            track=str(source.get("track", "")).upper(),
-            objects=objects,
-            flow_hash=source.get("flow_hash"),
-            watermark_column=source.get("watermark_column"),
-            referential=rule and ReferentialRule(
-                str(rule["master"]).upper(), tuple(rule["key_columns"]),
-                tuple(str(c).upper() for c in rule.get("children", ()))),
-        )
-
-
-def _object_from(raw: dict, source: dict, log_default: bool) -> ObjectSpec:
-    base = source.get("path")
-    return ObjectSpec(
-        name=str(raw["name"]).upper(),
-        source=raw.get("source") or f"{base.rstrip('/')}/{raw['table']}",
-        keys=tuple(raw.get("keys") or ()),
-        object_class=str(raw.get("class", "MASTER")).upper(),
-        key_source=str(raw.get("key_source") or "inferred").lower(),
-        key_override=bool(raw.get("key_override", False)),
-        key_override_reason=raw.get("key_override_reason"),
-        nullable_keys=tuple(raw.get("nullable_keys") or ()),
-        cdc_log=bool(raw.get("cdc_log", log_default)),
-        lag_hours=raw.get("lag_hours"),
-        flags={f["name"]: sql_rule(f["expr"]) for f in raw.get("flags") or ()},
-    )
+        return cls(objects=objects, **_parts(place, _SOURCE_PARTS, {"track": ""}),
+                   referential=ReferentialRule(**_parts(rule, _RULE_PARTS, {"children": ()})) if rule else None)
+
+
+def _upper(value: Any) -> str:
+    return str(value).upper()
+
+
+def _lower(value: Any) -> str:
+    return str(value).lower()
+
+
+def _rules(flags: Iterable[Mapping]) -> dict[str, Rule]:
+    return {flag["name"]: sql_rule(flag["expr"]) for flag in flags}
+
+
+#: Entry of the configuration, attribute it fills, conversion. Entries that are absent or null keep the default.
+_OBJECT_PARTS = (
+    ("name", "name", _upper), ("source", "source", str), ("keys", "keys", tuple),
+    ("class", "object_class", _upper), ("key_source", "key_source", _lower),
+    ("key_override", "key_override", bool), ("key_override_reason", "key_override_reason", str),
+    ("nullable_keys", "nullable_keys", tuple), ("cdc_log", "cdc_log", bool),
+    ("lag_hours", "lag_hours", float), ("flags", "flags", _rules), ("tiebreak", "tiebreak", tuple),
+)
+_SOURCE_PARTS = (
+    ("track", "track", _upper), ("flow_hash", "flow_hash", str),
+    ("watermark_column", "watermark_column", str),
+)
+_RULE_PARTS = (
+    ("master", "master", _upper), ("key_columns", "keys", tuple),
+    ("children", "children", lambda names: tuple(map(_upper, names))),
+)
+
+
+def _parts(given: Mapping, table: Iterable[tuple], defaults: Mapping) -> dict[str, Any]:
+    return dict(defaults) | {attribute: convert(given[entry]) for entry, attribute, convert in table
+                             if given.get(entry) is not None}
+
+
+def _placed(raw: Mapping, place: Mapping) -> Mapping:
+    """An object with its source: its own, or its table under the path of all. No name or key stays empty."""
+    under = "/".join([str(place.get("path") or "").rstrip("/"), str(raw.get("table"))])
+    return {**raw, "name": raw.get("name") or "", "keys": raw.get("keys") or (),
+            "source": raw.get("source") or under}
 
 
 def silver_objects(spec: CaptureSpec) -> list[ObjectSpec]:
