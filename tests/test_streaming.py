@@ -1,12 +1,16 @@
 import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark import streaming as ops
 from tidemark.functions import ntz
+from tidemark.functions.rules import sql_rule
 from tidemark.operators import changes
 from tidemark.operators.silver import latest_per_key, row_differences
+from tidemark.spec import ObjectSpec
+from tidemark.streaming import upsert
 from tidemark.streaming.upsert import merge_batch
 
 T = "k string, v int, CDC_TIMESTAMP_TEXT string"
@@ -46,6 +50,36 @@ def test_a_replayed_batch_changes_nothing(store, control, rows, data):
     assert store.read("T").filter("v = -1").count() == 0
 
 
+def test_a_spec_rules_the_stream_and_batches_are_audited(spark, store, control, rows, tmp_path, monkeypatch):
+    df = rows([("a", 1, None), ("a", 2, "05"), ("b", 3, "01"), ("b", 4, "01")], T)
+    land(df, str(tmp_path / "in"), 2)
+    spec = ObjectSpec("T", "in", ("k",), tiebreak=("v",), flags={"late": sql_rule(f"{WM} > '03'")})
+
+    def run(checkpoint):
+        return ops.stream_capture(stream(spark, df, str(tmp_path / "in")), store, control, spec, WM,
+                                  str(tmp_path / checkpoint), "2024-01-01", "first")
+
+    run("cp").awaitTermination()
+    assert {(r.k, r.v, r.late) for r in store.read("T").collect()} == {("a", 1, None), ("b", 4, False)}
+    audit = control.read("refresh_audit")
+    assert {(r.state_message, r.state) for r in audit.collect()} == {
+        ("capture-0", "SUCCEEDED"), ("capture-1", "SUCCEEDED")}
+    run("another").awaitTermination()  # the same batches once more, as after a lost checkpoint
+    assert control.read("refresh_audit").count() == audit.count() == 2
+    monkeypatch.setattr(upsert, "merge_batch", lambda *_: 1 / 0)
+    with pytest.raises(StreamingQueryException):
+        run("third").awaitTermination()
+    failed = control.read("refresh_audit").filter("state = 'FAILED'").collect()
+    assert [r.state_message for r in failed] == ["capture-0: division by zero"]
+
+
+def test_an_empty_object_is_not_streamed(spark, store, control, data, tmp_path):
+    land(data, str(tmp_path / "in"), 1)
+    with pytest.raises(ValueError, match="EMPTY"):
+        ops.stream_capture(stream(spark, data, str(tmp_path / "in")), store, control,
+                           ObjectSpec("T", "in", ("k",), "EMPTY"), WM, str(tmp_path / "cp"), "2024-01-01")
+
+
 def test_change_log_of_a_stream(spark, store, control, data, tmp_path):
     land(data, str(tmp_path / "in"), 3)
     ops.stream_change_log(stream(spark, data, str(tmp_path / "in")), store, control, "T", KEY, WM,

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions.rules import sql_rule
 from tidemark.operators import changes
+from tidemark.operators.control import refresh_history
 from tidemark.queries.data import (
     AS_OF, EVENTS_SQL, KEYS, LATEST_SQL, at, control_beside, events_rows, land_clustered,
     new_store, table,
 )
 from tidemark.queries.registry import query
-from tidemark.sources import SnapshotStore, work_dir
+from tidemark.sources import ControlTables, SnapshotStore, work_dir
+from tidemark.spec import ObjectSpec
 from tidemark import streaming as ops
 
 _WM = "CDC_TIMESTAMP_TEXT"
@@ -39,6 +42,41 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, sf_dir).read("EVENTS")
 
 
+def _captured(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, ControlTables]:
+    """Events by a spec with flags and a tiebreak; cheap ones lost their stamp, which wins here."""
+    store = new_store(spark, "stream-spec", table(spark, sf_dir, "events"))
+    control = control_beside(store)
+    spec = ObjectSpec("EVENTS", "landed", tuple(KEYS), "TRANSACTION", tiebreak=("event_id",),
+                      flags={"is_cheap": sql_rule("value < 5"), "dq_no_stamp": sql_rule(f"{_WM} IS NULL")})
+    stream = _landed(spark, sf_dir).withColumn(_WM, F.when(F.col("value") >= 5, F.col(_WM)))
+    ops.stream_capture(stream, store, control, spec, _WM, work_dir(spark, "offsets"), AS_OF,
+                       nulls="first").awaitTermination()
+    return store, control
+
+
+@query("""
+SELECT user_id, event_type, event_id, value < 5 AS is_cheap, value < 5 AS dq_no_stamp FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY user_id, event_type
+    ORDER BY CASE WHEN value >= 5 THEN ts END DESC NULLS FIRST, event_id DESC) AS rn FROM events)
+WHERE rn = 1
+""")
+def stream_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _captured(spark, sf_dir)[0].read("EVENTS").drop("value", _WM)
+
+
+@query("""
+SELECT 'EVENTS' AS target, 3 AS batches, 3 AS succeeded, 1 AS full_loads FROM events HAVING count(*) > 0
+""")
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of refreshes shows each batch of a stream once."""
+    _, control = _captured(spark, sf_dir)
+    return (refresh_history(control.read("refresh_audit")).groupBy("target")
+            .agg(F.count_distinct("state_message").alias("batches"),
+                 F.count_if(F.col("state") == "SUCCEEDED").alias("succeeded"),
+                 F.count_if(F.col("refresh_action") == "FULL").alias("full_loads")))
+
+
 @query(f"WITH {LATEST_SQL} SELECT user_id, event_type, event_id FROM latest")
 def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest logged image of each key is its latest event, whatever landed first."""

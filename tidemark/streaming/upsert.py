@@ -6,22 +6,24 @@ A pure delete never lands as a file; only a snapshot refresh sees it.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.fixed import LINEAGE, STALE_DRAIN_DAYS
 from tidemark.operators.changes import drain_changes
-from tidemark.operators.silver import merge_rows
+from tidemark.operators.silver import RefreshResult, add_flags, assert_deterministic, merge_rows
 from tidemark.sources.control import ControlTables
 from tidemark.sources.snapshots import Snapshot, SnapshotStore
+from tidemark.spec import ObjectSpec
 
 
 def merge_batch(store: SnapshotStore, obj: str, batch: DataFrame, keys: Sequence[str], wm: str,
-                token: str) -> Snapshot | None:
+                token: str, nulls: str = "last", tiebreak: Sequence[str] = ()) -> Snapshot | None:
     """Apply one micro-batch once: a batch whose token is committed already is skipped."""
     done = next((s for s in store.history(obj) if s.token == token), None)
-    return done or merge_rows(store, obj, batch, keys, wm, token=token)
+    return done or merge_rows(store, obj, batch, keys, wm, nulls, tiebreak, token)
 
 
 def stream_upsert(stream: DataFrame, store: SnapshotStore, obj: str, keys: Sequence[str], wm: str,
@@ -32,6 +34,47 @@ def stream_upsert(stream: DataFrame, store: SnapshotStore, obj: str, keys: Seque
     return _start(stream, merge, checkpoint)
 
 
+def stream_capture(stream: DataFrame, store: SnapshotStore, control: ControlTables, obj: ObjectSpec,
+                   wm: str, checkpoint: str, as_of: str, nulls: str = "last",
+                   name: str = "capture") -> StreamingQuery:
+    """`stream_upsert` by a spec: its keys, flags and tiebreak hold, and each batch leaves an audit row.
+
+    The batch's token stands in `state_message`. A batch that is delivered again
+    leaves one row; one that fails leaves a FAILED row and ends the stream.
+    """
+    if obj.object_class == "EMPTY":
+        raise ValueError(f"{obj.name} is of class EMPTY: it has no Silver table")
+    rows, captured_at = add_flags(stream, obj.flags), datetime.fromisoformat(as_of)
+    assert_deterministic(rows)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        token, started = f"{name}-{batch_id}", datetime.now(timezone.utc)
+        try:
+            snapshot = merge_batch(store, obj.name, batch, obj.keys, wm, token, nulls, obj.tiebreak)
+        except Exception as error:
+            control.append_rows("refresh_audit", [{
+                "captured_at": captured_at, "target": obj.name, "state": "FAILED",
+                "state_message": f"{token}: {error}", "refresh_start": started,
+                "refresh_end": datetime.now(timezone.utc)}])
+            raise
+        recorded = control.read("refresh_audit").filter(
+            (F.col("target") == obj.name) & (F.col("state_message") == token))
+        if recorded.isEmpty():
+            done = _outcome(store, obj.name, snapshot, started).audit_row(captured_at)
+            control.append_rows("refresh_audit", [done | {"state_message": token}])
+    return _start(rows, merge, checkpoint)
+
+
+def _outcome(store: SnapshotStore, target: str, snapshot: Snapshot | None,
+             started: datetime) -> RefreshResult:
+    ended = datetime.now(timezone.utc)
+    if snapshot is None:
+        return RefreshResult(target, "NO_DATA", None, 0, started, ended)
+    before = store.find(target, snapshot.parent_id)
+    return RefreshResult(target, snapshot.action, snapshot.snapshot_id,
+                         len(store.changed_buckets(before, snapshot)), started, ended)
+
+
 def stream_change_log(stream: DataFrame, store: SnapshotStore, control: ControlTables, obj: str,
                       keys: Sequence[str], wm: str, checkpoint: str, as_of: Column,
                       name: str = "log", exclude: Iterable[str] = LINEAGE) -> StreamingQuery:
