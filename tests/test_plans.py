@@ -19,7 +19,7 @@ _EAGER = {
     "stream_redelivery", "file_pruning", "file_count_drop", "readiness_verdict",
     "readiness_findings", "share_inventory", "object_profile", "profile_notes",
     "declared_keys", "declared_key_snapshot", "key_baseline_seed", "key_drift",
-    "stream_capture", "stream_audit", "build_gate", "readiness_verdicts", "zone_map", "infer_key_lineitem", "infer_key_conversations", "reload_baseline_seed", "grain_verdicts",
+    "findings_report", "sink_formats", "refresh_backstop", "spec_objects", "stream_capture", "stream_audit", "build_gate", "readiness_verdicts", "zone_map", "infer_key_lineitem", "infer_key_conversations", "reload_baseline_seed", "grain_verdicts",
 }
 
 

@@ -23,7 +23,7 @@ from tidemark.queries.registry import query
 from tidemark.sources import ControlTables, work_dir
 from tidemark.sources.control import conform
 from tidemark.sources.snapshots import buckets_for
-from tidemark.spec import CaptureSpec, ObjectSpec, ReferentialRule
+from tidemark.spec import CaptureSpec, ObjectSpec, ReferentialRule, cdc_objects, silver_objects
 
 _ASSURED = "2024-02-01 06:00:00"
 
@@ -164,6 +164,22 @@ def key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "declared_key_columns", "verdict")
 
 
+@query("""
+WITH counted AS (SELECT upper(event_type) AS object_name, count(*) FILTER (WHERE value > 500) AS n FROM events GROUP BY 1)
+SELECT object_name, n > 0 AS in_silver, n > 1 AS logged FROM counted
+""")
+def spec_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One object per event type, EMPTY where none is dear; a log asked for by an EMPTY one is not kept."""
+    counted = (table(spark, sf_dir, "events").groupBy(F.upper("event_type").alias("name"))
+               .agg(F.count_if(F.col("value") > 500).alias("n")).collect())
+    spec = CaptureSpec("STANDARD", flow_hash=FLOW, objects=tuple(
+        ObjectSpec(r.name, "events", tuple(KEYS), "TRANSACTION" if r.n else "EMPTY", cdc_log=r.n != 1)
+        for r in counted))
+    silver, logged = silver_objects(spec), cdc_objects(spec)
+    return spark.createDataFrame([(o.name, o in silver, o in logged) for o in spec.objects],
+                                 "object_name string, in_silver boolean, logged boolean")
+
+
 # -- poll and capture -----------------------------------------------------------------------
 
 @query(f"WITH {EVENTS_SQL} SELECT max(stamp) AS watermark FROM std")

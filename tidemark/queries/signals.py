@@ -7,11 +7,12 @@ from tidemark.operators import bronze, findings, signals as ops
 from tidemark.operators.profile import profile_object, union_all
 from tidemark.plans.readiness import Trial, assess, assess_frames
 from tidemark.queries.data import (
-    EVENTS_SQL, FLOW, KEYS, LOAD_TYPE, ORDERS_SQL, SORTABLE_SQL, at, events_bronze, events_custom,
+    EVENTS_SQL, FIRST_DELTA, FLOW, KEYS, LOAD_TYPE, ORDERS_SQL, SORTABLE_SQL, at, events_bronze, events_custom,
     events_standard, land_clustered, orders_after, orders_before, table, AS_OF,
 )
 from tidemark.queries.registry import query
-from tidemark.sources import ControlTables, work_dir
+from tidemark.sources import ControlTables, work_dir, write_sink
+from tidemark.sources.readers import read_source
 
 _VALIDATION = ("total_rows", "operation_card", "operation_max_len", "timestamps_parsed",
                "degenerate_rows", "hash_suffix_seen", "verdict", "faults")
@@ -254,6 +255,50 @@ def signal_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings.signal_findings(profile)
 
 
+@query(f"""
+WITH {EVENTS_SQL}
+SELECT 'semantics.trustworthy' AS "check", 'FAIL' AS status, '1 of 2 standard object(s) unusable' AS detail
+FROM std HAVING count(DISTINCT event_type) > 12 OR max(length(event_type)) > 2
+UNION ALL
+SELECT 'semantics.operation', 'INFO',
+       count(DISTINCT op) + count(DISTINCT event_type) || ' code(s) on 2 object(s); '
+       || CASE WHEN bool_or(upper(event_type) LIKE 'D%') THEN 'deletes can be applied'
+               ELSE 'no delete code seen, deletes have to be found by comparing keys' END
+FROM std
+""")
+def findings_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings as written for a reader, read back."""
+    frames = {"EVENTS": events_standard(spark, sf_dir), "CORRUPT": _corrupt(spark, sf_dir)}
+    checks = union_all([ops.validate_standard(df, OPERATION, TIMESTAMP) for df in frames.values()])
+    codes = ops.operation_summary(ops.operation_mix(frames, OPERATION))
+    path = work_dir(spark, "report")
+    findings.write_findings(findings.trust_finding(checks).unionByName(
+        findings.operation_finding(codes)), path)
+    return spark.read.schema(findings.FINDING).json(path)
+
+
+@query(f"""
+WITH {EVENTS_SQL},
+kinds AS (SELECT event_type, count(*) AS n_rows, CAST(sum(user_id) AS BIGINT) AS users, max(stamp) AS newest
+          FROM std GROUP BY 1)
+SELECT f.sink, k.* FROM kinds k, (VALUES ('csv'), ('json'), ('orc'), ('parquet')) AS f(sink)
+""")
+def sink_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in two appends to each format, partitioned by kind, read back through the readers."""
+    events = events_standard(spark, sf_dir).select("event_id", "user_id", "event_type", TIMESTAMP)
+    early = F.col(TIMESTAMP) < F.lit(f"{FIRST_DELTA}T00:00:00,0000000Z")
+    sums = []
+    for sink in ("csv", "json", "orc", "parquet"):
+        ref = f"{sink}:{work_dir(spark, sink)}"
+        for part in (events.filter(early), events.filter(~early)):
+            write_sink(part, ref, partition_by=["event_type"])
+        read = read_source(spark, ref, events.schema)
+        sums.append(read.groupBy("event_type").agg(
+            F.count("*").alias("n_rows"), F.sum("user_id").alias("users"), F.max(TIMESTAMP).alias("newest"))
+            .withColumn("sink", F.lit(sink)))
+    return union_all(sums)
+
+
 @query(f"""
 WITH {EVENTS_SQL},
 days AS (SELECT count(*) AS n FROM std GROUP BY CAST(ts AS DATE))

@@ -1,5 +1,7 @@
 """Bronze and Silver."""
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.fixed import OPERATION, TIMESTAMP
@@ -7,8 +9,9 @@ from tidemark.functions import (
     any_of, bool_true, sortable_text, text_missing, text_present, text_to_number,
 )
 from tidemark.operators import bronze, silver as ops
+from tidemark.operators.profile import union_all
 from tidemark.queries.data import (
-    CUSTOMERS_SQL, EVENTS_SQL, KEYS, LATEST_SQL, MIDWAY, SORTABLE_SQL, at, customers_flagged,
+    AS_OF, CUSTOMERS_SQL, EVENTS_SQL, KEYS, LATEST_SQL, MIDWAY, SORTABLE_SQL, at, customers_flagged,
     events_bronze, events_custom, events_rows, events_silver, new_store, table,
 )
 from tidemark.queries.registry import query
@@ -175,3 +178,53 @@ def silver_refresh_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, rows, _ = _refreshed(spark, sf_dir)
     return ops.incremental_equals_full(store, "EVENTS", rows, KEYS, _WM, tiebreak=["event_id"])
+
+
+@query("""
+SELECT 'spend' AS definition, count(*) AS n_rows, true AS accepted FROM events
+UNION ALL SELECT 'names_in_texts', count(*), true FROM events
+UNION ALL SELECT 'clock', count(*), false FROM events
+UNION ALL SELECT 'chance', count(*), false FROM events
+UNION ALL SELECT 'chance_in_a_subquery', count(*), false FROM events
+UNION ALL SELECT 'place_of_the_row', count(*), false FROM events
+""")
+def determinism_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions over the events, and which of them may be built."""
+    events = table(spark, sf_dir, "events")
+    definitions = {
+        "spend": "value * 2", "names_in_texts": "concat(event_type, ' now() rand(')",
+        "clock": "datediff(current_date(), ts)", "chance": "uniform(1, 10) + value",
+        "chance_in_a_subquery": "value + (SELECT max(id) FROM range(3) WHERE rand() < 2)",
+        "place_of_the_row": "monotonically_increasing_id()"}
+
+    def accepted(df: DataFrame) -> bool:
+        try:
+            ops.assert_deterministic(df)
+        except ValueError:
+            return False
+        return True
+
+    n = F.count("*").alias("n_rows")
+    return union_all([
+        events.agg(n).select(F.lit(name).alias("definition"), "n_rows", F.lit(
+            accepted(events.selectExpr(f"{definition} AS x"))).alias("accepted"))
+        for name, definition in definitions.items()])
+
+
+@query(f"""
+WITH runs AS (SELECT upper(event_type) AS object_name, max(ts) AS last_run FROM events
+              WHERE event_type <> 'error' OR ts < TIMESTAMP '{MIDWAY}' GROUP BY 1)
+SELECT object_name, last_run + INTERVAL 33 HOUR <= TIMESTAMP '{AS_OF}' AS due, true AS due_if_never_run,
+       false AS due_without_limit
+FROM runs
+""")
+def refresh_backstop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One object per event type, last refreshed when its newest event came; errors stood still since midway."""
+    recent = (F.col("event_type") != "error") | (F.col("ts") < at(MIDWAY))
+    runs = (table(spark, sf_dir, "events").filter(recent).groupBy(F.upper("event_type").alias("object_name"))
+            .agg(F.max("ts").alias("last_run")).collect())
+    now = datetime.fromisoformat(AS_OF)
+    rows = [(r.object_name, ops.refresh_due(r.last_run, 33, now), ops.refresh_due(None, 33, now),
+             ops.refresh_due(r.last_run, None, now)) for r in runs]
+    return spark.createDataFrame(rows, "object_name string, due boolean, due_if_never_run boolean, "
+                                       "due_without_limit boolean")
