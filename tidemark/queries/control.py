@@ -165,13 +165,16 @@ def key_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH counted AS (SELECT upper(event_type) AS object_name, count(*) FILTER (WHERE value > 500) AS n FROM events GROUP BY 1)
+WITH counted AS (SELECT upper(event_type) AS object_name, count(*) FILTER (
+  WHERE value > (SELECT max(value) FROM events WHERE event_type = 'error')) AS n FROM events GROUP BY 1)
 SELECT object_name, n > 0 AS in_silver, n > 1 AS logged FROM counted
 """)
 def spec_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One object per event type, EMPTY where none is dear; a log asked for by an EMPTY one is not kept."""
-    counted = (table(spark, sf_dir, "events").groupBy(F.upper("event_type").alias("name"))
-               .agg(F.count_if(F.col("value") > 500).alias("n")).collect())
+    """One object per event type, EMPTY where none is dearer than all errors; a log asked for by an EMPTY one is not kept."""
+    events = table(spark, sf_dir, "events")
+    dearest = events.filter("event_type = 'error'").agg(F.max("value")).scalar()
+    counted = (events.withColumn("dear", F.col("value") > dearest).groupBy(F.upper("event_type").alias("name"))
+               .agg(F.count_if("dear").alias("n")).collect())
     spec = CaptureSpec("STANDARD", flow_hash=FLOW, objects=tuple(
         ObjectSpec(r.name, "events", tuple(KEYS), "TRANSACTION" if r.n else "EMPTY", cdc_log=r.n != 1)
         for r in counted))
