@@ -25,6 +25,7 @@ FIRST_DELTA = "2024-01-15"
 MIDWAY = "2024-01-20"
 AS_OF = "2024-02-01 06:30:30"
 KEYS = ["user_id", "event_type"]
+ROWS_OF_A_FILE = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -164,6 +165,13 @@ def land_clustered(spark: SparkSession, df: DataFrame, by: Sequence[Column | str
     return path, -(-files // 3)
 
 
+def land_unclustered(spark: SparkSession, df: DataFrame, by: str, purpose: str) -> str:
+    """Write as a source whose files follow no order of time; their number follows from the rows alone."""
+    path = work_dir(spark, purpose)
+    df.repartition(-(-df.count() // ROWS_OF_A_FILE) or 1, by).write.parquet(path)
+    return path
+
+
 # -- stores ------------------------------------------------------------------------------
 
 def new_store(spark: SparkSession, purpose: str, rows: DataFrame) -> SnapshotStore:
