@@ -126,3 +126,19 @@ def test_masked_columns_are_in_the_profile(rows):
     df = rows([("a", "x", 1), ("b", "****", 2), ("c", None, 3)], "k string, m string, z int")
     r = ops.profile_objects({"T": df}).first()
     assert (r.inferred_key, r.masked_columns) == ("k", "m")
+
+
+def test_only_repeated_rows_are_sorted(spark, monkeypatch):
+    """Of 2,000 rows, the four that agree in the first column meet in a window; those of a unique column none."""
+    frame = type(spark.range(1))
+    ordered, whole = [], frame.withColumn
+
+    def spy(df, name, column):
+        if name == "before":
+            ordered.append(df.count())
+        return whole(df, name, column)
+
+    monkeypatch.setattr(frame, "withColumn", spy)
+    near = spark.range(2_000).selectExpr("id - id % 2 * CAST(id < 4 AS INT) AS a", "id AS b", "1 AS c")
+    assert keys.keyed_survey(near)[1] == ["a", "b"] and ordered == [4]
+    assert keys.keyed_survey(spark.range(2_000))[1] == ["id"] and ordered == [4]

@@ -1,10 +1,10 @@
-"""Find the key of a table in at most two scans, however many columns it has.
+"""Find the key of a table in at most three scans, however many columns it has.
 
 The first scan keeps one distinct-count sketch for each leading prefix. Only
 prefixes whose sketch comes near the row count can be unique. Where there are
-any, a second scan tells all of them at once: rows meet by a hash of the
-shortest of these prefixes, and two neighbours in the order of the longer ones
-show how many columns it takes to tell them apart.
+any, a second scan counts the rows by a hash of the shortest of these prefixes.
+Where some repeat, a third takes these few rows, and two neighbours in the
+order of the longer prefixes show how many columns it takes to tell them apart.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from tidemark.sources.schemas import columns, local_frame
 SKETCH_POWER = 12
 #: A unique prefix is estimated below this share of the rows once in a billion tables.
 NEAR = 0.9
+#: Groups of rows that agree in the shortest near-unique prefix, sent to all tasks up to this number.
+BROADCAST = 1_000_000
 
 _INFERRED = columns("n_rows bigint, key_columns string, key_parts int")
 
@@ -38,43 +40,63 @@ def masked(column: Column) -> Column:
     return column.rlike(r"^\*+$") | column.isin(list(MASKS))
 
 
-def prefix_hashes(df: DataFrame, candidates: Sequence[str], seed: int = 0) -> Column:
-    """64-bit hashes of all leading prefixes, each made from the one before it and a column more."""
-    cells = F.array(*[fingerprint(df, [c]) for c in candidates]).cast("array<bigint>")
-    start = F.array(F.lit(seed).cast("bigint"))
-    chain = F.aggregate(cells, start, lambda held, cell: F.concat(held, F.array(
-        F.xxhash64(F.element_at(held, -1), cell))))
-    return F.slice(chain, 2, max(len(candidates), 1))
+def with_prefixes(rows: DataFrame, n: int) -> DataFrame:
+    """The rows with `h0`, `h1`, ...: 64-bit hashes of the leading prefixes of n cells `c0`, `c1`, ...
+
+    Each is made from the one before it and a cell more, in a projection of its
+    own, so that its work does not grow with the length of the prefix.
+    """
+    for i in range(n):
+        rows = rows.withColumn(f"h{i}", F.xxhash64(F.col(f"h{i - 1}") if i else F.lit(0).cast("bigint"), f"c{i}"))
+    return rows
+
+
+def cells(df: DataFrame, candidates: Sequence[str]) -> list[Column]:
+    """A hash of each candidate column, as `c0`, `c1`, ..."""
+    return [fingerprint(df, [c]).alias(f"c{i}") for i, c in enumerate(candidates)]
 
 
 def survey(df: DataFrame, candidates: Sequence[str]) -> tuple[int, list[int], list[str]]:
     """One scan: rows, estimated distinct values of each leading prefix, and columns with masked text."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    rows = df.select(prefix_hashes(df, candidates).alias("h"),
-                     *[masked(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(texts)])
+    n = len(candidates)
+    rows = with_prefixes(df.select(*cells(df, candidates), *[
+        masked(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(texts)]), n)
     row = rows.agg(
         F.count("*"),
-        *[F.hll_sketch_estimate(F.hll_sketch_agg(F.col("h")[i], SKETCH_POWER)) for i in range(len(candidates))],
+        *[F.hll_sketch_estimate(F.hll_sketch_agg(f"h{i}", SKETCH_POWER)) for i in range(n)],
         *[F.bool_or(f"m{i}") for i in range(len(texts))]).first()
-    estimates, hidden = row[1:1 + len(candidates)], row[1 + len(candidates):]
+    estimates, hidden = row[1:1 + n], row[1 + n:]
     return row[0], list(estimates), [c for c, m in zip(texts, hidden) if m]
 
 
 def shortest_unique(df: DataFrame, candidates: Sequence[str], least: int) -> int | None:
-    """Length of the shortest unique prefix, at least `least`; one scan. NULL counts as a value.
+    """Length of the shortest unique prefix, at least `least`. NULL counts as a value.
 
-    Only hashes are shuffled: 128 bits of the shortest prefix and 64 bits for
-    each column more. Neighbours are compared after a sort that can spill.
+    Rows are counted by 128 bits of the shortest prefix, which is all that is
+    shuffled of them. Where some repeat, a second scan takes these rows alone,
+    with 64 bits for each column more; neighbours are compared after a sort that
+    can spill.
     """
-    hashed = df.select(prefix_hashes(df, candidates).alias("h"),
-                       prefix_hashes(df, candidates[:least], 1).alias("g")).select(
-        F.col("h")[least - 1].alias("a"), F.col("g")[least - 1].alias("b"),
-        F.slice("h", least + 1, len(candidates)).alias("rest"))
-    order = Window.partitionBy("a", "b").orderBy("rest")
-    apart = F.array_position(F.zip_with("rest", F.col("before"), lambda x, y: x != y), True)
-    found = (hashed.withColumn("before", F.lag("rest").over(order)).where("before IS NOT NULL")
-             .agg(F.max(apart), F.count_if(apart == 0)).first())
-    return None if found[1] else least + (found[0] or 0)
+    short = [fingerprint(df, candidates[:least], seed).alias(name) for seed, name in enumerate("ab")]
+    repeated = df.select(*short).groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").drop("n").persist()
+    try:
+        groups = repeated.count()
+        if not groups:
+            return least
+        if least == len(candidates):
+            return None
+        few = F.broadcast(repeated) if groups <= BROADCAST else repeated
+        longer = candidates[least:]
+        rows = with_prefixes(df.select(*short, *cells(df, longer)).join(few, ["a", "b"], "left_semi"), len(longer))
+        order = Window.partitionBy("a", "b").orderBy("rest")
+        apart = F.array_position(F.zip_with("rest", F.col("before"), lambda x, y: x != y), True)
+        found = (rows.select("a", "b", F.array(*[f"h{i}" for i in range(len(longer))]).alias("rest"))
+                 .withColumn("before", F.lag("rest").over(order)).where("before IS NOT NULL")
+                 .agg(F.max(apart), F.count_if(apart == 0)).first())
+        return None if found[1] else least + found[0]
+    finally:
+        repeated.unpersist()
 
 
 def infer_key(df: DataFrame, max_parts: int | None = None) -> DataFrame:
