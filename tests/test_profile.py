@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql.types import StructType
 
 from tidemark.operators import keys, profile as ops
+from tidemark.queries import QUERIES
 from tidemark.sources import file_listing, listing_mark, read_source, write_sink
 
 HASH = "0123456789abcdef0123456789abcdef"
@@ -128,6 +129,14 @@ def test_masked_columns_are_in_the_profile(rows):
     assert (r.inferred_key, r.masked_columns) == ("k", "m")
 
 
+@pytest.mark.parametrize("name, surveys", [("declared_key_snapshot", 4), ("key_baseline_seed", 5), ("key_drift", 5)])
+def test_each_table_is_surveyed_once(spark, sf_dir, monkeypatch, name, surveys):
+    seen, whole = [], keys.survey
+    monkeypatch.setattr(keys, "survey", lambda *a: seen.append(a) or whole(*a))
+    QUERIES[name](spark, sf_dir)
+    assert len(seen) == surveys
+
+
 def test_only_repeated_rows_are_sorted(spark, monkeypatch):
     """Of 2,000 rows, the four that agree in the first column meet in a window; those of a unique column none."""
     frame = type(spark.range(1))
