@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import deltas as ops
+from tidemark.queries import QUERIES
+from tidemark.queries.data import table
 from tidemark.operators.changes import snapshot_diff
 
 CHILD = "id int, k int, code string, flag boolean, v decimal(10,2)"
@@ -129,3 +131,12 @@ def test_parts_keep_their_columns(spark, rows, tmp_path):
     assert [tuple(r) for r in table.rows(1).orderBy("v").collect()] == [(1, Decimal(1)), (1, Decimal(2))]
     with pytest.raises(ValueError):
         table.put(ops.weighted(rows([(1, 2)], "k int, w int")), 2)
+
+
+def test_only_changes_of_what_is_measured_touch_an_order(spark, sf_dir, monkeypatch):
+    """In the last cycle every order has a line with a new flag, and a third get their lines back."""
+    touched, whole = [], ops.KeptGroups.apply
+    monkeypatch.setattr(ops.KeptGroups, "apply", lambda *a: touched.append(whole(*a)) or touched[-1])
+    QUERIES["kept_preagg"](spark, sf_dir)
+    back = table(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0").select("l_orderkey").distinct()
+    assert touched[2].count() == back.count()

@@ -207,9 +207,10 @@ def left_joined(master_before: DataFrame, master_change: DataFrame, groups: Kept
                 touched: DataFrame, zero: Sequence[str] = ()) -> DataFrame:
     """Change of a master with its groups on the left join's key, 0 in `zero` where there is no group.
 
-    Master rows that changed meet the groups after the cycle; master rows that
-    stayed meet the groups before it, taken away, and after it, added, for the
-    keys the cycle touched.
+    Master rows that changed, and those that stayed on keys the cycle touched,
+    meet the groups after the cycle in one join; those that stayed also meet the
+    groups before it and are taken away. `master_change` is read three times:
+    give a stored one.
     """
     keys = groups.keys
 
@@ -219,6 +220,7 @@ def left_joined(master_before: DataFrame, master_change: DataFrame, groups: Kept
         out = rows.join(named, null_safe(rows, named, keys, "__"), "left").drop(*[f"__{k}" for k in keys])
         return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in zero}) if zero else out
 
-    stayed = master_before.join(touched, null_safe(master_before, touched, keys), "left_semi")
-    return net(beside(master_change, cycle, master_change.select(*keys).distinct()),
-               negated(weighted(beside(stayed, cycle - 1, touched))), weighted(beside(stayed, cycle, touched)))
+    stayed = weighted(master_before.join(touched, null_safe(master_before, touched, keys), "left_semi"))
+    involved = master_change.select(*keys).unionByName(touched).distinct()
+    return net(beside(master_change.unionByName(stayed), cycle, involved),
+               beside(negated(stayed), cycle - 1, touched))

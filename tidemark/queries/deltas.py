@@ -98,9 +98,11 @@ FROM cur LEFT JOIN (
   FROM lines GROUP BY 1) ON l_orderkey = o_orderkey
 """)
 def kept_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their lines rolled up, kept up under changes of both."""
+    """Orders with their lines rolled up, kept up under changes of both; lines by what is measured of them."""
     orders = [o.select("o_orderkey", "o_custkey", "o_orderstatus") for o in _order_images(spark, sf_dir)]
-    lines = [x.withColumnRenamed("l_orderkey", "o_orderkey") for x in _line_images(spark, sf_dir)]
+    lines = [x.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_shipdate")
+             for x in _line_images(spark, sf_dir)]
+    feeds = ops.WeightedTable(spark, work_dir(spark, "feeds"))
     groups = ops.KeptGroups(spark, work_dir(spark, "lines"), _KEY, [
         ops.Measure("n_lines", "rows"), ops.Measure("n_parts", "distinct", "l_partkey"),
         ops.Measure("last_ship", "max", "l_shipdate")])
@@ -110,7 +112,7 @@ def kept_preagg(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept.put(ops.weighted(first), 0)
     for cycle, (d_orders, d_lines) in enumerate(zip(_order_feeds(orders), _row_changes(lines)), 1):
         touched = groups.apply(d_lines, cycle)
-        kept.put(ops.left_joined(orders[cycle - 1], d_orders, groups, cycle, touched, zero), cycle)
+        kept.put(ops.left_joined(orders[cycle - 1], feeds.put(d_orders, cycle), groups, cycle, touched, zero), cycle)
     return kept.rows(2).withColumn("last_ship", F.col("last_ship").cast("string"))
 
 
