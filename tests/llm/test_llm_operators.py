@@ -243,6 +243,23 @@ def test_removed_spans(spark):
     assert got[1]["spans"] == 1 and got[1]["n_words"] == 2
 
 
+def test_spans_are_found_and_removed_by_one_worker_a_task(spark):
+    """The plan passes documents to Python once; several blocks of items leave the same texts as one."""
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(6)]
+    rows = [(i, f"Kept {i}: {items[i % 6][1]}; and {items[(i + 1) % 6][1]} " + "more words here " * 20, "a", "b", 5)
+            for i in range(12)]
+    frame = spark.createDataFrame(rows, DOCS)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    clean = decontamination.remove_spans(frame, table)
+    assert clean._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert got == {i: f"Kept {i}: ; and  {'more words here ' * 20}".strip() for i in range(12)}
+    blocks = decontamination.matches(frame, table, block_words=20, finish=decontamination._cleaning(1)).collect()
+    assert {r["doc_id"]: r["text"] for r in blocks} == got
+    short = decontamination.remove_spans(frame, table, min_words=13).collect()
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in short} == {r[0]: (r[1], 5) for r in rows}
+
+
 def test_token_counts(spark, docs, empty):
     count = token_counts.counter("byte_bpe_50k.json")
     small = token_counts.counter("byte_bpe_50k.json", 200, 8)

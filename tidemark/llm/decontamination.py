@@ -19,7 +19,7 @@ are called like a column made here, which is then replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,8 @@ from tidemark.sources import work_dir
 WINDOW = 10
 #: Words of items in one automaton: two states a word, about 500 bytes each.
 BLOCK_WORDS = 150_000
+#: Bytes of text that are worked on at once.
+SLICE_BYTES = 500_000
 
 
 class Automaton:
@@ -165,7 +167,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _matching(items):
+def _matching(items, finish: Callable[[W.Words, pa.RecordBatch], pa.RecordBatch] | None = None):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         index: Items = items.value
         found = W.Words(batch.column("text"))
@@ -184,8 +186,9 @@ def _matching(items):
         columns["spans"] = pa.array([[{"start": a, "end": b} for a, b in merged(x)] for x in spans],
                                        pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
         columns["items"] = pa.array([sorted(x - {None}) for x in ids], pa.list_(pa.string()))
-        return pa.RecordBatch.from_pydict(columns)
-    return W.per_slice("text", work)
+        out = pa.RecordBatch.from_pydict(columns)
+        return finish(found, out) if finish else out
+    return W.per_slice("text", work, SLICE_BYTES)
 
 
 def _item_words(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -196,11 +199,14 @@ def _item_words(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW,
-            block_words: int = BLOCK_WORDS) -> DataFrame:
+            block_words: int = BLOCK_WORDS,
+            finish: Callable[[W.Words, pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
     """Documents with their number of words, hit spans of words and hit items.
 
     `items` has `item_id` and `text`; `docs` has `text`. Adds `n_words`, `spans`
     (word numbers, end exclusive, apart from each other) and `items` (sorted ids).
+    `finish` gets the words and rows of each slice in the last pass and returns rows
+    of the same columns: a task has one Python worker then, not one for each step.
     """
     spark = docs.sparkSession
     worded = (items.select(F.col("item_id").cast("string").alias("item"), "text")
@@ -214,7 +220,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         shared = spark.sparkContext.broadcast(Items([(r["item"], r["words"]) for r in rows], window))
         schema = (out.drop("n_words").withColumn("n_words", F.lit(0).cast("long")).schema)
         out = out.drop("n_words").withColumn("n_words", F.lit(0).cast("long")).mapInArrow(
-            _matching(shared), schema)
+            _matching(shared, finish if block + 1 == blocks else None), schema)
         if block + 1 < blocks:  # else every block's automaton would be held at once
             path = work_dir(spark, "decontamination")
             out.write.parquet(path)
@@ -231,23 +237,26 @@ def digest(matched: DataFrame) -> DataFrame:
         (length > 0).alias("contaminated"))
 
 
-def _cleaned(batch: pa.RecordBatch) -> pa.RecordBatch:
-    found = W.Words(batch.column("text"))
-    texts = []
-    for row, spans in enumerate(batch.column("spans").to_pylist()):
-        a, b = found.offsets[row], found.offsets[row + 1]
-        if not spans:
-            texts.append(batch.column("text")[row].as_py())
-            continue
-        parts, at, base = [], a, found.first[row]
-        for s in spans:
-            parts.append(found.raw[at:found.starts[base + s["start"]]].tobytes())
-            at = found.ends[base + s["end"] - 1]
-        parts.append(found.raw[at:b].tobytes())
-        texts.append(b"".join(parts).decode().strip())
-    columns = {n: batch.column(n) for n in batch.schema.names}
-    columns["text"] = pa.array(texts, pa.string())
-    return pa.RecordBatch.from_pydict(columns)
+def _cleaning(min_words: int) -> Callable[[W.Words, pa.RecordBatch], pa.RecordBatch]:
+    """Takes the spans of at least `min_words` words out of the texts."""
+    def clean(found: W.Words, batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = []
+        for row, spans in enumerate(batch.column("spans").to_pylist()):
+            a, b = found.offsets[row], found.offsets[row + 1]
+            spans = [s for s in spans if s["end"] - s["start"] >= min_words]
+            if not spans:
+                texts.append(batch.column("text")[row].as_py())
+                continue
+            parts, at, base = [], a, found.first[row]
+            for s in spans:
+                parts.append(found.raw[at:found.starts[base + s["start"]]].tobytes())
+                at = found.ends[base + s["end"] - 1]
+            parts.append(found.raw[at:b].tobytes())
+            texts.append(b"".join(parts).decode().strip())
+        columns = {n: batch.column(n) for n in batch.schema.names}
+        columns["text"] = pa.array(texts, pa.string())
+        return pa.RecordBatch.from_pydict(columns)
+    return clean
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW,
@@ -258,9 +267,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     whole. `n_chars`, if there, is counted anew where a text changed. A document
     without a hit stays as it is.
     """
-    found = matches(packed(docs), items, window)
+    found = matches(packed(docs), items, window, finish=_cleaning(min_words))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    kept = found.where((hit == 0) | (hit <= F.col("n_words") * max_coverage)).withColumn(
-        "spans", F.filter("spans", lambda s: s["end"] - s["start"] >= min_words))
-    out = kept.mapInArrow(W.per_slice("text", _cleaned), kept.schema)
-    return unpacked(out, docs, F.size("spans") > 0)
+    kept = found.where((hit == 0) | (hit <= F.col("n_words") * max_coverage))
+    return unpacked(kept, docs, F.exists("spans", lambda s: s["end"] - s["start"] >= min_words))
