@@ -137,6 +137,38 @@ def test_redelivery(spark, rows, tmp_path, partitions, monkeypatch):
     assert [r for r in third if r[1] != 3] == [("a", 2, day(6)), ("b", 1, day(4))] and len(third) == 2 + len(three)
 
 
+def changes_passed(spark, df, store, tmp_path, delay, run):
+    """As `passed_on`, of the form that keeps the last rows in a table."""
+    out = []
+    ops.stream_changes(stream(spark, df, str(tmp_path / "in")), store, "LAST", KEY, "ts", delay,
+                       lambda rows, i: out.append(rows.collect()), str(tmp_path / f"cp{run}")).awaitTermination()
+    return out
+
+
+def test_changes_need_no_python_and_come_again_the_same(spark, rows, store, tmp_path):
+    """The batches of `test_redelivery`; a second run with the same tokens gives the same rows."""
+    batches = [
+        [("a", 1, day(1)), ("a", 1, day(2)), ("a", 2, day(3)), (None, 7, day(1)), ("b", None, day(1)),
+         ("x", 1, None)] + [("hot", 0, day(1))] * 300,
+        [("a", 1, day(4)), ("a", 1, day(5)), (None, 7, day(2)), ("b", None, day(3)), ("hot", 0, day(2))],
+        [("a", 2, day(4)), ("a", 2, day(6)), ("b", 1, day(4)), ("hot", 0, day(1))]]
+    df = land_batches(rows, batches, D, tmp_path)
+    runs = [[sorted((tuple(r) for r in b), key=repr) for b in changes_passed(spark, df, store, tmp_path, "30 days", i)]
+            for i in range(2)]
+    assert runs[0] == [sorted([("a", 1, day(1)), ("a", 2, day(3)), (None, 7, day(1)), ("b", None, day(1)),
+                               ("hot", 0, day(1))], key=repr), [("a", 1, day(4))], [("a", 2, day(6)), ("b", 1, day(4))]]
+    assert runs[1] == runs[0] and len(store.history("LAST")) == 3
+
+
+def test_changes_overlook_a_quiet_key_and_late_rows(spark, rows, store, tmp_path):
+    batches = [[("a", 1, day(1)), ("b", 1, day(1))], [("b", 1, day(20))],
+               [("a", 1, day(22)), ("b", 1, day(23)), ("c", 1, day(14))]]
+    df = land_batches(rows, batches, D, tmp_path)
+    out = [sorted(tuple(r) for r in b) for b in changes_passed(spark, df, store, tmp_path, "5 days", 0)]
+    # b was quiet for longer than the delay only while nothing newer had come.
+    assert out == [[("a", 1, day(1)), ("b", 1, day(1))], [], [("a", 1, day(22))]]
+
+
 def test_a_quiet_key_is_forgotten(spark, rows, tmp_path):
     ops.use_rocksdb(spark)
     batches = [[("a", 1, day(1)), ("b", 1, day(1))], [("b", 1, day(20))], [("b", 2, day(21))],

@@ -103,24 +103,27 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run(stream: DataFrame, spark: SparkSession, purpose: str) -> DataFrame:
     """Everything a stream passes on, update or append mode alike, with the batch as `batch`."""
     out = work_dir(spark, purpose)
-
-    def keep(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    (stream.writeStream.outputMode("update").foreachBatch(keep)
+    (stream.writeStream.outputMode("update").foreachBatch(_keep(out))
      .option("checkpointLocation", work_dir(spark, "offsets"))
      .trigger(availableNow=True).start().awaitTermination())
     return spark.read.parquet(out)
 
 
+def _keep(out: str):
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    return keep
+
+
 def _in_order(spark: SparkSession, rows: DataFrame, by: str, cuts: list[str]) -> DataFrame:
-    """Rows landed period by period, four files each, and read a period a batch."""
+    """Rows landed period by period, as many files each, and read a period a batch."""
     path, bounds = work_dir(spark, "periods"), [None, *cuts, None]
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     for start, end in zip(bounds, bounds[1:]):
         part = rows if start is None else rows.where(F.col(by) >= at(start))
         part = part if end is None else part.where(F.col(by) < at(end))
-        part.repartition(4).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query("""
@@ -133,11 +136,13 @@ SELECT user_id, event_type, ts FROM s WHERE event_type IS DISTINCT FROM before
 """)
 def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each user did last, every row delivered again a minute later; users return to old images."""
-    ops.use_rocksdb(spark)
     events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
     again = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
     stream = _in_order(spark, events.unionByName(again), "ts", ["2024-01-10", "2024-01-20"])
-    return _run(ops.drop_redelivery(stream, ["user_id"], "ts", "60 days"), spark, "once").drop("batch")
+    out = work_dir(spark, "once")
+    ops.stream_changes(stream, new_store(spark, "stream-last", events), "LAST", ["user_id"], "ts", "60 days",
+                       _keep(out), work_dir(spark, "offsets")).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
 
 
 @query(f"""

@@ -2,8 +2,8 @@
 
 from tidemark.streaming.state import drop_redelivery, latest_state, use_rocksdb
 from tidemark.streaming.upsert import (
-    drain_staleness, stream_capture, stream_change_log, stream_upsert,
+    drain_staleness, stream_capture, stream_change_log, stream_changes, stream_upsert,
 )
 
 __all__ = ["drain_staleness", "drop_redelivery", "latest_state", "stream_capture",
-           "stream_change_log", "stream_upsert", "use_rocksdb"]
+           "stream_change_log", "stream_changes", "stream_upsert", "use_rocksdb"]

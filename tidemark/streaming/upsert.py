@@ -5,13 +5,14 @@ A pure delete never lands as a file; only a snapshot refresh sees it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.fixed import LINEAGE, STALE_DRAIN_DAYS
+from tidemark.functions import fingerprint, null_safe, row_hash, row_image
 from tidemark.operators.changes import drain_changes
 from tidemark.operators.silver import RefreshResult, add_flags, assert_deterministic, merge_rows
 from tidemark.sources.control import ControlTables
@@ -87,6 +88,50 @@ def stream_change_log(stream: DataFrame, store: SnapshotStore, control: ControlT
     return _start(stream, merge, checkpoint)
 
 
+def stream_changes(stream: DataFrame, store: SnapshotStore, obj: str, keys: Sequence[str], event_time: str,
+                   delay: str, sink: Callable[[DataFrame, int], None], checkpoint: str, name: str = "changes",
+                   exclude: Iterable[str] = LINEAGE) -> StreamingQuery:
+    """`drop_redelivery` for streams of many rows: gives each batch's changes to `sink`, without Python.
+
+    The Silver table `obj` holds keys, time and image hash of the last row of each
+    key, and rows are compared in a window that spills. A batch may reach the sink
+    twice, with the same rows: it is compared with the snapshot before its own.
+    Lateness and quiet keys count from the newest time of earlier batches; a
+    quiet key is overlooked, and its row stays until the key returns.
+    """
+    micros = int(stream.sparkSession.range(1).select(
+        F.expr(f"unix_micros(timestamp_millis(0) + INTERVAL {delay})")).first()[0])
+    marks = ["__us", "__image", "__order"]
+    marked = stream.withColumns({
+        "__us": F.unix_micros(F.col(event_time).cast("timestamp")),
+        "__image": row_hash(row_image(stream, {*exclude, event_time})),
+        "__order": fingerprint(stream, stream.columns)}).where("__us IS NOT NULL")
+
+    def compare(batch: DataFrame, batch_id: int) -> None:
+        token = f"{name}-{batch_id}"
+        done = next((s for s in store.history(obj) if s.token == token), None)
+        before = store.find(obj, done.parent_id) if done else store.head(obj)
+        rows, last = batch.withColumn("__held", F.lit(False)), batch.select(*keys, "__us", "__image")
+        if before is not None:
+            held = store.read(obj, before)
+            start = held.agg(F.max("__us")).first()[0] - micros
+            rows, last = rows.where(F.col("__us") > start), last.where(F.col("__us") > start)
+            arrived = rows.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+            held = held.where(F.col("__us") >= start).join(arrived, null_safe(held, arrived, keys, "__"), "left_semi")
+            rows = rows.unionByName(held.withColumn("__held", F.lit(True)), allowMissingColumns=True)
+        of_key = Window.partitionBy(*keys)
+        in_order = of_key.orderBy("__us", "__image", F.desc("__held"), "__order")
+        place = F.struct("__us", "__image")
+        changed = (rows.withColumns({"__before": F.lag("__image").over(in_order),
+                                     "__from": F.max(F.when(F.col("__held"), place)).over(of_key)})
+                   .where(~F.col("__held") & (F.col("__from").isNull() | (place > F.col("__from")))
+                          & ~F.col("__image").eqNullSafe(F.col("__before"))))
+        sink(changed.select(*[c for c in batch.columns if c not in marks]), batch_id)
+        if done is None:
+            merge_rows(store, obj, last, keys, "__us", "last", ["__image"], token)
+    return _start(marked, compare, checkpoint)
+
+
 def _start(stream: DataFrame, merge, checkpoint: str) -> StreamingQuery:
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
