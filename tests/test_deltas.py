@@ -140,3 +140,17 @@ def test_only_changes_of_what_is_measured_touch_an_order(spark, sf_dir, monkeypa
     QUERIES["kept_preagg"](spark, sf_dir)
     back = table(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0").select("l_orderkey").distinct()
     assert touched[2].count() == back.count()
+
+
+def test_a_sum_dealt_by_the_key_of_a_join_is_dealt_once(spark, rows):
+    before, after = [(i % 7, i % 3) for i in range(60)], [(i % 7, i % 4) for i in range(50)] + [(None, 1)]
+    left, sides = rows([(i, "x") for i in range(7)], "k int, v string"), [rows(x, "k int, w int") for x in (before, after)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sums = [ops.net(ops.weighted(sides[1]), ops.weighted(sides[0], -1), by=by) for by in ((), ["k"])]
+        plans = [left.join(s, "k")._jdf.queryExecution().executedPlan().toString() for s in sums]
+        assert [p.count("Exchange hashpartitioning") for p in plans] == [3, 2]
+        assert sorted(map(repr, sums[0].collect())) == sorted(map(repr, sums[1].collect())) != []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -35,10 +35,16 @@ def from_feed(feed: DataFrame) -> DataFrame:
     return feed.withColumn(WEIGHT, weight).drop("action")
 
 
-def net(frame: DataFrame, *parts: DataFrame) -> DataFrame:
-    """The sum of weighted frames; rows that cancel out go. Tasks add up their own rows first."""
+def net(frame: DataFrame, *parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The sum of weighted frames; rows that cancel out go. Tasks add up their own rows first.
+
+    With `by`, rows are dealt by those columns before they are added up, so that a join on them
+    deals the sum no more: for large changes, as a small one could be broadcast once it is summed.
+    """
     for part in parts:
         frame = frame.unionByName(part)
+    if by:
+        frame = frame.repartition(*[F.col(f"`{c}`") for c in by])
     columns = [F.col(f"`{c}`") for c in frame.columns if c != WEIGHT]
     return frame.groupBy(*columns).agg(F.sum(WEIGHT).alias(WEIGHT)).where(f"{WEIGHT} <> 0")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import changes, deltas as ops
@@ -39,9 +41,9 @@ def _order_feeds(images: list[DataFrame]) -> list[DataFrame]:
     return [ops.from_feed(changes.snapshot_diff(a, b, _KEY, exclude=())) for a, b in zip(images, images[1:])]
 
 
-def _row_changes(images: list[DataFrame]) -> list[DataFrame]:
-    """Lines have no key, so their changes are differences of counted rows."""
-    return [ops.net(ops.weighted(b), ops.weighted(a, -1)) for a, b in zip(images, images[1:])]
+def _row_changes(images: list[DataFrame], by: Sequence[str] = ()) -> list[DataFrame]:
+    """Lines have no key, so their changes are differences of counted rows, dealt `by` columns if given."""
+    return [ops.net(ops.weighted(b), ops.weighted(a, -1), by=by) for a, b in zip(images, images[1:])]
 
 
 @query(f"""
@@ -68,8 +70,8 @@ def kept_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = [x.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_returnflag")
              for x in _line_images(spark, sf_dir)]
     kept = ops.WeightedTable(spark, work_dir(spark, "join"))
-    kept.put(ops.net(ops.weighted(orders[0].join(lines[0], _KEY))), 0)
-    for cycle, (d_orders, d_lines) in enumerate(zip(_order_feeds(orders), _row_changes(lines)), 1):
+    kept.put(ops.weighted(orders[0].join(lines[0], _KEY)), 0)
+    for cycle, (d_orders, d_lines) in enumerate(zip(_order_feeds(orders), _row_changes(lines, _KEY)), 1):
         kept.put(ops.joined(orders[cycle - 1], d_orders, lines[cycle], d_lines, _KEY), cycle)
     return kept.rows(2)
 
