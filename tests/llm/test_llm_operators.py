@@ -311,6 +311,51 @@ def test_run_counts_and_ratios_in_pieces(monkeypatch):
     assert pieces[0] > whole[0] and pieces[1] == whole[1] and len(whole[1]) > 100
 
 
+def test_short_runs_are_named_once_and_pieces_summed_as_they_come(monkeypatch):
+    """Neither the short runs nor a bucket's sum works on all pieces anew or holds them all."""
+    monkeypatch.setattr(toxicity, "HELD_RUNS", 200)
+    texts = [prose(random.Random(i % 3), 40) for i in range(300)]
+    batches = [pa.record_batch({"text": texts[i:i + 5], "part": pa.array([0] * 5, pa.int32())}) for i in range(0, 300, 5)]
+    table = pa.Table.from_batches(list(toxicity._run_counts(2)(iter(batches))))
+    short = pa.Table.from_batches(list(toxicity._short_runs(iter(table.select(["short"]).to_batches()))))
+    want = {r[-toxicity.MEET - 1:] for t in texts for w in words_of(t) for r in letter_runs(w)}
+    assert sorted(short.column("run").to_pylist()) == sorted(int.from_bytes(r, "big") for r in want)
+    summed, sizes = toxicity._summed, []
+    monkeypatch.setattr(toxicity, "_summed", lambda parts: sizes.append(sum(len(p[0]) for p in parts)) or summed(parts))
+    low = np.unique(short.column("run").to_numpy().view(np.uint64) & np.uint64(0xFFFFFF))
+    sent = [type("Sent", (), {"value": v}) for v in (low, np.ones(len(low)))]
+    list(toxicity._ratio_rows(*sent)(iter(table.sort_by("bucket").to_batches(max_chunksize=3))))
+    pieces = sum(len(toxicity._unpacked(c.as_py())) for c in table.column("runs"))
+    assert len(table) > 50 and max(sizes) < pieces / 6
+
+
+@pytest.mark.parametrize("ids", ["int", "string"])
+def test_toxicity_of_more_runs_and_labels(spark, monkeypatch, ids):
+    """Buckets of too many distinct runs are cut; labels of whole-number ids cost no join of the texts."""
+    rows, labels = toxic_documents(80)
+    frame = spark.createDataFrame(rows + [(None, "no id, but vileness", "", "", 0)], DOCS).repartition(3)
+    frame = frame.withColumn("doc_id", F.col("doc_id").cast(ids))
+    marked = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    marked = marked if ids == "int" else marked.withColumn("doc_id", F.col("doc_id").cast(ids))
+
+    monkeypatch.setattr(toxicity, "LEAST_BUCKETS", 1)
+
+    def found():
+        model = toxicity.fit(frame, marked)
+        return model.ratios.runs.count(), {r["doc_id"]: r["score"] for r in toxicity.scores(frame, model).collect()}
+    whole = found()
+    for name, value in (("SAMPLE", 1), ("BUCKET_RUNS", 50)):
+        monkeypatch.setattr(toxicity, name, value)
+    if ids == "int":
+        monkeypatch.setattr(toxicity, "sent_if_small", None)
+    cut = found()
+    assert cut[0] > whole[0] == 1 and cut[1] == pytest.approx(whole[1], abs=1e-9) and None in cut[1]
+    if ids == "int":
+        monkeypatch.undo()
+        monkeypatch.setattr(toxicity, "SENT_LABELS", 10)
+        assert found()[1] == pytest.approx(whole[1], abs=1e-9)
+
+
 def starting_shingles(text):
     w = words_of(text)
     return {tuple(w[max(0, i - 4):i + 1]) for i in range(len(w))}

@@ -19,10 +19,15 @@ All counts, of classes and shared, grow with the input; none is left out. One pa
 over the documents emits the distinct runs of letters of each task, with their counts
 by class, packed by bucket of the three letters before the last; a bucket meets in one
 task, where everything that the chances of its runs depend on, down to the fourth
-order, is at hand. The number of buckets grows with the text, so a bucket does not.
-The three lowest orders, over runs of at most three letters, go there as an array. The
+order, is at hand. Tasks pack few buckets, so that a piece holds thousands of runs and
+the number of pieces grows with the text, not with its square; where a sample of the
+runs shows that a bucket would hold too many distinct ones, the pieces are cut into more
+buckets before they meet. The pieces of a bucket are summed as they come. The three
+lowest orders, over runs of at most three letters, go there as an array; each task names
+the short runs that these are counted from, so that the pieces are read once. The
 ratios of runs go to the executors as two arrays up to `SENT_RUNS`; beyond that each
-text gets the ratios of its words by joins. Only the regression is bounded: it is fitted
+text gets the ratios of its words by joins. Labels of whole-number ids go to the tasks as
+arrays up to `SENT_LABELS`, else by a join. Only the regression is bounded: it is fitted
 on at most `MAX_LABELLED` of the documents held back, by hash order.
 
 Nulls: a null or empty text has no words and the score of a document without
@@ -41,6 +46,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.llm import words as W
 from tidemark.llm.graph import Steps, sent_if_small
@@ -61,9 +67,14 @@ HELD_RUNS = 600_000
 MEET = 3
 #: Bytes of text worked on at once.
 SLICE_BYTES = 500_000
-#: Bytes of text for each bucket of runs that meet.
-BUCKET_BYTES = 4_000_000
+#: Labels (9 bytes each) that are sent to every executor; more are joined to the texts.
+SENT_LABELS = 10_000_000
+#: Bytes of text for each bucket that tasks pack, and distinct runs that a bucket may hold where they meet.
+BUCKET_BYTES = 256_000_000
+BUCKET_RUNS = 500_000
 LEAST_BUCKETS = 64
+#: One of so many distinct runs is in the sample that they are counted by.
+SAMPLE = 1024
 #: Ratios are summed as whole numbers of this part where the order of rows is not fixed.
 UNIT = 2.0**-32
 #: Score from which a document counts as toxic.
@@ -77,6 +88,8 @@ FEATURES = 5 + 2 * len(MARKS)
 PARTS = 4
 #: Packed runs of a bucket: sorted runs and their counts, or their ratios.
 _COUNTS = "bucket int, runs binary, counts binary"
+#: Besides, in one row of all that a task passes on at once: short runs it has not named before, sampled runs.
+_NAMED = "short binary, sampled binary"
 _RATIOS = "n long, runs binary, fitted binary, whole binary"
 
 
@@ -122,9 +135,16 @@ def _spread(data: bytes, kind: np.dtype | type) -> np.ndarray:
     return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
 
 
-def _unpacked(runs: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    found = np.cumsum(_spread(runs, np.uint64), dtype=np.uint64)
-    return found, _spread(counts, np.int32).reshape(-1, PARTS)
+def _packed(runs: np.ndarray) -> bytes:
+    return _squeezed(np.diff(runs, prepend=_U(0)))
+
+
+def _unpacked(runs: bytes) -> np.ndarray:
+    return np.cumsum(_spread(runs, np.uint64), dtype=np.uint64)
+
+
+def _counted(runs: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return _unpacked(runs), _spread(counts, np.int32).reshape(-1, PARTS)
 
 
 def _bucket_rows(runs: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -135,7 +155,7 @@ def _bucket_rows(runs: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Recor
     parts = np.split(order, first[1:])
     return pa.RecordBatch.from_pydict({
         "bucket": pa.array(present.astype(np.int32)),
-        "runs": pa.array([_squeezed(np.diff(runs[p], prepend=_U(0))) for p in parts], pa.binary()),
+        "runs": pa.array([_packed(runs[p]) for p in parts], pa.binary()),
         "counts": pa.array([_squeezed(counts[p].astype(np.int32).reshape(-1)) for p in parts], pa.binary())})
 
 
@@ -144,8 +164,25 @@ def _run_counts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
     A part is 2 * toxic + kept_back; documents without a label have none and count 0.
     """
+    def passed_on(runs: np.ndarray, counts: np.ndarray, named: np.ndarray) -> pa.RecordBatch:
+        rows = _bucket_rows(runs, counts, buckets)
+        sampled = runs[W.mix(runs) % _U(SAMPLE) == 0]
+        for name, found in (("short", named), ("sampled", sampled)):
+            cells = [_packed(found)] + [None] * (rows.num_rows - 1) if rows.num_rows else []
+            rows = rows.append_column(name, pa.array(cells, pa.binary()))
+        return rows
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        seen = np.zeros(0, np.uint64)
+
+        def unnamed(runs: np.ndarray) -> np.ndarray:
+            nonlocal seen
+            short = np.unique(runs & _U(_mask(MEET + 1)))
+            short = short[~_find(seen, short)[1]]
+            seen = np.sort(np.r_[seen, short])
+            return short
+
         for batch in batches:
             for rows in W.slices(batch, "text", SLICE_BYTES):
                 found = W.Words(rows.column("text"))
@@ -158,9 +195,10 @@ def _run_counts(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                     held = [(runs, counts.astype(np.int32))]
                     del runs, counts
                     if len(held[0][0]) > HELD_RUNS // 2:
-                        yield _bucket_rows(*held.pop(), buckets)
+                        yield passed_on(*held[0], unnamed(held.pop()[0]))
         if held:
-            yield _bucket_rows(*_summed(held), buckets)
+            runs, counts = _summed(held)
+            yield passed_on(runs, counts, unnamed(runs))
     return count
 
 
@@ -171,14 +209,39 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return runs, np.stack([np.bincount(where, weights=c, minlength=len(runs)) for c in counts.T], 1).astype(np.int64)
 
 
-def _short_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct runs of one letter more than the lowest orders have."""
-    seen = np.zeros(0, np.uint64)
-    for batch in batches:
-        for runs, counts in zip(batch.column("runs"), batch.column("counts")):
-            found = _unpacked(runs.as_py(), counts.as_py())[0]
-            seen = np.union1d(seen, found & _U(_mask(MEET + 1)))
-    yield pa.RecordBatch.from_pydict({"run": pa.array(seen.view(np.int64))})
+def _with_parts(sent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The texts with the part of their id, from sorted ids and the part of each."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, parts = sent.value
+        for batch in batches:
+            wanted = batch.column("doc_id")
+            at, known = _find(ids, wanted.fill_null(0).to_numpy(zero_copy_only=False))
+            known &= wanted.is_valid().to_numpy(zero_copy_only=False)
+            part = pa.array(parts[at].astype(np.int32), mask=~known)
+            yield pa.RecordBatch.from_pydict({"text": batch.column("text"), "part": part})
+    return add
+
+
+def _named_runs(name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The runs packed in a column, as rows."""
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cell in batch.column(name).drop_null():
+                yield pa.RecordBatch.from_pydict({"run": pa.array(_unpacked(cell.as_py()).view(np.int64))})
+    return runs
+
+
+#: Distinct runs, for each task, of one letter more than the lowest orders have.
+_short_runs = _named_runs("short")
+
+
+def _cut(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Packed counts, cut into more buckets."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for runs, counts in zip(batch.column("runs"), batch.column("counts")):
+                yield _bucket_rows(*_counted(runs.as_py(), counts.as_py()), buckets)
+    return cut
 
 
 def _distinct_words(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -275,14 +338,19 @@ def _ratio_rows(low_runs, low_chances) -> Callable[[Iterator[pa.RecordBatch]], I
             name: pa.array([c.tobytes()], pa.binary()) for name, c in zip(("runs", "fitted", "whole"), cells)}})
 
     def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
+        held, last, size, most = [], None, 0, HELD_RUNS
         for batch in batches:
             for bucket, runs, counts in zip(*(batch.column(n) for n in ("bucket", "runs", "counts"))):
                 if held and bucket.as_py() != last:
                     yield work(held)
-                    held = []
+                    held, size, most = [], 0, HELD_RUNS
                 last = bucket.as_py()
-                held.append(_unpacked(runs.as_py(), counts.as_py()))
+                held.append(_counted(runs.as_py(), counts.as_py()))
+                size += len(held[-1][0])
+                if size > most:
+                    held = [_summed(held)]
+                    size = len(held[0][0])
+                    most = max(HELD_RUNS, 2 * size)
         if held:
             yield work(held)
     return ratios
@@ -306,17 +374,36 @@ class Ratios:
     runs: DataFrame
 
     @classmethod
-    def of(cls, steps: Steps, counts: DataFrame) -> Ratios:
+    def of(cls, steps: Steps, counts: DataFrame, buckets: int) -> Ratios:
+        """From counts packed by `buckets`, which are cut where the distinct runs are too many for these."""
         spark = counts.sparkSession
-        short = (counts.mapInArrow(_short_runs, "run long").distinct()
+        named = {n: counts.select(n).where(F.col(n).isNotNull()).mapInArrow(_named_runs(n), "run long").distinct()
+                 for n in ("short", "sampled")}
+        short = (named["short"]
                  .groupBy(F.col("run").bitwiseAND(_mask(MEET)).alias("run")).agg(F.count("*").alias("n"))).collect()
         runs = np.array([r["run"] for r in short], np.uint64)
         order = np.argsort(runs)
         runs, n = runs[order], np.array([r["n"] for r in short], np.int64)[order]
         low = spark.sparkContext.broadcast(runs), spark.sparkContext.broadcast(lowest(runs, n))
+        counts = counts.select("bucket", "runs", "counts")
+        wanted = named["sampled"].count() * SAMPLE // BUCKET_RUNS
+        if wanted > buckets:
+            counts = counts.mapInArrow(_cut(wanted), _COUNTS)
         return cls(steps.keep(counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
             _ratio_rows(*low), _RATIOS)))
 
+    def sorted_arrays(self, kind: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """All `size` runs and their ratios, fetched a partition at a time: the driver holds them about twice."""
+        runs, ratios, at = np.empty(size, np.uint64), np.empty(size, np.float32), 0
+        for row in self.runs.select("runs", F.col(kind).alias("ratios")).toLocalIterator():
+            found = np.frombuffer(row["runs"], np.uint64)
+            runs[at:at + len(found)] = found
+            ratios[at:at + len(found)] = np.frombuffer(row["ratios"], np.float32)
+            at += len(found)
+        ratios = ratios[np.argsort(runs)]
+        runs.sort()
+        return runs, ratios
+
     def word_ratios(self, steps: Steps, docs: DataFrame, kind: str) -> DataFrame:
         """(word, ratio) of the distinct words of texts, the word as its hash; words without a ratio are left out.
 
@@ -410,6 +497,20 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50)
     return w
 
 
+def _counts_by_part(texts: DataFrame, parts: DataFrame, labelled: int, buckets: int) -> DataFrame:
+    """Packed counts of the texts' runs; `parts` has the part of each of the `labelled` ids."""
+    count, kind = _run_counts(buckets), f"{_COUNTS}, {_NAMED}"
+    whole = all(isinstance(frame.schema["doc_id"].dataType, IntegralType) for frame in (texts, parts))
+    if not whole or labelled > SENT_LABELS:
+        return texts.join(sent_if_small(parts), "doc_id", "left").select("text", "part").mapInArrow(count, kind)
+    ids = F.col("doc_id").cast("long").alias("doc_id")
+    found = parts.select(ids, F.col("part").cast("byte").alias("part")).toArrow()
+    keys, values = (found.column(c).to_numpy() for c in ("doc_id", "part"))
+    order = np.argsort(keys)
+    add = _with_parts(texts.sparkSession.sparkContext.broadcast((keys[order], values[order])))
+    return texts.select(ids, "text").mapInArrow(lambda batches: count(add(batches)), kind)
+
+
 def remainder() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % 4
 
@@ -427,9 +528,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
-    counts = steps.keep(texts.join(sent_if_small(marked.select("doc_id", part)), "doc_id", "left")
-                        .select("text", "part").mapInArrow(_run_counts(buckets), _COUNTS))
-    ratios = Ratios.of(steps, counts)
+    counts = steps.keep(_counts_by_part(texts, marked.select("doc_id", part), sum(shares.values()), buckets))
+    ratios = Ratios.of(steps, counts, buckets)
     sample = steps.keep(marked.where(remainder() == 3).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
     # Texts of at most max_labelled ids.
     kept_back = steps.keep(texts.join(F.broadcast(sample), "doc_id").select("text", "toxic"))
@@ -457,11 +557,7 @@ def _with_ratios(docs: DataFrame, ratios: Ratios, kind: str, work: Callable[...,
     """The documents by `work`, which gets a slice of them and a function from its words to their ratios."""
     runs = ratios.runs.agg(F.sum("n")).first()[0] or 0
     if runs <= (SENT_RUNS if sent is None else sent):
-        rows = ratios.runs.select("runs", kind).collect()
-        keys = np.frombuffer(b"".join(bytes(r["runs"]) for r in rows), np.uint64)
-        order = np.argsort(keys)
-        shared = docs.sparkSession.sparkContext.broadcast(
-            (keys[order], np.frombuffer(b"".join(bytes(r[kind]) for r in rows), np.float32)[order]))
+        shared = docs.sparkSession.sparkContext.broadcast(ratios.sorted_arrays(kind, runs))
         return docs.mapInArrow(W.per_slice(
             "text", lambda batch: work(batch, lambda found: by_runs(found, *shared.value)), SLICE_BYTES), schema)
     words = ratios.word_ratios(Steps(docs.sparkSession, "toxicity-words"), docs, kind)
